@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import balltree, bpe, line_rules, packing, simhash, token_store
-from paperloom.llm.common import table
+from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, simhash, token_rollup, token_store, toxicity
+from paperloom.llm.common import scratch, table
 
 #: Where the public vocabularies are, if not at the installed package's own place.
 TOKENIZERS = os.environ.get("PAPERLOOM_TOKENIZERS")
@@ -30,6 +30,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.verdicts(table(spark, sf_dir, "documents"))
 
@@ -38,15 +42,28 @@ def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op6_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = (vocabulary("word_bpe_49k.json"), "word_bpe_49k"), (vocabulary("byte_bpe_50k.json"), "byte_bpe_50k")
+    return token_rollup.maintained_totals(table(spark, sf_dir, "documents"), scratch(spark, "token-rollup"), old, new)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op4_line_frequency, op5_ball_tree, op8_rank_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing)}
 
 ORACLE = {
     "op4_line_frequency": r"""
