@@ -10,15 +10,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition (the middle step of TXT3)."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff and Obershelp's ratio of matching blocks (UDF12); not symmetric."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
@@ -48,7 +49,7 @@ def token_set(a: str, b: str) -> float:
     return max([_indel(one, two), *([_indel(shared, one), _indel(shared, two)] if shared else [])])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype=float)
 
@@ -72,12 +73,12 @@ def balanced(text: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def first_object(s: pd.Series) -> pd.Series:
     return s.map(balanced)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def harvest_texts(s: pd.Series) -> pd.Series:
     """The texts in a recogniser's nested reply, in order: rec_texts lists, or [box, (text, confidence)] pairs (JSN17)."""
 
@@ -104,13 +105,13 @@ def harvest_texts(s: pd.Series) -> pd.Series:
     return s.map(parse)
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def unpack_floats(s: pd.Series) -> pd.Series:
     """Little-endian 32-bit floats from bytes (SCL21)."""
     return s.map(lambda b: None if b is None else np.frombuffer(b[: len(b) // 4 * 4], "<f4"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def pack_floats(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else np.asarray(v, "<f4").tobytes())
 
@@ -121,7 +122,10 @@ def variance_of_laplacian(grey: np.ndarray) -> float:
     return float((g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1]).var())
 
 
-@F.pandas_udf("struct<mean double, std double, p2 double, p98 double, clipped long, sharpness double>")
+STATS = T.StructType([*(T.StructField(x, T.DoubleType()) for x in ("mean", "std", "p2", "p98")), T.StructField("clipped", T.LongType()), T.StructField("sharpness", T.DoubleType())])
+
+
+@F.pandas_udf(STATS)
 def image_stats(pixels: pd.Series, width: pd.Series) -> pd.DataFrame:
     """Statistics of grey images given as rows of pixels, 0 to 255 (AGG22, IMG1)."""
     out = []
@@ -132,7 +136,7 @@ def image_stats(pixels: pd.Series, width: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["mean", "std", "p2", "p98", "clipped", "sharpness"])
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def enhanced(pixels: pd.Series, gamma: pd.Series) -> pd.Series:
     """Percentile stretch to 0..255, then a gamma curve (the portable parts of IMG3)."""
 

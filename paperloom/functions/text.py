@@ -240,7 +240,7 @@ def sha256(c: Column) -> Column:
 def retry_after(message: Column) -> Column:
     """Seconds to wait that a rate limit's message names, and one, at most 90; else 30 (JSN16)."""
     found = F.regexp_extract(_or_empty(message), r"(?i)try again in ([0-9.]+)s", 1).try_cast("double")
-    return F.coalesce(F.least(found + 1, F.lit(90.0)), F.lit(30.0))
+    return F.when(found.isNotNull(), F.least(found + 1, F.lit(90.0))).otherwise(F.lit(30.0))
 
 
 def improvement(before: Column, after: Column, lower_is_better: bool = True) -> Column:

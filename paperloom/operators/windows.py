@@ -63,4 +63,4 @@ def set_sizes(a: DataFrame, b: DataFrame) -> DataFrame:
     """Sizes of intersection, union and both differences of two one-column tables (SET1 to SET5)."""
     sides = a.distinct().select(F.col(a.columns[0]).alias("k"), F.lit(1).alias("a"), F.lit(0).alias("b")).union(b.distinct().select(F.col(b.columns[0]), F.lit(0), F.lit(1)))
     both = sides.groupBy("k").agg(F.max("a").alias("a"), F.max("b").alias("b"))
-    return both.agg(F.count_if("a = 1 and b = 1").alias("shared"), F.count("*").alias("either"), F.count_if("a = 1 and b = 0").alias("only_a"), F.count_if("a = 0 and b = 1").alias("only_b"))
+    return both.agg(F.count_if(F.expr("a = 1 and b = 1")).alias("shared"), F.count("*").alias("either"), F.count_if(F.expr("a = 1 and b = 0")).alias("only_a"), F.count_if(F.expr("a = 0 and b = 1")).alias("only_b"))

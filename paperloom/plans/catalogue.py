@@ -512,7 +512,7 @@ def token_f1_by_category(spark, d):
 @query("""
     WITH e AS (SELECT event_id, (event_id % 101) / 100 >= 0.7 AS ai, event_id % 13 = 0 AS same, event_id % 17 = 0 AS other, event_type = 'error' AS error FROM events),
     s AS (SELECT count(*) AS total, count(*) FILTER (NOT ai AND NOT same AND NOT other AND NOT error) AS passed, count(*) FILTER (ai) AS ai_generated, count(*) FILTER (same) AS duplicates_same_user, count(*) FILTER (other) AS duplicates_other_user, count(*) FILTER (same OR other) AS duplicates, count(*) FILTER (error) AS errors FROM e)
-    SELECT *, printf('%.1f%%', 100 * passed / total) AS pass_rate FROM s""")
+    SELECT *, printf('%.1f%%', 100 * (passed / total)) AS pass_rate FROM s""")
 def fraud_summary(spark, d):
     id_ = F.col("event_id")
     rows = table(spark, d, "events").select(((id_ % 101) / 100 >= 0.7).alias("ai"), (id_ % 13 == 0).alias("same"), (id_ % 17 == 0).alias("other"), (F.col("event_type") == "error").alias("error"))
@@ -736,7 +736,7 @@ def page_sides(spark, d):
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang END AS type, CASE WHEN doc_id % 2 = 0 THEN source || '=x' END AS value FROM documents")
 def typed_pairs(spark, d):
-    p = text.F.concat("lang", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" = "), "source", F.lit("=x"))).otherwise(""))
+    p = F.concat("lang", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" = "), "source", F.lit("=x"))).otherwise(""))
     return table(spark, d, "documents").select("doc_id", jsonx.typed_pair(p).alias("p")).select("doc_id", "p.type", "p.value")
 
 
@@ -744,7 +744,7 @@ def typed_pairs(spark, d):
 def base64_payloads(spark, d):
     b = F.base64(F.concat("lang", "source").cast("binary"))
     given = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("data:image/png;base64,"), b)).otherwise(F.concat(F.lit("!"), b))
-    return table(spark, d, "documents").select("doc_id", text.is_base64(given).alias("fit"), F.ltrim(F.lit("!"), text.strip_data_uri(given)).alias("bare"))
+    return table(spark, d, "documents").select("doc_id", text.is_base64(given).alias("fit"), F.ltrim(text.strip_data_uri(given), F.lit("!")).alias("bare"))
 
 
 @query("""
