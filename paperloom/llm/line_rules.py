@@ -123,13 +123,11 @@ def cleaned(docs: DataFrame) -> DataFrame:
     repeated ids need no join back.
     """
     rest = [c for c in docs.columns if c.lower() not in ("doc_id", "source", "text")]
-    packed = docs.select("doc_id", "source", "text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("rest") if rest else F.lit(0).alias("rest"))
-    return _unpack(packed, docs, rest)
-
-
-def _unpack(packed: DataFrame, docs: DataFrame, rest: list[str]) -> DataFrame:
-    # The other columns travel in one struct beside the text, so that their names can't clash.
-    judged = with_verdict(packed.select(F.struct("doc_id", "rest").alias("doc_id"), "source", "text")).where("kept")
+    # The other columns travel in one struct beside the id, so that their names can't clash.
+    beside = F.struct(*(F.col(f"`{c}`") for c in rest)) if rest else F.lit(0)
+    judged = with_verdict(docs.select(F.struct("doc_id", beside.alias("rest")).alias("doc_id"), "source", "text"))
+    # A filter pushed below the row number would repeat each array expression for each of its uses.
+    kept = judged.withColumn("row", F.monotonically_increasing_id()).where((F.col("row") >= 0) & F.col("kept"))
     out = {"doc_id": F.col("doc_id.doc_id"), "source": F.col("source"), "text": F.col("text")}
     columns = []
     for c in docs.columns:
@@ -137,4 +135,4 @@ def _unpack(packed: DataFrame, docs: DataFrame, rest: list[str]) -> DataFrame:
             columns.append(F.length("text").cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append((out[c.lower()] if c.lower() in out else F.col(f"doc_id.rest.`{c}`")).alias(c))
-    return judged.select(*columns)
+    return kept.select(*columns)
