@@ -6,7 +6,7 @@ c_1 <= ... <= c_K.  The expected severity is the sum of P(grade >= k) over k, fr
 Labels tell toxic from clean; the grade of a toxic training document is 1 plus the number of
 ``GRADES`` limits that its share of tell-tale words (per 100 words) reaches.  Features are the presence of words and
 of their beginnings (3 to 6 letters), as toxic words may be inflected, and the share of tell-tale
-words.  Those features are kept that are toxic in at least half of their documents and whose log-likelihood ratio against the label is at least ``LEAST_LLR``
+words.  Those features are kept that are toxic in at least half of their documents and whose log-likelihood ratio against the label is at least ``LEAST_LLR`` and twice the logarithm of the number of candidates
 in the training documents: at most ``TRAIN_DOCUMENTS`` labelled ones, in the order of a hash of their ids.
 Everything else covers whole texts of all documents.
 
@@ -160,7 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tup
     n, bad = (np.array([r[k] for r in chosen[1:]], float) for k in ("n", "bad"))
     value = likelihood_ratio(n, bad, docs_n, bad_n)
     order = np.lexsort((names, -value))
-    order = order[(value[order] >= LEAST_LLR) & (2 * bad[order] >= n[order])][:MAX_FEATURES]
+    # Of so many candidates some stand out by chance: the bar rises with their number.
+    bar = max(LEAST_LLR, 2 * np.log(len(names)))
+    order = order[(value[order] >= bar) & (2 * bad[order] >= n[order])][:MAX_FEATURES]
     if not len(order):
         return None
     telling = set(names[order][bad[order] >= 0.8 * n[order]].tolist())
