@@ -5,8 +5,8 @@ c_1 <= ... <= c_K.  The expected severity is the sum of P(grade >= k) over k, fr
 
 Labels tell toxic from clean; the grade of a toxic training document is 1 plus the number of
 ``GRADES`` limits that its share of tell-tale words (per 100 words) reaches.  Features are the presence of words and
-of their beginnings (3 to 6 letters), as toxic words may be inflected, and the share of tell-tale
-words.  Those features are kept that are toxic in at least half of their documents and whose log-likelihood ratio against the label is at least ``LEAST_LLR`` and twice the logarithm of the number of candidates
+of their beginnings (3 to 6 letters), as toxic words may be inflected, whether there is any, and the
+share of tell-tale words.  Those features are kept that are toxic in at least half of their documents and whose log-likelihood ratio against the label is at least ``LEAST_LLR`` and twice the logarithm of the number of candidates
 in the training documents: at most ``TRAIN_DOCUMENTS`` labelled ones, in the order of a hash of their ids.
 Everything else covers whole texts of all documents.
 
@@ -79,25 +79,27 @@ class CumulativeLink:
     """w, and thresholds c_1 and the gaps above it (kept positive by an exponential)."""
 
     def __init__(self, n: int, grades: int):
-        self.w, self.c = np.zeros(n + 1), np.arange(grades, dtype=float)
+        self.w, self.c = np.zeros(n + 2), np.arange(grades, dtype=float)
 
     @staticmethod
     def matrix(rows: list[tuple[list[int], float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Owners and places of the sparse features; and beside them whether there is any, and the share."""
         owner = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
-        return owner, np.array([i for x, _ in rows for i in x], np.int64), np.log1p([r for _, r in rows])
+        dense = np.array([(4.0 * bool(x), np.log1p(r)) for x, r in rows]).reshape(-1, 2)
+        return owner, np.array([i for x, _ in rows for i in x], np.int64), dense
 
-    def latent(self, owner: np.ndarray, place: np.ndarray, share: np.ndarray) -> np.ndarray:
-        return np.bincount(owner, self.w[place], len(share)) + self.w[-1] * share
+    def latent(self, owner: np.ndarray, place: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        return np.bincount(owner, self.w[place], len(dense)) + dense @ self.w[-2:]
 
     def fit(self, rows: list[tuple[list[int], float]], grade: np.ndarray, steps: int = 300, rate: float = 0.1, l2: float = 0.02) -> CumulativeLink:
-        owner, place, share = self.matrix(rows)
+        owner, place, dense = self.matrix(rows)
         first, gaps = 0.0, np.zeros(len(self.c) - 1)
         params = [self.w, np.array([first]), gaps]
         m, v = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
         for step in range(1, steps + 1):
             self.w = params[0]
             c = params[1][0] + np.concatenate([[0], np.cumsum(np.exp(params[2]))])
-            eta = self.latent(owner, place, share)
+            eta = self.latent(owner, place, dense)
             # The likelihood of each grade: the difference of neighbouring cumulative probabilities.
             p = np.concatenate([np.ones((len(eta), 1)), 1 / (1 + np.exp(np.clip(c - eta[:, None], -60, 60))), np.zeros((len(eta), 1))], 1)
             i = np.arange(len(eta))
@@ -109,7 +111,7 @@ class CumulativeLink:
             np.add.at(dc, np.maximum(grade - 1, 0), np.where(grade > 0, dhigh, 0) / len(eta))
             np.add.at(dc, np.minimum(grade, len(c) - 1), np.where(grade < len(c), -dlow, 0) / len(eta))
             gw = np.bincount(place, d[owner], len(self.w))
-            gw[-1] = (d * share).sum()
+            gw[-2:] = d @ dense
             gw += l2 * self.w / len(eta) ** 0.5
             tail = np.cumsum(dc[::-1])[::-1]
             grads = [gw, np.array([dc.sum()]), tail[1:] * np.exp(params[2])]
