@@ -25,7 +25,7 @@ def greedy_object(c: Column) -> Column:
 
 
 def without_trailing_commas(c: Column) -> Column:
-    return F.regexp_replace(c, r",(\s*[}\]])", "$1")
+    return F.regexp_replace(c, r",\s*([}\]])", "$1")
 
 
 def lenient_object(c: Column, form_feeds: bool = True) -> Column:

@@ -97,3 +97,14 @@ def merged_passes(first: Column, regions: Column) -> Column:
     solid = lambda m: F.map_filter(m, lambda _, v: F.coalesce(v, F.lit("")) != "")
     add = lambda acc, m: F.map_concat(acc, F.map_filter(solid(m), lambda k, _: ~F.array_contains(F.map_keys(acc), k)))
     return F.aggregate(regions, F.coalesce(solid(first), empty), add)
+
+
+@register("text_similarity", "double")
+def stub_similarity() -> Batch:
+    """A pair's similarity by shared hashed words: the place of a model's metric, averaged by the caller (AGG12)."""
+
+    def one(a: str | None, b: str | None) -> float:
+        x, y = set((a or "").lower().split()), set((b or "").lower().split())
+        return 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+
+    return lambda batch: pd.Series([one(a, b) for a, b in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True)])
