@@ -4,11 +4,13 @@ P(grade >= k) = sigmoid(w . x - c_k), with one weight vector for all grades and
 c_1 <= ... <= c_K.  The expected severity is the sum of P(grade >= k) over k, from 0 to K.
 
 Labels tell toxic from clean; the grade of a toxic training document is 1 plus the number of
-``GRADES`` limits that its share of tell-tale words (per 100 words) reaches.  Features are the presence of words and
-of their beginnings (3 to 6 letters), as toxic words may be inflected, whether there is any, and the
-share of tell-tale words.  Those features are kept that are toxic in at least half of their documents and whose log-likelihood ratio against the label is at least ``LEAST_LLR`` and twice the logarithm of the number of candidates
-in the training documents: at most ``TRAIN_DOCUMENTS`` labelled ones, in the order of a hash of their ids.
-Everything else covers whole texts of all documents.
+``GRADES`` limits that its share of tell-tale words (per 100 words) reaches.  Features are the
+presence of words and of their beginnings (3 to 6 letters), as toxic words may be inflected, whether
+there is any, and the share of tell-tale words.  Those words and beginnings are kept that are toxic in
+at least half of their documents and whose log-likelihood ratio against the label reaches
+``LEAST_LLR`` and twice the logarithm of the number of candidates, in the training documents: at most
+``TRAIN_DOCUMENTS`` labelled ones, in the order of a hash of their ids.  Everything else covers whole
+texts of all documents.
 
 A null, empty or wordless text has no features.  A null id has no label.  Repeated rows are graded
 each.  Without toxic or without clean labels every severity is 0.  An empty table gives an empty
@@ -56,7 +58,7 @@ def likelihood_ratio(n: np.ndarray, bad: np.ndarray, docs: int, bad_docs: int) -
 
 
 class Features:
-    """Sparse vectors of texts over selected features; the last place is the share of tell-tale words."""
+    """Sparse vectors of texts over selected features; beside them the share of tell-tale words."""
 
     def __init__(self, names: list[str], telling: set[str]):
         self.place = {x: i for i, x in enumerate(names)}
