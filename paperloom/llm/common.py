@@ -47,4 +47,6 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder; one of fewer splits than cores is dealt to all cores, as texts cost more than their shuffle."""
+    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.rdd().getNumPartitions() < cores else rows
