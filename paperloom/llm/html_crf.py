@@ -23,10 +23,15 @@ from paperloom.llm.html_blocks import Block, blocks_of
 from paperloom.llm.labelled_pages import MARK, Pages
 
 #: Pages that the default model is fitted on.
-TRAIN_PAGES = 500
+TRAIN_PAGES = 1200
 NEUTRAL = frozenset("html body div span section p".split())
 
 
+def tags_and_names(b: Block) -> list[tuple[str, tuple[str, ...]]]:
+    """The block's ancestors without itself."""
+    return b.path[:-1]
+
+
 def features(blocks: list[Block]) -> list[list[str]]:
     """The names of each block's features."""
     out = []
@@ -39,7 +44,11 @@ def features(blocks: list[Block]) -> list[list[str]]:
         around = {t for t in tags if t not in NEUTRAL}
         f += [f"in={t}" for t in around]
         names = [(t, w) for t, words in b.path for w in words]
-        f += [f"name={w}" for w in {w for _, w in names}]
+        f += [x for w in {w for _, w in names} for x in (f"name={w}", f"name4={w[:4]}")]
+        inner = next((words for _, words in reversed(b.path) if words), ())
+        f += [x for w in inner for x in (f"inner={w}", f"inner4={w[:4]}")]
+        deep = next((k for k, (t, words) in enumerate(reversed(tags_and_names(b))) if t not in NEUTRAL or words), 9)
+        f.append(f"deep={min(deep, 4)}")
         near = next((t for t in reversed(tags[:-1]) if t not in NEUTRAL), "-")
         f += [f"near={near}", f"named={bool(names)}", f"plain={not around and not names}"]
         last = b.text[-1]
@@ -91,7 +100,7 @@ class Crf:
         pairs = np.exp(a[:-1, :, None] + self.pairs + (scores + b)[1:, None, :] - z).sum(0) if n > 1 else np.zeros((2, 2))
         return single, pairs
 
-    def fit(self, pages: Iterable[tuple[list[list[str]], list[int]]], epochs: int = 6, rate: float = 0.2, l2: float = 1e-4) -> Crf:
+    def fit(self, pages: Iterable[tuple[list[list[str]], list[int]]], epochs: int = 5, rate: float = 0.2, l2: float = 1e-4) -> Crf:
         """Stochastic steps along the likelihood's gradient, each weight with its own rate (squared sums)."""
         pages = [p for p in pages if p[1]]
         squares: dict[str, float] = {}

@@ -45,7 +45,7 @@ class Pages:
         tag, name = self.r.choice(TAGS[kind]), self.r.choice(CHROME[kind])
         if tag in ("nav", "header", "footer", "aside", "form", "dialog") and self.r.random() < 0.5:
             return tag, ""
-        name = self.r.choice(("{}", "{}-box", "site-{}", "{}_wrap", "{}Area", "page-{}", "{} clearfix", "c-{}__inner")).format(name)
+        name = self.r.choice(("{}", "{}", "{}", "{}-box", "site-{}", "{}_wrap", "{}Area", "page-{}", "{} clearfix", "c-{}__inner", "{}s", "{}-container", "js-{}", "{}-below")).format(name)
         return tag, self.r.choice((' class="{}"', ' id="{}"', " class='{}'")).format(name)
 
     def links(self, n: int) -> str:
@@ -57,7 +57,7 @@ class Pages:
         r = self.r
         tag, name = self.named(kind)
         if kind in ("nav", "share"):
-            inner = self.links(r.randint(2, 8))
+            inner = r.choice(("", "", f"<h3>{self.words(1, 3)}:</h3>")) + self.links(r.randint(2, 8))
         elif kind == "header":
             inner = r.choice((f"<h1>{self.words(1, 4)}</h1>", f"<div>{self.words(1, 5)}</div>", f"<a href='/'>{self.words(1, 2)}</a>")) + r.choice(("", f"<p>{self.words(2, 8)}</p>", self.links(3)))
         elif kind == "footer":
@@ -88,7 +88,11 @@ class Pages:
             return "<ul>" + "".join(f"<li>{MARK}{self.words(2, 12)}</li>" for _ in range(r.randint(1, 4))) + "</ul>"
         if kind < 0.95:
             return f"<blockquote><p>{MARK}{self.sentences(1, 3)}</p></blockquote>"
+        if kind < 0.96:
+            return "<dl>" + "".join(f"<dt>{MARK}{self.words(1, 3)}</dt><dd>{MARK}{self.words(2, 9)}</dd>" for _ in range(r.randint(1, 3))) + "</dl>"
         if kind < 0.97:
+            return r.choice((f"<pre>{MARK}{self.words(3, 20)}</pre>", f"<figure><img src=a.png><figcaption>{MARK}{self.words(2, 12)}</figcaption></figure>"))
+        if kind < 0.99:
             return "<table>" + "".join(f"<tr><td>{MARK}{self.words(1, 3)}</td><td>{MARK}{self.words(1, 3)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>"
         return f"<div>{MARK}{self.sentences(1, 4)}</div>"
 
@@ -97,16 +101,16 @@ class Pages:
         self.letters, self.junk = r.choice(LETTERS), r.random() < 0.12
         article = [f"<h1>{MARK}{self.words(1, 10)}</h1>"] * (r.random() < 0.85) + [self.paragraph() for _ in range(r.randint(1, 9))]
         for kind in ("share", "ad", "notice", "sidebar", "comments", "form"):
-            if r.random() < 0.2:
+            if r.random() < 0.3:
                 article.insert(len(article) if r.random() < 0.3 else r.randint(1, len(article)), self.chrome(kind))
         body = "".join(article)
         how = r.random()
-        if how < 0.45:
+        if how < 0.4:
             name = r.choice(("", "", f' class="{r.choice(MAIN)}"'))
             body = f"<article{name}>{body}</article>"
-        elif how < 0.6:
+        elif how < 0.54:
             body = f"<main>{body}</main>"
-        elif how < 0.95:
+        elif how < 0.86:
             body = f'<div {r.choice(("class", "id"))}="{r.choice(("{}", "{}-body", "post-{}", "the-{}", "{}_text")).format(r.choice(MAIN))}">{body}</div>'
         if r.random() < 0.35:
             body = f"<main>{body}</main>" if "<main" not in body and r.random() < 0.5 else f'<div class="{r.choice(("wrapper", "container", "row", "col", "layout"))}">{body}' + "</div>"
