@@ -785,3 +785,158 @@ def upsert_delete(spark, d):
     store = table(spark, d, "embeddings").select("vec_id", "label")
     changed = store.where("vec_id % 10 = 1").select("vec_id", F.lit(-1).alias("label"))
     return writers.deleted(writers.upserted(store, changed, "vec_id"), store.where("vec_id % 10 = 0"), "vec_id")
+
+
+@query("SELECT doc_id, 'معي ' || CASE doc_id % 3 WHEN 0 THEN 'five' WHEN 1 THEN 'two thousand' ELSE 'خمسةx' END || ' جنيه' AS said FROM documents")
+def number_words(spark, d):
+    n = F.when(F.col("doc_id") % 3 == 0, "خمسة").when(F.col("doc_id") % 3 == 1, "ألفين").otherwise("خمسةx")
+    return table(spark, d, "documents").select("doc_id", text.number_words(F.concat(F.lit("معي "), n, F.lit(" جنيه"))).alias("said"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '[1]' WHEN event_id % 3 = 1 THEN props END AS object FROM events")
+def first_object(spark, d):
+    said = F.when(F.col("event_id") % 3 == 0, F.lit("[1]")).when(F.col("event_id") % 3 == 1, F.concat(F.lit("so: "), "props", F.lit(" } {"))).otherwise(F.lit("none {"))
+    return table(spark, d, "events").select("event_id", A.first_object(said).alias("object"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '[{"item":"' || event_type || '"}]' ELSE '[]' END AS pricing, '[]' AS definitions, CASE WHEN event_id % 2 = 1 THEN event_type END AS raw_fallback FROM events""")
+def search_repair(spark, d):
+    reply = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('```json {"pricing":[{"item":"'), "event_type", F.lit('"},],}```'))).otherwise(F.col("event_type"))
+    return table(spark, d, "events").select("event_id", jsonx.repaired_search(reply).alias("r")).select("event_id", "r.pricing", "r.definitions", "r.raw_fallback")
+
+
+@query("SELECT doc_id, source AS serial, CASE WHEN doc_id % 2 = 0 THEN lang END AS child, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS others, doc_id % 5 = 0 AS review FROM documents")
+def certificate_defaults(spark, d):
+    id_ = F.col("doc_id")
+    payload = F.concat(F.lit('{"birth_certificate":{"serial_number":"'), "source", F.lit('"}'), F.when(id_ % 2 == 0, F.concat(F.lit(',"personal_and_other":{"child":{"name":"'), "lang", F.lit('"}}'))).otherwise(""), F.when(id_ % 3 == 0, F.lit(',"ids":{"other_ids":[{"label_ar":"l","value":"v"},7]}')).otherwise(""), F.when(id_ % 5 == 0, F.lit(',"review_required":true')).otherwise(""), F.lit("}"))
+    r = table(spark, d, "documents").select("doc_id", jsonx.certificate_defaults(payload).alias("r"))
+    return r.select("doc_id", F.col("r.birth_certificate.serial_number").alias("serial"), F.col("r.personal_and_other.child.name").alias("child"), F.size(F.filter("r.ids.other_ids", lambda x: x.value.isNotNull())).alias("others"), F.col("r.review_required").alias("review"))
+
+
+@query("SELECT doc_id, 'doc ' || doc_id AS record_id, 1 AS pages, 'model_output' AS uncertain, true AS review FROM documents")
+def fallback_records(spark, d):
+    p = jsonx.fallback_record(F.concat(F.lit("doc "), "doc_id"), F.array("source"), F.lit("bad"))
+    r = table(spark, d, "documents").select("doc_id", p.alias("p"))
+    return r.select("doc_id", jsonx.at(F.col("p"), "document_id").alias("record_id"), jsonx.at(F.col("p"), "page_count", "int").alias("pages"), jsonx.at(F.col("p"), "uncertain_fields[0]").alias("uncertain"), jsonx.at(F.col("p"), "review_required", "boolean").alias("review"))
+
+
+@query("SELECT doc_id, lang || ',' || source AS texts FROM documents")
+def harvested_texts(spark, d):
+    j = F.concat(F.lit('[[[[0,0],[1,1]],["'), "lang", F.lit('",0.9]],{"rec_texts":["'), "source", F.lit('"]}]'))
+    return table(spark, d, "documents").select("doc_id", F.array_join(A.harvest_texts(j), ",").alias("texts"))
+
+
+@query("SELECT doc_id, lang AS lang, 'core' AS source FROM documents")
+def metadata_maps(spark, d):
+    obj = F.to_json(F.struct("lang", "source"))
+    given = F.when(F.col("doc_id") % 2 == 0, obj).otherwise(F.to_json(F.array(obj)).substr(F.lit(2), F.length(F.to_json(F.array(obj))) - 2))
+    m = jsonx.metadata(given, F.create_map(F.lit("source"), F.lit("core")))
+    return table(spark, d, "documents").select("doc_id", m.alias("m")).select("doc_id", F.col("m")["lang"].alias("lang"), F.col("m")["source"].alias("source"))
+
+
+@query("SELECT vec_id::VARCHAR AS id, label::VARCHAR AS user, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings WHERE vec_id % 4 > 0")
+def stored_vectors(spark, d):
+    packed = table(spark, d, "embeddings").select("vec_id", "label", F.when(F.col("vec_id") % 4 > 0, F.base64(A.pack_floats("embedding"))).alias("b"))
+    e = F.array(F.struct(F.col("vec_id").cast("string").alias("requestId"), F.col("label").cast("string").alias("userIdHash"), F.col("b").alias("embedding")))
+    raw = packed.select(F.when(F.col("vec_id") % 2 == 0, F.to_json(e)).otherwise(F.to_json(F.struct(e.alias("data")))).alias("value"))
+    return readers.embedding_rows(raw).select(F.col("requestId").alias("id"), F.col("userIdHash").alias("user"), F.round(F.get(A.unpack_floats("embedding"), 0).cast("double"), 6).alias("first"))
+
+
+@query("SELECT c AS category, i::INT AS pos, q AS question FROM (VALUES ('a', 0, 'x?'), ('a', 1, 'y?'), ('b', 0, 'z?')) v(c, i, q)")
+def question_templates(spark, d):
+    return readers.templates(spark, {"a": ["x?", "y?"], "b": ["z?"]})
+
+
+@query("SELECT doc_id, base64(encode(lang)) AS voice, 1 AS images, 1 AS skipped FROM documents")
+def job_payloads(spark, d):
+    none = F.lit(None).cast("string")
+    jobs = table(spark, d, "documents").select("doc_id", none.alias("audio_base64"), F.concat(F.lit("data:audio/wav;base64,"), F.base64(F.col("lang").cast("binary"))).alias("voice_base64"), F.lit(None).cast("array<string>").alias("images_base64"), F.array(F.concat("source", F.lit(".png")), F.lit("!?")).alias("images"))
+    return readers.job_inputs(jobs).select("doc_id", "voice", F.size("image_inputs").alias("images"), "skipped")
+
+
+@query("SELECT CASE WHEN doc_id % 2 = 0 THEN doc_id::VARCHAR ELSE 'image_1' END AS id, CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'unknown' END AS user_id, source AS image_path FROM documents")
+def image_batches(spark, d):
+    i = F.struct(F.when(F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")).alias("id"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("user_id"), F.col("source").alias("image_path"))
+    return readers.batch_images(table(spark, d, "documents").select(F.array(i).alias("images")))
+
+
+@query("""
+    WITH r AS (SELECT doc_id AS document_id, 'lang' AS field, lang AS value FROM documents UNION ALL SELECT doc_id, 'source', CASE WHEN doc_id % 2 = 0 THEN source ELSE lang END FROM documents)
+    SELECT document_id, field, value FROM r UNION ALL SELECT doc_id, 'absent', NULL FROM documents""")
+def field_reads(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("document_id"), "lang", "source")
+    read = lambda f, c, pos: docs.select("document_id", F.lit(f).alias("field"), F.col(c).alias("value"), F.lit(pos).alias("pos"))
+    reads = read("lang", "lang", 0).union(read("source", "lang", 0)).union(read("source", "source", 1).where("document_id % 2 = 0"))
+    return joins.field_reads(reads, docs, spark.createDataFrame([("lang",), ("source",), ("absent",)], "field string"))
+
+
+@query("SELECT '/m/' || doc_id AS stem, '/m/' || doc_id || '.wav' AS media, '/m/' || doc_id || '.txt' AS partner FROM documents WHERE doc_id % 2 = 0")
+def paired_media(spark, d):
+    ext = F.explode(F.array(F.lit(".mp3"), F.lit(".wav"), F.when(F.col("doc_id") % 2 == 0, ".txt").otherwise(".jpg"))).alias("e")
+    files = table(spark, d, "documents").select("doc_id", ext).select(F.concat(F.lit("/m/"), "doc_id", "e").alias("path"))
+    return joins.paired_media(files, [".wav", ".mp3"], ".txt")
+
+
+@query("SELECT user_id, round(avg((event_id % 101) / 100), 3) AS mean_confidence FROM events GROUP BY user_id")
+def mean_confidences(spark, d):
+    return metrics.mean_confidence(table(spark, d, "events").select("user_id", ((F.col("event_id") % 101) / 100).alias("confidence")), ["user_id"])
+
+
+@query("SELECT user_id, arg_max(event_id, event_id) FILTER (event_type = 'click') AS last_click FROM events GROUP BY user_id")
+def last_inquiry(spark, d):
+    h = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", F.col("event_type").alias("type")))).alias("history"))
+    return h.select("user_id", windows.last_of("history", "click").event_id.alias("last_click"))
+
+
+@query("SELECT count(*) FILTER (event_type <> 'error') AS saved, count(*) FILTER (event_type = 'error') AS failed FROM events")
+def run_counts(spark, d):
+    from paperloom.sources.files import run_counts as counts
+
+    return counts(table(spark, d, "events").select((F.col("event_type") != "error").alias("saved")))
+
+
+@query("SELECT event_id, 'accepted' AS part FROM events WHERE event_id % 100 >= 60 UNION ALL SELECT event_id, 'low' FROM events WHERE event_id % 100 < 60")
+def score_split(spark, d):
+    from paperloom.sources.files import score_split as split
+
+    good, low = split(table(spark, d, "events").select("event_id", ((F.col("event_id") % 100) / 100).alias("score")), "score", 0.6)
+    return good.select("event_id", F.lit("accepted").alias("part")).union(low.select("event_id", F.lit("low")))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'child_national_id,health_office' ELSE 'health_office' END AS present FROM documents")
+def present_fields(spark, d):
+    from paperloom.sources.files import present_fields as present
+
+    p = F.concat(F.lit('{"ids":{"child_national_id":"'), F.when(F.col("doc_id") % 2 == 0, "5").otherwise(""), F.lit('"},"birth_certificate":{"health_office":"x"}}'))
+    return present(table(spark, d, "documents").select("doc_id", p.alias("p")), "p").select("doc_id", F.array_join("present", ",").alias("present"))
+
+
+@query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/img/' || page_id || '.png' END AS resolved FROM pages")
+def resolved_paths(spark, d):
+    from paperloom.sources.files import resolved
+
+    p = table(spark, d, "pages")
+    listing = p.where("page_id % 2 = 0").select(F.concat(F.lit("/img/"), "page_id", F.lit(".png")).alias("path"))
+    return resolved(p.select("page_id", F.concat(F.lit("C:\\data\\"), "page_id", F.lit(".png")).alias("p")), "p", listing).select("page_id", "resolved")
+
+
+@query("SELECT doc_id, lang AS a, source AS b FROM documents")
+def merged_regions(spark, d):
+    m = providers.merged_passes(F.create_map(F.lit("a"), F.col("lang"), F.lit("b"), F.lit("")), F.array(F.create_map(F.lit("a"), F.lit("other"), F.lit("b"), F.col("source"))))
+    return table(spark, d, "documents").select("doc_id", m.alias("m")).select("doc_id", F.col("m")["a"].alias("a"), F.col("m")["b"].alias("b"))
+
+
+@query("""SELECT vec_id, round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS mean, round(list_stddev_pop(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS std FROM embeddings""")
+def image_statistics(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("p"))
+    s = e.select("vec_id", A.image_stats("p", F.lit(8)).alias("s"))
+    return s.select("vec_id", F.round("s.mean", 6).alias("mean"), F.round("s.std", 6).alias("std"))
+
+
+@query(r"""
+    WITH n AS (SELECT role, text AS g, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations),
+    w AS (SELECT role, list_distinct(list_filter(string_split_regex(lower(p), '\s+'), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split_regex(lower(g), '\s+'), lambda x: x <> '')) AS y FROM n WHERE p IS NOT NULL)
+    SELECT role, round(avg(CASE WHEN len(x) + len(y) = 0 THEN 1 ELSE 2 * len(list_intersect(x, y)) / (len(x) + len(y)) END), 6) AS similarity FROM w GROUP BY role""")
+def mean_similarity(spark, d):
+    n = table(spark, d, "conversations").withColumn("p", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))).where("p is not null")
+    return providers.call(n, "text_similarity", ["p", "text"], "s").groupBy("role").agg(F.round(F.avg("s"), 6).alias("similarity"))
