@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import constants as K
 from paperloom.functions import rules
 from paperloom.functions.text import detect_language, squeeze, truncate_tail
+from paperloom.session import with_checkpoints
 
 
 def append_turn(history: Column, question: Column, answer: Column, limit: int = K.HISTORY_CHARS) -> Column:
@@ -67,6 +68,7 @@ def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7) ->
 
 def _groups(edge: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, group): connected groups of edges by spreading the smallest item, two steps a round."""
+    with_checkpoints(edge.sparkSession)
     both = edge.select(F.col("item").alias("a"), F.col("earlier").alias("b"))
     both = both.union(both.select("b", "a")).cache()
     label = both.select(F.col("a").alias("node")).distinct().withColumn("group", F.col("node"))
