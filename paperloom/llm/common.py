@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    return re.sub("^file:/(?!/)", "file:///", found.rstrip("/"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
