@@ -144,8 +144,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
                 out = fs.open_output_stream(part)
                 writer = ShardWriter(out, enc.width)
             for at in range(0, batch.num_rows, 500):  # few texts as Python strings at once
-                part = batch.slice(at, 500)
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                few = batch.slice(at, 500)
+                for doc_id, text in zip(few.column("doc_id").to_pylist(), few.column("text").to_pylist(), strict=True):
                     writer.add(doc_id, enc.ids(text) + tail)
         if writer is not None:
             writer.close()
