@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import stored
@@ -66,15 +66,17 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed longs."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, carry: str | None = None) -> DataFrame:
+    """(doc_id, fp): fingerprints as signed longs; with ``carry`` also that string column as it is."""
+    more = [carry] if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(x, size) for x in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64)), *map(batch.column, more)], ["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+    return rows.mapInArrow(run, ", ".join(["doc_id long", "fp long", *(f"{c} string" for c in more)]))
 
 
 def syndromes(x: np.ndarray) -> np.ndarray:
@@ -195,6 +197,31 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return by_anchor.mapInArrow(run, "a long, b long")
 
 
+def rooted(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``distinct`` fingerprints with the root of their component: the smallest fingerprint that links reach."""
+    roots = components(links(distinct, threshold))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
+def row_key() -> Column:
+    """A key of a row's text that any reading of the row gives again; with the doc_id it tells rows of different texts apart."""
+    return F.coalesce(F.md5(F.col("text").cast("string")), F.lit(""))
+
+
+def first_rows(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """(kept_id, kept_key, rows) of the row that stays of each component, of those without an id too.
+
+    It is the row of the smallest (doc_id, ``row_key()``), a null id after all others; ``rows`` is how
+    many have that id and text.
+    """
+    fps = stored(fingerprints(docs.withColumn("row_key", row_key()), size, "row_key"), "fingerprints")
+    same = fps.groupBy("fp", "doc_id", "row_key").agg(F.count("*").alias("rows"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "rows")
+    distinct = stored(same.groupBy("fp").agg(F.min(row).alias("least")), "distinct-fingerprints")
+    least = rooted(distinct, threshold).groupBy("root").agg(F.min("least").alias("least"))
+    return least.select(F.col("least.doc_id").alias("kept_id"), F.col("least.row_key").alias("kept_key"), "least.rows")
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint, component_id, n_same): the class of every document.
 
@@ -203,8 +230,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHI
     """
     fps = stored(fingerprints(docs, size), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same")), "distinct-fingerprints")
-    roots = components(links(distinct, threshold))
-    linked = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", "n_same", F.coalesce("root", "fp").alias("root"))
+    linked = rooted(distinct, threshold)
     names = linked.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of")
     classes = linked.join(names, linked["root"] == names["of"]).select(F.col("fp").alias("key"), "n_same", "component_id")
     named = fps.join(classes, fps["fp"] == classes["key"])

@@ -518,3 +518,28 @@ def test_pipeline_edges(spark, sf_dir):
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == table.columns
         corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count()
+
+
+def test_pipeline_keeps_one_row_of_each_component(spark, sf_dir):
+    """Null and repeated ids, against brute force over rows."""
+    long = [" ".join(random.Random(k).choices("alpha beta gamma delta epsilon zeta eta theta iota kappa".split(), k=300)) for k in range(6)]
+    near = next(t for w in range(300) if (t := " ".join([*long[0].split()[:w], "mu", *long[0].split()[w + 1 :]])) and 0 < bin(simhash.fingerprint(t) ^ simhash.fingerprint(long[0])).count("1") <= 3)
+    given = [(None, long[0]), (None, near), (None, long[1]), (None, long[1]), (3, long[1]), (None, long[2]), (7, long[3]), (7, long[1]), (7, long[3]), (8, near), (8, long[0]), (None, long[4]), (None, long[4]), (9, long[4]), (5, long[5]), (5, long[5]), (None, None), (None, ""), (None, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(given)], DOCS).repartition(3)
+    fps = [simhash.fingerprint(t) for _, t in given]
+    groups, left = [], set(range(len(given)))
+    while left:
+        group, stack = set(), [left.pop()]
+        while stack:
+            x = stack.pop()
+            group.add(x)
+            found = {y for y in left if bin(fps[x] ^ fps[y]).count("1") <= 3}
+            left -= found
+            stack += found
+        groups.append(group)
+    kept = [r["n_chars"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
+    for group in groups:
+        stay = [n for n in kept if n in group]
+        ids = [given[n][0] for n in group if given[n][0] is not None]
+        assert len(stay) == 1 and given[stay[0]][0] == min(ids, default=None)
+    assert len(kept) == len(groups)
