@@ -14,14 +14,19 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
-#: Fixed values of the HTML standard: elements without end tag, of raw text, within a line, and which
-#: open element a start tag closes.
+#: Fixed values of the HTML standard: elements without end tag, of raw text, not shown, of other languages, with
+#: fallback content, within a line, those that end an svg or math left open, and which open element a start tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object canvas audio video xmp noframes".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+HIDDEN = frozenset(["noscript", "template"])
+FOREIGN = frozenset(["svg", "math"])
+FALLBACK = frozenset("select object canvas audio video".split())
+BREAKOUT = frozenset("article aside b big blockquote body br center code dd div dl dt em embed figure footer form h1 h2 h3 h4 h5 h6 head header hr i img li main menu meta nav ol p pre ruby s section small span strong strike sub sup table tt u ul var".split())
+SELF_CLOSED = re.compile(r"(?:^|[\s\"']|(?:^|\s)[^\s=]+)/$")
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW | HIDDEN}
 
 
 @dataclass
@@ -47,13 +52,18 @@ def name_words(attributes: str) -> tuple[str, ...]:
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """The page's leaf blocks that have text, in order; the head, raw text elements and comments have none."""
+    """The page's leaf blocks that have text, in order; the head, raw text elements and comments have none.
+
+    ``noscript`` and ``template`` have none up to their end tags.  An element left open hides nothing after
+    it but for raw text, which runs to the end of the page, as in the HTML standard.
+    """
     out: list[Block] = []
     path: list[tuple[str, tuple[str, ...]]] = []
     inline: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = [0, 0]
     in_link = 0
+    foreign, depth = "", 0  # the svg or math that is open, and how deep in its own kind
     page = page or ""
 
     def flush() -> None:
@@ -81,12 +91,22 @@ def blocks_of(page: str | None) -> list[Block]:
         if not tag:
             continue
         closing = bool(m[1] or m[4])
-        if tag in RAW and not closing:
+        if foreign and (tag in BREAKOUT or closing and tag != foreign and any(x[0] == tag for x in path)):
+            foreign = ""
+        if (tag in RAW or tag in HIDDEN) and not closing and not (foreign and (tag == "title" or SELF_CLOSED.search(m[3] or m[6] or ""))):
             end = RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
-            if tag not in ("svg", "math", "select", "object"):
-                continue
+            at = end.end() if end else at if foreign or tag in HIDDEN else len(page)
+            continue
+        if foreign or tag in FOREIGN:
             parts.append(" ")
+            if tag in FOREIGN and tag == (foreign or tag):
+                if not closing and not SELF_CLOSED.search(m[3] or m[6] or ""):
+                    foreign, depth = tag, depth + 1 if foreign else 1
+                elif closing and foreign:
+                    depth -= 1
+                    foreign = foreign if depth else ""
+            continue
+        if tag in HIDDEN:
             continue
         if tag in ("html", "body") and closing:
             continue
@@ -113,7 +133,7 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        if path and path[-1][0] == "p":
+        if path and path[-1][0] == "p" and tag not in FALLBACK:
             path.pop()
         if tag in CLOSES:
             for k in range(len(path) - 1, -1, -1):

@@ -403,6 +403,25 @@ def test_op6_edges(spark):
     assert [b.text for b in blocks_of("<div>a<br>b <i>c</i>&nbsp;d<script>x</script><ul><li>e<li>f</ul></div>")] == ["a b c d", "e", "f"]
 
 
+def test_op6_drops_raw_text_only():
+    texts = lambda page: [b.text for b in blocks_of(page)]
+    for icon in ('<svg class="i" />', "<svg/>", "<math/>", '<svg a="b"/>', "<svg><path d='M0'/></svg>", "<svg><style/><path></svg>", "<svg><svg></svg></svg>"):
+        assert texts(f"<article><p>one {icon} two</p><p>three</p></article>") == ["one two", "three"]
+    for tag in ("select", "object", "canvas", "audio", "video", "svg", "math", "noscript", "template"):
+        assert texts(f"<article><p>one</p><{tag}><p>two</p><p>three</p></article><p>four</p>") == ["one", "two", "three", "four"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x = 2 holds"]
+    assert texts("<p>one</p><object data=a><p>fallback</p></object><p>two</p>") == ["one", "fallback", "two"]
+    assert texts("<p>one <svg width=5/><text>label</text></svg> two</p>") == ["one label two"]
+    for tag in ("script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"):
+        assert texts(f"<p>one</p><{tag}>x <p>y</{tag}><p>two</p>") == ["one", "two"]
+        assert texts(f"<p>one</p><{tag}>x <p>two</p>") == ["one"]
+    assert texts("<p>one</p><noscript>x</noscript><template><p>y</p></template><p>two</p>") == ["one", "two"]
+    model = html_crf.default_model()
+    page = labelled_pages.Pages(5).page().replace(labelled_pages.MARK, "")
+    want = html_crf.main_text(model, page)
+    assert want and html_crf.main_text(model, page.replace("<body>", '<body><svg class="icon"/>')) == want
+
+
 # --- toxicity ----------------------------------------------------------------------------------
 
 
