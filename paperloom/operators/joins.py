@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.functions.arrow_udfs import sequence_ratio, token_set_ratio
+from paperloom.functions.arrow_udfs import sequence_ratio, token_set
 
 #: A side of at most so many narrow rows may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
@@ -159,20 +159,54 @@ def levenshtein_score(a: Column, b: Column) -> Column:
     return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
-def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75) -> DataFrame:
+def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75, names_a_task: int = 8192) -> DataFrame:
     """The catalog row whose best name is nearest to a query, if it is near enough (JOI13, FLT9).
 
     ``queries``: query_id, query.  ``catalog`` has a ``row_id``; of equal scores the earlier row wins.
-    Both sides share a word or there is no score of note, so the join goes by words; a query that
-    equals no word of the catalog has no match.
+    Every distinct query meets every distinct name: a task takes one block of queries and one shard of names.
+    There a pair that shares a word is scored; one that shares none is scored unless the letters both have, in
+    any order, are too few for ``accept``, which loses nothing as a common subsequence can't be longer.
     """
     name = F.explode(F.array_distinct(F.filter(F.array(*(F.lower(F.trim(c)) for c in names)), lambda x: x != "")))
-    entries = catalog.select("row_id", name.alias("name"))
+    entries = catalog.select("row_id", name.alias("text")).groupBy("text").agg(F.min("row_id").alias("row_id"))
     q = queries.select("query_id", F.lower(F.trim("query")).alias("query"))
-    by_word = q.select("*", F.explode(F.array_distinct(F.split("query", r"\s+"))).alias("word"))
-    pairs = by_word.join(entries.select("*", F.explode(F.array_distinct(F.split("name", r"\s+"))).alias("word")), "word").select("query_id", "query", "row_id", "name").distinct()
-    scored = pairs.withColumn("score", F.round(token_set_ratio("query", "name"), 6)).where(F.col("score") >= accept)
-    return scored.groupBy("query_id").agg(F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r"))).alias("row_id"), F.max("score").alias("score"))
+    asked = q.where("query is not null").select(F.col("query").alias("text")).distinct()
+    shards, blocks = (max(1, -(-x.count() // names_a_task)) for x in (entries, asked))
+    of = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    kept = entries.select(of(shards).alias("shard"), every(blocks).alias("block"), "text", F.col("row_id").cast("long").alias("row_id"), F.lit(False).alias("asks"))
+    asking = asked.select(every(shards).alias("shard"), of(blocks).alias("block"), "text", F.lit(None).cast("long").alias("row_id"), F.lit(True).alias("asks"))
+
+    def letters(text: str) -> np.ndarray:
+        """Counts of a text's letters, in 64 classes."""
+        return np.bincount([ord(c) % 64 for c in text], minlength=64)
+
+    def search(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = [r for r in rows if not r["asks"]]
+        sets = [" ".join(sorted(set(r["text"].split()))) for r in own]
+        has: dict[str, list[int]] = {}
+        for i, x in enumerate(sets):
+            for w in x.split():
+                has.setdefault(w, []).append(i)
+        bags, sizes = np.array([letters(x) for x in sets], np.int32).reshape(-1, 64), np.array([len(x) for x in sets])
+        out = []
+        for query in [r["text"] for r in rows if r["asks"]] if own else []:
+            mine = " ".join(sorted(set(query.split())))
+            if not mine:
+                continue
+            most = 200.0 * np.minimum(bags, letters(mine)).sum(1) / (sizes + len(mine))
+            some = set(np.flatnonzero(most >= accept - 1e-6).tolist()).union(*(has.get(w, ()) for w in mine.split()))
+            scored = [(token_set(query, own[i]["text"]), own[i]["row_id"]) for i in some]
+            # What may round to the same score stays, so that the earlier row wins.
+            least = max([accept, *(x for x, _ in scored)]) - 2e-6
+            out += [(query, i, x) for x, i in scored if x >= least]
+        return pa.table({"text": pa.array([x[0] for x in out], pa.string()), "row_id": pa.array([x[1] for x in out], pa.int64()), "score": pa.array([x[2] for x in out], pa.float64())})
+
+    found = kept.union(asking).groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double")
+    scored = found.withColumn("score", F.round("score", 6)).where(F.col("score") >= accept)
+    best = scored.groupBy("text").agg(F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r"))).alias("row_id"), F.max("score").alias("score"))
+    return q.join(best, q["query"] == best["text"]).select("query_id", "query", "row_id", "score").groupBy("query_id").agg(F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r"))).alias("row_id"), F.max("score").alias("score"))
 
 
 def first_contained(rows: DataFrame, text: str, categories: Sequence[str]) -> DataFrame:

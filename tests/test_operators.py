@@ -112,6 +112,22 @@ def test_interval_overlap(spark, closed):
     assert len(rows) == len(set(rows)) and set(rows) == want
 
 
+@pytest.mark.parametrize("rows_a_task", [3, 8192])
+def test_catalog_match_scores_every_row(spark, rows_a_task):
+    r = random.Random(5)
+    words = "panadol brufen aspirin augmentin ventolin cetal بنادول congestal extra forte plus night".split()
+    catalog = [(i, " ".join(r.sample(words, r.randint(1, 3))), r.choice([None, "", " Tablet ", "syrup"])) for i in range(40)] + [(50, "Panadol", None), (49, "panadol", None)]
+    typo = lambda w: w[: (k := r.randrange(len(w)))] + r.choice(["", "x", "e"]) + w[k + 1 :]
+    queries = [(i, typo(r.choice(words))) for i in range(40)] + [(100 + i, " ".join(typo(w) for w in r.sample(words, 2))) for i in range(40)] + [(200, "panadl"), (201, "panadol nigth"), (202, ""), (203, None), (204, "zzz")]
+    got = joins.catalog_match(spark.createDataFrame(queries, "query_id long, query string"), spark.createDataFrame(catalog, "row_id long, a string, b string"), ["a", "b"], names_a_task=rows_a_task)
+    want = {}
+    for i, q in queries:
+        scores = [(-round(arrow_udfs.token_set((q or "").strip().lower(), n.strip().lower()), 6), row) for row, *both in catalog for n in both if n and n.strip()]
+        if -min(scores)[0] >= 75:
+            want[i] = (min(scores)[1], -min(scores)[0])
+    assert 200 in want and {x["query_id"]: (x["row_id"], x["score"]) for x in got.collect()} == want
+
+
 def test_greedy_accept(spark):
     r = random.Random(3)
     items = [(i, r.random()) for i in range(80)]
