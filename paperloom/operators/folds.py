@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import constants as K
 from paperloom.functions import rules
 from paperloom.functions.text import detect_language, squeeze, truncate_tail
+from paperloom.operators import joins
 from paperloom.session import with_checkpoints
 
 
@@ -66,6 +67,24 @@ def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7) ->
     return decided.union(alone)
 
 
+def accept_vectors(vectors: DataFrame, threshold: float, ai_limit: float = 0.7) -> DataFrame:
+    """``greedy_accept`` of vectors (vec_id, embedding, ai) by all pairs at or above a threshold.
+
+    Of equal vectors the first that is no AI image leads: the later ones are duplicates, of it if it is
+    accepted, else of what it is like.  AI images are never accepted, so they take part in no pair.
+    """
+    with_checkpoints(vectors.sparkSession)
+    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    given = vectors.select("vec_id", "embedding", "ai", (~F.coalesce(F.col("ai") >= ai_limit, F.lit(False)) & F.col("embedding").isNotNull() & ~F.isnan(square) & (F.round(square, 6) >= threshold)).alias("alike"))
+    first = given.where("alike").groupBy("embedding").agg(F.min("vec_id").alias("leader"))
+    led = given.where("alike").join(first, "embedding").select("vec_id", "leader").where("vec_id <> leader").checkpoint()
+    rest = given.join(led.select("vec_id"), "vec_id", "left_anti")
+    edges = joins.alike_pairs(rest.where(F.coalesce(F.col("ai") < ai_limit, F.lit(True))), threshold).checkpoint()
+    decided = greedy_accept(rest.select(F.col("vec_id").alias("item"), "ai"), edges, ai_limit).checkpoint()
+    by = decided.select(F.col("item").alias("leader"), F.when(F.col("decision") == "accepted", F.col("item")).otherwise(F.col("like")).alias("like"))
+    return decided.union(led.join(by, "leader").select(F.col("vec_id").alias("item"), F.lit("duplicate").alias("decision"), "like"))
+
+
 def _groups(edge: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, group): connected groups of edges by spreading the smallest item, two steps a round."""
     with_checkpoints(edge.sparkSession)

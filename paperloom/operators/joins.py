@@ -118,6 +118,32 @@ def top_k_similar(queries: DataFrame, store: DataFrame, k: int, threshold: float
     return ranked.where(F.col("similarity") >= threshold) if threshold is not None else ranked
 
 
+def alike_pairs(vectors: DataFrame, threshold: float, rows_a_task: int = 8192) -> DataFrame:
+    """(item, earlier) of all vectors whose inner product, rounded to 6 places, is at or above a threshold; the larger vec_id is ``item``.
+
+    A task multiplies one block with one shard, as in ``top_k_similar``, but leaves no pair out.
+    """
+    vectors = vectors.where("embedding is not null").select("vec_id", "embedding")
+    n = max(1, -(-vectors.count() // rows_a_task))
+    of = lambda seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    kept = vectors.select(of(1).alias("shard"), every.alias("block"), "vec_id", "embedding", F.lit(False).alias("asks"))
+    asked = vectors.select(every.alias("shard"), of(2).alias("block"), "vec_id", "embedding", F.lit(True).alias("asks"))
+
+    def search(table: pa.Table) -> pa.Table:
+        asks, ids = table["asks"].to_numpy(), table["vec_id"].to_numpy()
+        vectors = np.stack(table["embedding"].to_numpy(zero_copy_only=False)).astype(float) if len(ids) else np.zeros((0, 1))
+        points, own, items, item_ids = vectors[~asks], ids[~asks], vectors[asks], ids[asks]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for at in range(0, len(items), 512):
+            q = item_ids[at : at + 512]
+            row, column = np.nonzero((np.round(items[at : at + 512] @ points.T, 6) >= threshold) & (q[:, None] > own[None, :]))
+            found.append((q[row], own[column]))
+        return pa.table({"item": np.concatenate([x[0] for x in found]), "earlier": np.concatenate([x[1] for x in found])})
+
+    return kept.union(asked).groupBy("shard", "block").applyInArrow(search, "item long, earlier long")
+
+
 def preferred_then_rest(ranked: DataFrame, k: int, preferred: Column) -> DataFrame:
     """Of each query's candidates, those preferred first and the rest after, k in all, in rank order (JOI10, WIN4)."""
     order = Window.partitionBy("query_id").orderBy(F.when(preferred, 0).otherwise(1), "rank")

@@ -641,9 +641,7 @@ def _turns(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def greedy_accept_index(spark, d):
     v = table(spark, d, "embeddings")
-    near = joins.top_k_similar(v, v, 50, 0.4)
-    edges = near.select(F.greatest("query_id", "vec_id").alias("item"), F.least("query_id", "vec_id").alias("earlier")).distinct()
-    return folds.greedy_accept(v.select(F.col("vec_id").alias("item"), ((F.col("vec_id") % 101) / 100).alias("ai")), edges)
+    return folds.accept_vectors(v.select("vec_id", "embedding", ((F.col("vec_id") % 101) / 100).alias("ai")), 0.4)
 
 
 @query()

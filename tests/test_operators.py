@@ -142,6 +142,28 @@ def test_greedy_accept(spark):
     assert {x["item"]: x["decision"] for x in got.collect()} == want
 
 
+def test_greedy_accept_index_by_brute_force(spark, tmp_path):
+    """A group in which many vectors have over 50 nearer neighbours than the accepted one, copies, and no vector at all."""
+    import numpy as np
+
+    from paperloom.plans.catalogue import QUERIES
+
+    r = np.random.default_rng(8)
+    unit = lambda v: (v / np.linalg.norm(v)).astype("f4").tolist()
+    centres = r.normal(size=(3, 8))
+    rows = [(i, unit(centres[i % 3] + 0.35 * r.normal(size=8))) for i in range(320)]
+    rows += [(320 + i, rows[7 * i % 90][1]) for i in range(60)] + [(400 + i, [0.1] * 8) for i in range(3)] + [(410, None), (411, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    want, taken = {}, []
+    for i, v in rows:
+        hit = [] if v is None else [e for e, w in taken if w is not None and round(float(np.dot(np.array(v, float), np.array(w, float))), 6) >= 0.4]
+        want[i] = ("ai", None) if i % 101 / 100 >= 0.7 else ("duplicate", min(hit)) if hit else ("accepted", None)
+        if want[i][0] == "accepted":
+            taken.append((i, v))
+    got = QUERIES["greedy_accept_index"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and {x["item"]: (x["decision"], x["like"]) for x in got} == want
+
+
 def test_inquiry(spark):
     rows = spark.createDataFrame([(1, ["vqa", "vqa"]), (2, ["search", "vqa", "search"]), (3, ["report"])], "case_id long, steps array<string>")
     assert {r["case_id"]: r["path"] for r in folds.inquiry(rows).collect()} == {1: "vqa>report", 2: "search>vqa>report", 3: "report"}
