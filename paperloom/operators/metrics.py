@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions import constants as K
+from paperloom.functions.arrow_udfs import list_distance
 from paperloom.functions.rules import risk_level
 from paperloom.functions.text import words
 
@@ -52,12 +53,8 @@ def exact_cell(pred: Column, gold: Column) -> Column:
 
 
 def word_distance(a: Column, b: Column) -> Column:
-    """Edit distance over words (AGG6): each distinct word becomes one character, then characters are compared."""
-    x, y = words(a), words(b)
-    known = F.array_distinct(F.concat(x, y))
-    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 19967), 4, "0")), "UTF-16BE")
-    text = lambda ws: F.array_join(F.transform(ws, letter), "")
-    return F.levenshtein(text(x), text(y))
+    """Edit distance over words (AGG6)."""
+    return list_distance(words(a), words(b))
 
 
 def error_rates(rows: DataFrame, by: Sequence[str], pred: str = "pred", gold: str = "gold") -> DataFrame:

@@ -396,8 +396,9 @@ TARGETS = """
 """
 
 
-def _fields_and_tokens(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    b = table(spark, d, "benchmark").where("not rlike(text, '[^\\\\x00-\\\\x7F]')").select(F.col("item_id").alias("document_id"), "text")
+def _fields_and_tokens(spark: SparkSession, d: str, ascii_only: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Fields and tokens of every row; ``ascii_only``: of the rows that the SQL of ``fuzzy_best_match`` compares."""
+    b = table(spark, d, "benchmark").where("not rlike(text, '[^\\\\x00-\\\\x7F]')" if ascii_only else "true").select(F.col("item_id").alias("document_id"), "text")
     tokens = b.select("document_id", F.posexplode(F.split("text", " ")).alias("pos", "text"))
     fields = b.select("document_id", F.lit("third").alias("field"), F.concat_ws(" ", F.get(F.split("text", " "), 3), F.get(F.split("text", " "), 4)).alias("target"))
     return fields, tokens
@@ -413,7 +414,7 @@ TOKENS = "WITH b AS (SELECT item_id AS document_id, string_split(text, ' ') AS w
 
 @query(TOKENS + "SELECT document_id, field, target, text, score FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY score DESC, pair, pos) AS k FROM s) WHERE k = 1")
 def fuzzy_best_match(spark, d):
-    return joins.best_token_match(*_fields_and_tokens(spark, d), score=joins.levenshtein_score)
+    return joins.best_token_match(*_fields_and_tokens(spark, d, ascii_only=True), score=joins.levenshtein_score)
 
 
 @query()
@@ -467,10 +468,14 @@ def confusion_exact(spark, d):
     return metrics.confusion(table(spark, d, "documents"), ["lang"], metrics.exact_cell(pred, F.when(id_ % 4 == 0, F.lit(None)).otherwise(F.col("source"))))
 
 
-def _readings(spark: SparkSession, d: str) -> DataFrame:
-    t = F.left("text", F.lit(120))
+def _readings(spark: SparkSession, d: str, cut: bool = False) -> DataFrame:
+    """Whole texts of all languages with a reading of each; ``cut``: the first 120 characters where they are ASCII, as ``READINGS`` compares."""
+    docs = table(spark, d, "documents")
+    if cut:
+        docs = docs.where("not rlike(left(text, 120), '[^\\\\x00-\\\\x7F]')")
+    t = F.left("text", F.lit(120)) if cut else F.col("text")
     pred = F.when(F.col("doc_id") % 3 == 0, F.replace(t, F.lit("e"), F.lit(""))).when(F.col("doc_id") % 3 == 1, F.replace(t, F.lit("a"), F.lit("o"))).otherwise(t)
-    return table(spark, d, "documents").where("not rlike(left(text, 120), '[^\\\\x00-\\\\x7F]')").select("lang", "source", pred.alias("pred"), t.alias("gold"))
+    return docs.select("lang", "source", pred.alias("pred"), t.alias("gold"))
 
 
 READINGS = r"""
@@ -481,7 +486,7 @@ READINGS = r"""
 
 @query(READINGS + "SELECT lang, count(*) AS samples, sum(ce)::BIGINT AS char_edits, sum(cn)::BIGINT AS chars, count(*) FILTER (same) AS exact, round(sum(ce) / sum(cn), 6) AS cer, round(count(*) FILTER (same) / count(*), 6) AS exact_match FROM r GROUP BY lang HAVING sum(cn) > 0")
 def cer_micro(spark, d):
-    return metrics.error_rates(_readings(spark, d), ["lang"]).drop("wer", "word_edits", "words")
+    return metrics.error_rates(_readings(spark, d, cut=True), ["lang"]).drop("wer", "word_edits", "words")
 
 
 @query()
@@ -613,7 +618,7 @@ def seed_boxes_split(spark, d):
 
 @query(READINGS + ", u AS (SELECT lang AS split, * FROM r UNION ALL SELECT 'all', * FROM r) SELECT split, count(*) AS samples, round(count(*) FILTER (same) / count(*), 6) AS exact_match, round(sum(ce) / sum(cn), 6) AS cer FROM u GROUP BY split HAVING sum(cn) > 0")
 def splits_union_metrics(spark, d):
-    r = _readings(spark, d)
+    r = _readings(spark, d, cut=True)
     both = r.withColumn("split", F.col("lang")).unionByName(r.withColumn("split", F.lit("all")))
     return metrics.error_rates(both, ["split"]).select("split", "samples", "exact_match", "cer")
 

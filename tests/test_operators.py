@@ -98,6 +98,38 @@ def test_word_distance(spark):
     assert got == [distance(a.split(), b.split()) for a, b in pairs]
 
 
+def test_whole_texts_of_all_languages(spark, tmp_path):
+    """wer_micro and fuzzy_best_match_sequence against brute force over texts longer than 120 characters and not in ASCII."""
+    from paperloom.plans.catalogue import QUERIES
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    r = random.Random(9)
+    docs = [(i, " ".join(r.choices("alpha été größe بيت eta e x señal".split(), k=r.choice([3, 60, 150]))), "fr de es en".split()[i % 4], "s") for i in range(24)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, t) for i, t, *_ in docs], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    want = {}
+    for i, t, lang, _ in docs:
+        pred = (t.replace("e", ""), t.replace("a", "o"), t)[i % 3]
+        n, edits, words = want.get(lang, (0, 0, 0))
+        want[lang] = n + 1, edits + distance(pred.split(), t.split()), words + len(t.split())
+    assert {x["lang"]: (x["samples"], x["word_edits"], x["words"]) for x in QUERIES["wer_micro"](spark, str(tmp_path)).collect()} == want
+    best = {}
+    for i, t, *_ in docs:
+        w = t.split(" ")
+        target = " ".join(w[3:5])
+        tokens = [(x, 0, k) for k, x in enumerate(w)] + [(f"{x} {y}", 1, k) for k, (x, y) in enumerate(zip(w, w[1:], strict=False))]
+        score = lambda x, target=target: round(difflib.SequenceMatcher(None, target, x).ratio(), 6)
+        best[i] = min((-score(x), pair, k, x) for x, pair, k in tokens)
+    assert {x["document_id"]: (x["score"], x["text"]) for x in QUERIES["fuzzy_best_match_sequence"](spark, str(tmp_path)).collect()} == {i: (-b[0], b[3]) for i, b in best.items()}
+
+
 def test_token_f1(spark):
     assert round(one(spark, metrics.token_f1(F.lit("a a b"), F.lit("a b c"))), 4) == 0.6667
 
