@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 MARKUP = re.compile(
@@ -27,17 +28,60 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW | HIDDEN}
+HEADINGS = frozenset(f"h{n}" for n in range(1, 7))
+
+
+class Node:
+    """An open element: its parent, tag and the words of the attributes that name it.  ``memo`` is a reader's own."""
+
+    __slots__ = ("memo", "parent", "tag", "words")
+
+    def __init__(self, parent: Node | None, tag: str, words: tuple[str, ...]):
+        self.parent, self.tag, self.words, self.memo = parent, tag, words, None
 
 
 @dataclass
 class Block:
-    """A leaf block: its text, the open tags (name, words of class, id, role and itemprop) and its links."""
+    """A leaf block: its text, the innermost open element (which leads to all others) and its links."""
 
     text: str
-    path: list[tuple[str, tuple[str, ...]]]
+    node: Node | None
     link_chars: int
     links: int
 
+    @property
+    def path(self) -> list[tuple[str, tuple[str, ...]]]:
+        """The open elements from the outermost on, as (tag, words)."""
+        out, node = [], self.node
+        while node is not None:
+            out.append((node.tag, node.words))
+            node = node.parent
+        return out[::-1]
+
+
+class OpenElements:
+    """The stack of open elements, with the places of each tag, so that no step looks through the whole stack."""
+
+    def __init__(self):
+        self.nodes: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, words: tuple[str, ...] = ()) -> None:
+        self.places.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(Node(self.top(), tag, words))
+
+    def top(self) -> Node | None:
+        return self.nodes[-1] if self.nodes else None
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost element of some tags, -1 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def cut(self, place: int) -> None:
+        """Closes the element at a place and all within it."""
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().tag].pop()
+
 
 def name_words(attributes: str) -> tuple[str, ...]:
     """The words of the attributes that name an element."""
@@ -55,29 +99,36 @@ def blocks_of(page: str | None) -> list[Block]:
     """The page's leaf blocks that have text, in order; the head, raw text elements and comments have none.
 
     ``noscript`` and ``template`` have none up to their end tags.  An element left open hides nothing after
-    it but for raw text, which runs to the end of the page, as in the HTML standard.
+    it but for raw text, which runs to the end of the page, as in the HTML standard.  Character references
+    are decoded between tags, never across one.  Time and memory grow with the page's length, however deep
+    its elements are nested.
     """
     out: list[Block] = []
-    path: list[tuple[str, tuple[str, ...]]] = []
-    inline: list[tuple[str, tuple[str, ...]]] = []
+    here = OpenElements()
+    inline: list[tuple[str, ...]] = []
     parts: list[str] = []
     linked = [0, 0]
     in_link = 0
+    endless: set[str] = set()  # raw or hidden tags without an end tag from here on
     foreign, depth = "", 0  # the svg or math that is open, and how deep in its own kind
     page = page or ""
 
     def flush() -> None:
         nonlocal parts
-        text = " ".join(html.unescape("".join(parts)).split())
-        if text:
-            out.append(Block(text, [*path, *inline], linked[0], linked[1]))
+        text = " ".join("".join(parts).split())
+        if text and not here.places.get("head"):
+            node = here.top()
+            for words in inline:
+                node = Node(node, "span", words)
+            out.append(Block(text, node, linked[0], linked[1]))
         parts, linked[0], linked[1] = [], 0, 0
 
     def say(raw: str) -> None:
         if raw:
-            parts.append(raw)
+            said = html.unescape(raw) if "&" in raw else raw
+            parts.append(said)
             if in_link:
-                linked[0] += len(raw.strip())
+                linked[0] += len(said.strip())
 
     at = 0
     while at < len(page):
@@ -90,17 +141,19 @@ def blocks_of(page: str | None) -> list[Block]:
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
-        closing = bool(m[1] or m[4])
-        if foreign and (tag in BREAKOUT or closing and tag != foreign and any(x[0] == tag for x in path)):
+        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
+        if foreign and (tag in BREAKOUT or closing and tag != foreign and here.places.get(tag)):
             foreign = ""
-        if (tag in RAW or tag in HIDDEN) and not closing and not (foreign and (tag == "title" or SELF_CLOSED.search(m[3] or m[6] or ""))):
-            end = RAW_END[tag].search(page, at)
+        if (tag in RAW or tag in HIDDEN) and not closing and not (foreign and (tag == "title" or SELF_CLOSED.search(attributes))):
+            end = None if tag in endless else RAW_END[tag].search(page, at)
+            if end is None:
+                endless.add(tag)
             at = end.end() if end else at if foreign or tag in HIDDEN else len(page)
             continue
         if foreign or tag in FOREIGN:
             parts.append(" ")
             if tag in FOREIGN and tag == (foreign or tag):
-                if not closing and not SELF_CLOSED.search(m[3] or m[6] or ""):
+                if not closing and not SELF_CLOSED.search(attributes):
                     foreign, depth = tag, depth + 1 if foreign else 1
                 elif closing and foreign:
                     depth -= 1
@@ -115,35 +168,34 @@ def blocks_of(page: str | None) -> list[Block]:
                 parts.append(" ")
             elif tag == "button":
                 flush()
-                path[:] = [x for x in path if x[0] != "button"] if closing else [*path, ("button", ())]
+                if not closing:
+                    here.push("button")
+                elif here.places.get("button"):
+                    here.cut(here.last(("button",)))
             elif tag == "a":
                 in_link = 0 if closing else 1
                 linked[1] += not closing
             elif tag == "span" and not closing:
-                inline.append((tag, name_words(m[3] or m[6] or "")))
+                inline.append(name_words(attributes))
             elif tag == "span" and inline:
                 inline.pop()
             continue
         flush()
         inline.clear()
         if closing:
-            names = [x[0] for x in path]
-            if tag in names:
-                del path[len(names) - 1 - names[::-1].index(tag) :]
+            place = here.last(HEADINGS if tag in HEADINGS else (tag,))
+            if place >= 0:
+                here.cut(place)
             continue
         if tag in VOID:
             continue
-        if path and path[-1][0] == "p" and tag not in FALLBACK:
-            path.pop()
+        if here.nodes and here.nodes[-1].tag == "p" and tag not in FALLBACK:
+            here.cut(len(here.nodes) - 1)
         if tag in CLOSES:
-            for k in range(len(path) - 1, -1, -1):
-                if path[k][0] in SCOPES[tag]:
-                    break
-                if path[k][0] in CLOSES[tag]:
-                    del path[k:]
-                    break
-        if path and path[-1][0] == "head" and tag not in ("head",):
-            path.pop()
-        path.append((tag, name_words(m[3] or m[6] or "")))
+            scope = here.last(SCOPES[tag])
+            here.cut(min((k for t in CLOSES[tag] if (k := here.last((t,))) > scope), default=len(here.nodes)))
+        if here.nodes and here.nodes[-1].tag == "head" and tag != "head":
+            here.cut(len(here.nodes) - 1)
+        here.push(tag, name_words(attributes))
     flush()
-    return [b for b in out if all(x[0] != "head" for x in b.path)]
+    return out

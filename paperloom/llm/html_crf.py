@@ -7,55 +7,104 @@ neighbouring labels, are fitted to labelled pages by the gradient of the conditi
 
 Character references are decoded, white space within a block becomes one space, and the blocks labelled main are
 joined by one space in page order.  A null, empty or blockless page has the empty text.  Repeated rows
-are extracted each; an empty table gives an empty result.  Only page_id, url and html are read.
+are extracted each; an empty table gives an empty result.  Very long and very deep pages are read whole,
+in time by their length.  Null ids and urls stay null.  Only page_id, url and html are read, so further
+columns of any name don't matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.html_blocks import Block, blocks_of
+from paperloom.llm.html_blocks import Block, Node, blocks_of
 from paperloom.llm.labelled_pages import MARK, Pages
 
 #: Pages that the default model is fitted on.
-TRAIN_PAGES = 1200
+TRAIN_PAGES = 1500
 NEUTRAL = frozenset("html body div span section p".split())
+#: Elements that hold blocks side by side.
+BOXES = frozenset("html body div section article main aside nav header footer form dialog td li ol ul ins".split())
+#: Elements whose presence on a page, and around a block, tells how to read the rest.
+SIGNS = ("article", "main", "nav", "header", "footer", "aside", "form")
 
 
-def tags_and_names(b: Block) -> list[tuple[str, tuple[str, ...]]]:
-    """The block's ancestors without itself."""
-    return b.path[:-1]
+class Around:
+    """What a block has from its ancestors: kept at each node, so that a page costs its length whatever its depth."""
 
+    __slots__ = ("box", "deep", "depth", "inner", "names", "near", "signs")
 
-def features(blocks: list[Block]) -> list[list[str]]:
+    def __init__(self):
+        self.names: frozenset[str] = frozenset()
+        self.inner: tuple[str, ...] = ()
+        self.signs: frozenset[str] = frozenset()
+        self.near, self.deep, self.box, self.depth = "-", 0, None, 0
+
+
+OUTSIDE = Around()
+
+
+def around(node: Node | None, known: Container[str] | None) -> Around:
+    """``Around`` of a node; only names in ``known`` are carried on (all, if it is None)."""
+    chain = []
+    while node is not None and node.memo is None:
+        chain.append(node)
+        node = node.parent
+    above = node.memo if node is not None else OUTSIDE
+    for n in reversed(chain):
+        a = n.memo = Around()
+        new = [] if n.tag in NEUTRAL else [f"in={n.tag}"]
+        new += [x for w in n.words for x in (f"name={w}", f"name4={w[:4]}")]
+        new = [x for x in new if x not in above.names and (known is None or x in known)]
+        a.names = above.names.union(new) if new else above.names
+        a.inner = n.words or above.inner
+        a.signs = above.signs | {n.tag} if n.tag in SIGNS and n.tag not in above.signs else above.signs
+        a.near = n.tag if n.tag not in NEUTRAL else above.near
+        a.deep = 0 if n.tag not in NEUTRAL or n.words else min(above.deep + 1, 4)
+        a.box = n if n.tag in BOXES else above.box
+        a.depth = min(above.depth + 1, 9)
+        above = a
+    return above
+
+
+def share(part: float, whole: float) -> int:
+    """A share in quarters; 4 for the whole."""
+    return int(4 * part / whole) if whole else 0
+
+
+def features(blocks: list[Block], known: Container[str] | None = None) -> list[list[str]]:
     """The names of each block's features."""
+    seen = [around(b.node, known) for b in blocks]
+    prose: dict[int, int] = {}  # by box: characters outside links of the blocks right in it
+    for b, a in zip(blocks, seen, strict=True):
+        prose[id(a.box)] = prose.get(id(a.box), 0) + max(0, len(b.text) - b.link_chars)
+    most, total = max(prose.values(), default=0), sum(prose.values())
+    page = frozenset().union(*{a.signs for a in seen}) if seen else frozenset()
+    signs = "".join(t[0] for t in SIGNS if t in page)
+    lead = "a" if "article" in page else "m" if "main" in page else "-"
     out = []
-    for k, b in enumerate(blocks):
-        n = len(b.text)
-        tags = [t for t, _ in b.path]
-        own = tags[-1] if tags else ""
-        share = b.link_chars / n
-        f = ["1", f"tag={own}", f"size={min(n.bit_length(), 11)}", f"links={int(min(share, 1) * 4)}", f"tag,links={own},{share > 0.5}"]
-        around = {t for t in tags if t not in NEUTRAL}
-        f += [f"in={t}" for t in around]
-        names = [(t, w) for t, words in b.path for w in words]
-        f += [x for w in {w for _, w in names} for x in (f"name={w}", f"name4={w[:4]}")]
-        inner = next((words for _, words in reversed(b.path) if words), ())
-        f += [x for w in inner for x in (f"inner={w}", f"inner4={w[:4]}")]
-        deep = next((k for k, (t, words) in enumerate(reversed(tags_and_names(b))) if t not in NEUTRAL or words), 9)
-        f.append(f"deep={min(deep, 4)}")
-        near = next((t for t in reversed(tags[:-1]) if t not in NEUTRAL), "-")
-        f += [f"near={near}", f"named={bool(names)}", f"plain={not around and not names}"]
+    for k, (b, a) in enumerate(zip(blocks, seen, strict=True)):
+        n, own = len(b.text), b.node.tag if b.node is not None else ""
+        above = around(b.node.parent, known) if b.node is not None else OUTSIDE
+        linked = b.link_chars / n
+        f = ["1", f"tag={own}", f"size={min(n.bit_length(), 11)}", f"links={int(min(linked, 1) * 4)}", f"tag,links={own},{linked > 0.5}"]
+        f += a.names
+        f += [x for w in a.inner for x in (f"inner={w}", f"inner4={w[:4]}")]
+        near = above.near
+        plain = not a.signs and not a.inner
+        f += [f"deep={above.deep}", f"near={near}", f"named={bool(a.inner)}", f"plain={plain}", f"signs={''.join(t[0] for t in SIGNS if t in a.signs)}"]
+        inside = (lead == "a" and "article" in a.signs) or (lead == "m" and "main" in a.signs)
+        f += [f"lead={lead},{inside}", f"lead,tag={lead},{inside},{own}", f"page={signs},{plain}", f"page,in={bool(page)},{inside},{plain}"]
+        mine = prose[id(a.box)]
+        f += [f"box={share(mine, most)}", f"boxall={share(mine, total)}", f"box,plain={share(mine, most)},{plain},{lead}", f"boxes={min(len(prose), 4)},{plain}"]
         last = b.text[-1]
         f += [f"end={last if last in '.!?:;,|' else 'a'}", f"mark={b.text[0] in '©®™'}", f"bars={min(b.text.count('|'), 2)}"]
-        f += [f"first={k == 0}", f"last={k == len(blocks) - 1}", f"many={b.links > 2}"]
-        same = k > 0 and blocks[k - 1].path[:-1] == b.path[:-1]
-        f.append(f"same={same}")
+        f += [f"first={k == 0}", f"last={k == len(blocks) - 1}", f"many={b.links > 2}", f"blocks={min(len(blocks), 4)},{plain}"]
+        f.append(f"same={k > 0 and seen[k - 1].box is a.box}")
         out.append(f)
     return out
 
@@ -72,6 +121,10 @@ class Crf:
         get = self.weights.get
         return np.array([[0.0, sum(get(f, 0.0) for f in x)] for x in names])
 
+    def labels(self, blocks: list[Block]) -> list[int]:
+        """1 for each block of the main text, 0 for others."""
+        return self.viterbi(self.scores(features(blocks, self.weights))) if blocks else []
+
     def viterbi(self, scores: np.ndarray) -> list[int]:
         if not len(scores):
             return []
@@ -143,8 +196,7 @@ def default_model(pages: int = TRAIN_PAGES, seed: int = 0) -> Crf:
 
 def main_text(model: Crf, page: str | None) -> str:
     blocks = blocks_of(page)
-    labels = model.viterbi(model.scores(features(blocks))) if blocks else []
-    return " ".join(b.text for b, y in zip(blocks, labels, strict=True) if y)
+    return " ".join(b.text for b, y in zip(blocks, model.labels(blocks), strict=True) if y)
 
 
 def extract(pages: DataFrame, model: Crf | None = None) -> DataFrame:
@@ -156,7 +208,7 @@ def extract(pages: DataFrame, model: Crf | None = None) -> DataFrame:
             texts, of, main = [], [], []
             for page in batch.column("html").to_pylist():
                 blocks = blocks_of(page)
-                labels = model.viterbi(model.scores(features(blocks))) if blocks else []
+                labels = model.labels(blocks)
                 texts.append(" ".join(b.text for b, y in zip(blocks, labels, strict=True) if y))
                 of.append(len(blocks))
                 main.append(sum(labels))

@@ -1,6 +1,7 @@
 """Labelled pages to train block labelling on: random layouts and words, with each block's label known.
 
-A block of the main text begins with the mark U+0001, which the trainer takes off again.
+A block of the main text begins with the mark U+0001, which the trainer takes off again.  Layouts range from
+pages with every kind of part around the text to pages that hold nothing but it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ CHROME = {
 }
 TAGS = {"nav": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"], "sidebar": ["aside", "div", "section"], "notice": ["div", "section", "dialog"], "ad": ["div", "aside", "ins"], "comments": ["section", "div", "ol"], "form": ["form"], "share": ["div", "ul"]}
 LETTERS = ("etaoinshrdlu", "aeiounrstlcdñóí", "enirstahduülöß", "esaitnrulodéèêç", "оеаинтсрвл", "ابتثجحدرسل")
+ICONS = ("<svg viewBox='0 0 9 9'><path d='M0 0'/></svg>", "<svg/>", "<img src=a.png>", "<hr>", "<canvas></canvas>")
 
 
 class Pages:
@@ -79,9 +81,13 @@ class Pages:
             text += f' <a href="/{self.word()}">{self.words(1, 3)}</a> {self.words(1, 4)}.'
         if r.random() < 0.1:
             text = f"<b>{text}" + r.choice(("</b>", "<br>"))
+        if r.random() < 0.05:
+            text += f" {r.choice(ICONS[:3])} {self.words(1, 9)}"
         kind = r.random()
-        if kind < 0.75:
+        if kind < 0.7:
             return f"<p>{MARK}{text}" + r.choice(("</p>", "</p>", "</p>", ""))
+        if kind < 0.75:
+            return f"<p>{MARK}{text}</p>{r.choice(('', *ICONS))} {MARK}{self.words(1, 12)}"
         if kind < 0.83:
             return f"<h{r.randint(2, 4)}>{MARK}{self.words(1, 7)}</h{r.randint(2, 4)}>"
         if kind < 0.9:
@@ -96,26 +102,56 @@ class Pages:
             return "<table>" + "".join(f"<tr><td>{MARK}{self.words(1, 3)}</td><td>{MARK}{self.words(1, 3)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>"
         return f"<div>{MARK}{self.sentences(1, 4)}</div>"
 
+    def article(self) -> list[str]:
+        """Headings and paragraphs: a title, a title in a header of its own, or none."""
+        r = self.r
+        title = f"<h1>{MARK}{self.words(1, 10)}</h1>"
+        head = r.choices(([], [title], [f"<header>{title}</header>"]), (0.3, 0.62, 0.08))[0]
+        return head + [self.paragraph() for _ in range(1 if r.random() < 0.2 else r.randint(1, 9))]
+
+    def wrapped(self, body: str, bare: float) -> str:
+        """The text in an article, a main, an element with a name, or, in a share of pages, in none."""
+        r = self.r
+        if r.random() < bare:
+            return body
+        how = r.random()
+        if how < 0.45:
+            return f"<article{r.choice(('', '', f' class={chr(34)}{r.choice(MAIN)}{chr(34)}'))}>{body}</article>"
+        if how < 0.6:
+            return f"<main>{body}</main>"
+        return f'<div {r.choice(("class", "id"))}="{r.choice(("{}", "{}-body", "post-{}", "the-{}", "{}_text")).format(r.choice(MAIN))}">{body}</div>'
+
+    def plain(self) -> str:
+        """A page of nothing but its text."""
+        r, article = self.r, self.article()
+        if r.random() < 0.15:
+            article = [f"{MARK}{self.sentences(1, 3)}"]
+        if r.random() < 0.2:
+            article.insert(r.randint(0, len(article)), r.choice(ICONS))
+        body = self.wrapped("".join(article), 0.4)
+        if r.random() < 0.2:
+            body = f"<div>{body}</div>"
+        return body
+
     def page(self) -> str:
         r = self.r
         self.letters, self.junk = r.choice(LETTERS), r.random() < 0.12
-        article = [f"<h1>{MARK}{self.words(1, 10)}</h1>"] * (r.random() < 0.85) + [self.paragraph() for _ in range(r.randint(1, 9))]
-        for kind in ("share", "ad", "notice", "sidebar", "comments", "form"):
+        if r.random() < 0.18:
+            body = self.plain()
+        else:
+            article = self.article()
+            for kind in ("share", "ad", "notice", "sidebar", "comments", "form"):
+                if r.random() < 0.3:
+                    article.insert(len(article) if r.random() < 0.3 else r.randint(1, len(article)), self.chrome(kind))
+            body = self.wrapped("".join(article), 0.14)
+            if r.random() < 0.35:
+                body = f"<main>{body}</main>" if "<main" not in body and r.random() < 0.5 else f'<div class="{r.choice(("wrapper", "container", "row", "col", "layout"))}">{body}</div>'
+            most = r.choice((0.15, 0.5, 0.5, 0.8))
+            before = [self.chrome(k) for k in ("notice", "header", "nav", "ad", "form", "sidebar") if r.random() < most]
+            after = [self.chrome(k) for k in ("comments", "share", "sidebar", "ad", "form", "notice", "footer") if r.random() < most]
             if r.random() < 0.3:
-                article.insert(len(article) if r.random() < 0.3 else r.randint(1, len(article)), self.chrome(kind))
-        body = "".join(article)
-        how = r.random()
-        if how < 0.4:
-            name = r.choice(("", "", f' class="{r.choice(MAIN)}"'))
-            body = f"<article{name}>{body}</article>"
-        elif how < 0.54:
-            body = f"<main>{body}</main>"
-        elif how < 0.86:
-            body = f'<div {r.choice(("class", "id"))}="{r.choice(("{}", "{}-body", "post-{}", "the-{}", "{}_text")).format(r.choice(MAIN))}">{body}</div>'
-        if r.random() < 0.35:
-            body = f"<main>{body}</main>" if "<main" not in body and r.random() < 0.5 else f'<div class="{r.choice(("wrapper", "container", "row", "col", "layout"))}">{body}' + "</div>"
-        before = [self.chrome(k) for k in ("notice", "header", "nav", "ad", "form", "sidebar") if r.random() < 0.5]
-        after = [self.chrome(k) for k in ("comments", "share", "sidebar", "ad", "form", "notice", "footer") if r.random() < 0.45]
-        if r.random() < 0.3:
-            r.shuffle(before)
-        return f"<!DOCTYPE html><html><head><title>{self.words(1, 8)}</title><style>p{{margin:0}}</style></head><body>{''.join(before)}{body}{''.join(after)}</body></html>"
+                r.shuffle(before)
+            body = f"{''.join(before)}{body}{''.join(after)}"
+        if r.random() < 0.03:
+            return body
+        return f"<!DOCTYPE html><html><head><title>{self.words(1, 8)}</title><style>p{{margin:0}}</style></head><body>{body}</body></html>"

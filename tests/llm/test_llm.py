@@ -386,8 +386,8 @@ def test_op6_on_pages(spark, sf_dir):
         assert got[p["page_id"]]["text"] == want and got[p["page_id"]]["n_chars"] == len(want)
 
 
-def test_op6_held_out_layouts():
-    model = html_crf.default_model()
+def test_op6_held_out_layouts(page_model):
+    model = page_model
     wrong = total = 0
     for names, labels in html_crf.labelled(labelled_pages.Pages(777).page() for _ in range(150)):
         wrong += sum(a != b for a, b in zip(model.viterbi(model.scores(names)), labels, strict=True))
@@ -395,6 +395,48 @@ def test_op6_held_out_layouts():
     assert wrong < 0.01 * total
 
 
+PLAIN_PAGES = [
+    ("<article><p>Good story text.</p> more</article>", "Good story text. more"),
+    ("<html><body><p>One plain paragraph of text here.</p><p>And the second one follows it.</p></body></html>", "One plain paragraph of text here. And the second one follows it."),
+    ("<body><div id='story'><p>The story begins here and goes on.</p><p>It ends.</p></div></body>", "The story begins here and goes on. It ends."),
+    ("<body><article><p>Single paragraph article.</p></article></body>", "Single paragraph article."),
+    ("<body><article><p>Text before <svg><path d='M0'/></svg> and after.</p></article></body>", "Text before and after."),
+    ("<p>Only this.</p>", "Only this."),
+    ("Just words without a tag.", "Just words without a tag."),
+    ("<body><h1>A title</h1><p>First.</p><p>Second.</p></body>", "A title First. Second."),
+    ("<body><div><div><p>Deep text of a page in plain boxes.</p><p>Again some text here.</p></div></div></body>", "Deep text of a page in plain boxes. Again some text here."),
+    ("<body><nav><a href=/>Home</a> <a href=/b>Blog</a></nav><p>Some text that is the page.</p><p>More of that text.</p><footer>&copy; 2020 Site</footer></body>", "Some text that is the page. More of that text."),
+    ("<body><div class='cookie-notice'>We use cookies. <button>OK</button></div><div class='post-content'><h1>Title here</h1><p>Body text one.</p><ul><li>item one</li><li>item two</li></ul></div><div class='comments'><h3>Comments</h3><p>I liked it a lot.</p></div></body>", "Title here Body text one. item one item two"),
+    ("<body><header><h1>Site name</h1></header><main><h2>Heading</h2><p>Main text of this page, with <a href=/x>a link</a> in it.</p></main><aside><h3>Related</h3><ul><li><a href=/1>One</a></li></ul></aside></body>", "Heading Main text of this page, with a link in it."),
+]
+
+
+@pytest.fixture(scope="module")
+def page_model():
+    return html_crf.default_model()
+
+
+def test_op6_plain_pages(page_model):
+    for page, want in PLAIN_PAGES:
+        assert html_crf.main_text(page_model, page) == want
+
+
+def test_op6_deep_and_odd_pages(page_model):
+    """Time grows with the page's length whatever its depth; references don't reach over tags; table and heading ends."""
+    import time
+
+    texts = lambda page: [b.text for b in blocks_of(page)]
+    assert texts("<p>AT&am<b>p;</b> x&amp;y &lt;b&gt;</p>") == ["AT&am" + "p; x&y <b>"]
+    assert texts("<h2>one</h3><p>two") == ["one", "two"] and [b.node.tag for b in blocks_of("<h2>one</h3><p>two")] == ["h2", "p"]
+    rows = blocks_of("<table><tr><td>a<td>b<tr><td>c</table>d")
+    assert [(b.text, [t for t, _ in b.path]) for b in rows] == [("a", ["table", "tr", "td"]), ("b", ["table", "tr", "td"]), ("c", ["table", "tr", "td"]), ("d", [])]
+    began = time.time()
+    for page in ("<div class='a b'>x " * 50_000, "".join(f"<div class='w{i}'><li>x</i>" for i in range(30_000)), "<noscript>" * 50_000 + "x", "<button>x" * 20_000):
+        html_crf.main_text(page_model, page)
+    assert time.time() - began < 60
+    assert len(html_crf.main_text(page_model, "<article><p>" + "word and word. " * 200_000 + "</p></article>")) > 2_900_000
+
+
 def test_op6_edges(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (None, "u", "<p>unclosed <b>one<p>two &amp; &am &#233;"), (3, "u", "<<<>>> <a href='"), (3, "u", "plain &lt;text&gt;")], "page_id long, url string, html string").selectExpr("*", "1 as text")
     got = html_crf.extract(pages).collect()
@@ -403,7 +445,7 @@ def test_op6_edges(spark):
     assert [b.text for b in blocks_of("<div>a<br>b <i>c</i>&nbsp;d<script>x</script><ul><li>e<li>f</ul></div>")] == ["a b c d", "e", "f"]
 
 
-def test_op6_drops_raw_text_only():
+def test_op6_drops_raw_text_only(page_model):
     texts = lambda page: [b.text for b in blocks_of(page)]
     for icon in ('<svg class="i" />', "<svg/>", "<math/>", '<svg a="b"/>', "<svg><path d='M0'/></svg>", "<svg><style/><path></svg>", "<svg><svg></svg></svg>"):
         assert texts(f"<article><p>one {icon} two</p><p>three</p></article>") == ["one two", "three"]
@@ -416,7 +458,7 @@ def test_op6_drops_raw_text_only():
         assert texts(f"<p>one</p><{tag}>x <p>y</{tag}><p>two</p>") == ["one", "two"]
         assert texts(f"<p>one</p><{tag}>x <p>two</p>") == ["one"]
     assert texts("<p>one</p><noscript>x</noscript><template><p>y</p></template><p>two</p>") == ["one", "two"]
-    model = html_crf.default_model()
+    model = page_model
     page = labelled_pages.Pages(5).page().replace(labelled_pages.MARK, "")
     want = html_crf.main_text(model, page)
     assert want and html_crf.main_text(model, page.replace("<body>", '<body><svg class="icon"/>')) == want
