@@ -6,13 +6,15 @@ a = softmax(w . (tanh(V h) * sigmoid(U h))) weighs the passages, and the weighte
 Only document labels are needed: the weights of attention are learned from them.
 
 The model is fitted on at most ``TRAIN_DOCUMENTS`` labelled documents, taken in the order of a hash of
-their ids; documents held out of training never reach it.  Scoring covers every passage of every text,
-with one passage in memory at a time.
+their ids, as long as they have no more than ``TRAIN_PASSAGES`` passages in all, which bounds the driver's
+memory; documents held out of training never reach it.  A bag is all passages of its text, and scoring
+covers every passage of every text.
 
 A null, empty or blank text is one passage of zeros.  A null id isn't held out and has no label.
-Repeated rows are scored each; of repeated labels, each counts.  Without labelled rows, or with one
-class only, the score is the rate of label 1 (0.5 without rows).  An empty table gives an empty result.
-Only doc_id and text are read from documents.
+Repeated rows are scored each; for training, repeated rows of one id, text and label count once.  Without
+labelled rows, or with one class only, the score is the rate of label 1 (0.5 without rows).  An empty
+table gives an empty result.  Only doc_id and text are read from documents, so further columns of any
+name don't matter.
 """
 
 from __future__ import annotations
@@ -27,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.common import stored, training_rows
 from paperloom.llm.tokens import Memo
 
 TRAIN_DOCUMENTS = 6000
-#: Passages that a training document brings at most to a fit, dealt evenly over its whole text.
-TRAIN_PASSAGES = 64
+#: Passages of all training documents together: 240 bytes each on the driver.
+TRAIN_PASSAGES = 300_000
 PASSAGE = 96
 SHAPES = 48
 THRESHOLD = 0.3
@@ -41,12 +44,9 @@ RUNS = ((re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"[a-zß-öø-ÿ]+")
 
 def shape(word: str) -> int:
     """The bucket of a word's shape: runs of capitals, small letters and digits become one letter each."""
-    out = word
-    if len(word) > 40:
-        out = word[:20] + word[-20:]
     for run, letter in RUNS:
-        out = run.sub(letter, out)
-    return zlib.crc32(out.encode()) % SHAPES
+        word = run.sub(letter, word)
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % SHAPES
 
 
 FEATURES = SHAPES + 12
@@ -64,19 +64,18 @@ class Encoder:
         x[:SHAPES] = np.sqrt(np.bincount(list(map(self.shapes.__getitem__, words)), minlength=SHAPES) / n)
         joined = "".join(words)
         size = len(joined)
-        low = joined.lower()
         x[SHAPES:] = (
             len(set(words)) / n,
             sum(map(eq, words, words[1:])) / n,
             sum(map(eq, words, words[2:])) / n,
             min(size / n, 40) / 10,
-            max(map(len, words[:4096])) / (10 + size),
+            max(map(len, words)) / (10 + size),
             sum(map(joined.count, "#*$%&|<>")) / size,
             sum(map(joined.count, "!?")) / size,
             sum(map(joined.count, ".,;:")) / size,
             sum(map(joined.count, "0123456789")) / size,
-            sum(a != b for a, b in zip(joined[:2000], low[:2000], strict=False)) / min(size, 2000),
-            len(set(low)) / min(size, 200),
+            sum(map(str.isupper, joined)) / size,
+            len(set(joined.lower())) / min(size, 200),
             min(n, PASSAGE) / PASSAGE,
         )
         return x
@@ -166,25 +165,30 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Bags and labels of at most ``limit`` labelled documents that aren't held out."""
+def training_bags(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS, passages: int = TRAIN_PASSAGES) -> tuple[list[np.ndarray], np.ndarray]:
+    """Bags and labels of at most ``limit`` labelled documents that aren't held out, of ``passages`` in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder()
         for batch in batches:
-            bags = []
-            for text in batch.column("text").to_pylist():
+            for k, text in enumerate(batch.column("text").to_pylist()):
                 bag = encoder.bag(text)
-                keep = np.unique(np.linspace(0, len(bag) - 1, min(len(bag), TRAIN_PASSAGES)).astype(int))
-                bags.append(bag[keep].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), batch.column("label")], ["bag", "label"])
-
-    known = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label"))
-    known = known.where(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id", "label").limit(limit)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("text", "label")
-    got = rows.mapInArrow(run, "bag binary, label int").collect()
-    order = sorted(got, key=lambda r: (bytes(r["bag"]), r["label"]))  # so that a fit doesn't hang on the order of tasks
-    return [np.frombuffer(r["bag"], "<f4").reshape(-1, FEATURES).astype(float) for r in order], np.array([r["label"] for r in order], float)
+                yield pa.RecordBatch.from_arrays([pa.array([bag.astype("<f4").tobytes()], pa.binary()), pa.array([len(bag)], pa.int64()), batch.column("label").slice(k, 1), batch.column("row").slice(k, 1)], ["bag", "size", "label", "row"])
+
+    known = labels.where(~held_out(F.col("doc_id").cast("long")))
+    rows = training_rows(docs, known, "quality", limit)
+    bags = stored(rows.mapInArrow(run, "bag binary, size long, label int, row string"), "training-bags")
+    sizes = bags.select("row", "label", "size").collect()  # at most ``limit`` narrow rows
+    taken, total = [], 0
+    for r in sorted(sizes, key=lambda r: (zlib.crc32(r["row"].encode()), r["row"], r["label"])):
+        if total + r["size"] <= passages:
+            taken.append((r["row"], r["label"]))
+            total += r["size"]
+    if len(taken) < len(sizes):
+        picked = docs.sparkSession.createDataFrame(taken, "r string, l int")
+        bags = bags.join(F.broadcast(picked), (F.col("row") == F.col("r")) & (F.col("label") == F.col("l")), "left_semi")
+    got = sorted(bags.select("row", "label", "bag").collect(), key=lambda r: (r["row"], r["label"]))  # so that a fit doesn't hang on the order of tasks
+    return [np.frombuffer(r["bag"], "<f4").reshape(-1, FEATURES).astype(float) for r in got], np.array([r["label"] for r in got], float)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
