@@ -3,23 +3,27 @@
 P(grade >= k) = sigmoid(w . x - c_k), with one weight vector for all grades and ordered thresholds
 c_1 <= ... <= c_K.  The expected severity is the sum of P(grade >= k) over k, from 0 to K.
 
-Labels tell toxic from clean; the grade of a toxic training document is 1 plus the number of
-``GRADES`` limits that its share of tell-tale words (per 100 words) reaches.  Features are the
-presence of words and of their beginnings (3 to 6 letters), as toxic words may be inflected, whether
-there is any, and the share of tell-tale words.  Those words and beginnings are kept that are toxic in
-at least half of their documents and whose log-likelihood ratio against the label reaches
-``LEAST_LLR`` and twice the logarithm of the number of candidates, in the training documents: at most
-``TRAIN_DOCUMENTS`` labelled ones, in the order of a hash of their ids.  Everything else covers whole
-texts of all documents.
+Labels tell toxic from clean.  The grade of a toxic training document comes from a scorer that hasn't seen
+it: training documents are dealt to two folds, each fold's documents are scored by how toxic their words are in the
+other fold's labels (log-odds, a mean over the text), and the toxic ones are cut into ``GRADES`` equal
+parts by that score.  Features are the presence of words and of their beginnings (3 to 6 letters), as
+toxic words may be inflected, whether there is any, and the share of tell-tale words.  Those words and
+beginnings are candidates that are in two toxic training documents at least; those are kept that are
+toxic in at least half of their documents and whose log-likelihood ratio against the label reaches
+``LEAST_LLR`` and twice the logarithm of the number of candidates, the ``MAX_FEATURES`` of the highest
+ratio if there are more: the width of the model.  It is fitted on at most ``TRAIN_DOCUMENTS`` labelled
+documents, in the order of a hash of their ids.  Everything else covers whole texts of all documents.
 
 A null, empty or wordless text has no features.  A null id has no label.  Repeated rows are graded
-each.  Without toxic or without clean labels every severity is 0.  An empty table gives an empty
-result.  Only doc_id and text are read from documents.
+each; for training, repeated rows of one id, text and label count once.  Without toxic or without clean
+labels every severity is 0.  An empty table gives an empty result.  Only doc_id and text are read from
+documents, so further columns of any name don't matter.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,32 +33,32 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.common import dropped, stored, training_rows
 from paperloom.llm.tokens import Memo
 
 TRAIN_DOCUMENTS = 20_000
 LEAST_LLR = 10.0
 MAX_FEATURES = 4096
-GRADES = (1.0, 4.0)
+#: Grades of toxic documents: 0 is clean, 1 to GRADES are toxic.
+GRADES = 3
 BEGINNINGS = range(3, 7)
 WORDS = re.compile(r"[^\W\d_]+")
 
 
 def features_of(word: str) -> tuple[str, ...]:
     """A word and its beginnings, as feature names."""
-    return (word[:64], *(word[:n] + "-" for n in BEGINNINGS if n <= len(word)))
+    return (word, *(word[:n] + "-" for n in BEGINNINGS if n <= len(word)))
 
 
-def likelihood_ratio(n: np.ndarray, bad: np.ndarray, docs: int, bad_docs: int) -> np.ndarray:
-    """Twice the log-likelihood ratio of features in ``n`` documents, ``bad`` of them toxic; negative if they tell of clean ones."""
+def log_likelihood_ratio(n: F.Column, bad: F.Column, docs: int, bad_docs: int) -> F.Column:
+    """Twice the log-likelihood ratio of a feature in ``n`` documents, ``bad`` of them toxic; negative if it tells of clean ones."""
 
-    def ll(k, of):
-        rate = np.clip(k / np.maximum(of, 1), 1e-12, 1 - 1e-12)
-        return k * np.log(rate) + (of - k) * np.log(1 - rate)
+    def ll(k: F.Column, of: F.Column) -> F.Column:
+        rate = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), k / F.greatest(of, F.lit(1))))
+        return k * F.log(rate) + (of - k) * F.log(1 - rate)
 
-    rest, rest_bad = docs - n, bad_docs - bad
-    whole = ll(bad_docs, docs)
-    value = 2 * (ll(bad, n) + ll(rest_bad, rest) - whole)
-    return np.where(bad * docs > bad_docs * n, value, -value)
+    value = 2 * (ll(bad, n) + ll(bad_docs - bad, docs - n) - ll(F.lit(bad_docs), F.lit(docs)))
+    return F.when(bad * docs > bad_docs * n, value).otherwise(-value)
 
 
 class Features:
@@ -130,57 +134,70 @@ class CumulativeLink:
         return 1 / (1 + np.exp(np.clip(self.c - eta[:, None], -60, 60)))
 
 
-def _training(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    known = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.orderBy(F.xxhash64("id"), "id", "toxic").limit(limit)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("text", "toxic")
+def fold_of(row: str) -> int:
+    """0 or 1, by a hash of a training document."""
+    return zlib.crc32(row.encode()) >> 7 & 1
+
+
+def grades(share: np.ndarray, fold: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """0 for clean documents; for toxic ones 1 to GRADES, in equal parts of each fold by the other fold's score."""
+    out = np.zeros(len(toxic), int)
+    for f in (0, 1):
+        here = np.flatnonzero((fold == f) & toxic)
+        cuts = np.quantile(share[here], np.arange(1, GRADES) / GRADES) if len(here) else np.zeros(GRADES - 1)
+        out[here] = 1 + np.searchsorted(cuts, share[here], "left")
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tuple[Features, CumulativeLink] | None:
     """The selected features and the fitted regression; None if the labels hold one class only."""
-    train = _training(docs, labels, limit)
+    train = training_rows(docs, labels, "toxic", limit)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter[str] = Counter()
-        bad: Counter[str] = Counter()
+        seen: Counter[tuple[int, int, str]] = Counter()
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            for text, toxic, row in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "row")), strict=True):
                 found = {x for w in set(WORDS.findall(text.lower()) if text else ()) for x in features_of(w)}
                 found.add("")  # counts documents
-                n.update(found)
-                if toxic:
-                    bad.update(found)
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([bad[x] for x in n], pa.int64())], ["feature", "n", "bad"])
-
-    counts = train.mapInArrow(count, "feature string, n long, bad long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    chosen = counts.where("bad >= 2 or feature = ''").orderBy(F.col("feature") != "", F.desc(F.col("bad") * F.col("bad") / F.col("n")), "feature").limit(8 * MAX_FEATURES).collect()
-    if not chosen or chosen[0]["feature"] != "":
+                key = fold_of(row), int(bool(toxic))
+                seen.update((*key, x) for x in found)
+        names: dict[str, list[int]] = {}
+        for (fold, toxic, x), k in seen.items():
+            names.setdefault(x, [0, 0, 0, 0])[2 * fold + toxic] += k
+        columns = [pa.array([c[k] for c in names.values()], pa.int64()) for k in range(4)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()), *columns], ["feature", "clean0", "bad0", "clean1", "bad1"])
+
+    parts = ("clean0", "bad0", "clean1", "bad1")
+    counts = train.mapInArrow(count, "feature string, clean0 long, bad0 long, clean1 long, bad1 long").groupBy("feature").agg(*(F.sum(c).alias(c) for c in parts))
+    counts = stored(counts.select("*", (F.col("bad0") + F.col("bad1")).alias("bad"), (F.col("clean0") + F.col("bad0") + F.col("clean1") + F.col("bad1")).alias("n")), "toxicity-counts")
+    whole = counts.where("feature = ''").first()
+    if whole is None or not 0 < whole["bad"] < whole["n"]:
         return None
-    docs_n, bad_n = chosen[0]["n"], chosen[0]["bad"]
-    if not 0 < bad_n < docs_n or len(chosen) < 2:
-        return None
-    names = np.array([r["feature"] for r in chosen[1:]])
-    n, bad = (np.array([r[k] for r in chosen[1:]], float) for k in ("n", "bad"))
-    value = likelihood_ratio(n, bad, docs_n, bad_n)
-    order = np.lexsort((names, -value))
+    candidates = counts.where("bad >= 2 and feature <> ''")
+    ratio = log_likelihood_ratio(F.col("n"), F.col("bad"), whole["n"], whole["bad"])
     # Of so many candidates some stand out by chance: the bar rises with their number.
-    bar = max(LEAST_LLR, 2 * np.log(len(names)))
-    order = order[(value[order] >= bar) & (2 * bad[order] >= n[order])][:MAX_FEATURES]
-    if not len(order):
+    bar = max(LEAST_LLR, 2 * float(np.log(max(1, candidates.count()))))
+    found = candidates.withColumn("ratio", ratio).where((F.col("ratio") >= bar) & (2 * F.col("bad") >= F.col("n"))).orderBy(F.desc("ratio"), "feature").limit(MAX_FEATURES).collect()
+    if not found:
         return None
-    telling = set(names[order][bad[order] >= 0.8 * n[order]].tolist())
-    features = Features(names[order].tolist(), telling)
+    # How toxic a feature is by the labels of one fold alone.
+    odds = {r["feature"]: tuple(max(0.0, float(np.log((r[f"bad{f}"] + 0.5) / (whole[f"bad{f}"] + 1)) - np.log((r[f"clean{f}"] + 0.5) / (whole[f"clean{f}"] + 1)))) for f in (0, 1)) for r in found}
+    features = Features([r["feature"] for r in found], {r["feature"] for r in found if r["bad"] >= 0.8 * r["n"]})
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.list_(pa.int32())), pa.array([s for _, s in rows]), batch.column("toxic")], ["x", "share", "toxic"])
-
-    got = sorted((tuple(r) for r in train.mapInArrow(vectors, "x array<int>, share double, toxic int").collect()), key=lambda r: (r[1], r[0], r[2]))
-    rows = [(list(x), s) for x, s, _ in got]
-    grade = np.array([(1 + sum(s >= g for g in GRADES)) if toxic else 0 for _, s, toxic in got])
-    return features, CumulativeLink(len(features.place), 1 + len(GRADES)).fit(rows, grade)
+            out = []
+            for text, row in zip(batch.column("text").to_pylist(), batch.column("row").to_pylist(), strict=True):
+                words, fold = WORDS.findall(text.lower()) if text else [], fold_of(row)
+                score = sum(max((odds[x][1 - fold] for x in features_of(w) if x in odds), default=0.0) for w in words) / max(1, len(words))
+                out.append((*features(text), fold, score))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, *_ in out], pa.list_(pa.int32())), *(pa.array([r[k] for r in out]) for k in (1, 2, 3)), batch.column("label")], ["x", "share", "fold", "score", "label"])
+
+    got = sorted((tuple(r) for r in train.mapInArrow(vectors, "x array<int>, share double, fold long, score double, label int").collect()), key=lambda r: (r[1:], r[0]))
+    dropped(docs.sparkSession, train, counts)
+    _, _, fold, score, toxic = zip(*got, strict=True)
+    grade = grades(np.array(score), np.array(fold), np.array(toxic, bool))
+    return features, CumulativeLink(len(features.place), GRADES).fit([(list(x), share) for x, share, *_ in got], grade)
 
 
 def grade_documents(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> DataFrame:
