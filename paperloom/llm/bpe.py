@@ -44,10 +44,11 @@ class RankBpe:
         self.ranks = {(as_bytes[a], as_bytes[b]): k for k, (a, b) in enumerate(pairs)}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.firsts = {token[0] for token in self.special if token}
         self.bytes_of = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.split = regex.compile(BYTE_PATTERN).findall
         self.words = Memo(self._word, MEMO_ENTRIES // 10)
-        self.whole = SpaceLed(self._word, self._piece)
+        self.whole = self._piece if any(x.isspace() for token in self.special for x in token) else SpaceLed(self._word, self._piece)
 
     def merge_short(self, word: bytes) -> list[int]:
         """The ids of a word by scans over its rank array."""
@@ -99,7 +100,7 @@ class RankBpe:
         return np.array((self.merge_short if len(raw) <= SHORT else self.merge_long)(raw), dtype="<u4").tobytes()
 
     def _piece(self, text: str) -> bytes:
-        if self.cut is None or "<" not in text:
+        if self.cut is None or not any(x in text for x in self.firsts):
             return b"".join(map(self.words.__getitem__, self.split(text)))
         out = []
         for k, part in enumerate(self.cut.split(text)):
