@@ -12,10 +12,14 @@ stream's end is cut at powers of two, so that no sequence needs padding.
 Targets default to the sources' own shares, which empty all queues together; with other targets, an
 emptied queue's share goes to the rest in proportion.
 
-The order in a queue is that of the scan.  A null text counts as empty (a document of its end id
-alone), a null source is a queue of its own, repeated rows and ids are packed each on its own, and an
-empty table gives no pieces.  At most ``MAX_QUEUES`` queues are kept apart; the smallest further
-sources share the last one, with no document left out.
+The order in a queue is that of the scan.  The schedule is a table of ``MAX_QUEUES`` queues at most: the
+sources that ``targets`` names and the largest ones have a queue each, all further ones share the last.
+In that one documents lie in the order of how far they are in their own source, so that it holds its
+sources' proportions all along too, to within a document of each; no source is left out or limited.
+
+A null text counts as empty (a document of its end id alone), a null source is a queue of its own,
+repeated rows and ids are packed each on its own, very long texts are cut over sequences like any other,
+further columns of any name are not read, and an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ SEQUENCE = 1024
 #: Sequences in a window: the mixture is held over each such run.
 WINDOW = 64
 MAX_QUEUES = 4096
+#: Numbers of a worker's memo of windows, two for each queue of a window.
+MEMO_NUMBERS = 1 << 20
 
 
 class Mixture:
@@ -59,6 +65,7 @@ class Mixture:
                 self.rate.append(self.rate[-1])
             self.rate[-1] -= w
         self.known: dict[int, tuple[list[int], list[int], int]] = {}
+        self.last: dict[int, int] = {}  # by queue: the window found last, where the next document often is too
 
     def _whole(self, w: int) -> list[int]:
         """Whole tokens that each queue has been served before window w."""
@@ -77,7 +84,7 @@ class Mixture:
             here, after = self._whole(w), self._whole(w + 1)
             begin = sum(here)
             places = (begin + np.concatenate([[0], np.cumsum(np.subtract(after, here))[:-1]])).tolist() if here else []
-            if len(self.known) > 4096:
+            if len(self.known) * (len(self.sizes) + 1) > MEMO_NUMBERS:
                 self.known.clear()
             self.known[w] = (here, places, begin)
         return self.known[w]
@@ -85,18 +92,19 @@ class Mixture:
     def window_of(self, queue: int, token: int) -> int:
         """The window that serves a queue's token."""
         low, high = 0, -(-self.total // self.window)
-        guess = token * self.total // max(1, self.sizes[queue]) // self.window
-        for step in (0, 1, 2):  # with the sources' own shares it is here or next to it
-            if low < guess - step and self.at(guess - step)[0][queue] > token:
-                high = min(high, guess - step)
-            elif self.at(max(0, guess - step))[0][queue] <= token:
-                low = max(low, guess - step)
-                break
-        if self.at(guess + 1)[0][queue] > token:
-            high = min(high, guess + 1)
+        near = self.last.get(queue, token * self.total // max(1, self.sizes[queue]) // self.window)
+        for guess in (near, near + 1, near - 1):
+            if low <= guess < high:
+                if self.at(guess)[0][queue] > token:
+                    high = guess
+                elif self.at(guess + 1)[0][queue] > token:
+                    low = high = guess
+                else:
+                    low = guess + 1
         while high - low > 1:
             mid = (low + high) // 2
             low, high = (mid, high) if self.at(mid)[0][queue] <= token else (low, mid)
+        self.last[queue] = low
         return low
 
     def pieces(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int]]:
@@ -151,29 +159,69 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(run, "task long, doc_id long, source string, n long, local long, ids binary")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, targets: Mapping[str | None, int] | None = None) -> DataFrame:
+def tempered(sizes: Mapping[str | None, int], power: float) -> dict[str | None, int]:
+    """Targets by size ** power: under 1, small sources get more than their share while they last."""
+    top = max(sizes.values(), default=1)
+    return {k: max(1, round(1_000_000 * (n / top) ** power)) for k, n in sizes.items()}
+
+
+def in_shared_order(rest: DataFrame, partitions: int) -> DataFrame:
+    """(in_task, of, at_local, base): where each document of the shared queue begins in it.
+
+    ``rest``: task, source, local (its place in the source within the task), base (the source's tokens before the
+    task), n, size (the source's tokens).  The order is by how much of its source lies before a document's
+    middle; sums go by ranges of that order, over one row for each range.
+    """
+    mark = (F.col("base") + F.col("local") + F.col("n") / 2) / F.col("size")
+    ranged = rest.select("task", "source", "local", "n", mark.alias("mark")).repartitionByRange(partitions, "mark", F.xxhash64("source"), "task", "local")
+    ranged = stored(ranged.withColumn("range", F.spark_partition_id()), "packing-ranges")
+    sums = ranged.groupBy("range").agg(F.sum("n").alias("tokens"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col("range").alias("in_range"), F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("first"))
+    within = Window.partitionBy("range").orderBy("mark", F.xxhash64("source"), "source", "task", "local").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0))).join(F.broadcast(starts), F.col("range") == F.col("in_range"))
+    return placed.select(F.col("task").alias("in_task"), F.col("source").alias("of"), F.col("local").alias("at_local"), (F.col("first") + F.col("before")).alias("base"))
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, targets: Mapping[str | None, int] | None = None, power: float | None = None, max_queues: int = MAX_QUEUES) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, window.
 
     ``targets``: integer weights of sources; a source that isn't named is served after those that are.
+    ``power`` gives targets instead: each queue's tokens to that power.
     """
-    width_of = tokenizer
+    width_of, spark, targets = tokenizer, docs.sparkSession, None if targets is None else dict(targets)
     ids = stored(encoded(docs, tokenizer, end_id), "packing-ids")
     by_task = stored(ids.groupBy("task", "source").agg(F.sum("n").alias("n")), "packing-sums")
-    by_source = by_task.groupBy("source").agg(F.sum("n").alias("n"))
+    by_source = stored(by_task.groupBy("source").agg(F.sum("n").alias("n")), "packing-sources")
     #: The mixture's table: a bounded number of rows.
-    named = [(r["source"], r["n"]) for r in by_source.orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()]
+    asked = F.col("source").isin([k for k in targets if k is not None]) if targets else F.lit(False)
+    if targets and None in targets:
+        asked = asked | F.col("source").isNull()
+    asked = F.coalesce(asked, F.lit(False))
+    largest = by_source.where(~asked).orderBy(F.desc("n"), "source").limit(max(0, max_queues - 1 - len(targets or ())))
+    named = sorted(((r["source"], r["n"]) for r in by_source.where(asked).union(largest).collect()), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))
     total = by_source.agg(F.sum("n")).first()[0] or 0
     other = total - sum(n for _, n in named)
-    queue_of = {source: k for k, (source, _) in enumerate(named)}
     sizes = [n for _, n in named] + ([other] if other else [])
-    weights = None if targets is None else [int(targets.get(source, 0)) for source, _ in named] + ([0] if other else [])
-    spark = docs.sparkSession
-    queues = spark.createDataFrame([(s, k) for s, k in queue_of.items()], "source string, queue int")
-    numbered = by_task.join(F.broadcast(queues), by_task["source"].eqNullSafe(queues["source"]), "left").select("task", by_task["source"], "n", F.coalesce("queue", F.lit(len(named))).alias("queue"))
-    before = Window.partitionBy("queue").orderBy("task", "source").rowsBetween(Window.unboundedPreceding, -1)
-    bases = numbered.select("task", F.col("source").alias("of"), "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    bases = small_side(stored(bases.withColumnRenamed("task", "in_task"), "packing-bases"))
-    placed = ids.join(bases, (F.col("task") == F.col("in_task")) & F.col("source").eqNullSafe(F.col("of")))
+    if power is not None:
+        weights = list(tempered(dict(enumerate(sizes)), power).values())
+    else:
+        weights = None if targets is None else [int(targets.get(source, 0)) for source, _ in named] + ([0] if other else [])
+    queues = spark.createDataFrame([(s, k) for k, (s, _) in enumerate(named)], "source string, queue int")
+    known = by_task.join(F.broadcast(queues), by_task["source"].eqNullSafe(queues["source"]), "left").select("task", by_task["source"], "n", "queue")
+    before = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(known.select(F.col("task").alias("in_task"), F.col("source").alias("of"), "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "packing-bases")
+    here = (F.col("task") == F.col("in_task")) & F.col("source").eqNullSafe(F.col("of"))
+    columns = ("doc_id", "source", "queue", "base", "local", "n", "ids")
+    placed = ids.join(small_side(bases.where("queue is not null")), here).select(*columns)
+    if other:
+        own = bases.where("queue is null").drop("queue")
+        rest = ids.drop("ids").join(small_side(own), here).drop("in_task", "of")
+        whole = by_source.select(F.col("source").alias("of"), F.col("n").alias("size"))
+        order = in_shared_order(rest.join(whole, F.col("source").eqNullSafe(F.col("of"))).drop("of"), max(1, min(2000, -(-other // 10_000_000))))
+        at = here & (F.col("local") == F.col("at_local"))
+        # ``base`` is the place itself here, so nothing is added to it.
+        placed = placed.union(ids.join(order, at).select("doc_id", "source", F.lit(len(named)).alias("queue"), "base", F.lit(0).cast("long").alias("local"), "n", "ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixture, dtype = Mixture(sizes, weights), encoder(width_of).dtype
@@ -191,4 +239,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, targets: Mapping[str
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "source" else pa.int64()) for k, c in zip(names, out, strict=True)], names)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, window long"
-    return placed.select("doc_id", "source", "queue", "base", "local", "n", "ids").mapInArrow(run, schema)
+    return placed.mapInArrow(run, schema)

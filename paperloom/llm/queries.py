@@ -60,7 +60,8 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    """Targets by temperature: each source's tokens to the power of 0.7."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0, power=0.7)
 
 
 QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing)}

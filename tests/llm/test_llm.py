@@ -175,6 +175,56 @@ def test_mixture_is_a_schedule(sizes, how, r):
                 assert abs(m.at(w + 1)[0][q] - (w + 1) * 700 * size / m.total) < 1
 
 
+@pytest.mark.parametrize("how", ["own shares", "targets", "power", "few queues"])
+def test_op10_pieces_and_mixture(spark, how):
+    """The pieces of each document partition its ids; windows hold the target mixture while sources last, and sources without a queue of their own their proportions."""
+    r = random.Random(11)
+    sources = [None, "a", "b", "c", *(f"z{i}" for i in range(12))]
+    rows, tokens = [], Counter()
+    library = Tokenizer.from_file(BYTE)
+    for i in range(500):
+        source = sources[i % 4] if i % 3 else sources[4 + i // 3 % 12]
+        text = " ".join(r.choices("alpha beta gamma delta epsilon".split(), k=r.randint(0, 1500)))
+        rows.append((i, text, "en", source, 0))
+        tokens[source] += len(library.encode(text, add_special_tokens=False).ids) + 1
+    table = spark.createDataFrame(rows, DOCS).repartition(5)
+    targets = {"a": 3, None: 1, "z5": 1}
+    options = {"own shares": {}, "targets": {"targets": targets, "max_queues": 8}, "power": {"power": 0.5}, "few queues": {"max_queues": 4}}[how]
+    pieces = packing.pack(table, BYTE, **options).collect()
+    of = {}
+    for p in pieces:
+        of.setdefault(p["doc_id"], []).append((p["start"], p["length"], p["doc_tokens"]))
+    assert set(of) == set(range(500))
+    for runs in of.values():
+        at = 0
+        for start, length, _ in sorted(runs):
+            assert start == at and length > 0
+            at += length
+        assert at == runs[0][2]
+    size, window = sum(tokens.values()), packing.WINDOW * packing.SEQUENCE
+    assert sum(p["length"] for p in pieces) == size
+    served = Counter()
+    for p in pieces:
+        served[p["window"], p["source"]] += p["length"]
+    if how == "targets":
+        first = {s: served[0, s] for s in sources}
+        dry = [s for s in targets if first[s] == tokens[s]]
+        fit = [s for s in targets if s not in dry]
+        for x in fit:
+            for y in fit:
+                assert abs(first[x] / targets[x] - first[y] / targets[y]) <= len(sources)
+    elif how == "own shares":
+        # a window's place in the stream is off by less than a token a queue
+        assert all(abs(served[0, s] - window * n / size) <= len(sources) for s, n in tokens.items())
+    elif how == "power":
+        weights = {s: n**0.5 for s, n in tokens.items()}
+        going = [s for s in tokens if served[0, s] < tokens[s]]
+        rates = [served[0, s] / weights[s] for s in going]
+        assert max(rates) - min(rates) < 0.02 * max(rates)
+    else:  # at least ten sources share a queue: each is served to within a document of its share
+        assert all(abs(served[0, s] - window * n / size) < 2000 for s, n in tokens.items())
+
+
 # --- SimHash -----------------------------------------------------------------------------------
 
 
