@@ -39,7 +39,7 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balltree.top_k(table(spark, sf_dir, "embeddings"))
+    return balltree.top_k(table(spark, sf_dir, "embeddings")).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

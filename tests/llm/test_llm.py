@@ -387,25 +387,69 @@ def test_op4_is_native(spark, sf_dir):
 # --- search ------------------------------------------------------------------------------------
 
 
-def test_op5(spark):
+def brute_top_k(rows, k=5):
+    """Each query (id and vector) with its best (score, id) in order."""
+    good = [(i, tuple(int(np.floor(256 * float(x))) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = Counter()
+    for q, v in {x for x in good if x[0] % 50 == 0}:
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in good if i != q and len(w) == len(v))[:k]
+        if best:
+            want[q, tuple((-s, i) for s, i in best)] += 1
+    return want
+
+
+def got_top_k(df):
+    by = {}
+    for x in df.collect():
+        by.setdefault((x["query"], x["query_id"]), {})[x["rank"]] = (x["score"], x["vec_id"])
+    assert all(sorted(b) == list(range(1, len(b) + 1)) for b in by.values())
+    return Counter((q, tuple(b[r] for r in sorted(b))) for (_, q), b in by.items())
+
+
+@pytest.mark.parametrize("sizes", [{}, {"shard_rows": 40}, {"shard_rows": 60, "part_rows": 25, "block_rows": 3}])
+def test_op5(spark, sizes):
+    """Odd rows, repeated ids with different and equal vectors, ties, and a third of all rows equal."""
     r = np.random.default_rng(2)
-    rows = [(i, [float(x) for x in r.normal(size=8).astype(np.float32)]) for i in range(700)]
-    rows += [(700, None), (750, [None] * 8), (800, [float("nan")] * 8), (850, [float("inf")] * 8), (900, [1.0, 2.0]), (950, [1.0, 1.0]), (100, rows[3][1]), (None, rows[4][1]), (1000, [])]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as score", "2 as shard")
-    good = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    want = set()
-    for q, v in good:
-        if q % 50 == 0:
-            best = sorted((-int(v @ w), i) for i, w in good if i != q and len(w) == len(v))
-            want.add((q, tuple((s, i) for s, i in best)[:5]))
-    got = {}
-    for x in balltree.top_k(table, shard_rows=100).collect():
-        got.setdefault(x["query_id"], {})[x["rank"]] = (-x["score"], x["vec_id"])
-    firsts = {q: best for q, best in want if q != 100}
-    assert {q: tuple(b[k] for k in sorted(b)) for q, b in got.items() if q != 100} == {q: b for q, b in firsts.items() if b}
+    centres = 3 * r.normal(size=(6, 8))
+    rows = [(i, [float(x) for x in (centres[i % 6] + r.normal(size=8)).astype(np.float32)]) for i in range(700)]
+    rows += [(1000 + i, rows[11][1]) for i in range(350)]
+    rows += [(700, None), (750, [None] * 8), (800, [float("nan")] * 8), (850, [float("inf")] * 8), (900, [1.0, 2.0]), (950, [1.0, 1.0]), (100, rows[3][1]), (100, rows[100][1]), (None, rows[4][1]), (1400, []), (1450, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as score", "2 as shard", "3 as query", "4 as to")
+    assert got_top_k(balltree.top_k(table, **sizes)) == brute_top_k(rows)
     assert balltree.top_k(table.limit(0)).count() == 0
 
 
+def test_op5_large_integers(spark):
+    """Scores beyond 2^53 stay exact."""
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in r.integers(-(10**6), 10**6, 4)]) for i in range(120)]
+    assert got_top_k(balltree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))) == brute_top_k(rows)
+    tree = balltree.BallTree(np.arange(300), r.integers(-(10**8), 10**8, (300, 4)), leaf=10)
+    assert (10**8) ** 2 * 4 > balltree.EXACT
+    q = r.integers(-(10**8), 10**8, (5, 4))
+    there, scores, ids = tree.search(np.full(5, -1), q, np.full(5, -np.inf), 3)
+    every = q @ tree.points.T
+    assert there.all() and all(scores[i].tolist() == sorted(every[i].tolist())[:-4:-1] for i in range(5))
+
+
+def test_op5_prunes():
+    """Leaves whose bound lies below the kth score aren't scored: with clusters most are left out."""
+    r = np.random.default_rng(5)
+    points = np.concatenate([1000 * r.normal(size=(1, 16)) + 5 * r.normal(size=(500, 16)) for _ in range(20)]).astype(np.int64)
+    tree, scored = balltree.BallTree(np.arange(len(points)), points, leaf=50), [0]
+
+    class Counting(np.ndarray):
+        def __getitem__(self, k):
+            if isinstance(k, slice):
+                scored[0] += 1
+            return np.asarray(self)[k]
+
+    tree.ids = tree.ids.view(Counting)
+    there, scores, _ = tree.search(np.full(4, -1), points[:4], np.full(4, -np.inf), 5)
+    assert (scores == np.sort(points[:4] @ points.T, axis=1)[:, :-6:-1]).all() and there.all()
+    assert 0 < scored[0] < len(tree.spans) / 3
+
+
 # --- pages -------------------------------------------------------------------------------------
 
 
