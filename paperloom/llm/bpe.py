@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from paperloom.llm.common import lean
 from paperloom.llm.tokens import BYTE_PATTERN, MEMO_ENTRIES, Memo, SpaceLed, byte_letters
 
 SHORT = 128
@@ -134,7 +135,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
             ids = [bpe.encode(x).astype(np.int32) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -147,7 +148,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
             texts = [bpe.decode(x or []) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(lean(run), f"doc_id {kind}, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
@@ -165,4 +166,4 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
                 text_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

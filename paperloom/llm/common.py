@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +70,29 @@ def _folder(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = 500):
+    """``run`` over slices of at most ``rows`` rows, so that few texts are Python objects at once; its worker gives its memory back at the end."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batch.slice(at, rows) for batch in batches for at in range(0, max(1, batch.num_rows), rows))
+        finally:
+            released()
+
+    return wrapped
+
+
+def released() -> None:
+    """Gives free memory of this process back to the machine, as workers are kept for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not with this C library
+        pass
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has been counted and is at most ``limit`` rows, else as it is."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

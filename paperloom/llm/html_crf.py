@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.common import lean
 from paperloom.llm.html_blocks import Block, Node, blocks_of
 from paperloom.llm.labelled_pages import MARK, Pages
 
@@ -218,4 +219,4 @@ def extract(pages: DataFrame, model: Crf | None = None) -> DataFrame:
             )
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long, n_blocks long, n_main long")
+    return rows.mapInArrow(lean(run), "page_id long, url string, text string, n_chars long, n_blocks long, n_main long")

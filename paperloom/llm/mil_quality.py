@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import stored, training_rows
+from paperloom.llm.common import lean, stored, training_rows
 from paperloom.llm.tokens import Memo
 
 TRAIN_DOCUMENTS = 6000
@@ -177,7 +177,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMEN
 
     known = labels.where(~held_out(F.col("doc_id").cast("long")))
     rows = training_rows(docs, known, "quality", limit)
-    bags = stored(rows.mapInArrow(run, "bag binary, size long, label int, row string"), "training-bags")
+    bags = stored(rows.mapInArrow(lean(run), "bag binary, size long, label int, row string"), "training-bags")
     sizes = bags.select("row", "label", "size").collect()  # at most ``limit`` narrow rows
     taken, total = [], 0
     for r in sorted(sizes, key=lambda r: (zlib.crc32(r["row"].encode()), r["row"], r["label"])):
@@ -210,5 +210,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores), pa.array(sizes, pa.int64()), pa.array(attention)], ["doc_id", "score", "passages", "attention"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(run, "doc_id long, score double, passages long, attention double")
+    scored = rows.mapInArrow(lean(run), "doc_id long, score double, passages long, attention double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "passages", "attention")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import small_side, stored
+from paperloom.llm.common import lean, small_side, stored
 from paperloom.llm.tokens import encoder
 
 SEQUENCE = 1024
@@ -146,17 +146,15 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         enc, so_far, task = encoder(tokenizer), {}, TaskContext.get().partitionId()
         end = end_id.to_bytes(enc.width, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [enc.ids(x) + end for x in part.column("text").to_pylist()]
-                counts, local = [len(x) // enc.width for x in ids], []
-                for source, n in zip(part.column("source").to_pylist(), counts, strict=True):
-                    local.append(so_far.get(source, 0))
-                    so_far[source] = local[-1] + n
-                yield pa.RecordBatch.from_arrays([pa.array([task] * part.num_rows, pa.int64()), part.column("doc_id"), part.column("source"), pa.array(counts, pa.int64()), pa.array(local, pa.int64()), pa.array(ids, pa.binary())], ["task", "doc_id", "source", "n", "local", "ids"])
+            ids = [enc.ids(x) + end for x in batch.column("text").to_pylist()]
+            counts, local = [len(x) // enc.width for x in ids], []
+            for source, n in zip(batch.column("source").to_pylist(), counts, strict=True):
+                local.append(so_far.get(source, 0))
+                so_far[source] = local[-1] + n
+            yield pa.RecordBatch.from_arrays([pa.array([task] * batch.num_rows, pa.int64()), batch.column("doc_id"), batch.column("source"), pa.array(counts, pa.int64()), pa.array(local, pa.int64()), pa.array(ids, pa.binary())], ["task", "doc_id", "source", "n", "local", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "task long, doc_id long, source string, n long, local long, ids binary")
+    return rows.mapInArrow(lean(run), "task long, doc_id long, source string, n long, local long, ids binary")
 
 
 def tempered(sizes: Mapping[str | None, int], power: float) -> dict[str | None, int]:
@@ -226,17 +224,16 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, targets: Mapping[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixture, dtype = Mixture(sizes, weights), encoder(width_of).dtype
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                out: list[list] = [[] for _ in range(9)]
-                for row in batch.slice(at, 500).to_pylist():
-                    raw = memoryview(np.frombuffer(row["ids"], dtype).astype("<u4").tobytes())
-                    for start, length, place in mixture.pieces(row["queue"], row["base"] + row["local"], row["n"]):
-                        for n, sequence, offset in cuts(place, length, total):
-                            for column, x in zip(out, (row["doc_id"], start, n, zlib.crc32(raw[4 * start : 4 * (start + n)]), row["n"], sequence, offset, row["source"], place // mixture.window), strict=True):
-                                column.append(x)
-                            start, place = start + n, place + n
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "window"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "source" else pa.int64()) for k, c in zip(names, out, strict=True)], names)
+            out: list[list] = [[] for _ in range(9)]
+            for row in batch.to_pylist():
+                raw = memoryview(np.frombuffer(row["ids"], dtype).astype("<u4").tobytes())
+                for start, length, place in mixture.pieces(row["queue"], row["base"] + row["local"], row["n"]):
+                    for n, sequence, offset in cuts(place, length, total):
+                        for column, x in zip(out, (row["doc_id"], start, n, zlib.crc32(raw[4 * start : 4 * (start + n)]), row["n"], sequence, offset, row["source"], place // mixture.window), strict=True):
+                            column.append(x)
+                        start, place = start + n, place + n
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "window"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "source" else pa.int64()) for k, c in zip(names, out, strict=True)], names)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, window long"
-    return placed.mapInArrow(run, schema)
+    return placed.mapInArrow(lean(run), schema)

@@ -43,14 +43,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import small_side, stored
+from paperloom.llm.common import lean, small_side, stored
 from paperloom.llm.components import components
 
 SEED = 42
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 #: Pairs compared at once.
-PAIRS = 1 << 21
+PAIRS = 1 << 20
 #: Rows of one kind that an anchor may have before it is dealt to more tasks; the share of fingerprints it is told by.
 HOT, SAMPLE = 1 << 15, 16
 #: Distinct fingerprints beyond which ``CONTRACT`` takes the finer code.
@@ -164,7 +164,7 @@ def fingerprints(docs: DataFrame, cover: Cover = CONTRACT, carry: str | None = N
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(fps[:, k]) for k in range(cover.words)), *map(batch.column, more)], ["doc_id", *cover.names, *more])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
-    return rows.mapInArrow(run, ", ".join(["doc_id long", *(f"{c} long" for c in cover.names), *(f"{c} string" for c in more)]))
+    return rows.mapInArrow(lean(run), ", ".join(["doc_id long", *(f"{c} long" for c in cover.names), *(f"{c} string" for c in more)]))
 
 
 def anchors(fps: np.ndarray, cover: Cover, view: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,7 +229,7 @@ def replicas(distinct: DataFrame, cover: Cover) -> DataFrame:
                     sent = fps[row[keep]]
                     yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(np.where(excess[keep] > 0, 2, 0).astype(np.int32)), *(pa.array(np.ascontiguousarray(sent[:, k])) for k in range(cover.words))], ["anchor", "code", *cover.names])
 
-    return distinct.select(*cover.names).mapInArrow(run, ", ".join(["anchor long", "code int", *(f"{c} long" for c in cover.names)]))
+    return distinct.select(*cover.names).mapInArrow(lean(run, 4096), ", ".join(["anchor long", "code int", *(f"{c} long" for c in cover.names)]))
 
 
 def dealt(distinct: DataFrame, cover: Cover, hot: int = HOT, sample: int = SAMPLE) -> DataFrame:
@@ -300,7 +300,7 @@ def links(distinct: DataFrame, cover: Cover = CONTRACT, hot: int = HOT, sample:
 
     rows = dealt(distinct, cover, hot, sample)
     by_anchor = rows.repartition(F.col("anchor"), F.shiftright("code", 2)).sortWithinPartitions("anchor", "code")
-    return by_anchor.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return by_anchor.mapInArrow(lean(run, 1 << 16), ", ".join(f"{c} long" for c in names))
 
 
 def rooted(distinct: DataFrame, cover: Cover = CONTRACT) -> DataFrame:

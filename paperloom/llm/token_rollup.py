@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import small_side
+from paperloom.llm.common import lean, small_side
 from paperloom.llm.tokens import encoder
 
 KEYS = ("source", "lang", "version")
@@ -50,7 +50,7 @@ def counted(docs: DataFrame, tokenizer: str, version: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], ["doc_id", "source", "lang", "h", "version", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("source", "lang", "text")))
-    return rows.withColumn("h", F.unhex(F.sha2("text", 256))).mapInArrow(run, COUNTS)
+    return rows.withColumn("h", F.unhex(F.sha2("text", 256))).mapInArrow(lean(run), COUNTS)
 
 
 def inserts(counts: DataFrame) -> DataFrame:

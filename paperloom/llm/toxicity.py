@@ -33,7 +33,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import dropped, stored, training_rows
+from paperloom.llm.common import dropped, lean, stored, training_rows
 from paperloom.llm.tokens import Memo
 
 TRAIN_DOCUMENTS = 20_000
@@ -41,6 +41,8 @@ LEAST_LLR = 10.0
 MAX_FEATURES = 4096
 #: Grades of toxic documents: 0 is clean, 1 to GRADES are toxic.
 GRADES = 3
+#: Counts that a worker holds at once; more are added up by Spark.
+HELD_COUNTS = 200_000
 BEGINNINGS = range(3, 7)
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -67,7 +69,7 @@ class Features:
     def __init__(self, names: list[str], telling: set[str]):
         self.place = {x: i for i, x in enumerate(names)}
         self.telling = telling
-        self.memo = Memo(self._word, 200_000)
+        self.memo = Memo(self._word, 100_000)
 
     def _word(self, word: str) -> tuple[frozenset[int], bool] | None:
         names = features_of(word)
@@ -154,21 +156,25 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tup
     train = training_rows(docs, labels, "toxic", limit)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[tuple[int, int, str]] = Counter()
+        seen = [Counter() for _ in range(4)]  # by fold and label
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for k, part in enumerate(seen):
+                n = [pa.array(list(part.values()), pa.int64()) if j == k else pa.array([0] * len(part), pa.int64()) for j in range(4)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.string()), *n], ["feature", "clean0", "bad0", "clean1", "bad1"])
+                part.clear()
+
         for batch in batches:
             for text, toxic, row in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "row")), strict=True):
                 found = {x for w in set(WORDS.findall(text.lower()) if text else ()) for x in features_of(w)}
                 found.add("")  # counts documents
-                key = fold_of(row), int(bool(toxic))
-                seen.update((*key, x) for x in found)
-        names: dict[str, list[int]] = {}
-        for (fold, toxic, x), k in seen.items():
-            names.setdefault(x, [0, 0, 0, 0])[2 * fold + toxic] += k
-        columns = [pa.array([c[k] for c in names.values()], pa.int64()) for k in range(4)]
-        yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()), *columns], ["feature", "clean0", "bad0", "clean1", "bad1"])
+                seen[2 * fold_of(row) + bool(toxic)].update(found)
+            if sum(map(len, seen)) > HELD_COUNTS:
+                yield from counted()
+        yield from counted()
 
     parts = ("clean0", "bad0", "clean1", "bad1")
-    counts = train.mapInArrow(count, "feature string, clean0 long, bad0 long, clean1 long, bad1 long").groupBy("feature").agg(*(F.sum(c).alias(c) for c in parts))
+    counts = train.mapInArrow(lean(count), "feature string, clean0 long, bad0 long, clean1 long, bad1 long").groupBy("feature").agg(*(F.sum(c).alias(c) for c in parts))
     counts = stored(counts.select("*", (F.col("bad0") + F.col("bad1")).alias("bad"), (F.col("clean0") + F.col("bad0") + F.col("clean1") + F.col("bad1")).alias("n")), "toxicity-counts")
     whole = counts.where("feature = ''").first()
     if whole is None or not 0 < whole["bad"] < whole["n"]:
@@ -193,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tup
                 out.append((*features(text), fold, score))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, *_ in out], pa.list_(pa.int32())), *(pa.array([r[k] for r in out]) for k in (1, 2, 3)), batch.column("label")], ["x", "share", "fold", "score", "label"])
 
-    got = sorted((tuple(r) for r in train.mapInArrow(vectors, "x array<int>, share double, fold long, score double, label int").collect()), key=lambda r: (r[1:], r[0]))
+    got = sorted((tuple(r) for r in train.mapInArrow(lean(vectors), "x array<int>, share double, fold long, score double, label int").collect()), key=lambda r: (r[1:], r[0]))
     dropped(docs.sparkSession, train, counts)
     _, _, fold, score, toxic = zip(*got, strict=True)
     grade = grades(np.array(score), np.array(fold), np.array(toxic, bool))
@@ -204,7 +210,7 @@ def grade_documents(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUM
     """doc_id, severity (expected grade), grade (the likeliest), p_toxic = P(grade >= 1), toxic (p_toxic >= 0.5)."""
     run = _scorer(fit(docs, labels, limit))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
+    return rows.mapInArrow(lean(run), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
 
 
 def _scorer(model: tuple[Features, CumulativeLink] | None):
@@ -232,4 +238,4 @@ def clean(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> D
             (got,) = score([rows])
             yield batch.filter(pa.compute.invert(got.column("toxic")))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
