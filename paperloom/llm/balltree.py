@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import small_side, stored
+from paperloom.llm.common import lean, small_side, stored
 
 #: Vectors of a leaf, of a shard (as long as there are fewer than ``CENTRES`` shards), and of a task's part of a
 #: shard; queries of a task, and those searched at once.
@@ -179,7 +179,7 @@ def sharded(rows: DataFrame, length: int, centres: np.ndarray) -> DataFrame:
                     off[same[at : at + TURN]] = np.sqrt(((part - centres[near]) ** 2).sum(1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard), pa.array(off)], [*batch.schema.names, "shard", "off"])
 
-    return rows.mapInArrow(run, "vec_id long, v array<long>, length int, shard int, off double")
+    return rows.mapInArrow(lean(run, 4096), "vec_id long, v array<long>, length int, shard int, off double")
 
 
 def visits(asked: DataFrame, length: int, centres: np.ndarray, radii: np.ndarray, low: int, high: int | None) -> DataFrame:
@@ -206,7 +206,7 @@ def visits(asked: DataFrame, length: int, centres: np.ndarray, radii: np.ndarray
                     sent = batch.take(pa.array(np.concatenate(rows)))
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(to).astype(np.int32)), *sent.columns], ["to", *sent.schema.names])
 
-    return asked.mapInArrow(run, "to int, query long, vec_id long, v array<long>, length int, floor double")
+    return asked.mapInArrow(lean(run, 4096), "to int, query long, vec_id long, v array<long>, length int, floor double")
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:

@@ -5,8 +5,10 @@ trailing seek table in the published seekable format: compressed size, size and
 bits of XXH64) of each frame.  Any zstandard reader can decompress a shard whole; ``ShardReader``
 decompresses only the frames that a document's ids lie in, and verifies their checksums.
 
-Documents lie in ascending ``doc_id`` order over all shards (a null id first; rows of one id by text).
-A null text counts as empty: such a document has its end id alone.  Repeated rows are all written.  An empty table makes no
+Documents lie in ascending ``doc_id`` order over all shards (a null id first; rows of one id by text), about
+``SHARD_CHARS`` characters of text a shard; rows of one id whose texts begin alike are in one shard.
+A null text counts as empty: such a document has its end id alone.  Repeated rows are all written, very long
+texts take several frames, and further columns of any name are not read.  An empty table makes no
 shard, and reading it gives no rows.
 """
 
@@ -16,6 +18,7 @@ import io
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import scratch
+from paperloom.llm.common import lean, scratch
 from paperloom.llm.tokens import encoder
 
 #: Fixed values of the seekable format and of skippable frames.
 SEEK_SKIPPABLE, SEEK_FOOTER, INDEX_SKIPPABLE = 0x184D2A5E, 0x8F92EAB1, 0x184D2A50
 #: A frame ends with the first document that takes it to so many bytes; longer documents are cut there.
 FRAME_BYTES = 1 << 17
+SHARD_CHARS = 1 << 25
 
 
 class ShardWriter:
@@ -42,7 +46,7 @@ class ShardWriter:
     def __init__(self, out, width: int, level: int = 3):
         self.out, self.width, self.packer = out, width, zstandard.ZstdCompressor(level=level, write_content_size=True)
         self.buffer, self.frames = bytearray(), []
-        self.doc_ids, self.nulls, self.counts = [], [], []
+        self.doc_ids, self.nulls, self.counts = array("q"), bytearray(), array("Q")
 
     def _frame(self, data: bytes) -> None:
         packed = self.packer.compress(data)
@@ -64,7 +68,7 @@ class ShardWriter:
     def close(self) -> None:
         if self.buffer:
             self._frame(bytes(self.buffer))
-        index = struct.pack("<BQ", self.width, len(self.counts)) + np.array(self.doc_ids, "<i8").tobytes() + np.array(self.nulls, "u1").tobytes() + np.array(self.counts, "<u8").tobytes()
+        index = struct.pack("<BQ", self.width, len(self.counts)) + np.array(self.doc_ids, "<i8").tobytes() + bytes(self.nulls) + np.array(self.counts, "<u8").tobytes()
         index = zstandard.ZstdCompressor(level=3, write_content_size=True, write_checksum=True).compress(index)
         self.out.write(struct.pack("<II", INDEX_SKIPPABLE, len(index)) + index)
         table = b"".join(struct.pack("<III", *x) for x in self.frames) + struct.pack("<IBI", len(self.frames), 0x80, SEEK_FOOTER)
@@ -72,7 +76,7 @@ class ShardWriter:
 
 
 class ShardReader:
-    """Random access to a shard: ``doc_ids`` (None for null), ``counts``, ``read(k)``."""
+    """Random access to a shard: ``ids`` and which are ``nulls`` (or both as ``doc_ids``), ``counts``, ``read(k)``."""
 
     def __init__(self, file):
         self.file, self.unpacker = file, zstandard.ZstdDecompressor()
@@ -96,14 +100,17 @@ class ShardReader:
             raise ValueError("the documents' index is missing")
         index = self.unpacker.decompress(file.read(size))
         self.width, docs = struct.unpack_from("<BQ", index)
-        ids = np.frombuffer(index, "<i8", docs, 9)
-        nulls = np.frombuffer(index, "u1", docs, 9 + 8 * docs)
-        self.doc_ids = [None if null else int(i) for i, null in zip(ids, nulls, strict=True)]
+        self.ids = np.frombuffer(index, "<i8", docs, 9)
+        self.nulls = np.frombuffer(index, "u1", docs, 9 + 8 * docs).astype(bool)
         self.counts = np.frombuffer(index, "<u8", docs, 9 + 9 * docs).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
         self.cached = (-1, b"")
         self.frames_read = 0
 
+    @property
+    def doc_ids(self) -> list[int | None]:
+        return [None if null else int(i) for i, null in zip(self.ids, self.nulls, strict=True)]
+
     def frame(self, k: int) -> bytes:
         if self.cached[0] != k:
             self.file.seek(int(self.packed_at[k]))
@@ -143,10 +150,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(part)
                 writer = ShardWriter(out, enc.width)
-            for at in range(0, batch.num_rows, 500):  # few texts as Python strings at once
-                few = batch.slice(at, 500)
-                for doc_id, text in zip(few.column("doc_id").to_pylist(), few.column("text").to_pylist(), strict=True):
-                    writer.add(doc_id, enc.ids(text) + tail)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                writer.add(doc_id, enc.ids(text) + tail)
         if writer is not None:
             writer.close()
             out.close()
@@ -154,9 +159,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([f"shard-{shard:07d}.ids.zst"]), pa.array([len(writer.counts)], pa.int64()), pa.array([sum(writer.counts)], pa.int64())], ["shard", "file", "docs", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, "shard long, file string, docs long, tokens long").write.parquet(f"{path}/manifest")
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-chars // SHARD_CHARS))
+    # A text's beginning only tells which shard a row of a repeated id goes to; all of it is written.
+    ordered = rows.repartitionByRange(parts, "doc_id", F.left("text", F.lit(32))).sortWithinPartitions("doc_id", "text")
+    ordered.mapInArrow(lean(run), "shard long, file string, docs long, tokens long").write.parquet(f"{path}/manifest")
     return spark.read.schema("shard long, file string, docs long, tokens long").parquet(f"{path}/manifest")
 
 
@@ -175,18 +182,18 @@ def read_shards(spark: SparkSession, path: str, manifest: DataFrame) -> DataFram
             for row in batch.to_pylist():
                 with fs.open_input_file(f"{folder}/{row['file']}") as file:
                     shard = ShardReader(file)
-                    for at in range(0, len(shard.doc_ids), 10_000):
-                        k = range(at, min(at + 10_000, len(shard.doc_ids)))
+                    for at in range(0, len(shard.ids), 10_000):
+                        k = range(at, min(at + 10_000, len(shard.ids)))
                         sums = [zlib.crc32(shard.read(i).astype("<u4")) for i in k]
                         first = np.searchsorted(shard.at, shard.starts[k.start : k.stop] * shard.width, "right")
                         last = np.searchsorted(shard.at, shard.starts[k.start + 1 : k.stop + 1] * shard.width, "left")
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(shard.doc_ids[k.start : k.stop], pa.int64()), pa.array(row["base"] + shard.starts[k.start : k.stop]), pa.array(shard.counts[k.start : k.stop]), pa.array(sums, pa.int64()), pa.array([row["shard"]] * len(k), pa.int64()), pa.array(last - first + 1, pa.int64())],
+                            [pa.array(shard.ids[k.start : k.stop], pa.int64(), mask=shard.nulls[k.start : k.stop]), pa.array(row["base"] + shard.starts[k.start : k.stop]), pa.array(shard.counts[k.start : k.stop]), pa.array(sums, pa.int64()), pa.array([row["shard"]] * len(k), pa.int64()), pa.array(last - first + 1, pa.int64())],
                             ["doc_id", "start", "n_tokens", "ids_crc32", "shard", "frames"],
                         )
 
-    spread = shards.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
-    return spread.select("shard", "file", "base").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard long, frames long")
+    spread = shards.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard")
+    return spread.select("shard", "file", "base").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long, shard long, frames long")
 
 
 def read_documents(path: str, file: str, wanted: set[int]) -> dict[int, list[np.ndarray]]:
@@ -194,9 +201,8 @@ def read_documents(path: str, file: str, wanted: set[int]) -> dict[int, list[np.
     fs, folder = pa.fs.FileSystem.from_uri(path)
     with fs.open_input_file(f"{folder}/{file}") as f:
         shard, out = ShardReader(f), {}
-        for k, doc_id in enumerate(shard.doc_ids):
-            if doc_id in wanted:
-                out.setdefault(doc_id, []).append(shard.read(k))
+        for k in np.flatnonzero(np.isin(shard.ids, list(wanted)) & ~shard.nulls).tolist():
+            out.setdefault(int(shard.ids[k]), []).append(shard.read(k))
     return out
 
 
