@@ -5,10 +5,11 @@ from __future__ import annotations
 import difflib
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,16 +26,22 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def common_length(a: str, b: str) -> int:
+    """The length of the longest common subsequence, a column of the table at a time in the bits of whole numbers (Hyyrö)."""
+    where: dict[str, int] = {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        here = row & where.get(y, 0)
+        row = (row + here | row - here) & full
+    return len(a) - row.bit_count()
+
+
 def _indel(a: str, b: str) -> float:
     """100 * (1 - insertions and deletions / both lengths), by the longest common subsequence."""
-    if not a and not b:
-        return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
+    return 200.0 * common_length(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
 def token_set(a: str, b: str) -> float:
@@ -54,8 +61,14 @@ def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-def edits(a: list[str], b: list[str]) -> int:
-    """Edit distance of two lists, a column of the table at a time in the bits of whole numbers (Myers, Hyyrö)."""
+def edits(a: Sequence[str], b: Sequence[str]) -> int:
+    """Edit distance of two sequences, a column of the table at a time in the bits of whole numbers (Myers, Hyyrö)."""
+    begin, end = 0, 0  # what both begin and end with alike changes nothing
+    while begin < min(len(a), len(b)) and a[begin] == b[begin]:
+        begin += 1
+    while end < min(len(a), len(b)) - begin and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[begin : len(a) - end], b[begin : len(b) - end]
     if not a or not b:
         return len(a) or len(b)
     where: dict[str, int] = {}
@@ -78,6 +91,72 @@ def list_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else edits(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype="Int32")
 
 
+@F.pandas_udf(T.IntegerType())
+def text_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Edit distance over characters, for texts of any length."""
+    return pd.Series([None if x is None or y is None else 0 if x == y else edits(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
+
+
+class Literal(str):
+    """A number as it is written."""
+
+
+def _whole(text: str) -> Literal:
+    return Literal(str(int(text)) if len(text) < 4000 else text)
+
+
+def _float(text: str) -> Literal:
+    value = float(text)
+    return Literal(repr(value) if np.isfinite(value) else text)
+
+
+def _no_number(text: str) -> None:
+    raise ValueError(text)
+
+
+def leaves_of(payload: str | None) -> Iterator[tuple[str, str | None, str]]:
+    """(path, text, kind) of a JSON text's scalars and empty lists, in order; nothing if it doesn't parse."""
+    try:
+        root = json.loads(payload or "", parse_int=_whole, parse_float=_float, parse_constant=_no_number)
+    except (ValueError, RecursionError):
+        return
+    open_ = [("", root)]
+    while open_:
+        path, x = open_.pop()
+        if isinstance(x, dict):
+            open_ += [(f"{path}.{k}" if path else k, v) for k, v in reversed(x.items())]
+        elif isinstance(x, list) and x:
+            open_ += [(f"{path}[{k}]", x[k]) for k in range(len(x) - 1, -1, -1)]
+        elif isinstance(x, list):
+            yield path, "[]", "list"
+        elif x is None:
+            yield path, None, "null"
+        elif isinstance(x, bool):
+            yield path, str(x).lower(), "boolean"
+        else:
+            yield path, str(x), "number" if isinstance(x, Literal) else "string"
+
+
+def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """k, path, raw and vtype of every leaf of batches of (k, payload)."""
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(rows, pa.int64())), *(pa.array(c, pa.string()) for c in found)], ["k", "path", "raw", "vtype"])
+
+    for batch in batches:
+        rows: list[int] = []
+        found: tuple[list, list, list] = ([], [], [])
+        for i, payload in enumerate(batch.column("payload").to_pylist()):
+            for leaf in leaves_of(payload):
+                rows.append(i)
+                for column, x in zip(found, leaf, strict=True):
+                    column.append(x)
+                if len(rows) >= 20_000:
+                    yield made()
+                    rows, found = [], ([], [], [])
+        yield made()
+
+
 def balanced(text: str | None) -> str | None:
     """The text if it is JSON as a whole, else its first balanced object; None if there is none (JSN2)."""
     if text is None:

@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperloom.functions import constants as K
+from paperloom.functions.arrow_udfs import leaves
 from paperloom.functions.text import normalize_value
 
 OBJECT = r"(?s)(\{.*\})"
@@ -61,26 +63,13 @@ def kind(text: Column) -> Column:
 def flatten(df: DataFrame, key: str, payload: str) -> DataFrame:
     """(key, path, value, vtype) of every scalar and empty list of a JSON text (JSN8).
 
-    A recursive query over variants, one level of nesting a round: paths are a.b and a[0]; an empty
-    object leaves nothing; text values are normalised.  A payload that doesn't parse leaves no rows.
+    Paths are a.b and a[0]; an empty object leaves nothing; text values are normalised.  A payload that
+    doesn't parse leaves no rows.  One narrow Arrow stage, whatever the depth and number of records; of a
+    name that an object has twice the last value counts.
     """
-    spark = df.sparkSession
-    view = "paperloom_flatten_input"
-    df.select(F.col(key).alias("k"), F.try_parse_json(payload).alias("v")).where("v is not null").createOrReplaceTempView(view)
-    flat = spark.sql(f"""
-        WITH RECURSIVE tree(k, path, v, t) MAX RECURSION LEVEL 100 AS (
-            SELECT k, '' AS path, v, schema_of_variant(v) AS t FROM {view}
-            UNION ALL
-            SELECT tree.k,
-                   CASE WHEN e.key IS NULL THEN concat(path, '[', e.pos, ']') WHEN path = '' THEN e.key ELSE concat(path, '.', e.key) END,
-                   e.value, schema_of_variant(e.value)
-            FROM tree, LATERAL variant_explode(v) AS e
-            WHERE t LIKE 'OBJECT%' OR t LIKE 'ARRAY%'
-        )
-        SELECT k, path, CASE WHEN is_variant_null(v) THEN NULL WHEN t LIKE 'ARRAY%' THEN '[]' ELSE try_variant_get(v, '$', 'string') END AS raw,
-               CASE WHEN is_variant_null(v) THEN 'null' WHEN t LIKE 'ARRAY%' THEN 'list' WHEN t = 'STRING' THEN 'string' WHEN t = 'BOOLEAN' THEN 'boolean' ELSE 'number' END AS vtype
-        FROM tree WHERE NOT (t LIKE 'OBJECT%') AND NOT (t LIKE 'ARRAY%' AND to_json(v) <> '[]')
-    """)
+    kind = df.schema[key].dataType
+    schema = T.StructType([T.StructField("k", kind), *(T.StructField(c, T.StringType()) for c in ("path", "raw", "vtype"))])
+    flat = df.select(F.col(key).alias("k"), F.col(payload).cast("string").alias("payload")).mapInArrow(leaves, schema)
     value = F.when(F.col("vtype") == "string", normalize_value(F.col("raw"))).otherwise(F.col("raw"))
     return flat.select(F.col("k").alias(key), "path", value.alias("value"), F.when(value.isNull(), "null").otherwise(F.col("vtype")).alias("vtype"))
 

@@ -33,38 +33,42 @@ def chat_history(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     return ordered.select(key, F.size("turns").alias("n_turns"), F.aggregate("turns", F.lit(""), lambda h, t: append_turn(h, t.question, t.answer)).alias("history"))
 
 
-def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7) -> DataFrame:
+def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7, finish: int = 1_000_000) -> DataFrame:
     """Which items are accepted when each must be no AI image and like no item accepted before it (STA1).
 
     ``items``: item, ai, in order of ``item``.  ``edges``: item, earlier, of pairs that are too alike.
-    Only edges carry order, so the fold runs within connected groups of edges; items without any are
-    decided alone.  Rounds: an item is settled once all the earlier items it is like are.
+    Rounds of joins: an item that waits for no earlier one is accepted, what is like it is a duplicate, and the
+    edges of both go.  When at most ``finish`` edges are left, which bounds them, one task folds them in order, as a
+    chain of edges would take as many rounds as it has items.
     """
+    with_checkpoints(items.sparkSession)
     status = items.select("item", F.when(F.col("ai") >= ai_limit, "ai").alias("fixed"))
-    edge = edges.where("earlier < item").select("item", "earlier").distinct()
-    roots = _groups(edge)
-    grouped = edge.join(roots, edge["item"] == roots["node"]).select("group", "item", "earlier")
-    grouped = grouped.join(status.select(F.col("item").alias("i"), "fixed"), F.col("item") == F.col("i")).join(status.select(F.col("item").alias("e"), F.col("fixed").alias("earlier_fixed")), F.col("earlier") == F.col("e"))
+    fixed = status.where("fixed is not null").select("item")
+    as_earlier = lambda df: df.select(F.col("item").alias("earlier"))
+    # AI images are never accepted and never duplicates: they take no part.
+    every = edges.where("earlier < item").select("item", "earlier").distinct()
+    every = every.join(fixed, "item", "left_anti").join(as_earlier(fixed), "earlier", "left_anti").select("item", "earlier").checkpoint()
+    left, duplicates = every, every.select("item").where("false")
+    while left.limit(finish + 1).count() > finish:
+        free = left.select(F.col("earlier").alias("item")).distinct().join(left.select("item").distinct(), "item", "left_anti")
+        hit = left.join(as_earlier(free), "earlier", "left_semi").select("item").distinct().checkpoint()
+        left = left.join(hit, "item", "left_anti").join(as_earlier(hit), "earlier", "left_anti").select("item", "earlier").checkpoint()
+        duplicates = duplicates.union(hit)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        fixed = dict(zip(pdf["item"], pdf["fixed"], strict=True)) | dict(zip(pdf["earlier"], pdf["earlier_fixed"], strict=True))
         like: dict[int, list[int]] = {}
         for i, e in zip(pdf["item"], pdf["earlier"], strict=True):
             like.setdefault(i, []).append(e)
-        taken, out = set(), []
-        for i in sorted(fixed):
-            if isinstance(fixed[i], str):
-                out.append((i, fixed[i], None))
-                continue
-            hit = [e for e in like.get(i, ()) if e in taken]
-            out.append((i, "duplicate" if hit else "accepted", min(hit) if hit else None))
-            if not hit:
-                taken.add(i)
-        return pd.DataFrame(out, columns=["item", "decision", "like"]).astype({"like": "Int64"})
-
-    decided = grouped.select("group", "item", "earlier", "fixed", "earlier_fixed").groupBy("group").applyInPandas(fold, "item long, decision string, like long")
-    alone = status.join(decided.select("item"), "item", "left_anti").select("item", F.coalesce("fixed", F.lit("accepted")).alias("decision"), F.lit(None).cast("long").alias("like"))
-    return decided.union(alone)
+        lost: set[int] = set()
+        for i in sorted(like):
+            if any(e not in lost for e in like[i]):
+                lost.add(i)
+        return pd.DataFrame({"item": sorted(lost)}, dtype="int64")
+
+    duplicates = duplicates.union(left.groupBy(F.lit(0).alias("all")).applyInPandas(fold, "item long")).checkpoint()
+    hits = every.join(as_earlier(duplicates), "earlier", "left_anti").groupBy("item").agg(F.min("earlier").alias("like"))
+    out = status.join(hits, "item", "left")
+    return out.select("item", F.coalesce("fixed", F.when(F.col("like").isNotNull(), "duplicate").otherwise("accepted")).alias("decision"), "like")
 
 
 def accept_vectors(vectors: DataFrame, threshold: float, ai_limit: float = 0.7) -> DataFrame:
@@ -85,25 +89,6 @@ def accept_vectors(vectors: DataFrame, threshold: float, ai_limit: float = 0.7)
     return decided.union(led.join(by, "leader").select(F.col("vec_id").alias("item"), F.lit("duplicate").alias("decision"), "like"))
 
 
-def _groups(edge: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, group): connected groups of edges by spreading the smallest item, two steps a round."""
-    with_checkpoints(edge.sparkSession)
-    both = edge.select(F.col("item").alias("a"), F.col("earlier").alias("b"))
-    both = both.union(both.select("b", "a")).cache()
-    label = both.select(F.col("a").alias("node")).distinct().withColumn("group", F.col("node"))
-    last = None
-    for _ in range(rounds):
-        spread = both.join(label, both["b"] == label["node"]).select(F.col("a").alias("node"), "group").union(label)
-        spread = spread.groupBy("node").agg(F.min("group").alias("group"))
-        jump = spread.select(F.col("node").alias("n"), F.col("group").alias("g"))
-        label = spread.join(jump, spread["group"] == jump["n"]).select("node", F.least("group", "g").alias("group")).checkpoint()
-        total = label.agg(F.sum("group")).first()[0]
-        if total == last:
-            break
-        last = total
-    return label
-
-
 def inquiry(cases: DataFrame, rounds: int = K.MAX_LOOPS) -> DataFrame:
     """Cases through at most ``rounds`` of deciding and asking (STA2): ``steps`` holds what the model would say each round.
 

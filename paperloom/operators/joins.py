@@ -24,18 +24,26 @@ def compared_fields(pred: DataFrame, gold: DataFrame, key: str) -> DataFrame:
     """Every path of either record of a document, and whether both sides are equal (JOI1, JOI2).
 
     Documents on one side only are left out.  Absent and null are equal; a text never equals a number.
+    Both sides are read once and meet in one shuffle by document.
     """
-    both = pred.select(key).distinct().join(gold.select(key).distinct(), key)
-    side = lambda df, p: df.join(both, key, "left_semi").select(key, "path", F.col("value").alias(f"{p}_value"), F.when(F.col("vtype") != "null", F.when(F.col("vtype") == "boolean", "number").otherwise(F.col("vtype"))).alias(f"{p}_type"), F.when(F.col("vtype") == "boolean", F.when(F.col("value") == "true", "1").otherwise("0")).when(F.col("vtype") == "number", F.col("value").try_cast("double").cast("string")).otherwise(F.col("value")).alias(f"{p}_key"))
-    rows = side(pred, "pred").join(side(gold, "gold"), [key, "path"], "full")
-    same = F.col("pred_type").eqNullSafe(F.col("gold_type")) & F.col("pred_key").eqNullSafe(F.col("gold_key"))
-    return rows.select(key, "path", "pred_value", "gold_value", same.alias("correct"))
+    kind = F.when(F.col("vtype") != "null", F.when(F.col("vtype") == "boolean", "number").otherwise(F.col("vtype")))
+    equal_by = F.when(F.col("vtype") == "boolean", F.when(F.col("value") == "true", "1.0").otherwise("0.0")).when(F.col("vtype") == "number", F.col("value").try_cast("double").cast("string")).otherwise(F.col("value"))
+    side = lambda df, gold: df.select(key, "path", F.lit(gold).alias("is_gold"), F.struct("value", kind.alias("type"), equal_by.alias("by")).alias("x"))
+    rows = side(pred, False).union(side(gold, True)).repartition(key)
+    of = lambda gold: F.max_by("x", F.col("is_gold") == gold)
+    has = lambda gold: F.bool_or(F.col("is_gold") == gold)
+    both = rows.groupBy(key, "path").agg(F.when(has(False), of(False)).alias("p"), F.when(has(True), of(True)).alias("g"), has(False).alias("in_pred"), has(True).alias("in_gold"))
+    document = Window.partitionBy(key)
+    both = both.withColumn("shared", F.bool_or("in_pred").over(document) & F.bool_or("in_gold").over(document)).where("shared")
+    same = F.col("p.type").eqNullSafe(F.col("g.type")) & F.col("p.by").eqNullSafe(F.col("g.by"))
+    return both.select(key, "path", F.col("p.value").alias("pred_value"), F.col("g.value").alias("gold_value"), same.alias("correct"))
 
 
 def field_reads(reads: DataFrame, documents: DataFrame, fields: DataFrame) -> DataFrame:
     """For each document and listed field the last read, or null (JOI3)."""
     last = reads.groupBy("document_id", "field").agg(F.max_by("value", "pos").alias("value"))
-    grid = documents.select("document_id").distinct().crossJoin(F.broadcast(fields.select("field").distinct()))
+    listed = fields.agg(F.collect_set("field").alias("fields"))  # a document's fields: the columns of a form
+    grid = documents.select("document_id").distinct().crossJoin(F.broadcast(listed)).select("document_id", F.explode("fields").alias("field"))
     return grid.join(last, ["document_id", "field"], "left")
 
 

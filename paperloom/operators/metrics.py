@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions import constants as K
-from paperloom.functions.arrow_udfs import list_distance
+from paperloom.functions.arrow_udfs import list_distance, text_distance
 from paperloom.functions.rules import risk_level
 from paperloom.functions.text import words
 
@@ -60,7 +60,7 @@ def word_distance(a: Column, b: Column) -> Column:
 def error_rates(rows: DataFrame, by: Sequence[str], pred: str = "pred", gold: str = "gold") -> DataFrame:
     """Micro character and word error rates, and exact matches; groups without characters are left out (AGG5, AGG7)."""
     p, g = F.coalesce(F.col(pred), F.lit("")), F.coalesce(F.col(gold), F.lit(""))
-    each = rows.select(*by, F.levenshtein(p, g).alias("ce"), F.length(g).alias("cn"), word_distance(p, g).alias("we"), F.size(words(g)).alias("wn"), (p == g).cast("int").alias("same"))
+    each = rows.select(*by, text_distance(p, g).alias("ce"), F.length(g).alias("cn"), word_distance(p, g).alias("we"), F.size(words(g)).alias("wn"), (p == g).cast("int").alias("same"))
     out = each.groupBy(*by).agg(F.count("*").alias("samples"), F.sum("ce").alias("char_edits"), F.sum("cn").alias("chars"), F.sum("we").alias("word_edits"), F.sum("wn").alias("words"), F.sum("same").alias("exact")).where("chars > 0")
     return out.withColumn("cer", ratio(F.col("char_edits"), F.col("chars"))).withColumn("wer", ratio(F.col("word_edits"), F.col("words"))).withColumn("exact_match", ratio(F.col("exact"), F.col("samples")))
 

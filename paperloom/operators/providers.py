@@ -76,6 +76,40 @@ def stub_chat() -> Batch:
     return lambda b: b.iloc[:, 0].map(lambda x: (x or "").strip().rsplit("\n", 1)[-1])
 
 
+@register("vqa", "string")
+def stub_vqa() -> Batch:
+    """Yes, no or unclear, by a hash of the image's name and the prompt (UDF4)."""
+    return lambda b: pd.Series([("نعم", "لا", "غير واضح")[_digest(f"{x}|{p}") % 3] for x, p in zip(b.iloc[:, 0], b.iloc[:, 1], strict=True)])
+
+
+@register("embed_image", "array<float>")
+def stub_image_embedder(dim: int = 512) -> Batch:
+    """Unit vectors of a fixed width by the image's bytes, pixels or name (IMG9)."""
+
+    def one(x: object) -> np.ndarray:
+        v = np.random.default_rng(_digest(x)).normal(size=dim).astype(np.float32)
+        return v / np.linalg.norm(v)
+
+    return lambda b: b.iloc[:, 0].map(one)
+
+
+@register("detect", "array<struct<class:string,conf:double,x0:double,y0:double,x1:double,y1:double>>")
+def stub_boxes() -> Batch:
+    """Two boxes of an image, by a hash of its name (IMG13)."""
+
+    def one(x: object) -> list[dict]:
+        h = _digest(x)
+        return [{"class": f"c{h >> 8 * k & 3}", "conf": (h >> 8 * k & 255) / 255, "x0": float(h >> k & 31), "y0": float(h >> 2 * k & 31), "x1": 40.0 + (h >> 3 * k & 31), "y1": 40.0 + (h >> 5 & 31)} for k in (0, 1)]
+
+    return lambda b: b.iloc[:, 0].map(one)
+
+
+@register("remote", "map<string,string>")
+def stub_remote() -> Batch:
+    """A remote batch function: a payload in, a map out (UDF10)."""
+    return lambda b: b.iloc[:, 0].map(lambda x: {"sha256": hashlib.sha256(str(x).encode()).hexdigest(), "size": str(len(str(x)))})
+
+
 @register("read_page", "string")
 def stub_reader() -> Batch:
     """A fenced JSON record that names the document (UDF1, UDF5)."""

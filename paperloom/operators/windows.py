@@ -26,11 +26,22 @@ def ranked(rows: DataFrame, by: Sequence[str], score: str, key: str, k: int) ->
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def ranked_first(rows: DataFrame, by: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
+    """The first k rows of each group."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return rows.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= k).drop("_k")
+
+
 def last_of(history: str, kind: str) -> F.Column:
     """The last entry of a kind in an array of structs with a ``type`` (WIN5)."""
     return F.try_element_at(F.filter(F.col(history), lambda x: x.type == kind), F.lit(-1))
 
 
+def last_entry(rows: DataFrame, by: Sequence[str], order: str, wanted: F.Column, value: str) -> DataFrame:
+    """Each key's ``value`` on its last row that is ``wanted`` (WIN5), null if none is; no history is gathered."""
+    return rows.groupBy(*by).agg(F.max_by(F.when(wanted, F.col(value)), F.when(wanted, F.col(order))).alias("last"))
+
+
 def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[str], pattern: str = "IMG-%03d", name: str = "label") -> DataFrame:
     """Names by place within a group (WIN6)."""
     return rows.withColumn(name, F.format_string(pattern, F.row_number().over(Window.partitionBy(*by).orderBy(*order))))

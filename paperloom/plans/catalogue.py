@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from paperloom.functions import arrow_udfs as A
 from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, text
-from paperloom.operators import folds, joins, metrics, providers, windows
-from paperloom.session import table
+from paperloom.operators import agents, folds, images, joins, metrics, providers, windows
+from paperloom.session import scratch, table
 from paperloom.sources import readers, writers
 from paperloom.streaming import streams
 
@@ -40,6 +40,12 @@ def any_in(column: str, words) -> str:
     return "(" + " OR ".join(f"contains({column}, '{w}')" for w in words) + ")"
 
 
+def digest_sql(value: str, modulus: int) -> str:
+    """What the stand-in providers compute: the first 8 bytes of SHA-256, the lowest first, as a number, modulo a small one."""
+    terms = " + ".join(f"('0x' || substr(sha256({value}), {2 * i + 1}, 2))::BIGINT * {pow(256, i, modulus)}" for i in range(8))
+    return f"(({terms}) % {modulus})"
+
+
 # English twins of the word lists, for tables without Arabic.
 URGENT, REQUEST, THANKS = ["and", "was"], ["the", "of"], ["is", "to"]
 PLACES = ["the", "and", "der", "que", "les", "ción"]
@@ -166,8 +172,8 @@ def sentiment_rules(spark, d):
         GROUP BY w ORDER BY i LIMIT 5)) AS keywords
     FROM (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM documents)""")
 def keywords_top5(spark, d):
-    words = F.array_join(text.keywords(F.col("text"), 5, STOPS), ",")
-    return table(spark, d, "documents").select("doc_id", F.when(F.size(text.keywords(F.col("text"), 5, STOPS)) > 0, words).alias("keywords"))
+    found = table(spark, d, "documents").select("doc_id", text.keywords(F.col("text"), 5, STOPS).alias("k"))
+    return found.select("doc_id", F.when(F.size("k") > 0, F.array_join("k", ",")).alias("keywords"))
 
 
 @query(r"SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '\d+'), lambda x: TRY_CAST(x AS DECIMAL(38,0))))), ',') AS numbers FROM documents")
@@ -217,7 +223,7 @@ def vqa_confidence(spark, d):
 
 @query("""
     SELECT doc_id, concat_ws(chr(10) || chr(10), nullif(lang, ''), nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE source END, ''), 'Answer briefly.') AS prompt,
-           'passage: Q: ' || source || chr(10) || 'A: ' || left(text, 50) || chr(10) || 'FAQ ID: ' || doc_id || chr(10) || 'Tags: ' || lang || ', ' || source AS passage, 'FAQ ' || doc_id || ' — ' || lang AS citation,
+           'passage: Q: ' || source || chr(10) || 'A: ' || text || chr(10) || 'FAQ ID: ' || doc_id || chr(10) || 'Tags: ' || lang || ', ' || source AS passage, 'FAQ ' || doc_id || ' — ' || lang AS citation,
            concat_ws(chr(10) || chr(10), CASE WHEN trim(source) <> '' THEN '[TEXT]' || chr(10) || trim(source) END, CASE WHEN doc_id % 2 = 0 THEN '[VOICE]' || chr(10) || lang END, CASE WHEN doc_id % 5 > 0 THEN '[OCR]' || chr(10) || lang END) AS intake,
            CASE WHEN doc_id % 5 > 0 THEN 2 ELSE 0 END AS image_count
     FROM documents""")
@@ -228,7 +234,7 @@ def prompt_assemble(spark, d):
     return table(spark, d, "documents").select(
         "doc_id",
         text.prompt(F.col("lang"), F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.col("source")), F.lit("Answer briefly.")).alias("prompt"),
-        text.passage(F.col("source"), F.left("text", F.lit(50)), id_, tags).alias("passage"), text.citation(id_, tags).alias("citation"),
+        text.passage(F.col("source"), F.col("text"), id_, tags).alias("passage"), text.citation(id_, tags).alias("citation"),
         case.extracted_text.alias("intake"), case.image_count.alias("image_count"),
     )
 
@@ -301,7 +307,7 @@ def id_semi_join(spark, d):
 
 
 def _spans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    e = table(spark, d, "events").where("user_id <= 20")
+    e = table(spark, d, "events")
     start = F.unix_micros("ts") / 1e6
     cues = e.where("event_type <> 'click'").select(F.col("event_id").alias("r_id"), F.col("user_id").alias("r_user"), start.alias("r_start"), (start + F.col("value") * 60).alias("r_end"))
     parts = e.where("event_type = 'click'").select(F.col("event_id").alias("l_id"), F.col("user_id").alias("l_user"), start.alias("l_start"), (start + 3600).alias("l_end"))
@@ -309,7 +315,7 @@ def _spans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 SPANS = """
-    WITH e AS (SELECT event_id AS id, user_id AS u, event_type, epoch_us(ts) / 1e6 AS s, value FROM events WHERE user_id <= 20),
+    WITH e AS (SELECT event_id AS id, user_id AS u, event_type, epoch_us(ts) / 1e6 AS s, value FROM events),
     l AS (SELECT id, u, s, s + 3600 AS t FROM e WHERE event_type = 'click'), r AS (SELECT id, u, s, s + value * 60 AS t FROM e WHERE event_type <> 'click')
 """
 
@@ -425,8 +431,9 @@ def fuzzy_best_match_sequence(spark, d):
 @query()
 def catalog_nearest(spark, d):
     catalog = table(spark, d, "part").select(F.col("p_partkey").alias("row_id"), "p_name", "p_type")
-    queries = catalog.where("row_id % 100 = 0").select(F.col("row_id").alias("query_id"), F.concat("p_name", F.lit("s")).alias("query"))
-    return joins.catalog_match(queries.union(catalog.where("row_id % 100 = 1").select("row_id", "p_name")), catalog, ["p_name", "p_type"])
+    said = F.when(F.col("row_id") % 100 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name"))
+    queries = catalog.where("row_id % 50 = 0").select(F.col("row_id").alias("query_id"), said.alias("query"))
+    return joins.catalog_match(queries, catalog, ["p_name", "p_type"])
 
 
 @query("SELECT doc_id, CASE WHEN contains(lower(source), 'src1') THEN 'src1' WHEN contains(lower(source), 'src2') THEN 'src2' WHEN contains(lower(source), '5') THEN '5' ELSE 'src1' END AS category FROM documents")
@@ -468,38 +475,46 @@ def confusion_exact(spark, d):
     return metrics.confusion(table(spark, d, "documents"), ["lang"], metrics.exact_cell(pred, F.when(id_ % 4 == 0, F.lit(None)).otherwise(F.col("source"))))
 
 
-def _readings(spark: SparkSession, d: str, cut: bool = False) -> DataFrame:
-    """Whole texts of all languages with a reading of each; ``cut``: the first 120 characters where they are ASCII, as ``READINGS`` compares."""
-    docs = table(spark, d, "documents")
-    if cut:
-        docs = docs.where("not rlike(left(text, 120), '[^\\\\x00-\\\\x7F]')")
-    t = F.left("text", F.lit(120)) if cut else F.col("text")
-    pred = F.when(F.col("doc_id") % 3 == 0, F.replace(t, F.lit("e"), F.lit(""))).when(F.col("doc_id") % 3 == 1, F.replace(t, F.lit("a"), F.lit("o"))).otherwise(t)
-    return docs.select("lang", "source", pred.alias("pred"), t.alias("gold"))
+#: Words that a reading drops or says twice.
+DROPPED = ["the", "and", "der", "die", "de", "la", "que", "les", "of", "un"]
+
 
+def _readings(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts of all languages, and a reading of each that drops some words, says them twice, or is right.
 
-READINGS = r"""
-    WITH p AS (SELECT lang, left(text, 120) AS gold, CASE doc_id % 3 WHEN 0 THEN replace(left(text, 120), 'e', '') WHEN 1 THEN replace(left(text, 120), 'a', 'o') ELSE left(text, 120) END AS pred FROM documents WHERE NOT regexp_matches(left(text, 120), '[^\x00-\x7F]')),
-    r AS (SELECT lang, pred = gold AS same, levenshtein(pred, gold) AS ce, length(gold) AS cn FROM p)
+    One is always a part of the other, so their edit distances are the differences of their lengths, which SQL can tell.
+    """
+    w = text.words(F.col("text"))
+    gold, known = F.array_join(w, " "), lambda x: x.isin(*DROPPED)
+    dropped = F.array_join(F.filter(w, lambda x: ~known(x)), " ")
+    doubled = F.array_join(F.transform(w, lambda x: F.when(known(x), F.concat(x, F.lit(" "), x)).otherwise(x)), " ")
+    pred = F.when(F.col("doc_id") % 3 == 0, dropped).when(F.col("doc_id") % 3 == 1, doubled).otherwise(gold)
+    return table(spark, d, "documents").select("lang", pred.alias("pred"), gold.alias("gold"))
+
+
+READINGS = rf"""
+    WITH w AS (SELECT doc_id, lang, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS w FROM documents),
+    p AS (SELECT lang, w, CASE doc_id % 3 WHEN 0 THEN list_filter(w, lambda x: NOT list_contains({listed(DROPPED)}, x)) WHEN 1 THEN flatten(list_transform(w, lambda x: CASE WHEN list_contains({listed(DROPPED)}, x) THEN [x, x] ELSE [x] END)) ELSE w END AS v FROM w),
+    r AS (SELECT lang, v = w AS same, abs(length(array_to_string(v, ' ')) - length(array_to_string(w, ' '))) AS ce, length(array_to_string(w, ' ')) AS cn, abs(len(v) - len(w)) AS we, len(w) AS wn FROM p)
 """
 
 
 @query(READINGS + "SELECT lang, count(*) AS samples, sum(ce)::BIGINT AS char_edits, sum(cn)::BIGINT AS chars, count(*) FILTER (same) AS exact, round(sum(ce) / sum(cn), 6) AS cer, round(count(*) FILTER (same) / count(*), 6) AS exact_match FROM r GROUP BY lang HAVING sum(cn) > 0")
 def cer_micro(spark, d):
-    return metrics.error_rates(_readings(spark, d, cut=True), ["lang"]).drop("wer", "word_edits", "words")
+    return metrics.error_rates(_readings(spark, d), ["lang"]).drop("wer", "word_edits", "words")
 
 
-@query()
+@query(READINGS + "SELECT lang, count(*) AS samples, sum(we)::BIGINT AS word_edits, sum(wn)::BIGINT AS words, round(sum(we) / sum(wn), 6) AS wer FROM r GROUP BY lang HAVING sum(cn) > 0")
 def wer_micro(spark, d):
     return metrics.error_rates(_readings(spark, d), ["lang"]).select("lang", "samples", "word_edits", "words", "wer")
 
 
 @query("""
-    WITH n AS (SELECT lang, list_transform(regexp_extract_all(text, '[0-9]+'), lambda x: TRY_CAST(x AS DECIMAL(38,0))) AS ref, list_transform(regexp_extract_all(left(text, 1000), '[0-9]+'), lambda x: TRY_CAST(x AS DECIMAL(38,0))) AS pred FROM documents),
+    WITH n AS (SELECT lang, list_transform(regexp_extract_all(text, '[0-9]+'), lambda x: TRY_CAST(x AS DECIMAL(38,0))) AS ref, list_transform(regexp_extract_all(replace(text, '7', '1'), '[0-9]+'), lambda x: TRY_CAST(x AS DECIMAL(38,0))) AS pred FROM documents),
     m AS (SELECT lang, len(list_intersect(list_distinct(list_filter(ref, lambda x: x IS NOT NULL)), list_distinct(list_filter(pred, lambda x: x IS NOT NULL)))) AS s, len(list_distinct(list_filter(ref, lambda x: x IS NOT NULL))) AS r FROM n)
     SELECT lang, round(avg(s / greatest(r, 1)), 6) AS number_accuracy, round(avg(CASE WHEN r = 0 THEN 1 ELSE s / r END), 6) AS number_accuracy_sets FROM m GROUP BY lang""")
 def macro_means(spark, d):
-    ref, pred = text.numbers(F.col("text")), text.numbers(F.left("text", F.lit(1000)))
+    ref, pred = text.numbers(F.col("text")), text.numbers(F.replace("text", F.lit("7"), F.lit("1")))
     rows = table(spark, d, "documents").select("lang", ref.alias("ref"), pred.alias("pred"))
     return rows.groupBy("lang").agg(F.round(F.avg(metrics.number_accuracy(F.col("ref"), F.col("pred"))), 6).alias("number_accuracy"), F.round(F.avg(metrics.number_accuracy_sets(F.col("ref"), F.col("pred"))), 6).alias("number_accuracy_sets"))
 
@@ -606,11 +621,11 @@ BOXES_SQL = "(VALUES " + ", ".join(f"({i}, '{c}', {x}::DOUBLE, {y}::DOUBLE, {w}:
 @query(f"""
     SELECT doc_id, CASE WHEN doc_id > 32 THEN 'val' ELSE 'train' END AS split, class,
         round(least(1, greatest(0, x - w / 2)) / 2 + least(1, greatest(0, x + w / 2)) / 2, 6) AS xc, round(least(1, greatest(0, x + w / 2)) - least(1, greatest(0, x - w / 2)), 6) AS bw
-    FROM documents, {BOXES_SQL} WHERE doc_id % 50 = 0 AND (class = 'child_name' OR (class = 'issue_date' AND doc_id % 100 = 0))""")
+    FROM documents, {BOXES_SQL} WHERE (class = 'child_name' OR (class = 'issue_date' AND doc_id % 100 = 0))""")
 def seed_boxes_split(spark, d):
     boxes = spark.createDataFrame([(i, *b) for i, b in enumerate(K.SEED_BOXES)], "class_id int, class string, x double, y double, w double, h double, path string")
-    docs = table(spark, d, "documents").where("doc_id % 50 = 0").select("doc_id", F.concat(F.lit('{"birth_certificate":{"issue_date":"'), F.when(F.col("doc_id") % 100 == 0, F.lit("x")).otherwise(""), F.lit('"},"personal_and_other":{"child":{"name":"n"}}}')).alias("record"))
-    rows = docs.crossJoin(F.broadcast(boxes)).withColumn("value", F.expr("try_variant_get(try_parse_json(record), '$', 'map<string,variant>')"))
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit('{"birth_certificate":{"issue_date":"'), F.when(F.col("doc_id") % 100 == 0, F.lit("x")).otherwise(""), F.lit('"},"personal_and_other":{"child":{"name":"n"}}}')).alias("record"))
+    rows = docs.crossJoin(F.broadcast(boxes))
     present = F.coalesce(*(F.when(F.col("path") == p, F.try_variant_get(F.try_parse_json("record"), p, "string")) for _, _, _, _, _, p in K.SEED_BOXES), F.lit(""))
     box = rules.clamped_box(F.col("x"), F.col("y"), F.col("w"), F.col("h"))
     return rows.where(present != "").select("doc_id", rules.split_name(F.concat(F.lit("BC_"), "doc_id")).alias("split"), "class", F.round(box.xc, 6).alias("xc"), F.round(box.w, 6).alias("bw"))
@@ -618,7 +633,7 @@ def seed_boxes_split(spark, d):
 
 @query(READINGS + ", u AS (SELECT lang AS split, * FROM r UNION ALL SELECT 'all', * FROM r) SELECT split, count(*) AS samples, round(count(*) FILTER (same) / count(*), 6) AS exact_match, round(sum(ce) / sum(cn), 6) AS cer FROM u GROUP BY split HAVING sum(cn) > 0")
 def splits_union_metrics(spark, d):
-    r = _readings(spark, d, cut=True)
+    r = _readings(spark, d)
     both = r.withColumn("split", F.col("lang")).unionByName(r.withColumn("split", F.lit("all")))
     return metrics.error_rates(both, ["split"]).select("split", "samples", "exact_match", "cer")
 
@@ -630,10 +645,22 @@ def store_stats(spark, d):
 
 @query("SELECT vec_id, label FROM embeddings WHERE label = 3")
 def user_pushdown(spark, d):
-    return table(spark, d, "embeddings").where("label = 3").select("vec_id", "label")
+    store = table(spark, d, "embeddings").withColumnRenamed("label", "user")
+    return readers.of_user(store, 3).select("vec_id", F.col("user").alias("label"))
 
 
-@query()
+@query(r"""
+    WITH RECURSIVE n AS (SELECT *, coalesce(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS answer FROM conversations),
+    t AS MATERIALIZED (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n_turns, trim(regexp_replace(text, '\s+', ' ', 'g')) AS q, trim(regexp_replace(answer, '\s+', ' ', 'g')) AS a FROM n WHERE role = 'user'),
+    f(conv_id, k, h) AS (
+        SELECT DISTINCT conv_id, 0::BIGINT, '' FROM t
+        UNION ALL
+        SELECT conv_id, k, CASE WHEN q = '' AND a = '' THEN CASE WHEN length(h) > 900 THEN '[...]' || right(h, 900) ELSE h END
+                                WHEN length(m) <= 900 THEN m ELSE trim(regexp_replace('[...]' || right(m, 540), '\s+', ' ', 'g')) END
+        FROM (SELECT t.conv_id, t.k, q, a, h, trim(CASE WHEN h <> '' THEN h || ' ' ELSE '' END || CASE WHEN regexp_matches(CASE WHEN q <> '' THEN q ELSE a END, '[\x{0600}-\x{06FF}]') THEN 'س: ' || q || ' ج: ' || a ELSE 'Q: ' || q || ' A: ' || a END) AS m
+              FROM f JOIN t ON t.conv_id = f.conv_id AND t.k = f.k + 1)
+    )
+    SELECT f.conv_id, n_turns::INT AS n_turns, h AS history FROM f JOIN t ON t.conv_id = f.conv_id AND t.k = f.k WHERE f.k = n_turns""".replace("\\\\", "\\"))
 def chat_history_fold(spark, d):
     return folds.chat_history(_turns(spark, d))
 
@@ -643,13 +670,27 @@ def _turns(spark: SparkSession, d: str) -> DataFrame:
     return c.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"), F.coalesce("answer", F.lit("")).alias("answer"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e, (vec_id % 101) / 100 >= 0.7 AS ai, row_number() OVER (ORDER BY vec_id) AS k FROM embeddings),
+    near AS MATERIALIZED (SELECT a.k, list(b.vec_id) AS near FROM v a JOIN v b ON b.vec_id < a.vec_id AND round(list_inner_product(a.e, b.e), 6) >= 0.4 GROUP BY a.k),
+    w AS MATERIALIZED (SELECT v.k, vec_id, ai, coalesce(near, []) AS near FROM v LEFT JOIN near ON near.k = v.k),
+    f(k, item, ai, hit, taken) AS (
+        SELECT 0::BIGINT, NULL::BIGINT, false, NULL::BIGINT, []::BIGINT[]
+        UNION ALL
+        SELECT w.k, w.vec_id, w.ai, list_min(list_intersect(w.near, f.taken)), CASE WHEN w.ai OR len(list_intersect(w.near, f.taken)) > 0 THEN f.taken ELSE list_append(f.taken, w.vec_id) END
+        FROM f JOIN w ON w.k = f.k + 1
+    )
+    SELECT item, CASE WHEN ai THEN 'ai' WHEN hit IS NOT NULL THEN 'duplicate' ELSE 'accepted' END AS decision, CASE WHEN NOT ai THEN hit END AS "like" FROM f WHERE k > 0""")
 def greedy_accept_index(spark, d):
     v = table(spark, d, "embeddings")
     return folds.accept_vectors(v.select("vec_id", "embedding", ((F.col("vec_id") % 101) / 100).alias("ai")), 0.4)
 
 
-@query()
+@query(DUPLICATES + """,
+    i AS (SELECT query_id AS case_id, least(1, greatest(0, 0.5::DOUBLE * """ + digest_sql("query_id::VARCHAR", 101) + """ / 100 + CASE WHEN other_user THEN 0.3::DOUBLE WHEN same_user THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END + 0.2::DOUBLE * (1 - (query_id % 89) / 88))) AS score FROM g),
+    r AS (SELECT doc_id AS case_id, CASE WHEN trim(text) <> '' THEN '[TEXT]' || chr(10) || trim(text) ELSE '' END AS said, CASE WHEN score IS NULL THEN 0 ELSE 1 END AS images, round(coalesce(score, 0.0), 3) AS risk FROM documents LEFT JOIN i ON i.case_id = doc_id)
+    SELECT case_id, length(said)::INT AS chars, images, risk, CASE WHEN risk >= 0.75 THEN 'high' WHEN risk >= 0.4 THEN 'medium' ELSE 'low' END AS level,
+           CASE WHEN risk >= 0.4 THEN 'vqa>search>report' ELSE 'report' END AS path, CASE WHEN risk >= 0.75 THEN 'reject' WHEN risk >= 0.4 THEN 'review' ELSE 'approve' END AS decision FROM r""")
 def case_pipeline(spark, d):
     from paperloom.plans.pipelines import case_pipeline as run
 
@@ -663,7 +704,7 @@ def rag_pipeline(spark, d):
     return run(spark, d)
 
 
-@query()
+@query("SELECT 'page_' || page_id AS document_id, 'page_' || page_id AS record_id, 1 AS record_pages, 0 AS errors, false AS review, '' AS uncertain FROM pages")
 def extraction_pipeline(spark, d):
     from paperloom.plans.pipelines import extraction_pipeline as run
 
@@ -672,7 +713,7 @@ def extraction_pipeline(spark, d):
 
 @query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20")
 def top_n_after_sort(spark, d):
-    return table(spark, d, "documents").orderBy(F.desc("n_chars"), "doc_id").limit(20).select("doc_id", "n_chars")
+    return windows.first_sorted(table(spark, d, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], 20)
 
 
 @query("SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 20")
@@ -887,8 +928,7 @@ def mean_confidences(spark, d):
 
 @query("SELECT user_id, arg_max(event_id, event_id) FILTER (event_type = 'click') AS last_click FROM events GROUP BY user_id")
 def last_inquiry(spark, d):
-    h = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", F.col("event_type").alias("type")))).alias("history"))
-    return h.select("user_id", windows.last_of("history", "click").event_id.alias("last_click"))
+    return windows.last_entry(table(spark, d, "events"), ["user_id"], "event_id", F.col("event_type") == "click", "event_id").withColumnRenamed("last", "last_click")
 
 
 @query("SELECT count(*) FILTER (event_type <> 'error') AS saved, count(*) FILTER (event_type = 'error') AS failed FROM events")
@@ -929,11 +969,17 @@ def merged_regions(spark, d):
     return table(spark, d, "documents").select("doc_id", m.alias("m")).select("doc_id", F.col("m")["a"].alias("a"), F.col("m")["b"].alias("b"))
 
 
-@query("""SELECT vec_id, round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS mean, round(list_stddev_pop(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS std FROM embeddings""")
+@query("""
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+    p AS (SELECT vec_id, e, unnest(range(64)) AS i FROM e),
+    l AS (SELECT vec_id, e[8 * (CASE i // 8 WHEN 0 THEN 1 ELSE i // 8 - 1 END) + i % 8 + 1] + e[8 * (CASE i // 8 WHEN 7 THEN 6 ELSE i // 8 + 1 END) + i % 8 + 1]
+          + e[8 * (i // 8) + (CASE i % 8 WHEN 0 THEN 1 ELSE i % 8 - 1 END) + 1] + e[8 * (i // 8) + (CASE i % 8 WHEN 7 THEN 6 ELSE i % 8 + 1 END) + 1] - 4 * e[i + 1] AS v, e[i + 1] AS x FROM p)
+    SELECT vec_id, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(quantile_cont(x, 0.02), 6) AS p2, round(quantile_cont(x, 0.98), 6) AS p98, count(*) FILTER (x <= 0 OR x >= 255) AS clipped, round(var_pop(v), 6) AS sharpness
+    FROM l GROUP BY vec_id""")
 def image_statistics(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("p"))
     s = e.select("vec_id", A.image_stats("p", F.lit(8)).alias("s"))
-    return s.select("vec_id", F.round("s.mean", 6).alias("mean"), F.round("s.std", 6).alias("std"))
+    return s.select("vec_id", *(F.round(f"s.{c}", 6).alias(c) for c in ("mean", "std", "p2", "p98", "sharpness")), "s.clipped")
 
 
 @query(r"""
@@ -943,3 +989,211 @@ def image_statistics(spark, d):
 def mean_similarity(spark, d):
     n = table(spark, d, "conversations").withColumn("p", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))).where("p is not null")
     return providers.call(n, "text_similarity", ["p", "text"], "s").groupBy("role").agg(F.round(F.avg("s"), 6).alias("similarity"))
+
+
+# --- agents, images, sinks -----------------------------------------------------------------------
+
+CASES = ["What is it?", "Where is it?"]
+
+
+def _vqa_sql(columns: str, prompt: str) -> str:
+    said = "CASE " + digest_sql("image_path || '|' || prompt", 3) + " WHEN 0 THEN 'نعم' WHEN 1 THEN 'لا' ELSE 'غير واضح' END"
+    return f"a AS (SELECT {columns}, {said} AS answer FROM (SELECT *, {prompt} AS prompt FROM q))"
+
+
+@query("""
+    WITH q AS (SELECT doc_id AS case_id, source AS image_path, lang AS ocr, unnest(['What is it?', 'Where is it?', 'c']) AS question FROM documents),
+    """ + _vqa_sql("case_id, question", "CASE WHEN question = 'c' THEN c || chr(10) || chr(10) || ocr || chr(10) || chr(10) || c ELSE 'Category: aid' || chr(10) || chr(10) || ocr || chr(10) || chr(10) || question END").replace("FROM q)", "FROM (SELECT *, 'النص المذكور:' || chr(10) || ocr || chr(10) || chr(10) || 'هل الصورة تتفق مع هذا النص؟' || chr(10) || 'أجب بنعم أو لا أو غير واضح مع توضيح مختصر.' AS c FROM q))") + """
+    SELECT case_id, 1::BIGINT AS images, round(avg(CASE answer WHEN 'غير واضح' THEN 0.45 ELSE 0.95 END) FILTER (question <> 'c'), 3) AS overall_confidence, string_agg(answer, ',') FILTER (question = 'c') AS agrees FROM a GROUP BY case_id""")
+def vqa_cases(spark, d):
+    images = table(spark, d, "documents").select(F.col("doc_id").alias("case_id"), F.lit(0).alias("pos"), F.col("source").alias("image_path"), F.col("lang").alias("ocr"))
+    answers = agents.answer_questions(images, "aid", CASES)
+    agrees = answers.where("question_type = 'image_text_consistency'").select("case_id", F.col("answer").alias("agrees"))
+    return agents.overall_confidence(answers).join(agrees, "case_id")
+
+
+@query("""
+    WITH q AS (SELECT doc_id AS case_id, source AS image_path, lang AS ocr, unnest(['What?', 'هل يتفق؟']) AS question, unnest([0, 1]) AS question_no FROM documents),
+    """ + _vqa_sql("case_id, question_no", "'a case' || CASE WHEN question_no = 1 THEN chr(10) || chr(10) || 'OCR:' || chr(10) || ocr ELSE '' END || chr(10) || chr(10) || ocr || chr(10) || chr(10) || question") + """
+    SELECT case_id, question_no, answer, 0.95::DOUBLE AS confidence FROM a""")
+def vqa_batch(spark, d):
+    images = table(spark, d, "documents").select(F.col("doc_id").alias("case_id"), F.col("source").alias("image_path"), F.col("lang").alias("ocr"))
+    return agents.answer_batch(images, "a case", ["What?", "هل يتفق؟"]).select("case_id", "question_no", "answer", "confidence")
+
+
+@query("""
+    WITH t AS (SELECT user_id AS case_id, list(event_type ORDER BY ts, event_id)[:6] AS t FROM events GROUP BY user_id),
+    n AS (SELECT case_id, t, CASE WHEN coalesce(list_position(t, 'error'), 0) > 0 THEN list_position(t, 'error') ELSE len(t) END AS n FROM t)
+    SELECT case_id, n::INT AS model_calls, array_to_string(CASE WHEN n = 6 OR t[n] = 'error' THEN t[:n - 1] ELSE t END, ',') AS used, t[n] AS last FROM n""")
+def tool_loop(spark, d):
+    tool = F.when(F.col("event_type") != "error", F.col("event_type"))
+    # Six calls are all that a loop reads, so no more of a case's replies are kept.
+    first = windows.ranked_first(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], agents.TOOL_CALLS)
+    replies = first.groupBy(F.col("user_id").alias("case_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", tool.alias("tool"), F.col("event_type").alias("content")))), lambda x: F.struct(x.tool.alias("tool"), x.content.alias("content"))).alias("replies"))
+    return agents.tool_loop(replies).withColumn("used", F.array_join("used", ","))
+
+
+@query("SELECT doc_id, source AS search, lang AS cold FROM documents")
+def evidence_merge(spark, d):
+    e = agents.with_evidence(F.create_map(F.lit("search"), F.col("source"), F.lit("cold"), F.lit("old")), "cold", F.col("lang"))
+    return table(spark, d, "documents").select("doc_id", e.alias("e")).select("doc_id", F.col("e")["search"].alias("search"), F.col("e")["cold"].alias("cold"))
+
+
+@query("""
+    WITH e AS (SELECT event_id, event_id % 3 > 0 AS there FROM events)
+    SELECT 'skipped' AS how, count(*) FILTER (there) AS total, 0::BIGINT AS errors FROM e UNION ALL SELECT 'kept', count(*), count(*) FILTER (NOT there) FROM e""")
+def missing_files(spark, d):
+    e = table(spark, d, "events").select("event_id", F.concat(F.lit("/img/"), "event_id").alias("image_path"))
+    listing = e.where("event_id % 3 > 0").select(F.col("image_path").alias("path"))
+    skipped = agents.measured(e, listing, keep_errors=False).agg(F.count("*").alias("total")).select(F.lit("skipped").alias("how"), "total", F.lit(0).cast("long").alias("errors"))
+    return skipped.union(agents.measured(e, listing, keep_errors=True).agg(F.count("*").alias("total"), F.count_if(F.col("error").isNotNull()).alias("errors")).select(F.lit("kept").alias("how"), "total", "errors"))
+
+
+@query("SELECT lang, count(*) AS n, round(avg(CASE WHEN doc_id % 5 = 1 THEN 0 ELSE 1 END), 6) AS exact FROM documents WHERE doc_id % 5 > 0 GROUP BY lang")
+def blank_predictions(spark, d):
+    pred = F.when(F.col("doc_id") % 5 == 0, F.lit("  ")).when(F.col("doc_id") % 5 == 1, F.lit("?")).otherwise(F.col("source"))
+    rows = agents.read_pairs(table(spark, d, "documents").select("lang", "source", pred.alias("pred")))
+    return rows.groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg((F.col("pred") == F.col("source")).cast("int")), 6).alias("exact"))
+
+
+@query("""
+    WITH q AS (SELECT doc_id AS query_id, source || ' price' AS query FROM documents), s AS (SELECT t AS term, r::INT AS rank, t || r AS title FROM (SELECT unnest(['1', '2', '15']) AS t), (SELECT unnest([1, 2, 3, 4]) AS r)),
+    h AS (SELECT query_id, term, rank, title, row_number() OVER (PARTITION BY query_id ORDER BY rank, 'المصدر ' || rank || ': ' || title) AS k FROM q JOIN s ON contains(query, term) WHERE rank <= 3)
+    SELECT q.query_id, coalesce((SELECT string_agg('المصدر ' || rank || ': ' || title || ' | الرابط: u' || chr(10) || 'الملخص: c' || chr(10) || chr(10), '' ORDER BY k) FROM h WHERE h.query_id = q.query_id AND k <= 3), 'لم يتم العثور على نتائج للبحث.') AS context FROM q""")
+def web_search(spark, d):
+    store = spark.createDataFrame([(t, r, f"{t}{r}", "u", "c") for t in ("1", "2", "15") for r in range(1, 5)], "term string, rank int, title string, url string, content string")
+    return agents.web_results(table(spark, d, "documents").select(F.col("doc_id").alias("query_id"), F.concat("source", F.lit(" price")).alias("query")), store)
+
+
+@query("SELECT 'doc_' || doc_id AS document_id, '{\"document_id\": \"doc_' || doc_id || '\", \"page_count\": 1}' AS record FROM documents")
+def read_in_phases(spark, d):
+    folder = scratch(spark, "phases")
+    images = table(spark, d, "documents").select(F.concat(F.lit("doc_"), "doc_id").alias("document_id"), F.col("source").alias("image"))
+    return agents.read_in_phases(images, f"{folder}/texts", f"{folder}/records")
+
+
+@query("""
+    SELECT 'lang' AS module, 'summary' AS part, '{"total":' || count(*) || '}' AS content FROM documents
+    UNION ALL SELECT 'lang', 'result', '{"doc_id":' || doc_id || ',"lang":"' || lang || '"}' FROM documents""")
+def module_report(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang")
+    return writers.report("lang", docs.agg(F.count("*").alias("total")), docs)
+
+
+@query("SELECT event_id, event_type FROM events")
+def autosaved(spark, d):
+    path = scratch(spark, "autosave")
+    rows = table(spark, d, "events").select("event_id", "event_type")
+    part = lambda k: rows.where(F.pmod(F.col("event_id"), F.lit(4)) == k)
+    writers.autosave((part(k) for k in range(3)), path, "event_id")
+    writers.autosave((part(k) for k in range(4)), path, "event_id")  # as after a restart: what is there isn't written again
+    return spark.read.parquet(path)
+
+
+@query("SELECT doc_id, lang, source FROM documents")
+def written_records(spark, d):
+    path = scratch(spark, "records")
+    writers.write_records(table(spark, d, "documents").select("doc_id", "lang", "source"), path, by="lang")
+    return spark.read.schema("doc_id long, source string, lang string").json(path)
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, lang AS split, source FROM documents")
+def written_splits(spark, d):
+    path = scratch(spark, "splits")
+    writers.write_splits(table(spark, d, "documents").select("doc_id", F.col("lang").alias("split"), "source"), path)
+    return readers.read_labels(spark, path)
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'a.JPG' ELSE 'b.Tiff' END AS path FROM documents WHERE doc_id % 3 > 0")
+def image_paths(spark, d):
+    path = F.when(F.col("doc_id") % 3 == 0, "c.txt").when(F.col("doc_id") % 2 == 0, "a.JPG").otherwise("b.Tiff")
+    return table(spark, d, "documents").select("doc_id", path.alias("path")).where(readers.is_image(F.col("path")))
+
+
+@query("SELECT doc_id || CASE WHEN doc_id % 2 = 0 THEN '.jpg' ELSE '.png' END AS file, lang AS label FROM documents WHERE doc_id % 3 > 0")
+def labelled_files(spark, d):
+    rows = table(spark, d, "documents").select("source", F.concat("doc_id", F.when(F.col("doc_id") % 2 == 0, ".jpg").otherwise("")).alias("IMAGE"), F.when(F.col("doc_id") % 3 == 0, " NaN").otherwise(F.concat(F.lit(" "), "lang")).alias("MEDICINE_NAME"))
+    return readers.label_pairs(rows)
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id = 7")
+def one_by_key(spark, d):
+    return readers.by_key(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", 7)
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id IN (3, 5, 8) ORDER BY doc_id LIMIT 2")
+def listed_ids(spark, d):
+    return readers.by_id_list(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", "3, 5,,8", 2)
+
+
+@query("SELECT CASE WHEN doc_id % 5 = 0 THEN 'INVALID' ELSE 'OK' END AS status, count(*) AS n FROM documents GROUP BY 1")
+def validity_counts(spark, d):
+    payload = F.when(F.col("doc_id") % 5 == 0, F.lit("[]")).otherwise(F.to_json(F.struct("lang")))
+    rows = table(spark, d, "documents").select(jsonx.violations(payload, {"lang": {"type": "string", "required": True}}).alias("errors"))
+    return jsonx.validity_report(rows, "errors")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN props END AS object FROM events")
+def greedy_objects(spark, d):
+    said = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("so "), "props", F.lit(" it is"))).otherwise(F.concat("props", F.lit(" and {}")))
+    return table(spark, d, "events").select("event_id", jsonx.greedy_object(said).alias("object"))
+
+
+@query("SELECT event_id, props AS bare FROM events")
+def bare_replies(spark, d):
+    said = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" ```JSON\n"), "props", F.lit("\n``` "))).otherwise(F.col("props"))
+    return table(spark, d, "events").select("event_id", jsonx.strip_fences(said).alias("bare"))
+
+
+@query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS k FROM events) WHERE k = 1")
+def first_rows(spark, d):
+    return windows.first_of(table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+@query("SELECT 'a_' || doc_id AS document_id, 'a' AS document_type FROM documents UNION ALL SELECT 'b_' || item_id, 'b' FROM benchmark")
+def typed_documents(spark, d):
+    a = table(spark, d, "documents").select(F.concat(F.lit("/x/"), "doc_id", F.lit(".png")).alias("path"))
+    b = table(spark, d, "benchmark").select(F.concat(F.lit("/y/"), "item_id", F.lit(".jpg")).alias("path"))
+    return readers.typed_documents({"a": a, "b": b}).select("document_id", "document_type")
+
+
+@query("SELECT (SELECT count(*) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) > 0 AS labelled, false AS nothing")
+def shared_ids(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    return spark.createDataFrame([(joins.any_shared(docs, labels, "doc_id"), joins.any_shared(docs.where("false"), labels, "doc_id"))], "labelled boolean, nothing boolean")
+
+
+@query("SELECT vec_id, " + digest_sql("vec_id::VARCHAR", 101) + " / 100 AS ai FROM embeddings")
+def ai_probabilities(spark, d):
+    return providers.call(table(spark, d, "embeddings").select("vec_id"), "ai_probability", ["vec_id"], "ai")
+
+
+@query("SELECT event_id, sha256(event_type) AS sha256, length(event_type)::VARCHAR AS size FROM events")
+def remote_calls(spark, d):
+    r = providers.call(table(spark, d, "events").select("event_id", "event_type"), "remote", ["event_type"], "r")
+    return r.select("event_id", F.col("r")["sha256"].alias("sha256"), F.col("r")["size"].alias("size"))
+
+
+@query("""
+    WITH b AS (SELECT event_id, event_id % 90 AS x, event_id % 70 AS y, 100 AS w, 80 AS h FROM events)
+    SELECT event_id, greatest(0, x - 15)::BIGINT AS "left", greatest(0, y - 15)::BIGINT AS top, least(w, x + 45)::BIGINT AS "right", least(h, y + 45)::BIGINT AS bottom FROM b""")
+def padded_crops(spark, d):
+    x, y = F.col("event_id") % 90, F.col("event_id") % 70
+    boxes = table(spark, d, "events").select("event_id", x.alias("x0"), y.alias("y0"), (x + 30).alias("x1"), (y + 30).alias("y1"), F.lit(100).cast("long").alias("width"), F.lit(80).cast("long").alias("height"))
+    return images.crops(boxes).select("event_id", "left", "top", "right", "bottom")
+
+
+@query("""
+    WITH s AS (SELECT event_id, 100 + event_id % 3000 AS w, 50 + event_id % 1700 AS h FROM events), f AS (SELECT *, least(1.0::DOUBLE, 1024 / greatest(w, h)) AS k FROM s)
+    SELECT event_id, greatest(1, floor(w * k))::INT AS width, greatest(1, floor(h * k))::INT AS height FROM f""")
+def fitted_sizes(spark, d):
+    w, h = 100 + F.col("event_id") % 3000, 50 + F.col("event_id") % 1700
+    return table(spark, d, "events").select("event_id", images.fitted(w, h).alias("s")).select("event_id", "s.width", "s.height")
+
+
+@query()
+def image_assessment(spark, d):
+    """Pictures of 400 x 8 pixels out of each vector, four pages a document."""
+    shade = F.transform("embedding", lambda x: F.round((x.cast("double") * (1 + F.col("vec_id") % 3) + 1) * (60 + F.col("vec_id") % 80)))
+    rows = table(spark, d, "embeddings").select("vec_id", F.flatten(F.array_repeat(shade, 50)).alias("pixels"))
+    return rows.select("vec_id", images.assessed("pixels", F.lit(400)).alias("a")).select("vec_id", "a.*")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns(zoneless) if zoneless else df
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path that no other run uses, in the folder that executors and driver share."""
+    folder = with_checkpoints(spark).sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{re.sub('^file:/(?!/)', 'file:///', folder)}/{name}-{uuid.uuid4().hex}"
+
+
 def with_checkpoints(spark: SparkSession) -> SparkSession:
-    """The session, with its checkpoint folder set: the one that the cluster names, or, where none is named, a temporary one."""
+    """The session, with its checkpoint folder set: the one that the cluster names.
+
+    Where none is named, a session in local mode gets a temporary one; on a cluster that is an error, as each
+    executor would write to a disk of its own.
+    """
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="paperloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
+        spark.sparkContext.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="paperloom-"))
     return spark

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -59,10 +61,21 @@ def deleted(store: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return store.join(keys.select(key).distinct(), key, "left_anti")
 
 
-def report(spark: SparkSession, module: str, summary: DataFrame, results: DataFrame) -> DataFrame:
-    """module, summary and results as one row (SNK10); results are those of one batch of inputs."""
-    gathered = results.agg(F.collect_list(F.struct(*results.columns)).alias("results"))
-    return summary.select(F.struct(*summary.columns).alias("summary")).crossJoin(gathered).select(F.lit(module).alias("module"), "summary", "results")
+def report(module: str, summary: DataFrame, results: DataFrame) -> DataFrame:
+    """A module's report (SNK10) as rows (module, part, content): one of the summary, and one of each result, as JSON."""
+    row = lambda df, part: df.select(F.lit(module).alias("module"), F.lit(part).alias("part"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("content"))
+    return row(summary, "summary").union(row(results, "result"))
+
+
+def write_report(module: str, summary: DataFrame, results: DataFrame, path: str) -> None:
+    """The report as JSON lines, its one summary and its results in folders of their own; nothing is gathered."""
+    for part, rows in (("summary", summary.coalesce(1)), ("results", results)):
+        rows.select(F.lit(module).alias("module"), *rows.columns).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{part}")
+
+
+def autosave(batches: Iterable[DataFrame], path: str, key: str) -> int:
+    """Appends each of some batches as it is done, without rows that are there already, so a run goes on where it broke off (SNK6)."""
+    return sum(append_missing(batch, path, key) for batch in batches)
 
 
 def percent(part: Column, whole: Column, floor: bool = False) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from paperloom.functions import constants as K
+
+#: White space as the plans' patterns have it.
+WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -47,20 +52,32 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def keyed_history(turns: DataFrame, limit: int = 900) -> DataFrame:
-    """Each conversation's history as turns come (STA6): columns conv_id, turn, question, answer."""
+def after_turn(history: str, question: str | None, answer: str | None, limit: int = K.HISTORY_CHARS) -> str:
+    """``folds.append_turn`` for one turn at a time."""
+
+    def tail(text: str) -> str:
+        s = " ".join(WHITE.split(text)).strip(" ")
+        return "[...]" + s[-limit:] if len(s) > limit else s
+
+    h, q, a = (" ".join(WHITE.split(x or "")).strip(" ") for x in (history, question, answer))
+    if not q and not a:
+        return tail(h)
+    turn = f"س: {q} ج: {a}" if re.search(K.ARABIC_LETTER, q or a) else f"Q: {q} A: {a}"
+    merged = f"{h} {turn}".strip(" ") if h else turn.strip(" ")
+    return merged if len(merged) <= limit else tail("[...]" + merged[-max(250, int(limit * 0.6)) :])
+
+
+def keyed_history(turns: DataFrame, limit: int = K.HISTORY_CHARS) -> DataFrame:
+    """Each conversation's history as turns come (STA6): columns conv_id, turn, question, answer.
+
+    Turns of one micro-batch are taken in order of ``turn``; the history is that of ``folds.chat_history``.
+    """
 
     def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         history, n = state.get if state.exists else ("", 0)
         rows = pd.concat(list(batches)).sort_values("turn")
         for q, a in zip(rows["question"], rows["answer"], strict=True):
-            q, a = " ".join((q or "").split()), " ".join((a or "").split())
-            if not q and not a:
-                continue
-            history = f"{history} Q: {q} A: {a}".strip()
-            n += 1
-            if len(history) > limit:
-                history = "[...]" + history[-max(250, int(limit * 0.6)) :]
+            history, n = after_turn(history, q, a, limit), n + 1
         state.update((history, n))
         yield pd.DataFrame({"conv_id": [key[0]], "n_turns": [n], "history": [history]})
 

@@ -26,4 +26,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return "/root/testdata/sf0.001"
+    return os.environ.get("PAPERLOOM_TEST_TABLES", "/root/testdata/sf0.001")

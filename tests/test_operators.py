@@ -99,7 +99,7 @@ def test_word_distance(spark):
 
 
 def test_whole_texts_of_all_languages(spark, tmp_path):
-    """wer_micro and fuzzy_best_match_sequence against brute force over texts longer than 120 characters and not in ASCII."""
+    """Error rates and fuzzy_best_match_sequence against brute force over texts longer than 120 characters and not in ASCII."""
     from paperloom.plans.catalogue import QUERIES
 
     def distance(a, b):
@@ -117,9 +117,14 @@ def test_whole_texts_of_all_languages(spark, tmp_path):
     want = {}
     for i, t, lang, _ in docs:
         pred = (t.replace("e", ""), t.replace("a", "o"), t)[i % 3]
-        n, edits, words = want.get(lang, (0, 0, 0))
-        want[lang] = n + 1, edits + distance(pred.split(), t.split()), words + len(t.split())
-    assert {x["lang"]: (x["samples"], x["word_edits"], x["words"]) for x in QUERIES["wer_micro"](spark, str(tmp_path)).collect()} == want
+        n, edits, words, letters = want.get(lang, (0, 0, 0, 0))
+        want[lang] = n + 1, edits + distance(pred.split(), t.split()), words + len(t.split()), letters + distance(pred, t)
+    t = F.col("text")
+    read = F.when(F.col("doc_id") % 3 == 0, F.replace(t, F.lit("e"), F.lit(""))).when(F.col("doc_id") % 3 == 1, F.replace(t, F.lit("a"), F.lit("o"))).otherwise(t)
+    rates = metrics.error_rates(spark.read.parquet(str(tmp_path / "documents.parquet")).select("lang", read.alias("pred"), t.alias("gold")), ["lang"])
+    assert {x["lang"]: (x["samples"], x["word_edits"], x["words"], x["char_edits"]) for x in rates.collect()} == want
+    dropped = lambda t: [w for w in t.split() if w in ("the", "and", "der", "die", "de", "la", "que", "les", "of", "un")]
+    assert {x["lang"]: x["word_edits"] for x in QUERIES["wer_micro"](spark, str(tmp_path)).collect()} == {lang: sum(len(dropped(t)) for i, t, x, _ in docs if x == lang and i % 3 < 2) for lang in want}
     best = {}
     for i, t, *_ in docs:
         w = t.split(" ")
@@ -196,6 +201,134 @@ def test_greedy_accept_index_by_brute_force(spark, tmp_path):
     assert len(got) == len(rows) and {x["item"]: (x["decision"], x["like"]) for x in got} == want
 
 
+@pytest.mark.parametrize("finish", [0, 20, 10**6])
+def test_greedy_accept_rounds(spark, finish):
+    """By rounds alone, by rounds and a fold, by a fold alone: a chain, a star and random edges."""
+    r = random.Random(21)
+    items = [(i, r.random() * 0.8) for i in range(120)]
+    edges = {(i + 1, i) for i in range(30)} | {(i, 40) for i in range(41, 60)} | {(max(a, b), min(a, b)) for a, b in (r.sample(range(60, 120), 2) for _ in range(60))}
+    taken, want = set(), {}
+    for i, ai in items:
+        hit = [e for x, e in edges if x == i and e in taken]
+        want[i] = ("ai", None) if ai >= 0.7 else ("duplicate", min(hit)) if hit else ("accepted", None)
+        if want[i][0] == "accepted":
+            taken.add(i)
+    got = folds.greedy_accept(spark.createDataFrame(items, "item long, ai double"), spark.createDataFrame(sorted(edges), "item long, earlier long"), finish=finish)
+    assert {x["item"]: (x["decision"], x["like"]) for x in got.collect()} == want
+
+
+def test_stream_history_is_the_batch_history(spark, tmp_path):
+    """Arabic and long turns, blanks, and turns that come in several micro-batches."""
+    long = "word " * 300
+    turns = [(1, 1, "مرحبا", "أهلا"), (1, 2, "what?", long), (1, 3, "", ""), (1, 4, " a \u00a0 b ", None), (2, 1, "", "answer"), (2, 2, long, "سؤال"), (2, 3, "end", "x"), (3, 1, None, None)]
+    schema = "conv_id long, turn long, question string, answer string"
+    table = spark.createDataFrame(turns, schema)
+    want = {r["conv_id"]: (r["n_turns"], r["history"]) for r in folds.chat_history(table).collect()}
+    for k in range(1, 5):
+        table.where(f"turn = {k}").coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    histories = streams.keyed_history(stream)
+    query = histories.writeStream.outputMode("update").format("memory").queryName("histories").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = spark.table("histories").collect()
+    last = {}
+    for r in rows:
+        if r["n_turns"] >= last.get(r["conv_id"], (0, ""))[0]:
+            last[r["conv_id"]] = (r["n_turns"], r["history"])
+    assert last == want
+
+
+def test_flatten_is_whole(spark):
+    """Depth, number of rows, number forms, repeated names, and what isn't JSON."""
+    import json
+
+    deep = "[" * 300 + "1" + "]" * 300
+    rows = [(1, deep), (2, '{"a":1.50,"b":-0,"c":1e3,"d":true,"e":" x  y ","f":{},"g":"","a":2}'), (3, "NaN"), (4, "[1,]"), (5, '"text"'), (6, json.dumps(list(range(50_000)))), (None, "[null]")]
+    got = {}
+    for r in jsonx.flatten(spark.createDataFrame(rows, "id long, p string"), "id", "p").collect():
+        got.setdefault(r["id"], []).append((r["path"], r["value"], r["vtype"]))
+    assert got.pop(6) == [(f"[{k}]", str(k), "number") for k in range(50_000)]
+    assert got == {1: [("[0]" * 300, "1", "number")], 2: [("a", "2", "number"), ("b", "0", "number"), ("c", "1000.0", "number"), ("d", "true", "boolean"), ("e", "x y", "string"), ("g", None, "null")], 5: [("", "text", "string")], None: [("[0]", None, "null")]}
+
+
+def test_compared_fields(spark):
+    pred = spark.createDataFrame([(1, '{"a":1,"b":"x","c":null,"d":true}'), (2, '{"a":1}'), (4, "bad")], "id long, p string")
+    gold = spark.createDataFrame([(1, '{"a":1.0,"b":"y","e":2,"d":1}'), (3, '{"a":1}'), (4, '{"a":1}')], "id long, p string")
+    got = {(r["id"], r["path"]): r["correct"] for r in joins.compared_fields(jsonx.flatten(pred, "id", "p"), jsonx.flatten(gold, "id", "p"), "id").collect()}
+    assert got == {(1, "a"): True, (1, "b"): False, (1, "c"): True, (1, "d"): True, (1, "e"): False}
+
+
+def test_edit_distances():
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    r = random.Random(4)
+    for _ in range(300):
+        a, b = ("".join(r.choices("abé ", k=r.randint(0, 12))) for _ in range(2))
+        assert arrow_udfs.edits(a, b) == slow(a, b)
+        lcs = difflib.SequenceMatcher(None, a, b)  # a lower bound only, so the longest is counted anew
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+        assert arrow_udfs.common_length(a, b) == row[-1] >= sum(m.size for m in lcs.get_matching_blocks())
+
+
+def test_agents(spark, tmp_path):
+    from paperloom.operators import agents
+
+    images = spark.createDataFrame([(1, 0, "a.png", "نص"), (1, 1, "b.png", None)], "case_id long, pos int, image_path string, ocr string")
+    rows = agents.answer_questions(images, "medical", ["What?"]).collect()
+    assert sorted((r["image_id"], r["question_type"]) for r in rows) == [(f"IMG-00{k}", t) for k in (1, 2) for t in ("image_text_consistency", "question")]
+    assert agents.overall_confidence(agents.answer_questions(images.limit(0), "x", ["What?"])).count() == 0
+    replies = spark.createDataFrame([(1, [("s", "a"), (None, "done"), ("s", "no")]), (2, [("s", str(k)) for k in range(9)]), (3, [])], "case_id long, replies array<struct<tool:string,content:string>>")
+    assert {r["case_id"]: (r["model_calls"], len(r["used"]), r["last"]) for r in agents.tool_loop(replies).collect()} == {1: (2, 1, "done"), 2: (6, 5, "5"), 3: (0, 0, "")}
+    m = one(spark, agents.with_evidence(F.create_map(F.lit("cold"), F.lit("c"), F.lit("search"), F.lit("s")), "search", F.lit("t")))
+    assert m == {"cold": "c", "search": "t"}
+    assert one(spark, agents.web_query(F.lit("x"))) == "x في مصر" and one(spark, agents.web_query(F.lit("x مصر"))) == "x مصر"
+    docs = spark.createDataFrame([("d1", "i"), ("d2", "j")], "document_id string, image string")
+    first = agents.read_in_phases(docs.limit(1), str(tmp_path / "t"), str(tmp_path / "r")).collect()
+    again = agents.read_in_phases(docs, str(tmp_path / "t"), str(tmp_path / "r")).collect()
+    assert len(first) == 1 and sorted(r["document_id"] for r in again) == ["d1", "d2"]
+    asked = spark.createDataFrame([("q", ""), ("it?", "Q: x A: y")], "question string, history string")
+    assert [r["question_alone"] for r in agents.rewritten(asked).collect()] == ["q", "it?"]
+
+
+def test_image_recipes(spark):
+    import numpy as np
+
+    from paperloom.operators import images
+
+    r = np.random.default_rng(1)
+    flat = np.full((30, 420), 90, np.uint8)
+    assert (images.unsharp(flat) == 90).all() and (images.bilateral(flat) == 90).all() and (images.closing(flat) == 90).all() and (images.stretched(flat) == 90).all()
+    noisy = r.integers(0, 256, (40, 420)).astype(np.uint8)
+    slow = np.array([[noisy[max(0, i - 1) : i + 2, max(0, j - 1) : j + 2].max() for j in range(420)] for i in range(40)])
+    assert (images.extreme(noisy, np.ones((3, 3), bool), True) == slow).all()
+    assert (images.closing(noisy) >= noisy).all() and images.ellipse(51).sum() > 0.7 * 51 * 51
+    assert images.gamma(flat, 1.3)[0, 0] == int((90 / 255) ** (1 / 1.3) * 255)
+    narrow = r.normal(120, 10, (64, 420)).clip(0, 255).astype(np.uint8)
+    assert images.equalized(narrow).std() > 1.3 * narrow.std()
+    dim = (np.tile(np.linspace(20, 90, 420), (40, 1)) + r.normal(0, 3, (40, 420))).clip(0, 255).astype(np.uint8)
+    kind = images.kind_of(dim, 50.0)
+    assert kind == "underexposed_phone" and images.recipe(kind, dim, 50.0).done[0] == "shadow_correction"
+    df = spark.createDataFrame([(noisy.ravel().astype(float).tolist(), 420), ([1.0] * 40, 8)], "p array<double>, w int")
+    got = df.select(images.assessed("p", "w").alias("a")).select("a.*").collect()
+    assert got[0]["tier"] == "PASS" and got[0]["resolution"] == "420x40" and got[1]["image_type"] == "low_resolution" and got[1]["steps"] == []
+    pages = spark.createDataFrame([("d", 1, "PASS", 400.0), ("d", 2, "WARNING", 200.0)], "doc string, page int, tier string, sharpness double")
+    assert tuple(images.page_summary(pages, "doc").first()) == ("d", 2, 1, [2], 300.0, "WARNING")
+    v = providers.call(spark.createDataFrame([("a",)], "t string"), "embed_image", ["t"], "e").first()["e"]
+    assert len(v) == 512 and abs(sum(x * x for x in v) - 1) < 1e-5
+    b = providers.call(spark.createDataFrame([("a",)], "t string"), "detect", ["t"], "b").first()["b"]
+    assert len(b) == 2 and 0 <= b[0]["conf"] <= 1
+
+
 def test_inquiry(spark):
     rows = spark.createDataFrame([(1, ["vqa", "vqa"]), (2, ["search", "vqa", "search"]), (3, ["report"])], "case_id long, steps array<string>")
     assert {r["case_id"]: r["path"] for r in folds.inquiry(rows).collect()} == {1: "vqa>report", 2: "search>vqa>report", 3: "report"}
@@ -221,8 +354,8 @@ def test_sinks(spark, tmp_path):
     assert writers.append_missing(rows, path, "id") == 0
     writers.write_lines(rows, rules.yolo_line(F.lit(3), F.struct(*(F.lit(0.5).alias(x) for x in ("xc", "yc", "w", "h")))), str(tmp_path / "lines"))
     assert spark.read.text(str(tmp_path / "lines")).first()[0] == "3 0.500000 0.500000 0.500000 0.500000"
-    report = writers.report(spark, "m", rows.agg(F.count("*").alias("n")), rows).first()
-    assert report["summary"]["n"] == 3 and len(report["results"]) == 3
+    report = writers.report("m", rows.agg(F.count("*").alias("n")), rows).collect()
+    assert [r["content"] for r in report if r["part"] == "summary"] == ['{"n":3}'] and sum(r["part"] == "result" for r in report) == 3
 
 
 def test_providers(spark):

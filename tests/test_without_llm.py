@@ -25,3 +25,11 @@ def test_entry_without_them(tmp_path):
     (tmp_path / "__spark_entry__.py").write_text((ROOT / "__spark_entry__.py").read_text())
     code = "import __spark_entry__ as e; q = e.queries(); assert 'benchmark_fields' in q and not any(x.startswith('op1_') for x in q) and 'pipeline' not in q; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"}, check=True, timeout=120)
+
+
+def test_entry_without_their_libraries(tmp_path):
+    """A library that only they need is missing: all other queries are there."""
+    for name in ("xxhash", "zstandard", "regex", "tokenizers"):
+        (tmp_path / f"{name}.py").write_text("raise ImportError('not here')")
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'benchmark_fields' in q and 'pipeline' not in q; e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, env={"PYTHONPATH": f"{tmp_path}:{ROOT}", "PATH": "/usr/bin:/bin"}, check=True, timeout=120)
