@@ -69,8 +69,10 @@ def edits(a: Sequence[str], b: Sequence[str]) -> int:
     while end < min(len(a), len(b)) - begin and a[-1 - end] == b[-1 - end]:
         end += 1
     a, b = a[begin : len(a) - end], b[begin : len(b) - end]
-    if not a or not b:
-        return len(a) or len(b)
+    a, b = sorted((a, b), key=len)
+    rest = iter(b)
+    if all(x in rest for x in a):  # a part of the other, in order: what the other has besides must be put in
+        return len(b) - len(a)
     where: dict[str, int] = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
