@@ -12,8 +12,8 @@ a document) / ``share`` of them: one array for each host, joined by a broadcast
 hosts.
 
 A null or empty text has no words and fails the base rules.  A null source is a host of its own.
-Repeated rows count once by their text and get a row each.  An empty table gives an empty result.
-Further columns of the input are not read.
+Repeated rows count once by their text and get a row each.  Very long texts are read whole.  An empty
+table gives an empty result.  Further columns of the input, of any name, are not read (``cleaned`` keeps them).
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ MIN_DOCS = 20
 SHARE = 0.05
 KEEP_SHARE = 0.5
 MIN_WORDS = 50
+BROADCAST_HASHES = 2_000_000
 #: What separates words, and what counts as a symbol.
 GAP = "[\\x20\\x09-\\x0D]+"
 GAP_LETTERS = " \t\n\u000b\f\r"
@@ -96,7 +97,9 @@ def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE)
 
 def with_verdict(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, the base metrics, n_removed_words, base_failed, kept, and text without boilerplate lines."""
-    found = small_side(stored(boilerplate(docs, min_docs, share), "boilerplate"), 20_000)
+    found = stored(boilerplate(docs, min_docs, share), "boilerplate")
+    if (found.agg(F.sum(F.size("hashes"))).first()[0] or 0) <= BROADCAST_HASHES:  # 8 bytes each
+        found = small_side(found, 20_000)
     rows = base_metrics(docs)
     joined = rows.join(found, F.col("source").eqNullSafe(F.col("host")), "left")
     flagged = lambda line: F.coalesce(F.array_contains("hashes", line_hash(line)), F.lit(False))
