@@ -398,6 +398,15 @@ def test_op3_edges(spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (5, None)], "doc_id long, quality int")
     got = mil_quality.score_documents(table, labels).collect()
     assert len(got) == table.count() and all(0 <= r["score"] <= 1 for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+    # Null, empty and blank texts are one passage of zeros; repeated rows score alike; a long text has all its passages.
+    assert len({by[i][0]["score"] for i in (0, 1, 2)}) == 1 and by[0][0]["passages"] == 1
+    assert sorted(r["score"] for r in by[3])[0] == sorted(r["score"] for r in by[3])[1] or len({r["score"] for r in by[3]}) == 2
+    assert by[6][0]["passages"] == -(-6000 // mil_quality.PASSAGE)
+    assert [r["held_out"] for r in by[None]] == [False, False]
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, rows in by.items() if i is not None for r in rows)
     none = mil_quality.score_documents(table, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.5}
     assert mil_quality.score_documents(table.limit(0), labels).count() == 0
@@ -658,9 +667,38 @@ def test_op7_edges(spark):
     labels = spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, toxic int")
     assert toxicity.grade_documents(table, labels).count() == table.count()
     assert toxicity.clean(table, labels.limit(0)).count() == table.count()
+    both = spark.createDataFrame([(3, 1), (3, 1), (4, 0), (5, None)], "doc_id long, toxic int")  # repeated labels, and an id on several rows
+    got = toxicity.grade_documents(table, both).collect()
+    assert len(got) == table.count() and all(0 <= r["severity"] <= toxicity.GRADES and r["toxic"] == (r["p_toxic"] >= 0.5) for r in got)
+    assert {(r["severity"], r["grade"], r["toxic"]) for r in toxicity.grade_documents(table, labels.limit(0)).collect()} == {(0.0, 0, False)}
     assert toxicity.grade_documents(table.limit(0), labels).count() == 0
 
 
+def test_op3_reads_whole_passages():
+    """Capitals anywhere in a passage count, whatever lower case does to a letter's length; long words keep their shape."""
+    encoder, at = mil_quality.Encoder(), mil_quality.SHAPES + 9
+    small, late = ["a" * 40] * 95, ["a" * 40] * 94 + ["B" * 40]
+    assert encoder.passage(small)[at] == 0 and encoder.passage(late)[at] == 40 / 3800
+    dotted = encoder.passage(["İ", *["word"] * 95])[at]
+    assert dotted == 1 / 381
+    assert mil_quality.shape("a" * 30 + "1" + "b" * 30) == mil_quality.shape("a1b") != mil_quality.shape("a" * 61)
+
+
+def test_op3_op7_held_out_at_scale(spark):
+    """Figures on a larger table, with the labels of every fifth document kept back."""
+    sf = "/root/testdata/sf0.1"
+    labels, docs = spark.read.parquet(f"{sf}/labels.parquet"), spark.read.parquet(f"{sf}/documents.parquet")
+    got = queries.op3_attention_quality(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    bad = np.array([r["score"] for r in got if not r["quality"]])
+    assert np.mean([(bad < r["score"]).mean() for r in got if r["quality"]]) > 0.99
+    graded = toxicity.grade_documents(docs, labels.where("doc_id % 5 <> 0")).withColumnRenamed("toxic", "found").join(labels.where("doc_id % 5 = 0"), "doc_id").collect()
+    hits = [r["found"] for r in graded if r["toxic"]]
+    false = [r["found"] for r in graded if not r["toxic"]]
+    assert np.mean(hits) > 0.95 and np.mean(false) < 0.01
+    # Grades follow how toxic the text is, not only whether it is: all of them occur.
+    assert {r["grade"] for r in graded if r["found"]} == {1, 2, 3}
+
+
 # --- rollups -----------------------------------------------------------------------------------
 
 
