@@ -20,10 +20,22 @@ def strip_fences(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.trim(c), r"(?is)^```(?:json)?\s*|\s*```$", ""))
 
 
+def is_json(c: Column) -> Column:
+    """Whether a text is one JSON value and nothing else.
+
+    ``try_parse_json`` leaves what follows the first value unread; within brackets and within braces, what follows
+    can't be right for both.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}")))
+    one = F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.coalesce(listed.isNotNull() & named.isNotNull() & one, F.lit(False))
+
+
 def greedy_object(c: Column) -> Column:
     """From the first opening to the last closing brace, if that parses (JSN3)."""
     found = F.regexp_extract(c, OBJECT, 1)
-    return F.when(F.try_parse_json(found).isNotNull() & (found != ""), found)
+    return F.when((found != "") & is_json(found), found)
 
 
 def without_trailing_commas(c: Column) -> Column:
@@ -35,7 +47,7 @@ def lenient_object(c: Column, form_feeds: bool = True) -> Column:
     bare = F.regexp_replace(F.coalesce(c, F.lit("")), "(?i)```(?:json)?", "")
     bare = F.replace(bare, F.lit("\f"), F.lit("")) if form_feeds else bare
     found = without_trailing_commas(F.regexp_extract(bare, OBJECT, 1))
-    return F.when((found != "") & F.try_parse_json(found).isNotNull(), found).otherwise("{}")
+    return F.when((found != "") & is_json(found), found).otherwise("{}")
 
 
 def retried_object(c: Column) -> Column:
@@ -56,8 +68,7 @@ def repaired_search(c: Column, keys: Sequence[str] = ("definitions", "medical_an
 def kind(text: Column) -> Column:
     """object, array, string, number, boolean or null of a JSON text; null if it isn't any."""
     t = F.ltrim(text)
-    parsed = F.try_parse_json(text).isNotNull()
-    return F.when(~parsed, None).when(t.startswith("{"), "object").when(t.startswith("["), "array").when(t.startswith('"'), "string").when(F.rlike(t, F.lit("^(true|false)")), "boolean").when(t.startswith("null"), "null").otherwise("number")
+    return F.when(~is_json(text), None).when(t.startswith("{"), "object").when(t.startswith("["), "array").when(t.startswith('"'), "string").when(F.rlike(t, F.lit("^(true|false)")), "boolean").when(t.startswith("null"), "null").otherwise("number")
 
 
 def flatten(df: DataFrame, key: str, payload: str) -> DataFrame:

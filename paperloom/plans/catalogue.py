@@ -51,7 +51,6 @@ URGENT, REQUEST, THANKS = ["and", "was"], ["the", "of"], ["is", "to"]
 PLACES = ["the", "and", "der", "que", "les", "ción"]
 STOPS = ["the", "and", "for", "that", "with"]
 TWIN_DIALECT = [("the", "THE"), ("and", "&"), ("THE ", "the_"), ("ing", "in")]
-ASCII_ONLY = "NOT regexp_matches(text, '[^\\x00-\\x7F]')"
 
 
 def _records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -111,12 +110,18 @@ def normalize_ocr(spark, d):
 
 LITERALS = ["مُحَمَّد  إبراهيم ٢٠٢٤", " القاهرة، ", "سؤال: على المستشفى!", "سؤال قائمة إلى", "  Napa - 500 Mg. ", "محتاج علاج دلوقتي ٥٠٠ جنيه القاهرة", "شكراً لكم", "plain text"]
 LITERAL_SQL = "(SELECT unnest(range(1, " + str(len(LITERALS) + 1) + ")) AS id, unnest(" + listed(LITERALS) + ") AS t) l"
+#: The literals, and the texts of all documents after them.
+SAID_SQL = f"(SELECT id, t FROM {LITERAL_SQL} UNION ALL SELECT doc_id + 1000, text FROM documents) s"
 
 
 def _literals(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, t) for i, t in enumerate(LITERALS, 1)], "id long, t string")
 
 
+def _said(spark: SparkSession, d: str) -> DataFrame:
+    return _literals(spark).union(table(spark, d, "documents").select(F.col("doc_id") + 1000, "text"))
+
+
 MARKS_SQL = "[\\x{0617}-\\x{061A}\\x{064B}-\\x{0652}\\x{0670}\\x{0640}]"
 
 
@@ -124,15 +129,15 @@ MARKS_SQL = "[\\x{0617}-\\x{061A}\\x{064B}-\\x{0652}\\x{0670}\\x{0640}]"
     SELECT id, lower(trim(regexp_replace(translate(regexp_replace(translate(t, '٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹', '01234567890123456789'), '{MARKS_SQL}', '', 'g'), 'أإآىة', 'ااايه'), '\s+', ' ', 'g'))) AS eval_text,
            lower(trim(trim(regexp_replace(translate(regexp_replace(translate(t, '٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹', '01234567890123456789'), '{MARKS_SQL}', '', 'g'), 'أإآىة', 'ااايه'), '\s+', ' ', 'g')), ' .,:;،')) AS bare_text,
            lower(regexp_replace(translate(regexp_replace(trim(t), '{MARKS_SQL}', '', 'g'), 'إأآىؤئ', 'اااي' || 'ءء'), '[^\p{{L}}\p{{N}}_\s]', '', 'g')) AS vqa_text
-    FROM {LITERAL_SQL}""")
+    FROM {SAID_SQL}""")
 def normalize_eval_letters(spark, d):
     t = F.col("t")
-    return _literals(spark).select("id", text.normalize_eval(t).alias("eval_text"), text.normalize_eval(t, edges=True).alias("bare_text"), text.normalize_vqa(t).alias("vqa_text"))
+    return _said(spark, d).select("id", text.normalize_eval(t).alias("eval_text"), text.normalize_eval(t, edges=True).alias("bare_text"), text.normalize_vqa(t).alias("vqa_text"))
 
 
-@query(f"SELECT id, trim(translate(t, 'أإآىةؤئ', 'ااايهوي')) AS asr_text FROM {LITERAL_SQL}")
+@query(f"SELECT id, trim(translate(t, 'أإآىةؤئ', 'ااايهوي')) AS asr_text FROM {SAID_SQL}")
 def asr_normalize(spark, d):
-    return _literals(spark).select("id", text.normalize_asr(F.col("t")).alias("asr_text"))
+    return _said(spark, d).select("id", text.normalize_asr(F.col("t")).alias("asr_text"))
 
 
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '\s+', ' ', 'g')) AS caption FROM pages")
@@ -396,31 +401,28 @@ def exact_dup_hash(spark, d):
     return joins.exact_duplicates(table(spark, d, "documents"), "doc_id", "text")
 
 
-TARGETS = """
-    t AS (SELECT item_id AS doc, text AS target FROM benchmark WHERE """ + ASCII_ONLY + """ AND item_id % 4 = 0),
-    k AS (SELECT item_id AS doc, unnest(string_split(text, ' ')) AS text, unnest(range(len(string_split(text, ' ')))) AS pos FROM benchmark WHERE """ + ASCII_ONLY + """ AND item_id % 4 = 0)
-"""
+#: Letters that take several bytes, and signs that no token holds: in SQL an edit distance goes by bytes.
+WIDE, NARROW = "ÄÇÈÉÊÑÖÜßäçèéêíñóöüáúàâîôû", "!#$%&()*+-/:;<=>?@[]^_{|}~"
 
 
-def _fields_and_tokens(spark: SparkSession, d: str, ascii_only: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Fields and tokens of every row; ``ascii_only``: of the rows that the SQL of ``fuzzy_best_match`` compares."""
-    b = table(spark, d, "benchmark").where("not rlike(text, '[^\\\\x00-\\\\x7F]')" if ascii_only else "true").select(F.col("item_id").alias("document_id"), "text")
+def _fields_and_tokens(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    b = table(spark, d, "benchmark").select(F.col("item_id").alias("document_id"), "text")
     tokens = b.select("document_id", F.posexplode(F.split("text", " ")).alias("pos", "text"))
     fields = b.select("document_id", F.lit("third").alias("field"), F.concat_ws(" ", F.get(F.split("text", " "), 3), F.get(F.split("text", " "), 4)).alias("target"))
     return fields, tokens
 
 
-TOKENS = "WITH b AS (SELECT item_id AS document_id, string_split(text, ' ') AS w FROM benchmark WHERE " + ASCII_ONLY + r"""),
+TOKENS = rf"""WITH b AS (SELECT item_id AS document_id, string_split(text, ' ') AS w FROM benchmark),
     f AS (SELECT document_id, 'third' AS field, concat_ws(' ', w[4], w[5]) AS target FROM b),
     k AS (SELECT document_id, unnest(w) AS text, unnest(range(len(w))) AS pos FROM b),
     c AS (SELECT document_id, text, pos, 0 AS pair FROM k UNION ALL SELECT document_id, text || ' ' || nxt, pos, 1 FROM (SELECT *, lead(text) OVER (PARTITION BY document_id ORDER BY pos) AS nxt FROM k) WHERE nxt IS NOT NULL),
-    s AS (SELECT document_id, field, target, text, round(CASE WHEN greatest(length(target), length(text)) = 0 THEN 1 ELSE 1 - levenshtein(target, text) / greatest(length(target), length(text)) END, 6) AS score, pair, pos FROM f JOIN c USING (document_id))
+    s AS (SELECT document_id, field, target, text, round(CASE WHEN greatest(length(target), length(text)) = 0 THEN 1 ELSE 1 - levenshtein(translate(target, '{WIDE}', '{NARROW}'), translate(text, '{WIDE}', '{NARROW}')) / greatest(length(target), length(text)) END, 6) AS score, pair, pos FROM f JOIN c USING (document_id))
 """
 
 
 @query(TOKENS + "SELECT document_id, field, target, text, score FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY score DESC, pair, pos) AS k FROM s) WHERE k = 1")
 def fuzzy_best_match(spark, d):
-    return joins.best_token_match(*_fields_and_tokens(spark, d, ascii_only=True), score=joins.levenshtein_score)
+    return joins.best_token_match(*_fields_and_tokens(spark, d), score=joins.levenshtein_score)
 
 
 @query()

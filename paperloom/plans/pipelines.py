@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, text
-from paperloom.operators import folds, joins, providers
+from paperloom.operators import agents, folds, joins, providers
 from paperloom.session import table
 
 
@@ -40,11 +40,13 @@ def case_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rag_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Questions to grounded answers: embed, retrieve, build a context within its limit, answer, append to history."""
+    """Questions to grounded answers: rewrite what leans on the history, embed, retrieve, build a context within its limit, answer, append to history."""
     passages = table(spark, d, "benchmark").select(F.col("item_id").alias("vec_id"), "text")
     passages = providers.call(passages.withColumn("passage", text.passage(F.lit(""), F.col("text"), F.col("vec_id").cast("string"), F.array().cast("array<string>"))), "embed", ["passage"], "embedding")
-    asked = table(spark, d, "conversations").where("role = 'user'").withColumn("vec_id", -1 - (F.col("conv_id") * 1000 + F.col("turn")))
-    asked = providers.call(asked.withColumn("query", F.concat(F.lit("query: "), text.squeeze(F.col("text")))), "embed", ["query"], "embedding")
+    asked = table(spark, d, "conversations").where("role = 'user'").withColumn("vec_id", -1 - (F.col("conv_id") * 1000 + F.col("turn"))).withColumn("question", F.col("text"))
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    asked = agents.rewritten(asked.withColumn("history", F.coalesce(F.concat(F.lit("Q: "), before), F.lit(""))))
+    asked = providers.call(asked.withColumn("query", F.concat(F.lit("query: "), text.squeeze(F.col("question_alone")))), "embed", ["query"], "embedding")
     near = joins.top_k_similar(asked, passages, 5).join(passages.select("vec_id", F.col("text").alias("found")), "vec_id")
     context = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.array_sort(F.collect_list(F.struct("rank", "found", F.col("vec_id").alias("id")))).alias("hits"))
     told = asked.select("vec_id", "conv_id", "turn", F.col("text").alias("question")).join(context, "vec_id", "left")

@@ -238,6 +238,13 @@ def test_stream_history_is_the_batch_history(spark, tmp_path):
     assert last == want
 
 
+@pytest.mark.parametrize("given, want", [('{"a":1}', True), (" [1] ", True), ("null", True), ("1", True), ('"x"', True), ('{"a":1} and {}', False), ('{"a":1},{"b":2}', False), ('{"a":1}] [{}', False), ('{"a":1}} {"b":{}', False), ('{"a":1},"y":2', False), ("", False), (None, False), ("{", False)])
+def test_is_json(spark, given, want):
+    assert one(spark, jsonx.is_json(F.col("t")), t=given) is want
+    assert (one(spark, jsonx.kind(F.col("t")), t=given) is not None) is want
+    assert want or not (given or "").endswith("{}") or one(spark, jsonx.lenient_object(F.col("t")), t=given) == "{}"
+
+
 def test_flatten_is_whole(spark):
     """Depth, number of rows, number forms, repeated names, and what isn't JSON."""
     import json
