@@ -16,7 +16,8 @@ the free bits comes in, for 2^35 homes and 530 replicas.  Both find every link.
 of 100 bits, where no covering code of useful size holds all pairs; there the fingerprint has 256 bits, and
 ``VIEWS`` anchor tables, each on 46 of them, are covered with a threshold of one bit more: pairs that meet
 in any of them are compared by all 256 bits.  What meets is linked up to ``SIMILAR_BITS``: the angle of texts
-of that similarity gives 39 on average, with a deviation of 6; the recall is measured (see the README).
+of that similarity gives 39 on average, with a deviation of 5, so few pairs at 0.8 lie beyond; some from 0.7 on
+lie within.  The recall is measured (see the README).
 
 Only distinct fingerprints are replicated, so copies cost nothing; a task emits a spanning forest of the
 links it finds, not all pairs.  An anchor with many fingerprints is dealt to several tasks, its homes in
@@ -109,7 +110,7 @@ class Cover:
         return ["fp"] if self.words == 1 else [f"fp{k}" for k in range(self.words)]
 
 
-VIEWS, SIMILAR_BITS = 24, 42
+VIEWS, SIMILAR_BITS = 36, 44
 CONTRACT = Cover(3, 1, (GOLAY, GOLAY), (tuple(range(46)),), 3, 3)
 FINER = Cover(3, 1, (GOLAY, GOLAY, HAMMING), (tuple(range(61)),), 3, 3)
 _draw = np.random.default_rng(SEED)
