@@ -292,9 +292,17 @@ def links(distinct: DataFrame, cover: Cover = CONTRACT, hot: int = HOT, sample:
                     found.append(forest(y[near], x[near] + len(met)))
                 begin = stop
             if found:
-                a, b = forest(*map(np.concatenate, zip(*found, strict=True)))
-                every = np.concatenate([met, fp])
+                # The smallest fingerprint leads, so that anchors with the same ones give the same edges.
+                a, b = map(np.concatenate, zip(*found, strict=True))
+                used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+                every = np.concatenate([met, fp])[used]
+                order = np.lexsort(every.T[::-1])
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                a, b = forest(rank[place[: len(a)]], rank[place[len(a) :]])
+                every = every[order]
                 sides = np.concatenate([every[a], every[b]], 1)
+                sides = sides[(every[a] != every[b]).any(1)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(sides[:, k])) for k in range(2 * cover.words)], names)
             held_group = (anchor[-1], part[-1])
             held = met[met_group == group[-1]]
