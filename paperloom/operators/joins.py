@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.arrow_udfs import sequence_ratio, token_set
+from paperloom.session import with_checkpoints
 
 #: A side of at most so many narrow rows may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
+#: Centres that vectors are dealt by, at most.
+CENTRES = 4096
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -87,69 +90,168 @@ def segments(spans: DataFrame, seconds: int = 15) -> DataFrame:
     return rows.withColumn("l_start", (F.col("segment") * seconds).cast("double")).withColumn("l_end", F.least((F.col("segment") + 1) * seconds, F.col("duration")).cast("double"))
 
 
+def _usable(rows: DataFrame) -> DataFrame:
+    """vec_id and embedding of rows that have an id and a vector of finite numbers."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    return rows.where(F.col("vec_id").isNotNull() & finite).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)).astype(float) if len(column) else np.zeros((0, 1))
+
+
+class Centres:
+    """A store of vectors dealt to the nearest of sampled centres, each with the distance of its farthest vector.
+
+    For a query q no vector of a centre c scores more than q.c + |q| * radius, so a centre below a query's bar needs no visit.
+    ``CENTRES`` bounds what the driver and the tasks hold of them: a vector and a radius each.
+    """
+
+    def __init__(self, store: DataFrame, rows_a_task: int):
+        with_checkpoints(store.sparkSession)
+        n = min(CENTRES, -(-store.count() // rows_a_task))
+        sample = store.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(n).select("embedding").collect() if n else []
+        self.rows_a_task = rows_a_task
+        self.points = points = np.unique(np.array([r["embedding"] for r in sample], float), axis=0) if sample else np.zeros((0, 1))
+        half = (points**2).sum(1) / 2
+
+        def nearest(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            centre = np.argmax(x @ points.T - half, axis=1)
+            return centre, np.linalg.norm(x - points[centre], axis=1)
+
+        self.kept = self._numbered(self._mapped(store, nearest))
+        self.radii = np.zeros(len(points))
+        for r in self.kept.groupBy("centre").agg(F.max("value").alias("radius")).collect():  # a row for each centre
+            self.radii[r["centre"]] = r["radius"]
+
+    def _mapped(self, rows: DataFrame, of) -> DataFrame:
+        """Rows with the centre and the value that ``of`` gives to their vectors; none if there are no centres."""
+        some = len(self.points)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows if some else 0, 1024):
+                    part = batch.slice(at, 1024)
+                    centre, value = of(_matrix(part.column("embedding")))
+                    yield pa.RecordBatch.from_arrays([*map(part.column, ("vec_id", "embedding")), pa.array(centre, pa.int32()), pa.array(value, pa.float64())], ["vec_id", "embedding", "centre", "value"])
+
+        kind = rows.schema["embedding"].dataType.simpleString()
+        return rows.select("vec_id", "embedding").mapInArrow(run, f"vec_id long, embedding {kind}, centre int, value double")
+
+    @staticmethod
+    def _numbered(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("number", F.monotonically_increasing_id()).checkpoint()
+
+    def homes(self, queries: DataFrame) -> DataFrame:
+        """Each query at the centre of the largest inner product."""
+        points = self.points
+
+        def best(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            s = q @ points.T
+            centre = np.argmax(s, axis=1)
+            return centre, s[np.arange(len(q)), centre]
+
+        return self._numbered(self._mapped(queries, best))
+
+    def visits(self, queries: DataFrame) -> DataFrame:
+        """Each query at all centres that may hold a score at or above its ``bar``, but the one it has ``seen`` (-1: none)."""
+        points, radii, lengths = self.points, self.radii, np.linalg.norm(self.points, axis=1)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows if len(points) else 0, 512):
+                    part = batch.slice(at, 512)
+                    q = _matrix(part.column("embedding"))
+                    size = np.linalg.norm(q, axis=1)[:, None]
+                    # Scores are rounded to 6 places; the rest is for the bound's own rounding.
+                    bound = q @ points.T + size * radii + 1e-6 + 1e-9 * size * (lengths + radii)
+                    seen, bar = (part.column(c).to_numpy() for c in ("seen", "bar"))
+                    row, centre = np.nonzero((bound >= bar[:, None]) & (np.arange(len(points)) != seen[:, None]))
+                    ends = np.searchsorted(row, np.arange(len(q) + 1)).astype(np.int32)
+                    listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(centre, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*map(part.column, ("vec_id", "embedding")), listed], ["vec_id", "embedding", "centres"])
+
+        kind = queries.schema["embedding"].dataType.simpleString()
+        # A row for each query is stored; the JVM makes one of it for each centre.
+        listed = self._numbered(queries.select("vec_id", "embedding", "seen", "bar").mapInArrow(run, f"vec_id long, embedding {kind}, centres array<int>"))
+        return listed.withColumn("centre", F.explode("centres")).drop("centres")
+
+    def meet(self, visits: DataFrame, search, schema: str) -> DataFrame:
+        """``search`` over each block of a centre's visitors with each part of its vectors, dealt by row numbers: no id or centre is one task's."""
+        n = lambda df, name: df.groupBy("centre").agg(F.ceil(F.count("*") / self.rows_a_task).alias(name))
+        plan = F.broadcast(n(self.kept, "parts").join(n(visits, "blocks"), "centre"))  # a row for each centre
+        own = lambda c: F.pmod(F.xxhash64("number"), F.col(c)).cast("long")
+        every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        met = self.kept.join(plan, "centre").select("centre", own("parts").alias("part"), every("blocks").alias("block"), "vec_id", "embedding", F.lit(False).alias("asks"))
+        meets = visits.join(plan, "centre").select("centre", every("parts").alias("part"), own("blocks").alias("block"), "vec_id", "embedding", F.lit(True).alias("asks"))
+        return met.union(meets).groupBy("centre", "part", "block").applyInArrow(search, schema)
+
+
 def top_k_similar(queries: DataFrame, store: DataFrame, k: int, threshold: float | None = None, rows_a_task: int = 8192) -> DataFrame:
     """(query_id, vec_id, similarity, rank): each query's k nearest of the store by inner product (JOI9, FLT3).
 
-    A task multiplies one block of queries with one shard of the store, each of about ``rows_a_task`` rows,
-    and keeps k a query.  Scores are rounded to 6 places; ties go to the smaller id; the threshold
-    applies after the ranking.  A query's own row is no match.
+    A query is first compared with the vectors of its nearest centre, then with those of all centres that may
+    hold a score as high as the kth found there (``Centres``), so nothing is lost.  A task multiplies one block with
+    one part of a centre, each of about ``rows_a_task`` rows, and keeps k a query.  Scores are rounded to 6 places; ties
+    go to the smaller id; the threshold applies after the ranking.  A query's own row is no match.  Rows
+    without an id, or with a vector that is null or holds null or non-finite numbers, take no part.
     """
-    queries, store = (x.where("embedding is not null").select("vec_id", "embedding") for x in (queries, store))
-    shards, blocks = (max(1, -(-x.count() // rows_a_task)) for x in (store, queries))
-    of = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    kept = store.select(of(shards, 1).alias("shard"), every(blocks).alias("block"), "vec_id", "embedding", F.lit(False).alias("asks"))
-    asked = queries.select(every(shards).alias("shard"), of(blocks, 2).alias("block"), "vec_id", "embedding", F.lit(True).alias("asks"))
+    queries, centres = _usable(queries), Centres(_usable(store), rows_a_task)
 
     def search(table: pa.Table) -> pa.Table:
-        asks = table["asks"].to_numpy()
-        ids = table["vec_id"].to_numpy()
-        vectors = np.stack(table["embedding"].to_numpy(zero_copy_only=False)).astype(float) if len(ids) else np.zeros((0, 1))
+        asks, ids, vectors = table["asks"].to_numpy(), table["vec_id"].to_numpy(), _matrix(table["embedding"])
         points, own = vectors[~asks], ids[~asks]
-        out = [[], [], []]
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for at in range(0, int(asks.sum()) if len(own) else 0, 512):
             q, q_ids = vectors[asks][at : at + 512], ids[asks][at : at + 512]
             s = np.round(q @ points.T, 6)
             s[q_ids[:, None] == own[None, :]] = -np.inf
-            best = np.lexsort((np.broadcast_to(own, s.shape), -s), axis=1)[:, :k]
-            score = np.take_along_axis(s, best, 1)
-            there = np.isfinite(score)
-            out[0].append(np.repeat(q_ids, best.shape[1]).reshape(best.shape)[there])
-            out[1].append(own[best][there])
-            out[2].append(score[there])
-        columns = [np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, (np.int64, np.int64, float), strict=True)]
+            last = np.partition(s, -k, axis=1)[:, -k] if k < s.shape[1] else np.full(len(s), -np.inf)
+            row, column = np.nonzero((s >= last[:, None]) & (s > -np.inf))
+            order = np.lexsort((own[column], -s[row, column], row))
+            row, column = row[order], column[order]
+            first = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, column = row[first], column[first]
+            out.append((q_ids[row], own[column], s[row, column]))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
         return pa.table(dict(zip(("query_id", "vec_id", "similarity"), columns, strict=True)))
 
-    found = kept.union(asked).groupBy("shard", "block").applyInArrow(search, "query_id long, vec_id long, similarity double")
+    schema = "query_id long, vec_id long, similarity double"
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = lambda rows: rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    homes = centres.homes(queries)
+    found = centres.meet(homes, search, schema)
+    if len(centres.points) > 1:
+        found = best(found).checkpoint()
+        kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("similarity").alias("kth"))
+        bar = F.greatest(F.coalesce("kth", F.lit(float("-inf"))), F.lit(float("-inf") if threshold is None else float(threshold)))
+        rest = homes.join(kth, "vec_id", "left").select("vec_id", "embedding", F.col("centre").alias("seen"), bar.alias("bar"))
+        found = found.drop("rank").union(centres.meet(centres.visits(rest), search, schema))
+    ranked = best(found)
     return ranked.where(F.col("similarity") >= threshold) if threshold is not None else ranked
 
 
 def alike_pairs(vectors: DataFrame, threshold: float, rows_a_task: int = 8192) -> DataFrame:
     """(item, earlier) of all vectors whose inner product, rounded to 6 places, is at or above a threshold; the larger vec_id is ``item``.
 
-    A task multiplies one block with one shard, as in ``top_k_similar``, but leaves no pair out.
+    Each vector meets those of all centres that may hold such a score (``Centres``), so no pair is left out.  The same
+    rows take no part as in ``top_k_similar``.
     """
-    vectors = vectors.where("embedding is not null").select("vec_id", "embedding")
-    n = max(1, -(-vectors.count() // rows_a_task))
-    of = lambda seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    kept = vectors.select(of(1).alias("shard"), every.alias("block"), "vec_id", "embedding", F.lit(False).alias("asks"))
-    asked = vectors.select(every.alias("shard"), of(2).alias("block"), "vec_id", "embedding", F.lit(True).alias("asks"))
+    vectors = _usable(vectors)
+    centres = Centres(vectors, rows_a_task)
 
     def search(table: pa.Table) -> pa.Table:
-        asks, ids = table["asks"].to_numpy(), table["vec_id"].to_numpy()
-        vectors = np.stack(table["embedding"].to_numpy(zero_copy_only=False)).astype(float) if len(ids) else np.zeros((0, 1))
+        asks, ids, vectors = table["asks"].to_numpy(), table["vec_id"].to_numpy(), _matrix(table["embedding"])
         points, own, items, item_ids = vectors[~asks], ids[~asks], vectors[asks], ids[asks]
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for at in range(0, len(items), 512):
+        for at in range(0, len(items) if len(own) else 0, 512):
             q = item_ids[at : at + 512]
             row, column = np.nonzero((np.round(items[at : at + 512] @ points.T, 6) >= threshold) & (q[:, None] > own[None, :]))
             found.append((q[row], own[column]))
         return pa.table({"item": np.concatenate([x[0] for x in found]), "earlier": np.concatenate([x[1] for x in found])})
 
-    return kept.union(asked).groupBy("shard", "block").applyInArrow(search, "item long, earlier long")
+    every = vectors.select("vec_id", "embedding", F.lit(-1).alias("seen"), F.lit(float(threshold)).alias("bar"))
+    return centres.meet(centres.visits(every), search, "item long, earlier long")
 
 
 def preferred_then_rest(ranked: DataFrame, k: int, preferred: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 import difflib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -383,6 +384,39 @@ def test_streams_match_tables(spark, sf_dir):
     assert once.count() == table.count()
 
 
+def test_similarity_over_many_centres(spark):
+    """Both similarity joins equal brute force over many small shards: clusters, a hot vector, ties, rows that take no part."""
+    r = np.random.default_rng(5)
+    middles = r.normal(size=(12, 8))
+    x = middles[r.integers(0, 12, 500)] * r.uniform(0.5, 2, (500, 1)) + r.normal(size=(500, 8)) * 0.05
+    x[::3] = x[0]
+    x[1] = 0
+    x = np.round(x, 2)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [1.0, None] + [0.0] * 6), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (None, [1.0] * 8)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    s = np.round(x @ x.T, 6)
+    np.fill_diagonal(s, -np.inf)
+    order = [sorted(range(500), key=lambda j, i=i: (-s[i, j], j)) for i in range(500)]
+    for k, bar in ((3, None), (3, 4.0), (200, None), (600, 1.0)):
+        for rows_a_task in (16, 8192):
+            got = {(a, b, n): c for a, b, c, n in (tuple(t) for t in joins.top_k_similar(v, v, k, bar, rows_a_task).collect())}
+            want = {(i, j, n + 1): s[i, j] for i in range(500) for n, j in enumerate(order[i][: min(k, 499)]) if bar is None or s[i, j] >= bar}
+            assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in got)
+    for bar in (3.0, 9.0):
+        pairs = [tuple(t) for t in joins.alike_pairs(v, bar, 16).collect()]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == {(i, j) for i in range(500) for j in range(i) if s[i, j] >= bar}
+
+
+def test_similarity_skips_centres(spark):
+    """Of clusters far from each other a query visits few."""
+    r = np.random.default_rng(6)
+    x = (np.eye(16) * 5)[r.integers(0, 16, 400)] + r.normal(size=(400, 16)) * 0.05
+    v = spark.createDataFrame([(i, t.tolist()) for i, t in enumerate(x)], "vec_id long, embedding array<double>")
+    centres = joins.Centres(v, 10)
+    asked = v.select("vec_id", "embedding", F.lit(-1).alias("seen"), F.lit(20.0).alias("bar"))
+    assert centres.visits(asked).count() < 0.25 * 400 * len(centres.points)
+
+
 def test_empty_tables(spark):
     v = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert joins.top_k_similar(v, v, 3).count() == 0
