@@ -14,6 +14,7 @@ columns of any name don't matter.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Container, Iterable, Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from paperloom.llm.common import lean
 from paperloom.llm.html_blocks import Block, Node, blocks_of
 from paperloom.llm.labelled_pages import MARK, Pages
 
+#: How a line on copyright begins, and how long one is at most.
+COPYRIGHT, LEGAL = re.compile(r"©|\(c\)|copyright\b", re.I), 200
 #: Pages that the default model is fitted on.
 TRAIN_PAGES = 1500
 NEUTRAL = frozenset("html body div span section p".split())
@@ -103,7 +106,7 @@ def features(blocks: list[Block], known: Container[str] | None = None) -> list[l
         mine = prose[id(a.box)]
         f += [f"box={share(mine, most)}", f"boxall={share(mine, total)}", f"box,plain={share(mine, most)},{plain},{lead}", f"boxes={min(len(prose), 4)},{plain}"]
         last = b.text[-1]
-        f += [f"end={last if last in '.!?:;,|' else 'a'}", f"mark={b.text[0] in '©®™'}", f"bars={min(b.text.count('|'), 2)}"]
+        f += [f"end={last if last in '.!?:;,|' else 'a'}", f"mark={b.text[0] in '©®™'}", f"legal={n < LEGAL and bool(COPYRIGHT.match(b.text))}", f"bars={min(b.text.count('|'), 2)}"]
         f += [f"first={k == 0}", f"last={k == len(blocks) - 1}", f"many={b.links > 2}", f"blocks={min(len(blocks), 4)},{plain}"]
         f.append(f"same={k > 0 and seen[k - 1].box is a.box}")
         out.append(f)

@@ -63,7 +63,7 @@ class Pages:
         elif kind == "header":
             inner = r.choice((f"<h1>{self.words(1, 4)}</h1>", f"<div>{self.words(1, 5)}</div>", f"<a href='/'>{self.words(1, 2)}</a>")) + r.choice(("", f"<p>{self.words(2, 8)}</p>", self.links(3)))
         elif kind == "footer":
-            inner = r.choice((f"&copy; {self.words(1, 3)} &middot; {self.sentences(1, 2)}", f"<p>&copy; {r.randint(1995, 2030)} {self.words(1, 5)}</p>", self.links(4), f"<p>{self.sentences(1, 3)}</p>"))
+            inner = r.choice((f"&copy; {self.words(1, 3)} &middot; {self.sentences(1, 2)}", f"<p>{r.choice(('&copy;', 'Copyright', '(c)'))} {r.randint(1995, 2030)} {self.words(1, 5)}</p>", self.links(4), f"<p>{self.sentences(1, 3)}</p>"))
         elif kind == "form":
             inner = f"<label>{self.words(1, 4)}</label><input type=text>" + r.choice(("", f"<p>{self.sentences(1, 2)}</p>")) + f"<button>{self.words(1, 2)}</button>"
         elif kind == "comments":
@@ -133,11 +133,38 @@ class Pages:
             body = f"<div>{body}</div>"
         return body
 
+    def nameless(self) -> str:
+        """A page whose parts have no names: menus are told by their links, a last line by its copyright."""
+        r, text = self.r, "".join(self.article())
+        menu = self.links(r.randint(2, 8))
+        legal = f"{r.choice(('&copy;', 'Copyright', 'Copyright &copy;', '(c)'))} {r.choice((str(r.randint(1995, 2030)), self.words(1, 2)))} {self.words(0, 5)}"
+        tag = r.choice(("div", "div", "section", "p"))
+        before, after = f"<div>{menu}</div>" if r.random() < 0.7 else "", f"<{tag}>{legal}</{tag}>" if r.random() < 0.7 else ""
+        return f"{before}{r.choice(('<div>{}</div>', '<div>{}</div>', '<section>{}</section>', '{}')).format(text)}{after}"
+
+    def in_table(self) -> str:
+        """A page laid out by a table: a cell holds the text, cells beside, above and below it the menu and the rest."""
+        r, text = self.r, "".join(self.article())
+        cell = lambda inner, names: f"<td{r.choice(('', ' width=20%', *(f' class={chr(34)}{n}{chr(34)}' for n in r.sample(names, 2))))}>{inner}</td>"
+        menu = cell(r.choice((self.links(r.randint(2, 8)), "<br>".join(f"<a href='/{self.word()}'>{self.words(1, 2)}</a>" for _ in range(r.randint(2, 6))))), CHROME["nav"])
+        beside = cell(self.links(r.randint(2, 5)), CHROME["sidebar"]) if r.random() < 0.3 else ""
+        rows = f"<tr>{menu if r.random() < 0.7 else ''}{cell(text, MAIN)}{beside}</tr>"
+        if r.random() < 0.3:
+            rows = f"<tr>{menu}</tr>{rows}"
+        if r.random() < 0.5:
+            rows += f"<tr>{cell(f'{r.choice(('&copy;', 'Copyright'))} {r.randint(1995, 2030)} {self.words(0, 4)}', CHROME['footer'])}</tr>"
+        return f"<table>{rows}</table>"
+
     def page(self) -> str:
         r = self.r
         self.letters, self.junk = r.choice(LETTERS), r.random() < 0.12
-        if r.random() < 0.18:
+        kind = r.random()
+        if kind < 0.18:
             body = self.plain()
+        elif kind < 0.23:
+            body = self.nameless()
+        elif kind < 0.28:
+            body = self.in_table()
         else:
             article = self.article()
             for kind in ("share", "ad", "notice", "sidebar", "comments", "form"):
