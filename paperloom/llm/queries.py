@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, simhash, token_rollup, token_store, toxicity
+from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, simhash, source_divergence, token_rollup, token_store, toxicity
 from paperloom.llm.common import scratch, table
 
 #: Where the public vocabularies are, if not at the installed package's own place.
@@ -64,7 +64,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0, power=0.7)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing, op11_source_divergence)}
 
 ORACLE = {
     "op4_line_frequency": r"""
@@ -125,4 +129,41 @@ ORACLE = {
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
     """,
+    "op11_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM documents
+        ),
+        o AS (SELECT r, lang, source, unnest(t) AS term FROM d),
+        kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        cell AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        p AS (
+            SELECT lang, source, term, n,
+                   1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+            FROM cell JOIN v USING (lang)
+        ),
+        whole AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+        q AS (
+            SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+            FROM whole JOIN v USING (lang)
+        ),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+        ),
+        both_parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value, rank::INTEGER AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+        WHERE part = 'pair' OR rank <= 10
+    """,
 }
