@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, simhash, source_divergence, token_rollup, token_store, toxicity
+from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, periodic_runs, simhash, source_divergence, token_rollup, token_store, toxicity
 from paperloom.llm.common import scratch, table
 
 #: Where the public vocabularies are, if not at the installed package's own place.
@@ -68,7 +68,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing, op11_source_divergence)}
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find(table(spark, sf_dir, "documents"), edited=periodic_runs.planted))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing, op11_source_divergence, op12_periodic_runs)}
 
 ORACLE = {
     "op4_line_frequency": r"""
