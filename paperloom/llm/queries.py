@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, periodic_runs, simhash, source_divergence, token_rollup, token_store, toxicity
+from paperloom.llm import balltree, bpe, html_crf, line_rules, mil_quality, packing, periodic_runs, simhash, source_divergence, token_rollup, token_store, toxicity, url_filter
 from paperloom.llm.common import scratch, table
 
 #: Where the public vocabularies are, if not at the installed package's own place.
@@ -72,7 +72,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.find(table(spark, sf_dir, "documents"), edited=periodic_runs.planted))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing, op11_source_divergence, op12_periodic_runs)}
+#: The rules of ``op13_url_filter`` as (verdict, host, path).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), [url_filter.Rule(*r) for r in URL_RULES])
+
+
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_quality, op4_line_frequency, op5_ball_tree, op6_html_crf, op7_ordinal_toxicity, op8_rank_bpe, op9_token_rollup, op10_packing, op11_source_divergence, op12_periodic_runs, op13_url_filter)}
 
 ORACLE = {
     "op4_line_frequency": r"""
