@@ -15,8 +15,8 @@ places for it.  With present shares p and q a pair's sum over all terms is
 where only the last line goes by pairs within a vector; the one before goes by distinct shares of a source.  So a
 term costs the square of the sources that use it, not of all there are.
 
-A term, its language or its source may hold any part of the rows: counts are summed by (language, source, term)
-within each task first, and pairs are emitted by the entry, never a whole square at once.  The table of
+A term, its language or its source may hold any part of the rows: tasks count their own texts and pass on partial sums
+by (language, source, term), and pairs are emitted by the entry, never a whole square at once.  The table of
 sources is broadcast only if it has been counted as small.
 
 Null text, lang and source are ''.  A text without terms still makes its group.  A repeated row counts each time.
@@ -26,16 +26,22 @@ texts are read whole.  An empty table gives an empty result.  Further columns, o
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paperloom.llm.common import BROADCAST_ROWS, stored
+from paperloom.llm.common import BROADCAST_ROWS, lean, stored
 
 MIN_DOCS, TOP, SCALE, ADDED = 10, 10, 1_000_000_000, 2
+#: Terms that a task counts before it passes their partial sums on.
+HELD = 200_000
 #: What a term is made of, and the letters that are lower-cased.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERM, UPPER = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"), re.compile("[A-Z]+")
 
 
 def apart(p: Column, q: Column) -> Column:
@@ -49,10 +55,9 @@ def share(count: Column, total: Column, terms: Column) -> Column:
     return 1 + F.call_function("div", wide(count + ADDED) * F.lit(SCALE).cast("decimal(11,0)"), wide(total + ADDED * terms))
 
 
-def terms_of(text: Column) -> Column:
+def terms_of(text: str) -> list[str]:
     """Terms with only A-Z lower-cased, which ``lower`` does alone where all is ASCII."""
-    ascii_only = lambda t: F.length(t) == F.octet_length(t)
-    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.when(ascii_only(t), F.lower(t)).otherwise(F.translate(t, UPPER, LOWER)))
+    return TERM.findall(text.lower() if text.isascii() else UPPER.sub(lambda m: m[0].lower(), text))
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -63,12 +68,33 @@ def grouped(docs: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents that hold the term.
 
-    A text's terms are sorted, so that the first of each kind tells the document; no document is shuffled.
+    A task counts its texts into partial sums of at most about ``HELD`` terms at once; no text is shuffled.
     """
-    sorted_ = grouped(docs).select("lang", "source", F.sort_array(terms_of(F.col("text"))).alias("s"))
-    marked = F.transform("s", lambda t, i: F.struct(t.alias("term"), F.when(t == F.get("s", i - 1), 0).otherwise(1).alias("first")))
-    each = sorted_.select("lang", "source", F.explode(marked).alias("t"))
-    return each.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.count("*").alias("n"), F.sum("t.first").alias("docs"))
+    fields = ["lang", "source", "term", "n", "docs"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held = 0
+        for batch in batches:
+            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text"), strict=True):
+                n, of = counts.setdefault((lang, source), (Counter(), Counter()))
+                before, terms = len(n), terms_of(text.as_py())
+                n.update(terms)
+                of.update(set(terms))
+                held += len(n) - before
+                if held > HELD:
+                    yield from told(counts)
+                    counts, held = {}, 0
+        yield from told(counts)
+
+    def told(counts: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, of) in counts.items():
+            terms = list(n)
+            columns = [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.values(), pa.int64()), pa.array([of[t] for t in terms], pa.int64())], fields)
+
+    partial = grouped(docs).mapInArrow(lean(run), "lang string, source string, term string, n long, docs long")
+    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def with_places(docs: DataFrame) -> DataFrame:
@@ -118,9 +144,10 @@ def pair_sums(shares: DataFrame, table: DataFrame, small: bool) -> DataFrame:
     one = lambda y: F.struct(y.place.alias("b"), (F.col("k") * (apart(F.col("x.p"), y.p0) - apart(F.col("x.p0"), y.p0))).alias("add"))
     others = F.filter("sources", lambda y: y.place != F.col("x.place"))
     alone = _beside(own, table.select("lang", "sources"), ["lang"], small).select("lang", F.col("x.place").alias("a"), F.explode(F.transform(others, one)).alias("c"))
-    both_of = lambda y: F.struct(y.place.alias("b"), (apart(F.col("x.p"), y.p) - apart(F.col("x.p"), y.p0) - apart(F.col("x.p0"), y.p) + apart(F.col("x.p0"), y.p0)).alias("add"))
     later = F.slice("vector", F.col("i") + 2, F.size("vector"))
-    both = entry.select("lang", F.col("x.place").alias("a"), F.explode(F.transform(later, both_of)).alias("c"))
+    met = entry.select("lang", F.col("x.place").alias("a"), F.explode(F.transform(later, lambda y: F.struct(y.place.alias("b"), F.col("x.p").alias("p"), F.col("x.p0").alias("p0"), y.p.alias("q"), y.p0.alias("q0")))).alias("c"))
+    p, p0, q, q0 = (F.col(f"c.{c}") for c in ("p", "p0", "q", "q0"))
+    both = met.select("lang", "a", F.struct("c.b", (apart(p, q) - apart(p, q0) - apart(p0, q) + apart(p0, q0)).alias("add")).alias("c"))
     flat = lambda df: df.select("lang", F.least("a", "c.b").alias("a"), F.greatest("a", "c.b").alias("b"), "c.add")
     return flat(none).union(flat(alone)).union(flat(both)).groupBy("lang", "a", "b").agg(F.sum("add").alias("value"))
 
