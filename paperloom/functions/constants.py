@@ -34,6 +34,9 @@ IMAGE_SUFFIXES = [".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp", ".webp"]
 
 # --- fixed values: limits and weights -----------------------------------------------------------
 CONTEXT_CHARS, HISTORY_CHARS = 4000, 900
+#: The notice that the passages hold no answer.
+INSUFFICIENT_EN = "Insufficient FAQ context"
+INSUFFICIENT_AR = "لا توجد إجابة في الأسئلة الشائعة الحالية"
 RISK_AI, RISK_OTHER_USER, RISK_SAME_USER, RISK_QUALITY = 0.5, 0.3, 0.2, 0.2
 RISK_HIGH, RISK_MEDIUM = 0.75, 0.4
 SIGNAL_AI, SIGNAL_QUALITY = 0.7, 0.5
@@ -46,18 +49,19 @@ SPLIT_AFTER = 32
 
 # --- fixed values: record fields ----------------------------------------------------------------
 LIST_FIELDS = ["family_members", "assets", "attachments", "uncertain_fields", "review_notes"]
-CASE_FIELDS = (
-    "document_id source_files page_count case_office social_unit research_date researcher_name research_purpose head_of_household_name head_of_household_age "
-    "national_id insurance_id phone address_center address_governorate current_job family_members housing_type housing_area rooms_count water_available "
-    "water_source furniture_status rent_amount housing_independence assets social_status_summary health_status_summary economic_status_summary family_needs "
-    "previous_aid attachments uncertain_fields review_required review_notes"
-).split()
-CERTIFICATE_FIELDS = (
-    "document_title_ar serial_number registration_number registration_date issue_date health_office civil_registry issuing_authority "
-    "governorate_or_administration form_reference issuance_system_version barcode_or_machine_notes"
-).split()
-CHILD_FIELDS = "name gender religion nationality place_of_birth date_of_birth".split()
-PARENT_FIELDS = "name religion nationality".split()
+CASE_FIELDS = [
+    "document_id", "source_files", "page_count", "case_office", "social_unit", "research_date", "researcher_name", "research_purpose",
+    "head_of_household_name", "head_of_household_age", "national_id", "insurance_id", "phone", "address_center", "address_governorate", "current_job",
+    "family_members", "housing_type", "housing_area", "rooms_count", "water_available", "water_source", "furniture_status", "rent_amount",
+    "housing_independence", "assets", "social_status_summary", "health_status_summary", "economic_status_summary", "family_needs", "previous_aid",
+    "attachments", "uncertain_fields", "review_required", "review_notes",
+]
+CERTIFICATE_FIELDS = [
+    "document_title_ar", "serial_number", "registration_number", "registration_date", "issue_date", "health_office", "civil_registry", "issuing_authority",
+    "governorate_or_administration", "form_reference", "issuance_system_version", "barcode_or_machine_notes",
+]
+CHILD_FIELDS = ["name", "gender", "religion", "nationality", "place_of_birth", "date_of_birth"]
+PARENT_FIELDS = ["name", "religion", "nationality"]
 #: Field classes, their boxes (x, y of the centre, width, height) and where a record holds them.
 SEED_BOXES = [
     ("child_national_id", 0.52, 0.17, 0.38, 0.04, "$.ids.child_national_id"),

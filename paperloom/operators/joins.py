@@ -187,16 +187,21 @@ class Centres:
         return met.union(meets).groupBy("centre", "part", "block").applyInArrow(search, schema)
 
 
-def top_k_similar(queries: DataFrame, store: DataFrame, k: int, threshold: float | None = None, rows_a_task: int = 8192) -> DataFrame:
+def dealt_store(store: DataFrame, rows_a_task: int = 8192) -> Centres:
+    """A store of vectors (vec_id, embedding) made ready once for several calls of ``top_k_similar``."""
+    return Centres(_usable(store), rows_a_task)
+
+
+def top_k_similar(queries: DataFrame, store: DataFrame | Centres, k: int, threshold: float | None = None, rows_a_task: int = 8192, same_ids: bool = True) -> DataFrame:
     """(query_id, vec_id, similarity, rank): each query's k nearest of the store by inner product (JOI9, FLT3).
 
     A query is first compared with the vectors of its nearest centre, then with those of all centres that may
     hold a score as high as the kth found there (``Centres``), so nothing is lost.  A task multiplies one block with
     one part of a centre, each of about ``rows_a_task`` rows, and keeps k a query.  Scores are rounded to 6 places; ties
-    go to the smaller id; the threshold applies after the ranking.  A query's own row is no match.  Rows
-    without an id, or with a vector that is null or holds null or non-finite numbers, take no part.
+    go to the smaller id; the threshold applies after the ranking.  A query's own row is no match, if both sides have the
+    ``same_ids``.  Rows without an id, or with a vector that is null or holds null or non-finite numbers, take no part.
     """
-    queries, centres = _usable(queries), Centres(_usable(store), rows_a_task)
+    queries, centres = _usable(queries), store if isinstance(store, Centres) else dealt_store(store, rows_a_task)
 
     def search(table: pa.Table) -> pa.Table:
         asks, ids, vectors = table["asks"].to_numpy(), table["vec_id"].to_numpy(), _matrix(table["embedding"])
@@ -205,7 +210,8 @@ def top_k_similar(queries: DataFrame, store: DataFrame, k: int, threshold: float
         for at in range(0, int(asks.sum()) if len(own) else 0, 512):
             q, q_ids = vectors[asks][at : at + 512], ids[asks][at : at + 512]
             s = np.round(q @ points.T, 6)
-            s[q_ids[:, None] == own[None, :]] = -np.inf
+            if same_ids:
+                s[q_ids[:, None] == own[None, :]] = -np.inf
             last = np.partition(s, -k, axis=1)[:, -k] if k < s.shape[1] else np.full(len(s), -np.inf)
             row, column = np.nonzero((s >= last[:, None]) & (s > -np.inf))
             order = np.lexsort((own[column], -s[row, column], row))

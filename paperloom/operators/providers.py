@@ -6,6 +6,7 @@ A provider is called once for each Arrow batch; its object is built once for eac
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -76,6 +77,20 @@ def stub_chat() -> Batch:
     return lambda b: b.iloc[:, 0].map(lambda x: (x or "").strip().rsplit("\n", 1)[-1])
 
 
+@register("rewrite", "string")
+def stub_rewriter(short: int = 20) -> Batch:
+    """A history and a question in, JSON out: a short question depends on the history and gets its last word; nothing without a question (UDF7)."""
+
+    def one(history: str | None, question: str | None) -> str | None:
+        if not question:
+            return None
+        depends = len(question.split()) < short
+        rewrite = f"{question} {history.split()[-1]}" if depends and history and history.split() else question
+        return "Here it is: " + json.dumps({"depends": depends, "rewrite": rewrite}, ensure_ascii=False)
+
+    return lambda b: pd.Series([one(h, q) for h, q in zip(b.iloc[:, 0], b.iloc[:, 1], strict=True)], dtype=object)
+
+
 @register("vqa", "string")
 def stub_vqa() -> Batch:
     """Yes, no or unclear, by a hash of the image's name and the prompt (UDF4)."""

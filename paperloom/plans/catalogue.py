@@ -699,7 +699,48 @@ def case_pipeline(spark, d):
     return run(spark, d)
 
 
-@query()
+def _embedded(rows: str, column: str) -> str:
+    """A subquery: ``rows`` with ``u``, what the stand-in embedder makes of a column."""
+    return rf"""(SELECT * EXCLUDE (hs, v), CASE WHEN list_sum(list_transform(v, lambda z: z * z)) = 0 THEN v::FLOAT[]
+            ELSE list_transform(v, lambda z: z::FLOAT / sqrt(list_sum(list_transform(v, lambda y: y * y))::DOUBLE)::FLOAT) END AS u
+        FROM (SELECT *, list_transform(range(64), lambda j: coalesce(list_sum(list_transform(hs, lambda z: CASE WHEN z.d = j THEN z.s ELSE 0 END)), 0)) AS v
+            FROM (SELECT *, list_transform(list_transform(list_filter(string_split_regex(lower({column}), '\s+'), lambda z: z <> ''), lambda z: sha256(z)),
+                    lambda z: {{'d': ('0x' || substr(z, 1, 2))::INT & 63, 's': CASE WHEN ('0x' || substr(z, 9, 2))::INT & 1 = 1 THEN 1 ELSE -1 END}}) AS hs FROM {rows})))"""
+
+
+AR = r"'[\x{0600}-\x{06FF}]'"
+LETTERED = "CASE WHEN {1} % 3 = 0 THEN translate({0}, 'aeioutnshr', 'ايوكمتنسهر') ELSE {0} END"
+
+
+@query(rf"""
+    WITH RECURSIVE b AS (SELECT item_id, trim(regexp_replace({LETTERED.format("text", "item_id")}, '\s+', ' ', 'g')) AS said FROM benchmark),
+    faq AS (SELECT item_id AS id, said, regexp_extract(said, '^[^.]*\.?') AS asked, CASE WHEN regexp_matches(said, {AR}) THEN 'ar' ELSE 'en' END AS lang FROM b),
+    pe AS (SELECT * FROM {_embedded("(SELECT *, 'passage: Q: ' || asked || chr(10) || 'A: ' || said || chr(10) || 'FAQ ID: ' || id || chr(10) || 'Tags: ' AS t FROM faq)", "t")}),
+    store AS MATERIALIZED (SELECT list({{'id': id, 'lang': lang, 'asked': asked, 'said': said, 'u': u::DOUBLE[]}}) AS l FROM pe),
+    t AS MATERIALIZED (
+        SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, x) AS k, trim(regexp_replace(x, '\s+', ' ', 'g')) AS q
+        FROM (SELECT conv_id, turn, {LETTERED.format("text", "conv_id")} AS x FROM conversations WHERE role = 'user')
+    ),
+    f(conv_id, k, turn, query, ids, answer, h) AS (
+        SELECT DISTINCT conv_id, 0::BIGINT, NULL::BIGINT, '', '', '', '' FROM t
+        UNION ALL
+        SELECT conv_id, k, turn, query, ids, answer, CASE WHEN length(m) <= 900 THEN m ELSE trim(regexp_replace('[...]' || right(m, 540), '\s+', ' ', 'g')) END
+        FROM (SELECT *, trim(CASE WHEN h <> '' THEN h || ' ' ELSE '' END || CASE WHEN regexp_matches(q, {AR}) THEN 'س: ' || q || ' ج: ' || a ELSE 'Q: ' || q || ' A: ' || a END) AS m
+        FROM (SELECT *, trim(regexp_replace(CASE WHEN entity IS NOT NULL AND NOT contains(answer, entity) THEN '(' || entity || ') ' || answer ELSE answer END, '\s+', ' ', 'g')) AS a
+        FROM (SELECT *, array_to_string(list_transform(hits, lambda x: x.id), ',') AS ids,
+            list_sort(list_filter(list_transform(hits, lambda x, i: {{'n': length(x.asked), 'i': i, 'q': x.asked}}), lambda x: x.q <> ''))[1].q AS entity,
+            coalesce(nullif(regexp_replace(CASE WHEN length(ctx) > 4000 THEN '[...]' WHEN hits[-1].lang = 'ar' THEN 'المصدر: ' || hits[-1].said ELSE 'Source: ' || hits[-1].said END,
+                '[^\x{{0600}}-\x{{06FF}}0-9\s.،؛:!؟()\-/]', '', 'g'), ''), CASE WHEN lang = 'ar' THEN '{K.INSUFFICIENT_AR}' ELSE '{K.INSUFFICIENT_EN}' END) AS answer
+        FROM (SELECT *, array_to_string(list_transform(hits, lambda x: CASE WHEN x.lang = 'ar' THEN 'س: ' || x.asked || chr(10) || 'ج: ' || x.said || chr(10) || 'المصدر: ' || x.said
+                ELSE 'Q: ' || x.asked || chr(10) || 'A: ' || x.said || chr(10) || 'Source: ' || x.said END), chr(10) || chr(10) || '---' || chr(10) || chr(10)) AS ctx
+        FROM (SELECT *, list_concat(list_filter(top, lambda x: x.lang = lang), list_filter(top, lambda x: x.lang <> lang))[1:5] AS hits
+        FROM (SELECT *, list_sort(list_transform(l, lambda x: {{'s': -round(list_inner_product(u::DOUBLE[], x.u), 6), 'id': x.id, 'lang': x.lang, 'asked': x.asked, 'said': x.said}}))[1:10] AS top
+        FROM {_embedded(f"""(SELECT *, 'query: ' || query AS e FROM (SELECT *, CASE WHEN regexp_matches(CASE WHEN q <> '' THEN q ELSE h END, {AR}) THEN 'ar' ELSE 'en' END AS lang,
+                CASE WHEN q = '' OR h = '' OR len(string_split(q, ' ')) >= 20 OR length(w) > greatest(40, floor(2.2::DOUBLE * length(q))::INT) THEN q ELSE w END AS query
+                FROM (SELECT t.*, f.h, t.q || ' ' || regexp_extract(f.h, '[^ ]+$') AS w, store.l FROM f JOIN t ON t.conv_id = f.conv_id AND t.k = f.k + 1 CROSS JOIN store)))""", "e")}
+        ))))))
+    )
+    SELECT conv_id, turn, query, ids, answer, h AS history FROM f WHERE k > 0""")
 def rag_pipeline(spark, d):
     from paperloom.plans.pipelines import rag_pipeline as run
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, text
-from paperloom.operators import agents, folds, joins, providers
+from paperloom.operators import dialogue, folds, joins, providers
 from paperloom.session import table
 
 
@@ -39,20 +39,18 @@ def case_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return walked.select("case_id", F.length("case.extracted_text").alias("chars"), "images", "risk", rules.risk_level(F.col("risk")).alias("level"), "path", decision.alias("decision"))
 
 
+#: Every third item and conversation is written in Arabic letters, as the tables have none.
+LATIN, ARABIC = "aeioutnshr", "ايوكمتنسهر"
+
+
+def _lettered(c: Column, number: Column) -> Column:
+    return F.when(number % 3 == 0, F.translate(c, LATIN, ARABIC)).otherwise(c)
+
+
 def rag_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Questions to grounded answers: rewrite what leans on the history, embed, retrieve, build a context within its limit, answer, append to history."""
-    passages = table(spark, d, "benchmark").select(F.col("item_id").alias("vec_id"), "text")
-    passages = providers.call(passages.withColumn("passage", text.passage(F.lit(""), F.col("text"), F.col("vec_id").cast("string"), F.array().cast("array<string>"))), "embed", ["passage"], "embedding")
-    asked = table(spark, d, "conversations").where("role = 'user'").withColumn("vec_id", -1 - (F.col("conv_id") * 1000 + F.col("turn"))).withColumn("question", F.col("text"))
-    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    asked = agents.rewritten(asked.withColumn("history", F.coalesce(F.concat(F.lit("Q: "), before), F.lit(""))))
-    asked = providers.call(asked.withColumn("query", F.concat(F.lit("query: "), text.squeeze(F.col("question_alone")))), "embed", ["query"], "embedding")
-    near = joins.top_k_similar(asked, passages, 5).join(passages.select("vec_id", F.col("text").alias("found")), "vec_id")
-    context = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.array_sort(F.collect_list(F.struct("rank", "found", F.col("vec_id").alias("id")))).alias("hits"))
-    told = asked.select("vec_id", "conv_id", "turn", F.col("text").alias("question")).join(context, "vec_id", "left")
-    body = text.truncate_head(F.array_join(F.transform("hits", lambda h: h.found), "\n"), K.CONTEXT_CHARS)
-    answered = providers.call(told.withColumn("prompt", text.prompt(F.coalesce(body, F.lit("")), F.col("question"))), "chat", ["prompt"], "said")
-    final = answered.select("conv_id", "turn", "question", F.coalesce(F.nullif(F.col("said"), F.lit("")), F.lit("Insufficient FAQ context")).alias("answer"), F.array_join(F.transform("hits", lambda h: h.id), ",").alias("ids"))
-    history = folds.chat_history(final)
-    last = final.withColumn("k", F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("turn")))).where("k = 1").drop("k")
-    return last.select("conv_id", "answer", "ids").join(history, "conv_id")
+    """All conversations answered from the benchmark's passages, turn after turn: rewrite with the history, retrieve, answer, fold (``dialogue``)."""
+    said = text.squeeze(_lettered(F.col("text"), F.col("item_id")))
+    asked = F.regexp_extract(said, r"^[^.]*\.?", 0)
+    passages = table(spark, d, "benchmark").select(F.col("item_id").alias("vec_id"), F.col("item_id").cast("string").alias("faq_id"), text.detect_language(said).alias("lang"), asked.alias("question"), said.alias("answer"), F.array().cast("array<string>").alias("tags"))
+    turns = table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", _lettered(F.col("text"), F.col("conv_id")).alias("question"))
+    return dialogue.converse(turns, passages).select("conv_id", "turn", "query", F.array_join("ids", ",").alias("ids"), "answer", "history")
