@@ -60,6 +60,8 @@ CERTIFICATE_FIELDS = [
     "document_title_ar", "serial_number", "registration_number", "registration_date", "issue_date", "health_office", "civil_registry", "issuing_authority",
     "governorate_or_administration", "form_reference", "issuance_system_version", "barcode_or_machine_notes",
 ]
+MEMBER_FIELDS = ["name", "relation", "age", "national_id", "social_status", "education_status", "employment_status", "health_status"]
+ATTACHMENT_FIELDS = ["attachment_type", "subject_name", "national_id", "notes"]
 CHILD_FIELDS = ["name", "gender", "religion", "nationality", "place_of_birth", "date_of_birth"]
 PARENT_FIELDS = ["name", "religion", "nationality"]
 #: Field classes, their boxes (x, y of the centre, width, height) and where a record holds them.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import arrow_udfs as A
 from paperloom.functions import constants as K
-from paperloom.functions import jsonx, rules, text
+from paperloom.functions import jsonx, rules, schemas, text
 from paperloom.operators import agents, folds, images, joins, metrics, providers, windows
 from paperloom.session import scratch, table
 from paperloom.sources import readers, writers
@@ -296,6 +296,65 @@ def schema_validate(spark, d):
     return rows.select("doc_id", F.array_join(errors, "; ").alias("errors"), F.when(F.size(errors) == 0, "OK").otherwise("INVALID").alias("status"))
 
 
+def _schema_rules(schema: dict, at: str = "$") -> list[str]:
+    """A row of SQL for each node of a schema: where it is, the types it may have, the fields it must and may have, its least length and least value."""
+    kinds = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
+    fields = schema.get("properties", {})
+    rows = [f"('{at}', {listed(kinds)}, {listed(schema.get('required', []))}::VARCHAR[], {listed(fields) if fields else 'NULL'}::VARCHAR[], {schema.get('minLength', 0)}, {schema.get('minimum', 'NULL')})"]
+    for name, sub in fields.items():
+        rows += _schema_rules(sub, f"{at}.{name}")
+    return rows + (_schema_rules(schema["items"], f"{at}[]") if "items" in schema else [])
+
+
+def schema_sql(schema: dict, records: str) -> str:
+    """``errors`` of each doc_id of ``records`` (doc_id, payload) by a schema, over the tree that DuckDB makes of a JSON text."""
+    return rf"""
+    WITH p AS ({records}),
+    r(place, kinds, needed, known, least_length, least) AS (VALUES {", ".join(_schema_rules(schema))}),
+    n AS (
+        SELECT doc_id, regexp_replace(fullkey, '\[\d+\]', '[]', 'g') AS place, CASE WHEN fullkey = '$' THEN '<root>' ELSE replace(replace(fullkey[3:], '[', '.'), ']', '') END AS path, value,
+               CASE WHEN type = 'VARCHAR' THEN 'string' WHEN type IN ('BOOLEAN', 'NULL', 'OBJECT', 'ARRAY') THEN lower(type) WHEN type = 'DOUBLE' AND value::DOUBLE <> floor(value::DOUBLE) THEN 'number' ELSE 'integer' END AS kind
+        FROM p, json_tree(p.payload::JSON)
+    ),
+    m AS (
+        SELECT n.*, r.*, CASE WHEN kind = 'object' THEN json_keys(value) ELSE [] END AS has,
+               CASE WHEN kind = 'string' THEN '''' || (value->>'$') || '''' WHEN kind = 'null' THEN 'None' WHEN kind = 'boolean' THEN upper(left(value::VARCHAR, 1)) || substr(value::VARCHAR, 2) ELSE value::VARCHAR END AS said
+        FROM n JOIN r ON n.place = r.place
+    ),
+    e AS (
+        SELECT doc_id, path || ': ' || said || ' is not of type ' || array_to_string(list_transform(kinds, lambda k: '''' || k || ''''), ', ') AS error FROM m WHERE NOT list_contains(kinds, kind)
+        UNION ALL SELECT doc_id, path || ': ' || said || ' should be non-empty' FROM m WHERE kind = 'string' AND length(value->>'$') < least_length
+        UNION ALL SELECT doc_id, path || ': ' || said || ' is less than the minimum of ' || least FROM m WHERE kind IN ('integer', 'number') AND value::DOUBLE < least
+        UNION ALL SELECT doc_id, path || ': ''' || f || ''' is a required property' FROM (SELECT *, unnest(list_filter(needed, lambda x: NOT list_contains(has, x))) AS f FROM m WHERE kind = 'object')
+        UNION ALL SELECT doc_id, path || ': Additional properties are not allowed (' || array_to_string(list_transform(more, lambda x: '''' || x || ''''), ', ') || CASE WHEN len(more) = 1 THEN ' was' ELSE ' were' END || ' unexpected)'
+            FROM (SELECT *, list_sort(list_filter(has, lambda x: NOT list_contains(known, x))) AS more FROM m WHERE kind = 'object') WHERE len(more) > 0
+    ),
+    errors AS (SELECT doc_id, array_to_string(list_sort(coalesce(list(error) FILTER (error IS NOT NULL), [])), '; ') AS errors FROM p LEFT JOIN e USING (doc_id) GROUP BY doc_id)"""
+
+
+def _nulls(fields) -> str:
+    return ",".join(f'"{f}":null' for f in fields)
+
+
+#: A birth certificate's record in SQL that both engines read: rules of each depth are broken by number.
+CERTIFICATE_SQL = (
+    "'{\"document_id\":\"' || CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'doc_' || doc_id END || '\",\"source_files\":[' || CASE WHEN doc_id % 4 = 0 THEN '3' ELSE '\"a.png\"' END"
+    " || '],\"page_count\":' || CASE WHEN doc_id % 6 = 0 THEN '0' WHEN doc_id % 7 = 0 THEN '1.5' WHEN doc_id % 13 = 0 THEN '\"two\"' ELSE '2' END"
+    f" || ',\"birth_certificate\":{{{_nulls(K.CERTIFICATE_FIELDS)}' || CASE WHEN doc_id % 9 = 0 THEN ',\"stamp\":1,\"seal\":true' ELSE '' END"
+    " || '},\"ids\":{\"child_national_id\":null,\"father_national_id\":null,\"mother_national_id\":' || CASE WHEN doc_id % 5 = 0 THEN '5' ELSE 'null' END"
+    " || ',\"other_ids\":[{\"label_ar\":\"' || source || '\",\"value\":' || CASE WHEN doc_id % 3 = 0 THEN '{\"deep\":[1]}' ELSE '\"v\"' END || '},{\"label_ar\":null' || CASE WHEN doc_id % 8 = 0 THEN '' ELSE ',\"value\":null' END"
+    f" || '}}]}},\"personal_and_other\":{{\"child\":{{{_nulls(K.CHILD_FIELDS)}}},\"father\":{{{_nulls(K.PARENT_FIELDS)}}},\"mother\":' || CASE WHEN doc_id % 10 = 0 THEN '[]' ELSE '{{{_nulls(K.PARENT_FIELDS)}}}' END"
+    " || ',\"misc_notes\":null},\"uncertain_fields\":[],\"review_required\":' || CASE WHEN doc_id % 12 = 0 THEN 'null' ELSE 'false' END || ',\"review_notes\":[' || CASE WHEN doc_id % 14 = 0 THEN 'false' ELSE '\"' || lang || '\"' END || ']}'"
+)
+
+
+@query(schema_sql(schemas.certificate_schema(), f"SELECT doc_id, {CERTIFICATE_SQL} AS payload FROM documents") + " SELECT doc_id, errors, CASE WHEN errors = '' THEN 'OK' ELSE 'INVALID' END AS status FROM errors")
+def nested_errors(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.expr(CERTIFICATE_SQL).alias("payload"))
+    told = rows.select("doc_id", schemas.compiled(schemas.certificate_schema())(F.col("payload")).alias("e"))
+    return told.select("doc_id", F.array_join("e", "; ").alias("errors"), F.when(F.size("e") == 0, "OK").otherwise("INVALID").alias("status"))
+
+
 @query("SELECT DISTINCT user_id, sha256(user_id::VARCHAR) AS user_hash FROM events")
 def sha_ids(spark, d):
     return table(spark, d, "events").select("user_id").distinct().select("user_id", text.sha256(F.col("user_id").cast("string")).alias("user_hash"))
