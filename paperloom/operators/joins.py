@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -281,18 +283,50 @@ def duplicate_split(ranked: DataFrame, owner: DataFrame, threshold: float) -> Da
     )
 
 
-def best_token_match(fields: DataFrame, tokens: DataFrame, score=sequence_ratio) -> DataFrame:
+def numbered_letters(c: Column) -> Column:
+    """A text's letters, each with how often it came before: what two texts have in common of these is what they share of letters.
+
+    Null for texts of over 500 letters, whose bound would cost more than it saves.
+    """
+    letters = F.sort_array(F.regexp_extract_all(F.when(F.length(c) <= 500, c), F.lit("(?s)."), F.lit(0)))
+    # In sorted order a letter's number is its place after the first of its kind.
+    return F.transform(letters, lambda x, i: F.concat(x, (i - F.array_position(letters, x) + 1).cast("string")))
+
+
+def best_token_match(fields: DataFrame, tokens: DataFrame, score=sequence_ratio, with_cost: bool = False) -> DataFrame:
     """For each (document_id, field, target) the best of the document's tokens and adjacent pairs (JOI12, WIN2).
 
     ``tokens``: document_id, pos, text.  A single token beats a pair of the same score, an earlier one a later.
+
+    Bound, then verify: matching blocks hold no more letters than both texts share in any order, so twice these by both lengths bounds
+    ``sequence_ratio``, and the JVM tells it for every pair.  Of each target the pair of the highest bound is scored first, then
+    those whose bound reaches that score; all others can't win.  ``with_cost`` adds ``pairs`` and ``scored``, how many there
+    were and how many were scored.  Another ``score`` has no bound here, and all its pairs are scored.
     """
     here = Window.partitionBy("document_id").orderBy("pos")
     with_next = tokens.withColumn("next", F.lead("text").over(here))
     singles = tokens.select("document_id", "text", F.col("pos").alias("pos"), F.lit(0).alias("pair"))
     pairs = with_next.where("next is not null").select("document_id", F.concat_ws(" ", "text", "next").alias("text"), "pos", F.lit(1).alias("pair"))
-    scored = fields.join(singles.union(pairs), "document_id").withColumn("score", F.round(score(F.col("target"), F.col("text")), 6))
-    best = F.max_by(F.struct("text", "score"), F.struct("score", (-F.col("pair")).alias("p"), (-F.col("pos")).alias("q")))
-    return scored.groupBy("document_id", "field", "target").agg(best.alias("b")).select("document_id", "field", "target", F.col("b.text").alias("text"), F.col("b.score").alias("score"))
+    keys = ["document_id", "field", "target"]
+    of = lambda value: F.struct(F.col(value), (-F.col("pair")).alias("p"), (-F.col("pos")).alias("q"))
+    if score is not sequence_ratio:
+        scored = fields.join(singles.union(pairs), "document_id").withColumn("score", F.round(score(F.col("target"), F.col("text")), 6))
+        best = scored.groupBy(*keys).agg(F.max_by(F.struct("text", "score"), of("score")).alias("b"), F.count("*").alias("pairs"))
+        return best.select(*keys, F.col("b.text").alias("text"), F.col("b.score").alias("score"), *([F.col("pairs"), F.col("pairs").alias("scored")] if with_cost else []))
+    with_checkpoints(fields.sparkSession)
+    asked = fields.withColumn("a", numbered_letters(F.coalesce("target", F.lit(""))))
+    bags = singles.union(pairs).withColumn("b", numbered_letters(F.coalesce("text", F.lit(""))))
+    size = F.size("a") + F.size("b")
+    bound = F.when((size > 0) & F.col("a").isNotNull() & F.col("b").isNotNull(), 2 * F.size(F.array_intersect("a", "b")) / size).otherwise(1.0)
+    # One up in the sixth place: scores are compared as rounded.
+    met = asked.join(bags, "document_id").select(*keys, "text", "pos", "pair", F.round(bound + 1e-6, 6).alias("bound")).checkpoint()
+    first = met.groupBy(*keys).agg(F.max_by(F.struct("text", "pos", "pair"), of("bound")).alias("f"), F.count("*").alias("pairs"))
+    least = first.select(*(F.col(k).alias(f"its_{k}") for k in keys), F.round(score(F.col("target"), F.col("f.text")), 6).alias("least"), "pairs").checkpoint()
+    same = reduce(lambda x, k: x & F.col(k).eqNullSafe(F.col(f"its_{k}")), keys[1:], F.col(keys[0]) == F.col(f"its_{keys[0]}"))
+    left = met.join(least, same & (F.col("bound") >= F.col("least"))).select(*keys, "text", "pos", "pair", "pairs")
+    scored = left.withColumn("score", F.round(score(F.col("target"), F.col("text")), 6))
+    best = scored.groupBy(*keys).agg(F.max_by(F.struct("text", "score"), of("score")).alias("b"), F.first("pairs").alias("pairs"), F.count("*").alias("scored"))
+    return best.select(*keys, F.col("b.text").alias("text"), F.col("b.score").alias("score"), *(["pairs", "scored"] if with_cost else []))
 
 
 def levenshtein_score(a: Column, b: Column) -> Column:
@@ -301,14 +335,70 @@ def levenshtein_score(a: Column, b: Column) -> Column:
     return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
-def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75, names_a_task: int = 8192) -> DataFrame:
+def _pair_letters(joined: str) -> list[tuple[str, int]]:
+    """The pairs of neighbouring letters of sorted words with a space at either side, each with how often it came before."""
+    seen: dict[str, int] = {}
+    out = []
+    for gram in map("".join, pairwise(f" {joined} ")):
+        seen[gram] = seen.get(gram, 0) + 1
+        out.append((gram, seen[gram]))
+    return out
+
+
+class NameIndex:
+    """An inverted index of names by pairs of letters, for the highest ``token_set`` scores at or above ``accept``.
+
+    The words of a name, sorted, are one text of length a, and with a space at either side it has a + 1 letter pairs, which don't
+    depend on the words' order.  Let two names share c of them.  If their longest common subsequence has L letters, a - L
+    deletions break two pairs each and b - L insertions one, so c >= (a + 1) - 2 (a - L) - (b - L), hence L <= (c + a + b - 1) / 3.
+    Words that both have, s letters with the spaces between, are s + 1 pairs of both, so s <= c - 1.  Either way of scoring is bounded
+    by c then: 200 L / (a + b), and 200 s / (s + min(a, b)), which is 100 for a subset.  A name below ``accept`` by both is
+    no candidate; candidates are scored by falling bound until none can reach the best score.
+    """
+
+    def __init__(self, names: Sequence[str], row_ids: Sequence[int]) -> None:
+        self.names, self.row_ids = names, row_ids
+        joined = [" ".join(sorted(set(x.split()))) for x in names]
+        self.sizes = np.array([len(x) for x in joined], np.int64)
+        has: dict[tuple[str, int], list[int]] = {}
+        for i, x in enumerate(joined):
+            for gram in _pair_letters(x) if x else ():
+                has.setdefault(gram, []).append(i)
+        self.has = {gram: np.array(rows, np.int32) for gram, rows in has.items()}
+
+    def best(self, query: str, accept: float) -> tuple[list[tuple[int, float]], int]:
+        """(row_id, score) of all names whose score may round to the best one, and how many were scored."""
+        mine = " ".join(sorted(set(query.split())))
+        posted = [self.has[gram] for gram in _pair_letters(mine) if gram in self.has] if mine else []
+        if not posted:
+            return [], 0
+        c, a, b = np.bincount(np.concatenate(posted), minlength=len(self.names)), len(mine), self.sizes
+        common, shared = np.minimum((c + a + b - 1) // 3, np.minimum(a, b)), np.minimum(np.maximum(c - 1, 0), np.minimum(a, b))
+        bound = np.maximum(200.0 * common / (a + b), 200.0 * shared / (shared + np.minimum(a, np.maximum(b, 1))))
+        some = np.flatnonzero((bound >= accept - 1e-6) & (c > 0))
+        some = some[np.argsort(-bound[some], kind="stable")]
+        found, least, n = [], accept - 2e-6, 0
+        for i in some.tolist():
+            if bound[i] < least:
+                break
+            x, n = token_set(query, self.names[i]), n + 1
+            if x >= least:
+                # What may round to the same score stays, so that the earlier row wins.
+                found.append((self.row_ids[i], x))
+                least = max(least, x - 2e-6)
+        return [r for r in found if r[1] >= least], n
+
+
+def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75, names_a_task: int = 8192, with_cost: bool = False) -> DataFrame:
     """The catalog row whose best name is nearest to a query, if it is near enough (JOI13, FLT9).
 
     ``queries``: query_id, query.  ``catalog`` has a ``row_id``; of equal scores the earlier row wins.
-    Every distinct query meets every distinct name: a task takes one block of queries and one shard of names.
-    There a pair that shares a word is scored; one that shares none is scored unless the letters both have, in
-    any order, are too few for ``accept``, which loses nothing as a common subsequence can't be longer.
+    Distinct names are dealt to shards and distinct queries to blocks; a task indexes its shard (``NameIndex``) and scores
+    only what may win there, so nothing is lost.  ``accept`` is at least 67, below which letter pairs tell nothing.  ``with_cost`` adds ``scored``, the
+    names that were scored for a query, to rows of all queries, matched or not.
     """
+    if accept < 200 / 3:
+        raise ValueError("two names of such a score need not share a pair of letters")
     name = F.explode(F.array_distinct(F.filter(F.array(*(F.lower(F.trim(c)) for c in names)), lambda x: x != "")))
     entries = catalog.select("row_id", name.alias("text")).groupBy("text").agg(F.min("row_id").alias("row_id"))
     q = queries.select("query_id", F.lower(F.trim("query")).alias("query"))
@@ -319,36 +409,24 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
     kept = entries.select(of(shards).alias("shard"), every(blocks).alias("block"), "text", F.col("row_id").cast("long").alias("row_id"), F.lit(False).alias("asks"))
     asking = asked.select(every(shards).alias("shard"), of(blocks).alias("block"), "text", F.lit(None).cast("long").alias("row_id"), F.lit(True).alias("asks"))
 
-    def letters(text: str) -> np.ndarray:
-        """Counts of a text's letters, in 64 classes."""
-        return np.bincount([ord(c) % 64 for c in text], minlength=64)
-
     def search(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        own = [r for r in rows if not r["asks"]]
-        sets = [" ".join(sorted(set(r["text"].split()))) for r in own]
-        has: dict[str, list[int]] = {}
-        for i, x in enumerate(sets):
-            for w in x.split():
-                has.setdefault(w, []).append(i)
-        bags, sizes = np.array([letters(x) for x in sets], np.int32).reshape(-1, 64), np.array([len(x) for x in sets])
+        asks, texts, rows = table["asks"].to_numpy(), table["text"].to_pylist(), table["row_id"].to_pylist()
+        own = np.flatnonzero(~asks).tolist()
+        index = NameIndex([texts[i] for i in own], [rows[i] for i in own])
         out = []
-        for query in [r["text"] for r in rows if r["asks"]] if own else []:
-            mine = " ".join(sorted(set(query.split())))
-            if not mine:
-                continue
-            most = 200.0 * np.minimum(bags, letters(mine)).sum(1) / (sizes + len(mine))
-            some = set(np.flatnonzero(most >= accept - 1e-6).tolist()).union(*(has.get(w, ()) for w in mine.split()))
-            scored = [(token_set(query, own[i]["text"]), own[i]["row_id"]) for i in some]
-            # What may round to the same score stays, so that the earlier row wins.
-            least = max([accept, *(x for x, _ in scored)]) - 2e-6
-            out += [(query, i, x) for x, i in scored if x >= least]
-        return pa.table({"text": pa.array([x[0] for x in out], pa.string()), "row_id": pa.array([x[1] for x in out], pa.int64()), "score": pa.array([x[2] for x in out], pa.float64())})
-
-    found = kept.union(asking).groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double")
-    scored = found.withColumn("score", F.round("score", 6)).where(F.col("score") >= accept)
-    best = scored.groupBy("text").agg(F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r"))).alias("row_id"), F.max("score").alias("score"))
-    return q.join(best, q["query"] == best["text"]).select("query_id", "query", "row_id", "score").groupBy("query_id").agg(F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r"))).alias("row_id"), F.max("score").alias("score"))
+        for i in np.flatnonzero(asks).tolist():
+            found, n = index.best(texts[i], accept)
+            out += [(texts[i], row, x, n if k == 0 else 0) for k, (row, x) in enumerate(found)] or [(texts[i], None, None, n)]
+        kinds = pa.string(), pa.int64(), pa.float64(), pa.int64()
+        return pa.table({c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(("text", "row_id", "score", "scored"), kinds, strict=True))})
+
+    found = kept.union(asking).groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double, scored long")
+    good = F.round("score", 6) >= accept
+    scored = found.withColumns({"score": F.when(good, F.round("score", 6)), "row_id": F.when(good, F.col("row_id"))})
+    first = F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r")))
+    best = scored.groupBy("text").agg(first.alias("row_id"), F.max("score").alias("score"), F.sum("scored").alias("scored"))
+    matched = q.join(best, q["query"] == best["text"], "left" if with_cost else "inner").groupBy("query_id").agg(first.alias("row_id"), F.max("score").alias("score"), F.coalesce(F.sum("scored"), F.lit(0)).alias("scored"))
+    return matched if with_cost else matched.where("row_id is not null").drop("scored")
 
 
 def first_contained(rows: DataFrame, text: str, categories: Sequence[str]) -> DataFrame:

@@ -467,12 +467,13 @@ WIDE, NARROW = "ÄÇÈÉÊÑÖÜßäçèéêíñóöüáúàâîôû", "!#$%&()*
 def _fields_and_tokens(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("document_id"), "text")
     tokens = b.select("document_id", F.posexplode(F.split("text", " ")).alias("pos", "text"))
-    fields = b.select("document_id", F.lit("third").alias("field"), F.concat_ws(" ", F.get(F.split("text", " "), 3), F.get(F.split("text", " "), 4)).alias("target"))
-    return fields, tokens
+    said = F.concat_ws(" ", F.get(F.split("text", " "), 3), F.get(F.split("text", " "), 4))
+    # Every other target is misread.
+    return b.select("document_id", F.lit("third").alias("field"), F.when(F.col("document_id") % 2 == 1, F.translate(said, "eo", "a")).otherwise(said).alias("target")), tokens
 
 
-TOKENS = rf"""WITH b AS (SELECT item_id AS document_id, string_split(text, ' ') AS w FROM benchmark),
-    f AS (SELECT document_id, 'third' AS field, concat_ws(' ', w[4], w[5]) AS target FROM b),
+TOKENS = rf"""WITH RECURSIVE b AS (SELECT item_id AS document_id, string_split(text, ' ') AS w FROM benchmark),
+    f AS (SELECT document_id, 'third' AS field, CASE WHEN document_id % 2 = 1 THEN translate(concat_ws(' ', w[4], w[5]), 'eo', 'a') ELSE concat_ws(' ', w[4], w[5]) END AS target FROM b),
     k AS (SELECT document_id, unnest(w) AS text, unnest(range(len(w))) AS pos FROM b),
     c AS (SELECT document_id, text, pos, 0 AS pair FROM k UNION ALL SELECT document_id, text || ' ' || nxt, pos, 1 FROM (SELECT *, lead(text) OVER (PARTITION BY document_id ORDER BY pos) AS nxt FROM k) WHERE nxt IS NOT NULL),
     s AS (SELECT document_id, field, target, text, round(CASE WHEN greatest(length(target), length(text)) = 0 THEN 1 ELSE 1 - levenshtein(translate(target, '{WIDE}', '{NARROW}'), translate(text, '{WIDE}', '{NARROW}')) / greatest(length(target), length(text)) END, 6) AS score, pair, pos FROM f JOIN c USING (document_id))
@@ -484,19 +485,66 @@ def fuzzy_best_match(spark, d):
     return joins.best_token_match(*_fields_and_tokens(spark, d), score=joins.levenshtein_score)
 
 
-@query()
+@query(TOKENS + """,
+    d AS (SELECT DISTINCT target, text FROM s),
+    pieces(target, text, a, b, k) AS (
+        SELECT target, text, target, text, 0 FROM d
+        UNION ALL
+        SELECT target, text, CASE side WHEN 0 THEN a[1:m.i - 1] ELSE a[m.i + m.k:] END, CASE side WHEN 0 THEN b[1:m.j - 1] ELSE b[m.j + m.k:] END, CASE side WHEN 0 THEN m.k ELSE 0 END
+        FROM (
+            SELECT target, text, a, b, list_sort(flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(range(1, length(b) + 1), lambda j:
+                {'less': -coalesce(list_max(list_filter(range(1, least(length(a) - i, length(b) - j) + 2), lambda z: a[i:i + z - 1] = b[j:j + z - 1])), 0), 'i': i, 'j': j,
+                 'k': coalesce(list_max(list_filter(range(1, least(length(a) - i, length(b) - j) + 2), lambda z: a[i:i + z - 1] = b[j:j + z - 1])), 0)}))))[1] AS m
+            FROM pieces WHERE a <> '' AND b <> ''
+        ), (SELECT unnest([0, 1]) AS side) WHERE m.k > 0
+    ),
+    ratio AS (SELECT target, text, round(CASE WHEN target = '' AND text = '' THEN 1 ELSE 2 * sum(k) / (length(target) + length(text)) END, 6) AS score FROM pieces GROUP BY target, text)
+    SELECT document_id, field, target, text, score FROM (SELECT s.document_id, s.field, target, text, ratio.score, row_number() OVER (PARTITION BY document_id ORDER BY ratio.score DESC, pair, pos) AS k FROM s JOIN ratio USING (target, text)) WHERE k = 1""")
 def fuzzy_best_match_sequence(spark, d):
     return joins.best_token_match(*_fields_and_tokens(spark, d))
 
 
-@query()
+def nearest_sql(catalog: str, queries: str, accept: int = 75) -> str:
+    """The best row of ``catalog`` (row_id, text) for each of ``queries`` (query_id, text) by shared words and common subsequences; texts of up to 120 letters.
+
+    A common subsequence's length is counted in the bits of a whole number, a letter of the other text at a time.
+    """
+    words = "list_sort(list_distinct(list_filter(string_split_regex(lower(trim(text)), '\\s+'), lambda x: x <> '')))"
+    return rf"""
+    WITH c AS (SELECT min(row_id) AS row_id, w FROM (SELECT row_id, {words} AS w FROM ({catalog})) WHERE len(w) > 0 GROUP BY w),
+    q AS (SELECT DISTINCT {words} AS w FROM ({queries})),
+    p AS (SELECT q.w AS qw, c.row_id, list_filter(q.w, lambda x: list_contains(c.w, x)) AS shared, list_filter(q.w, lambda x: NOT list_contains(c.w, x)) AS mine, list_filter(c.w, lambda x: NOT list_contains(q.w, x)) AS its FROM q, c WHERE len(q.w) > 0),
+    t AS (SELECT *, array_to_string(list_concat(shared, mine), ' ') AS a, array_to_string(list_concat(shared, its), ' ') AS b, length(array_to_string(shared, ' ')) AS s FROM p),
+    m AS (SELECT *, list_transform(string_split(b, ''), lambda y: list_sum(list_transform(range(length(a)), lambda i: CASE WHEN a[i + 1] = y THEN 1::HUGEINT << i::HUGEINT ELSE 0 END))::HUGEINT) AS masks, (1::HUGEINT << length(a)::HUGEINT) - 1 AS every FROM t),
+    l AS (SELECT *, length(a) - bit_count(list_reduce(masks, lambda row, m: ((row + (row & m)) | (row - (row & m))) & every, every)) AS common FROM m),
+    r AS (
+        SELECT qw, row_id, round(CASE WHEN s > 0 AND (len(mine) = 0 OR len(its) = 0) THEN 100
+            ELSE greatest(200::DOUBLE * common / (length(a) + length(b)), CASE WHEN s > 0 THEN greatest(200::DOUBLE * s / (s + length(a)), 200::DOUBLE * s / (s + length(b))) ELSE 0 END) END, 6) AS score FROM l
+    ),
+    best AS (SELECT qw, arg_min(row_id, (-score, row_id)) AS row_id, max(score) AS score FROM r WHERE score >= {accept} GROUP BY qw)
+    SELECT query_id, row_id, score FROM (SELECT query_id, {words} AS w FROM ({queries})) JOIN best ON w = qw"""
+
+
+#: A name as someone may write it: with an ending, its letters changed, its first letter lost, or as it is.
+MISSPELT = "CASE {1} % 4 WHEN 0 THEN {0} || 's' WHEN 1 THEN replace(replace({0}, 'e', 'a'), 'o', 'u') WHEN 2 THEN substr({0}, 2) ELSE {0} END"
+PARTS, PAGES = "SELECT p_partkey AS row_id, unnest([p_name, p_type]) AS text FROM part", "SELECT page_id AS row_id, regexp_replace(url, '[^A-Za-z0-9]+', ' ', 'g') AS text FROM pages"
+
+
+@query(nearest_sql(PARTS, f"SELECT p_partkey AS query_id, {MISSPELT.format('p_name', 'p_partkey')} AS text FROM part"))
 def catalog_nearest(spark, d):
     catalog = table(spark, d, "part").select(F.col("p_partkey").alias("row_id"), "p_name", "p_type")
-    said = F.when(F.col("row_id") % 100 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name"))
-    queries = catalog.where("row_id % 50 = 0").select(F.col("row_id").alias("query_id"), said.alias("query"))
+    queries = catalog.select(F.col("row_id").alias("query_id"), F.expr(MISSPELT.format("p_name", "row_id")).alias("query"))
     return joins.catalog_match(queries, catalog, ["p_name", "p_type"])
 
 
+@query(nearest_sql(PAGES, f"SELECT row_id AS query_id, {MISSPELT.format('text', 'row_id')} AS text FROM ({PAGES})"))
+def catalog_urls(spark, d):
+    """Every page's address, misspelt, against all addresses: a catalogue whose names are nearly all different."""
+    catalog = table(spark, d, "pages").select(F.col("page_id").alias("row_id"), F.regexp_replace("url", "[^A-Za-z0-9]+", " ").alias("name"))
+    queries = catalog.select(F.col("row_id").alias("query_id"), F.expr(MISSPELT.format("name", "row_id")).alias("query"))
+    return joins.catalog_match(queries, catalog, ["name"])
+
+
 @query("SELECT doc_id, CASE WHEN contains(lower(source), 'src1') THEN 'src1' WHEN contains(lower(source), 'src2') THEN 'src2' WHEN contains(lower(source), '5') THEN '5' ELSE 'src1' END AS category FROM documents")
 def category_contains(spark, d):
     return joins.first_contained(table(spark, d, "documents").select("doc_id", "source"), "source", ["src1", "src2", "5"]).select("doc_id", "category")

@@ -130,6 +130,7 @@ def test_whole_texts_of_all_languages(spark, tmp_path):
     for i, t, *_ in docs:
         w = t.split(" ")
         target = " ".join(w[3:5])
+        target = target.replace("e", "a").replace("o", "") if i % 2 else target
         tokens = [(x, 0, k) for k, x in enumerate(w)] + [(f"{x} {y}", 1, k) for k, (x, y) in enumerate(zip(w, w[1:], strict=False))]
         score = lambda x, target=target: round(difflib.SequenceMatcher(None, target, x).ratio(), 6)
         best[i] = min((-score(x), pair, k, x) for x, pair, k in tokens)
