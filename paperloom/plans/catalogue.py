@@ -13,6 +13,8 @@ from paperloom.functions import jsonx, rules, schemas, text
 from paperloom.operators import agents, folds, images, joins, metrics, providers, windows
 from paperloom.session import scratch, table
 from paperloom.sources import readers, writers
+from paperloom.sources.keyed_store import KeyedStore
+from paperloom.sources.part_log import BatchTable
 from paperloom.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1232,12 +1234,33 @@ def module_report(spark, d):
 
 @query("SELECT event_id, event_type FROM events")
 def autosaved(spark, d):
-    path = scratch(spark, "autosave")
+    saved = BatchTable(spark, scratch(spark, "autosave"), "event_id long, event_type string")
     rows = table(spark, d, "events").select("event_id", "event_type")
-    part = lambda k: rows.where(F.pmod(F.col("event_id"), F.lit(4)) == k)
-    writers.autosave((part(k) for k in range(3)), path, "event_id")
-    writers.autosave((part(k) for k in range(4)), path, "event_id")  # as after a restart: what is there isn't written again
-    return spark.read.parquet(path)
+    batches = [lambda k=k: rows.where(F.pmod(F.col("event_id"), F.lit(4)) == k) for k in range(4)]
+    writers.autosave(batches[:3], saved, "events")
+    writers.autosave(batches, saved, "events")  # as after a restart: what is there isn't written again
+    saved.fold()
+    return saved.rows()
+
+
+@query("""
+    SELECT vec_id, CASE WHEN vec_id % 20 = 0 THEN -2 WHEN vec_id % 10 = 1 THEN -1 ELSE label END AS label, embedding[1]::DOUBLE AS x FROM embeddings
+    WHERE (vec_id % 10 > 0 OR vec_id % 20 = 0) AND vec_id % 7 <> 0""")
+def mutable_store(spark, d):
+    """Vectors put in, changed, taken out, put in again, with compaction between."""
+    v = table(spark, d, "embeddings").select("vec_id", "label", F.get("embedding", 0).cast("double").alias("x"))
+    store = KeyedStore(spark, scratch(spark, "vector-store"), "vec_id", v.schema)
+    store.upsert(v)
+    store.compact()
+    store.upsert(v.where("vec_id % 10 = 1").withColumn("label", F.lit(-1)))
+    store.delete(v.where("vec_id % 10 = 0").select("vec_id"))
+    before = store.log.entry().version
+    store.upsert(v.where("vec_id % 20 = 0").withColumn("label", F.lit(-2)))
+    store.compact()
+    store.delete(v.where("vec_id % 7 = 0").select("vec_id"))
+    assert store.snapshot(before).where("vec_id % 10 = 0").isEmpty()
+    store.vacuum()
+    return store.snapshot()
 
 
 @query("SELECT doc_id, lang, source FROM documents")

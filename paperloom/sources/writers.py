@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.sources.part_log import BatchTable
+
 
 def write_records(records: DataFrame, path: str, by: str | None = None) -> None:
     """JSON records, by a column's values if one is named (SNK1)."""
@@ -16,13 +18,9 @@ def write_records(records: DataFrame, path: str, by: str | None = None) -> None:
 
 def append_missing(rows: DataFrame, path: str, key: str) -> int:
     """Appends the rows whose key the table lacks, and says how many (SNK2, SNK5, STA8)."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        done = rows.sparkSession.read.parquet(path).select(key)
-        new = rows.join(done, key, "left_anti")
-    except AnalysisException:
-        new = rows
+    spark, where = rows.sparkSession, rows.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    new = rows.join(spark.read.parquet(path).select(key), key, "left_anti") if there else rows
     new = new.dropDuplicates([key]).persist()
     n = new.count()
     if n:
@@ -73,9 +71,16 @@ def write_report(module: str, summary: DataFrame, results: DataFrame, path: str)
         rows.select(F.lit(module).alias("module"), *rows.columns).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{part}")
 
 
-def autosave(batches: Iterable[DataFrame], path: str, key: str) -> int:
-    """Appends each of some batches as it is done, without rows that are there already, so a run goes on where it broke off (SNK6)."""
-    return sum(append_missing(batch, path, key) for batch in batches)
+def autosave(batches: Iterable[Callable[[], DataFrame]], table: BatchTable, run: str) -> int:
+    """Adds each of a run's batches as it is done, and says how many: a run that is started again goes on after its last one (SNK6, STA8).
+
+    A batch is given as a function, which isn't called for batches that are in the table.
+    """
+    added, last = 0, table.log.entry().done.get(run, -1)
+    for number, batch in enumerate(batches):
+        if number > last:
+            added += table.add(run, number, batch())
+    return added
 
 
 def percent(part: Column, whole: Column, floor: bool = False) -> Column:

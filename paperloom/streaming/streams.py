@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from paperloom.functions import constants as K
 
@@ -82,3 +83,70 @@ def keyed_history(turns: DataFrame, limit: int = K.HISTORY_CHARS) -> DataFrame:
         yield pd.DataFrame({"conv_id": [key[0]], "n_turns": [n], "history": [history]})
 
     return turns.groupBy("conv_id").applyInPandasWithState(update, "conv_id long, n_turns long, history string", "history string, n long", "update", GroupStateTimeout.NoTimeout)
+
+
+def _ms(ts: object) -> int:
+    return int(pd.Timestamp(ts).value // 1_000_000)
+
+
+class TurnsInOrder(StatefulProcessor):
+    """Holds a conversation's turns until the watermark has passed them, then folds them in order.
+
+    A turn waits in a list state under a timer at its own time.  When the timer fires no earlier turn can come
+    any more, so all that are due are folded by (time, turn).  ``idle_ms`` after its last turn a conversation that
+    waits for nothing is forgotten.
+    """
+
+    def __init__(self, limit: int, idle_ms: int) -> None:
+        self.limit, self.idle_ms = limit, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "ms long, turn long, question string, answer string")
+        self.told = handle.getValueState("told", "history string, n long, last_ms long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        new = [(_ms(t), int(k), q or "", a or "") for pdf in rows for t, k, q, a in zip(pdf["ts"], pdf["turn"], pdf["question"], pdf["answer"], strict=True)]
+        self.waiting.appendList(new)
+        for ms in {r[0] for r in new}:
+            self.handle.registerTimer(max(ms, timerValues.getCurrentWatermarkInMs() + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        rows = list(self.waiting.get()) if self.waiting.exists() else []
+        due = sorted(tuple(r) for r in rows if r[0] <= now)
+        history, n, last = self.told.get() if self.told.exists() else ("", 0, 0)
+        if not due:
+            if not rows and now >= last + self.idle_ms:
+                self.told.clear()
+            return
+        rest = [tuple(r) for r in rows if r[0] > now]
+        if rest:
+            self.waiting.put(rest)
+        else:
+            self.waiting.clear()
+        for _, _, question, answer in due:
+            history, n = after_turn(history, question, answer, self.limit), n + 1
+        last = max(last, due[-1][0])
+        self.told.update((history, n, last))
+        self.handle.registerTimer(last + self.idle_ms)
+        yield pd.DataFrame({"conv_id": [key[0]], "n_turns": [n], "history": [history]})
+
+    def close(self) -> None:
+        pass
+
+
+def ordered_history(turns: DataFrame, late: str = "10 minutes", idle: str = "7 days", limit: int = K.HISTORY_CHARS) -> DataFrame:
+    """Each conversation's history as its turns come, in whatever order and micro-batch (STA6): conv_id, ts, turn, question, answer.
+
+    A turn may be ``late`` by so much; it is folded when the watermark has passed it, so the history is that of
+    ``folds.chat_history`` for times that rise with the turns.  A row is given for each time at which turns were folded, of which the one of
+    the highest ``n_turns`` is the latest.  Needs the state store of RocksDB.
+    """
+    watched = turns.select("conv_id", "ts", F.col("turn").cast("long").alias("turn"), "question", "answer").withWatermark("ts", late)
+    processor = TurnsInOrder(limit, int(pd.Timedelta(idle).value // 1_000_000))
+    return watched.groupBy("conv_id").transformWithStateInPandas(processor, "conv_id long, n_turns long, history string", "Append", "EventTime")
+
+
+ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
