@@ -67,24 +67,6 @@ def any_shared(a: DataFrame, b: DataFrame, key: str) -> bool:
     return not a.select(key).intersect(b.select(key)).isEmpty()
 
 
-def interval_overlap(left: DataFrame, right: DataFrame, width: int, on: Sequence[str] = (), closed: bool = False) -> DataFrame:
-    """Pairs whose intervals [l_start, l_end), [r_start, r_end) overlap (JOI7; with ``closed`` also those that touch, JOI8).
-
-    Both sides are dealt to the buckets of ``width`` they cover, so the join is by equality; a pair is
-    kept in the first bucket it shares.  Choose ``width`` near the longer side's usual length.
-    """
-    last = lambda c: F.floor(c / width)
-    dealt = lambda df, p: df.withColumn(f"{p}_b", F.explode(F.sequence(last(F.col(f"{p}_start")), F.greatest(last(F.col(f"{p}_end")), last(F.col(f"{p}_start"))))))
-    a, b = dealt(left, "l"), dealt(right, "r")
-    over = (F.col("r_end") >= F.col("l_start")) & (F.col("r_start") <= F.col("l_end")) if closed else (F.col("r_end") > F.col("l_start")) & (F.col("r_start") < F.col("l_end"))
-    first = F.col("l_b") == F.greatest(last(F.col("l_start")), last(F.col("r_start")))
-    keys = [F.col(f"l_{k}") == F.col(f"r_{k}") for k in on]
-    cond = (F.col("l_b") == F.col("r_b")) & first & over
-    for k in keys:
-        cond = cond & k
-    return a.join(b, cond).drop("l_b", "r_b")
-
-
 def segments(spans: DataFrame, seconds: int = 15) -> DataFrame:
     """Fixed segments of each (key, duration), the last one clipped (WIN8)."""
     n = F.ceil(F.col("duration") / seconds)

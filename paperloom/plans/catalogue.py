@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import arrow_udfs as A
 from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, schemas, text
-from paperloom.operators import agents, folds, images, joins, metrics, providers, windows
+from paperloom.operators import agents, folds, images, joins, metrics, providers, sweep, windows
 from paperloom.session import scratch, table
 from paperloom.sources import readers, writers
 from paperloom.sources.keyed_store import KeyedStore
@@ -388,12 +388,12 @@ SPANS = """
 
 @query(SPANS + "SELECT l.id AS l_id, r.id AS r_id FROM l JOIN r ON l.u = r.u AND r.t > l.s AND r.s < l.t")
 def interval_overlap(spark, d):
-    return joins.interval_overlap(*_spans(spark, d), width=3600, on=["user"]).select("l_id", "r_id")
+    return sweep.overlap(*_spans(spark, d), on=["user"]).select("l_id", "r_id")
 
 
 @query(SPANS + "SELECT l.id AS l_id, r.id AS r_id FROM l JOIN r ON l.u = r.u AND r.t >= l.s AND r.s <= l.t")
 def interval_overlap_closed(spark, d):
-    return joins.interval_overlap(*_spans(spark, d), width=3600, on=["user"], closed=True).select("l_id", "r_id")
+    return sweep.overlap(*_spans(spark, d), on=["user"], closed=True).select("l_id", "r_id")
 
 
 @query("""

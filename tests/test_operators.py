@@ -2,13 +2,14 @@
 
 import difflib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from paperloom.functions import arrow_udfs, jsonx, rules, text
-from paperloom.operators import folds, joins, metrics, providers, windows
+from paperloom.operators import folds, joins, metrics, providers, sweep, windows
 from paperloom.sources import readers, writers
 from paperloom.streaming import streams
 
@@ -142,13 +143,25 @@ def test_token_f1(spark):
 
 
 @pytest.mark.parametrize("closed", [False, True])
-def test_interval_overlap(spark, closed):
+@pytest.mark.parametrize("rows_a_task", [7, 1000])
+@pytest.mark.parametrize("keys", [0, 1, 3])
+def test_interval_overlap(spark, closed, rows_a_task, keys):
+    """Every pair once, in one range and in many, with intervals over everything, empty and reversed ones, ties and repeated rows."""
     r = random.Random(2)
-    spans = [[(i, float(s), float(s + r.randint(0, 40))) for i, s in enumerate(r.choices(range(200), k=60))] for _ in range(2)]
-    got = joins.interval_overlap(spark.createDataFrame(spans[0], "l_id long, l_start double, l_end double"), spark.createDataFrame(spans[1], "r_id long, r_start double, r_end double"), 15, closed=closed)
-    want = {(a, x) for a, s, e in spans[0] for x, t, u in spans[1] if (u >= s and t <= e if closed else u > s and t < e)}
-    rows = [(x["l_id"], x["r_id"]) for x in got.collect()]
-    assert len(rows) == len(set(rows)) and set(rows) == want
+    kind = lambda p: f"{p}_id long, {p}_k string, {p}_start double, {p}_end double"
+    spans = [[(i, r.choice("abc"[: max(1, keys)]), float(s), float(s + r.randint(-3, 40))) for i, s in enumerate(r.choices(range(200), k=60))] + [(90, "a", -5.0, 500.0), (91, "a", 7.0, 7.0), (91, "a", 7.0, 7.0), (92, None, 1.0, 300.0), (93, "a", None, 5.0)] for _ in range(2)]
+    got = sweep.overlap(*(spark.createDataFrame(x, kind(p)) for x, p in zip(spans, "lr", strict=True)), on=["k"] if keys else [], closed=closed, rows_a_task=rows_a_task)
+    over = lambda s, e, t, u: u >= s and t <= e if closed else u > s and t < e
+    want = Counter((a, x) for a, j, s, e in spans[0] for x, k, t, u in spans[1] if None not in (s, t) and (not keys or j == k is not None) and over(s, e, t, u))
+    assert Counter((x["l_id"], x["r_id"]) for x in got.collect()) == want
+
+
+def test_intervals_are_carried_in_proportion(spark):
+    """One interval over everything reaches all ranges; short ones only their own."""
+    rows = [(i, float(i), i + 1.5) for i in range(2000)] + [(-1, -1.0, 5000.0)]
+    left, right = spark.createDataFrame(rows, "l_id long, l_start double, l_end double"), spark.createDataFrame(rows, "r_id long, r_start double, r_end double")
+    pairs = sweep.overlap(left, right, rows_a_task=100)
+    assert pairs.count() == 2000 + 2 * 1999 + 2 * 2000 + 1
 
 
 @pytest.mark.parametrize("rows_a_task", [3, 8192])
