@@ -11,6 +11,7 @@ from paperloom.functions import constants as K
 from paperloom.functions.arrow_udfs import list_distance, text_distance
 from paperloom.functions.rules import risk_level
 from paperloom.functions.text import words
+from paperloom.operators import selection
 
 
 def ratio(a: Column, b: Column, places: int = 6) -> Column:
@@ -120,7 +121,9 @@ def best_per_class(rows: DataFrame, by: Sequence[str], conf: str = "conf", order
 
 def length_percentiles(rows: DataFrame, c: str, points: Sequence[float] = (0.9, 0.95, 0.99)) -> DataFrame:
     """Interpolated percentiles and the largest (AGG19)."""
-    return rows.agg(*(F.round(F.percentile(c, p), 6).alias(f"p{round(100 * p)}") for p in points), F.max(c).alias("largest"))
+    found = selection.percentiles(rows, c, points)
+    row = found.agg(*(F.round(F.max(F.when(F.col("point") == p, F.col("value"))), 6).alias(f"p{round(100 * p)}") for p in points))
+    return row.crossJoin(F.broadcast(rows.agg(F.max(c).alias("largest"))))  # a row by a row
 
 
 def keep_last(rows: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import arrow_udfs as A
 from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, schemas, text
-from paperloom.operators import agents, folds, images, joins, metrics, providers, sweep, windows
+from paperloom.operators import agents, folds, images, joins, metrics, providers, selection, sweep, windows
 from paperloom.session import scratch, table
 from paperloom.sources import readers, writers
 from paperloom.sources.keyed_store import KeyedStore
@@ -715,6 +715,13 @@ def percentiles_lengths(spark, d):
     return metrics.length_percentiles(table(spark, d, "documents"), "n_chars")
 
 
+@query("""
+    SELECT event_type, p::DOUBLE AS point, round(CASE p WHEN 0.5 THEN quantile_cont(value, 0.5) WHEN 0.9 THEN quantile_cont(value, 0.9) ELSE quantile_cont(value, 0.999) END, 6) AS value
+    FROM events, (SELECT unnest([0.5, 0.9, 0.999]) AS p) WHERE value IS NOT NULL GROUP BY event_type, p""")
+def percentiles_by_type(spark, d):
+    return selection.percentiles(table(spark, d, "events"), "value", [0.5, 0.9, 0.999], ["event_type"]).withColumn("value", F.round("value", 6))
+
+
 @query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")
 def keep_last_dedup(spark, d):
     return metrics.keep_last(table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
