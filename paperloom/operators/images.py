@@ -1,228 +1,69 @@
-"""Image enhancement and assessment on grey pixel arrays: Arrow functions over numpy, with one step log for each image."""
+"""Pictures by their statistics: kind, planned enhancement and tier as Column expressions; what an enhancement does to pixels is a provider's."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paperloom.functions import constants as K
-from paperloom.functions.arrow_udfs import variance_of_laplacian
-
-Image = np.ndarray
-Recipe = Callable[[Image, float], tuple[Image, list[str]]]
-
-
-def grey(x: np.ndarray) -> Image:
-    """Pixels as whole numbers from 0 to 255."""
-    return np.clip(np.rint(x), 0, 255).astype(np.uint8)
-
-
-def windowed(x: np.ndarray, height: int, width: int, mode: str = "reflect") -> np.ndarray:
-    """The window around each pixel, edges mirrored (or held)."""
-    top, left = height // 2, width // 2
-    limit = lambda n, k: mode if mode != "reflect" or n > k else "symmetric"  # noqa: E731  tiny images have too little to mirror
-    padded = np.pad(x, ((top, height - 1 - top), (0, 0)), limit(x.shape[0], top))
-    padded = np.pad(padded, ((0, 0), (left, width - 1 - left)), limit(x.shape[1], left))
-    return sliding_window_view(padded, (height, width))
-
-
-def blurred(x: Image, sigma: float) -> np.ndarray:
-    """Gaussian blur, by rows and then by columns."""
-    reach = max(1, int(round(3 * sigma)))
-    kernel = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * sigma * sigma))
-    kernel /= kernel.sum()
-    rows = windowed(x.astype(float), 1, len(kernel))[..., 0, :] @ kernel
-    return windowed(rows, len(kernel), 1)[..., 0] @ kernel
-
-
-def unsharp(x: Image, radius: float = 2.0, amount: float = 1.5) -> Image:
-    """The image and ``amount`` times what blurring takes from it (IMG3)."""
-    return grey(x * (1 + amount) - amount * grey(blurred(x, radius)))
-
-
-def equalized(x: Image, clip: float = 2.0, tiles: int = 8) -> Image:
-    """Histogram equalisation by tiles with a clipped histogram, blended between tiles (CLAHE, IMG3)."""
-    height, width = x.shape
-    th, tw = -(-height // tiles), -(-width // tiles)
-    padded = np.pad(x, ((0, th * tiles - height), (0, tw * tiles - width)), "symmetric")
-    area, curves = th * tw, np.zeros((tiles, tiles, 256))
-    most = max(1, int(clip * area / 256))
-    for i in range(tiles):
-        for j in range(tiles):
-            counts = np.bincount(padded[i * th : (i + 1) * th, j * tw : (j + 1) * tw].ravel(), minlength=256)
-            over = np.maximum(counts - most, 0).sum()
-            counts = np.minimum(counts, most) + over / 256
-            curves[i, j] = np.cumsum(counts) * 255 / area
-    fy, fx = (np.arange(height) + 0.5) / th - 0.5, (np.arange(width) + 0.5) / tw - 0.5
-    y0, x0 = np.floor(fy).astype(int), np.floor(fx).astype(int)
-    wy, wx = (fy - y0)[:, None], (fx - x0)[None, :]
-    row = lambda k: np.clip(y0 + k, 0, tiles - 1)[:, None]
-    column = lambda k: np.clip(x0 + k, 0, tiles - 1)[None, :]
-    at = lambda a, b: curves[row(a), column(b), x]
-    return grey((1 - wy) * ((1 - wx) * at(0, 0) + wx * at(0, 1)) + wy * ((1 - wx) * at(1, 0) + wx * at(1, 1)))
-
-
-def bilateral(x: Image, size: int = 9, colour: float = 75.0, space: float = 75.0) -> Image:
-    """Smoothing that keeps edges: near pixels of like brightness count most (IMG3)."""
-    reach, centre = size // 2, x.astype(float)
-    total, weight = np.zeros(x.shape), np.zeros(x.shape)
-    views = windowed(centre, 2 * reach + 1, 2 * reach + 1)
-    for dy in range(-reach, reach + 1):
-        for dx in range(-reach, reach + 1):
-            if dy * dy + dx * dx <= reach * reach:
-                near = views[..., dy + reach, dx + reach]
-                w = np.exp(-(dy * dy + dx * dx) / (2 * space**2) - (near - centre) ** 2 / (2 * colour**2))
-                total += w * near
-                weight += w
-    return grey(total / weight)
-
-
-def extreme(x: Image, mask: np.ndarray, largest: bool) -> Image:
-    """The largest (or smallest) pixel under a mask: its rows are runs, so a run's extreme is taken row by row."""
-    out = np.full(x.shape, 0 if largest else 255, np.uint8)
-    top = len(mask) // 2
-    for k, line in enumerate(mask):
-        run = int(line.sum())
-        if run:
-            side = windowed(x, 1, run, "edge")[..., 0, :]
-            side = side.max(-1) if largest else side.min(-1)
-            rows = np.clip(np.arange(len(x)) + k - top, 0, len(x) - 1)
-            out = (np.maximum if largest else np.minimum)(out, side[rows])
-    return out
-
-
-def closing(x: Image, mask: np.ndarray | None = None) -> Image:
-    """Dilation, then erosion (IMG3)."""
-    mask = np.ones((3, 3), bool) if mask is None else mask
-    return extreme(extreme(x, mask, True), mask, False)
-
-
-def ellipse(size: int) -> np.ndarray:
-    y = np.arange(size) - size // 2
-    half = np.rint((size // 2) * np.sqrt(np.maximum(0, 1 - (y / (size // 2)) ** 2))).astype(int)
-    return np.abs(np.arange(size) - size // 2)[None, :] <= half[:, None]
-
-
-def without_shadow(x: Image, size: int = 51) -> Image:
-    """What is darker than the closed background, spread over the whole range (IMG3)."""
-    dark = closing(x, ellipse(size)).astype(int) - x
-    low, high = dark.min(), dark.max()
-    return (255 - grey((dark - low) * 255.0 / (high - low))) if high > low else np.full(x.shape, 255, np.uint8)
-
-
-def gamma(x: Image, value: float) -> Image:
-    return ((np.arange(256) / 255.0) ** (1 / value) * 255).astype(np.uint8)[x]
-
-
-def stretched(x: Image) -> Image:
-    """From the 2nd to the 98th percentile; flat images stay (IMG3)."""
-    low, high = np.percentile(x, (2, 98))
-    return x.copy() if high <= low else np.clip((x - low) * 255.0 / (high - low), 0, 255).astype(np.uint8)
-
-
-def texture(x: Image, size: int = 15) -> float:
-    """The mean variance within windows."""
-    v = windowed(x.astype(float), size, size)
-    return float((np.mean(v * v, (-1, -2)) - np.mean(v, (-1, -2)) ** 2).mean())
-
-
-def kind_of(x: Image, sharpness: float) -> str:
-    """``rules.image_type`` of pixels (IMG2)."""
-    h, w = x.shape
-    mean, std = x.mean(), x.std()
-    parts = [p.mean() if p.size else mean for p in (x[: h // 2], x[h // 2 :], x[:, : w // 2], x[:, w // 2 :])]
-    even = max(abs(parts[0] - parts[1]), abs(parts[2] - parts[3])) <= 30
-    rich = texture(x)
-    if mean > 180 and sharpness > 200 and std > 40 and even:
-        return "clean_document"
-    if rich > 200 and std > 50 and 100 < mean < 200:
-        return "medical_photo"
-    if mean < 100 and std > 50 and rich > 150:
-        return "dark_scene"
-    return "underexposed_phone" if mean < 120 and std < 35 and not even else "general"
-
-
-class Steps:
-    """An image on its way, and the names of what was done to it."""
-
-    def __init__(self, x: Image):
-        self.image, self.done = x, []
-
-    def do(self, name: str, f: Callable[..., Image], *args) -> None:
-        self.image = f(self.image, *args)
-        self.done.append(name)
-
-
-def recipe(kind: str, x: Image, sharpness: float) -> Steps:
-    """What is done to an image of a kind (IMG4)."""
-    s = Steps(x)
-    if kind == "clean_document":
-        if sharpness < 250:
-            s.do("light_sharpen", unsharp, 1.0, 0.5)
-    elif kind == "medical_photo":
-        if x.std() < 35:
-            s.do("clahe", equalized)
-        if sharpness < 150:
-            s.do("gentle_sharpen", unsharp, 1.2, 0.6)
-    elif kind == "dark_scene":
-        s.do("clahe", equalized)
-        s.do("sharpen", unsharp, 1.5, 0.8)
-    elif kind == "underexposed_phone":
-        s.do("shadow_correction", without_shadow)
-        if s.image.mean() < 100:
-            s.do("gamma_1.3", gamma, 1.3)
-        if int(s.image.max()) - int(s.image.min()) < 150:
-            s.do("white_balance", stretched)
-        s.do("clahe", equalized)
-        s.do("bilateral_denoise", bilateral)
-        if s.image.std() < 40:
-            s.do("morph_closing", closing)
-        s.do("unsharp_mask", unsharp)
-    else:
-        if x.mean() < 80:
-            s.do("gamma_1.2", gamma, 1.2)
-        if x.std() < 40:
-            s.do("clahe", equalized)
-        if sharpness < 200:
-            s.do("unsharp_mask", unsharp, 1.5, 0.8)
-    return s
-
-
-ASSESSED = T.StructType(
-    [T.StructField("tier", T.StringType()), T.StructField("image_type", T.StringType()), T.StructField("steps", T.ArrayType(T.StringType()))]
-    + [T.StructField(c, T.DoubleType()) for c in ("sharpness", "sharpness_after")]
-    + [T.StructField("resolution", T.StringType())]
-)
-
-
-def assess(x: Image) -> tuple[str, str, list[str], float, float, str]:
-    """Kind, recipe, safeguards and tier of one image (IMG7, IMG5, IMG6); small ones are left as they are."""
-    size = f"{x.shape[1]}x{x.shape[0]}"
-    if max(x.shape) < K.MIN_SIDE:
-        return "WARNING", "low_resolution", [], 0.0, 0.0, size
-    before = variance_of_laplacian(x)
-    kind = kind_of(x, before)
-    made = recipe(kind, x, before)
-    after, steps = variance_of_laplacian(made.image), made.done or ["none"]
-    clipped, clipped_after = (int(((p == 0) | (p == 255)).sum()) for p in (x, made.image))
-    if after < before * 0.7:
-        after, steps, kind = before, ["preprocessing_skipped_sharpness_loss"], "unknown"
-    elif clipped_after > 2 * clipped and clipped_after > 1000:
-        after, steps, kind = before, ["preprocessing_skipped_excessive_clipping"], "unknown"
-    return "PASS" if after >= K.SHARP_ENOUGH else "WARNING", kind, steps, before, after, size
-
-
-@F.pandas_udf(ASSESSED)
-def assessed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for pixels, width in batches:
-        rows = [assess(np.asarray(p, float)[: len(p) // w * w].reshape(-1, w).clip(0, 255).astype(np.uint8)) for p, w in zip(pixels, width, strict=True)]
-        yield pd.DataFrame(rows, columns=["tier", "image_type", "steps", "sharpness", "sharpness_after", "resolution"])
+from paperloom.functions import rules
+
+# --- fixed values: what is done to a picture of a kind, in order, if a statistic is below a limit (no statistic: always) ---
+RECIPES = [
+    ("clean_document", "light_sharpen", "sharpness", 250),
+    ("medical_photo", "clahe", "std", 35),
+    ("medical_photo", "gentle_sharpen", "sharpness", 150),
+    ("dark_scene", "clahe", None, None),
+    ("dark_scene", "sharpen", None, None),
+    ("underexposed_phone", "shadow_correction", None, None),
+    ("underexposed_phone", "gamma_1.3", "mean", 100),
+    ("underexposed_phone", "white_balance", "spread", 150),
+    ("underexposed_phone", "clahe", None, None),
+    ("underexposed_phone", "bilateral_denoise", None, None),
+    ("underexposed_phone", "morph_closing", "std", 40),
+    ("underexposed_phone", "unsharp_mask", None, None),
+    ("general", "gamma_1.2", "mean", 80),
+    ("general", "clahe", "std", 40),
+    ("general", "unsharp_mask", "sharpness", 200),
+]
+
+
+def planned(kind: Column, statistics: dict[str, Column]) -> Column:
+    """The names of the steps that a picture of a kind gets (IMG4), ``none`` where it needs nothing.
+
+    Limits are held against the picture as it came: what a step before has made of it only its provider knows.
+    """
+    wanted = [F.when((kind == of) & (F.lit(True) if name is None else statistics[name] < limit), step) for of, step, name, limit in RECIPES]
+    steps = F.filter(F.array(*wanted), lambda s: s.isNotNull())
+    return F.when(F.size(steps) == 0, F.array(F.lit("none"))).otherwise(steps)
+
+
+def half_difference(pixels: Column, width: int) -> Column:
+    """How much the upper and lower, or the left and right half differ in mean brightness, whichever is more.
+
+    ``pixels`` are rows of a grey picture one after the other.  A picture without two halves differs by 0.
+    """
+    mean = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(xs), F.lit(0))
+    rows, half = F.floor(F.size(pixels) / width), width // 2
+    top, rest = F.slice(pixels, 1, (F.floor(rows / 2) * width).cast("int")), F.size(pixels) - F.floor(rows / 2) * width
+    bottom = F.slice(pixels, (F.floor(rows / 2) * width + 1).cast("int"), rest.cast("int"))
+    left, right = F.filter(pixels, lambda _, i: i % width < half), F.filter(pixels, lambda _, i: i % width >= half)
+    return F.greatest(F.coalesce(F.abs(mean(top) - mean(bottom)), F.lit(0.0)), F.coalesce(F.abs(mean(left) - mean(right)), F.lit(0.0)))
+
+
+def assessed(pictures: DataFrame, longest: str = "longest") -> DataFrame:
+    """``pictures`` (mean, std, spread, sharpness, texture, halves, and the longer side) with image_type, steps and tier (IMG2, IMG4, IMG6, IMG7).
+
+    Pictures whose longer side is short are left as they are, with a warning.
+    """
+    small = F.col(longest) < K.MIN_SIDE
+    kind = rules.image_type(F.col("mean"), F.col("std"), F.col("sharpness"), F.col("texture"), F.col("halves"))
+    steps = planned(kind, {c: F.col(c) for c in ("mean", "std", "spread", "sharpness")})
+    return pictures.withColumns({
+        "image_type": F.when(small, "low_resolution").otherwise(kind),
+        "steps": F.when(small, F.array().cast("array<string>")).otherwise(steps),
+        "tier": rules.quality_tier(F.col("sharpness"), F.col(longest)),
+    })
 
 
 def page_summary(pages: DataFrame, key: str) -> DataFrame:

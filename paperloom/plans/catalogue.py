@@ -1371,9 +1371,28 @@ def fitted_sizes(spark, d):
     return table(spark, d, "events").select("event_id", images.fitted(w, h).alias("s")).select("event_id", "s.width", "s.height")
 
 
-@query()
+def _recipes_sql() -> str:
+    return ", ".join(f"CASE WHEN image_type = '{kind}'{f' AND {name} < {limit}' if name else ''} THEN '{step}' END" for kind, step, name, limit in images.RECIPES)
+
+
+@query(rf"""
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: round((x::DOUBLE * (1 + vec_id % 3) + 1) * (60 + vec_id % 80))) AS p FROM embeddings),
+    s AS (
+        SELECT vec_id, (vec_id * 37) % 900 AS longest, list_avg(p) AS mean, list_stddev_pop(p) AS std, list_max(p) - list_min(p) AS spread, list_var_pop(p) AS texture, (vec_id * 13 % 701)::DOUBLE AS sharpness,
+               greatest(abs(list_avg(p[1:32]) - list_avg(p[33:64])), abs(list_avg(list_filter(p, lambda x, i: (i - 1) % 8 < 4)) - list_avg(list_filter(p, lambda x, i: (i - 1) % 8 >= 4)))) AS halves FROM e
+    ),
+    k AS (SELECT *, CASE WHEN mean > 180 AND sharpness > 200 AND std > 40 AND halves <= 30 THEN 'clean_document' WHEN texture > 200 AND std > 50 AND mean > 100 AND mean < 200 THEN 'medical_photo'
+        WHEN mean < 100 AND std > 50 AND texture > 150 THEN 'dark_scene' WHEN mean < 120 AND std < 35 AND halves > 30 THEN 'underexposed_phone' ELSE 'general' END AS image_type FROM s),
+    t AS (SELECT *, list_filter([{_recipes_sql()}], lambda x: x IS NOT NULL) AS steps FROM k)
+    SELECT vec_id, CASE WHEN longest < 400 THEN 'low_resolution' ELSE image_type END AS image_type, CASE WHEN longest < 400 THEN '' WHEN len(steps) = 0 THEN 'none' ELSE array_to_string(steps, '>') END AS steps,
+           CASE WHEN longest >= 400 AND sharpness >= 300 THEN 'PASS' ELSE 'WARNING' END AS tier FROM t""")
 def image_assessment(spark, d):
-    """Pictures of 400 x 8 pixels out of each vector, four pages a document."""
+    """A picture of 8 x 8 pixels out of each vector; its size and sharpness are those of the picture that it would be the thumbnail of."""
     shade = F.transform("embedding", lambda x: F.round((x.cast("double") * (1 + F.col("vec_id") % 3) + 1) * (60 + F.col("vec_id") % 80)))
-    rows = table(spark, d, "embeddings").select("vec_id", F.flatten(F.array_repeat(shade, 50)).alias("pixels"))
-    return rows.select("vec_id", images.assessed("pixels", F.lit(400)).alias("a")).select("vec_id", "a.*")
+    rows = table(spark, d, "embeddings").select("vec_id", shade.alias("p"))
+    n = F.size("p")
+    mean = F.aggregate("p", F.lit(0.0), lambda a, x: a + x) / n
+    var = F.aggregate("p", F.lit(0.0), lambda a, x: a + (x - F.col("mean")) * (x - F.col("mean"))) / n
+    told = rows.withColumn("mean", mean).withColumn("texture", var).withColumns({"std": F.sqrt("texture"), "spread": F.array_max("p") - F.array_min("p"), "halves": images.half_difference(F.col("p"), 8)})
+    told = told.withColumns({"longest": F.col("vec_id") * 37 % 900, "sharpness": (F.col("vec_id") * 13 % 701).cast("double")})
+    return images.assessed(told).select("vec_id", "image_type", F.array_join("steps", ">").alias("steps"), "tier")

@@ -323,26 +323,19 @@ def test_agents(spark, tmp_path):
 
 
 def test_image_recipes(spark):
-    import numpy as np
-
     from paperloom.operators import images
 
-    r = np.random.default_rng(1)
-    flat = np.full((30, 420), 90, np.uint8)
-    assert (images.unsharp(flat) == 90).all() and (images.bilateral(flat) == 90).all() and (images.closing(flat) == 90).all() and (images.stretched(flat) == 90).all()
-    noisy = r.integers(0, 256, (40, 420)).astype(np.uint8)
-    slow = np.array([[noisy[max(0, i - 1) : i + 2, max(0, j - 1) : j + 2].max() for j in range(420)] for i in range(40)])
-    assert (images.extreme(noisy, np.ones((3, 3), bool), True) == slow).all()
-    assert (images.closing(noisy) >= noisy).all() and images.ellipse(51).sum() > 0.7 * 51 * 51
-    assert images.gamma(flat, 1.3)[0, 0] == int((90 / 255) ** (1 / 1.3) * 255)
-    narrow = r.normal(120, 10, (64, 420)).clip(0, 255).astype(np.uint8)
-    assert images.equalized(narrow).std() > 1.3 * narrow.std()
-    dim = (np.tile(np.linspace(20, 90, 420), (40, 1)) + r.normal(0, 3, (40, 420))).clip(0, 255).astype(np.uint8)
-    kind = images.kind_of(dim, 50.0)
-    assert kind == "underexposed_phone" and images.recipe(kind, dim, 50.0).done[0] == "shadow_correction"
-    df = spark.createDataFrame([(noisy.ravel().astype(float).tolist(), 420), ([1.0] * 40, 8)], "p array<double>, w int")
-    got = df.select(images.assessed("p", "w").alias("a")).select("a.*").collect()
-    assert got[0]["tier"] == "PASS" and got[0]["resolution"] == "420x40" and got[1]["image_type"] == "low_resolution" and got[1]["steps"] == []
+    kinds = ["clean_document", "medical_photo", "dark_scene", "underexposed_phone", "general"]
+    rows = [(k, 70.0, 30.0, 120.0, 100.0) for k in kinds] + [(k, 150.0, 60.0, 200.0, 400.0) for k in kinds]
+    df = spark.createDataFrame(rows, "kind string, mean double, std double, spread double, sharpness double")
+    steps = [r["s"] for r in df.coalesce(1).select(images.planned(F.col("kind"), {c: F.col(c) for c in ("mean", "std", "spread", "sharpness")}).alias("s")).collect()]
+    assert steps[0] == ["light_sharpen"] and steps[1] == ["clahe", "gentle_sharpen"] and steps[2] == steps[7] == ["clahe", "sharpen"] and steps[4] == ["gamma_1.2", "clahe", "unsharp_mask"]
+    assert steps[3] == ["shadow_correction", "gamma_1.3", "white_balance", "clahe", "bilateral_denoise", "morph_closing", "unsharp_mask"]
+    assert steps[8] == ["shadow_correction", "clahe", "bilateral_denoise", "unsharp_mask"] and steps[5] == steps[6] == steps[9] == ["none"]
+    g = np.arange(24.0).reshape(4, 6) ** 2
+    halves = one(spark, images.half_difference(F.array(*map(F.lit, g.ravel().tolist())), 6))
+    assert abs(halves - max(abs(g[:2].mean() - g[2:].mean()), abs(g[:, :3].mean() - g[:, 3:].mean()))) < 1e-9
+    assert one(spark, images.half_difference(F.array(F.lit(5.0)), 1)) == 0
     pages = spark.createDataFrame([("d", 1, "PASS", 400.0), ("d", 2, "WARNING", 200.0)], "doc string, page int, tier string, sharpness double")
     assert tuple(images.page_summary(pages, "doc").first()) == ("d", 2, 1, [2], 300.0, "WARNING")
     v = providers.call(spark.createDataFrame([("a",)], "t string"), "embed_image", ["t"], "e").first()["e"]
