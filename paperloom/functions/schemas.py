@@ -196,7 +196,11 @@ class _Compiler:
 
     @staticmethod
     def _field(v: Column, name: str) -> Column:
-        return F.try_variant_get(v, "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']", "variant")
+        """A field of an object, null if it lacks it; a path can't hold a name with both kinds of quotes."""
+        if "'" in name and '"' in name:
+            return F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(name))
+        mark = '"' if "'" in name else "'"
+        return F.try_variant_get(v, f"$[{mark}{name}{mark}]", "variant")
 
     def _if_there(self, k: Column, path: Column | str, schema: Mapping | bool, seen: Sequence[str]) -> Callable[[Column], Column]:
         """The errors of an object's field, none if the object lacks it."""
