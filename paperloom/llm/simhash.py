@@ -14,10 +14,8 @@ the free bits comes in, for 2^35 homes and 530 replicas.  Both find every link.
 
 ``SIMILAR`` is for texts that share at least 0.8 of their five-word shingles.  Their SimHashes differ in some 15
 of 100 bits, where no covering code of useful size holds all pairs; there the fingerprint has 256 bits, and
-``VIEWS`` anchor tables, each on 46 of them, are covered with a threshold of one bit more: pairs that meet
-in any of them are compared by all 256 bits.  What meets is linked up to ``SIMILAR_BITS``: the angle of texts
-of that similarity gives 39 on average, with a deviation of 5, so few pairs at 0.8 lie beyond; some from 0.7 on
-lie within.  The recall is measured (see the README).
+``VIEWS`` anchor tables, each on 46 of them, are covered with a threshold of one bit more.  What meets there within
+``SIMILAR_BITS`` are candidates, which ``similar`` decides on by their shingles.
 
 Only distinct fingerprints are replicated, so copies cost nothing; a task emits a spanning forest of the
 links it finds, not all pairs.  An anchor with many fingerprints is dealt to several tasks, its homes in
@@ -110,7 +108,7 @@ class Cover:
         return ["fp"] if self.words == 1 else [f"fp{k}" for k in range(self.words)]
 
 
-VIEWS, SIMILAR_BITS = 36, 44
+VIEWS, SIMILAR_BITS = 44, 44
 CONTRACT = Cover(3, 1, (GOLAY, GOLAY), (tuple(range(46)),), 3, 3)
 FINER = Cover(3, 1, (GOLAY, GOLAY, HAMMING), (tuple(range(61)),), 3, 3)
 _draw = np.random.default_rng(SEED)
@@ -214,31 +212,38 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, label[nodes]
 
 
-def replicas(distinct: DataFrame, cover: Cover) -> DataFrame:
-    """(anchor, code, fingerprint) of distinct fingerprints: each at its home (code 0), and visiting the anchors above it (2)."""
+def replicas(distinct: DataFrame, cover: Cover, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(anchor, code, fingerprint) of distinct fingerprints: each at its home (code 0), and visiting the anchors above it (2).
+
+    ``carry`` names longs that go there in place of the whole fingerprint.
+    """
+    sent_names = list(carry or cover.names)
+    columns = list(dict.fromkeys([*cover.names, *sent_names]))
+    sent_places = [columns.index(c) for c in sent_names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = np.stack([batch.column(c).to_numpy() for c in cover.names], 1)
+            given = np.stack([batch.column(c).to_numpy() for c in columns], 1)
             for at in range(0, len(given), 512):
-                fps = given[at : at + 512]
+                rows = given[at : at + 512]
+                fps = rows[:, : cover.words]
                 for view in range(len(cover.views)):
                     row, key, excess = anchors(fps, cover, view)
                     home = np.zeros(len(fps), np.int64)
                     home[row[excess == 0]] = key[excess == 0]
                     keep = (excess == 0) | (key > home[row])
-                    sent = fps[row[keep]]
-                    yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(np.where(excess[keep] > 0, 2, 0).astype(np.int32)), *(pa.array(np.ascontiguousarray(sent[:, k])) for k in range(cover.words))], ["anchor", "code", *cover.names])
+                    sent = rows[row[keep]][:, sent_places]
+                    yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(np.where(excess[keep] > 0, 2, 0).astype(np.int32)), *(pa.array(np.ascontiguousarray(sent[:, k])) for k in range(len(sent_names)))], ["anchor", "code", *sent_names])
 
-    return distinct.select(*cover.names).mapInArrow(lean(run, 4096), ", ".join(["anchor long", "code int", *(f"{c} long" for c in cover.names)]))
+    return distinct.select(*columns).mapInArrow(lean(run, 4096), ", ".join(["anchor long", "code int", *(f"{c} long" for c in sent_names)]))
 
 
-def dealt(distinct: DataFrame, cover: Cover, hot: int = HOT, sample: int = SAMPLE) -> DataFrame:
+def dealt(distinct: DataFrame, cover: Cover, hot: int = HOT, sample: int = SAMPLE, carry: tuple[str, ...] = ()) -> DataFrame:
     """``replicas`` with hot anchors dealt to parts: code is 4 * part + role (0: at home, 1: at home and only met, 2: only meets).
 
     Which anchors are hot is told from the replicas of one in ``sample`` fingerprints, which decides on tasks, not on links.
     """
-    rows = replicas(distinct, cover)
+    rows = replicas(distinct, cover, carry)
     if distinct.limit(hot + 1).count() <= hot:
         return rows  # no anchor has more rows than there are fingerprints
     some = replicas(distinct.where(F.pmod(F.xxhash64(*cover.names, F.lit(1)), F.lit(sample)) == 0), cover)
@@ -249,12 +254,13 @@ def dealt(distinct: DataFrame, cover: Cover, hot: int = HOT, sample: int = SAMPL
     if not table.head(1):
         return rows
     joined = rows.join(small_side(table), F.col("anchor") == F.col("hot"), "left")
-    own = lambda seed, n: F.pmod(F.xxhash64(*cover.names, F.lit(seed)), F.col(n)).cast("int")
+    sent = carry or tuple(cover.names)
+    own = lambda seed, n: F.pmod(F.xxhash64(*sent, F.lit(seed)), F.col(n)).cast("int")
     each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     met = F.when(F.col("code") == 0, F.transform(each("salts"), lambda s: 4 * (own(2, "chunks") * F.col("salts") + s) + 1)).otherwise(F.array().cast("array<int>"))
     meets = F.transform(each("chunks"), lambda c: 4 * (c * F.col("salts") + own(3, "salts")) + 2)
     codes = F.when(F.col("hot").isNull(), F.array("code")).otherwise(F.concat(met, meets))
-    return joined.select("anchor", F.explode(codes).alias("code"), *cover.names)
+    return joined.select("anchor", F.explode(codes).alias("code"), *sent)
 
 
 def links(distinct: DataFrame, cover: Cover = CONTRACT, hot: int = HOT, sample: int = SAMPLE) -> DataFrame:
@@ -336,20 +342,6 @@ def row_key() -> Column:
     return F.coalesce(F.md5(F.col("text").cast("string")), F.lit(""))
 
 
-def first_rows(docs: DataFrame, cover: Cover = SIMILAR) -> DataFrame:
-    """(kept_id, kept_key, rows) of the row that stays of each component, of those without an id too.
-
-    It is the row of the smallest (doc_id, ``row_key()``), a null id after all others; ``rows`` is how
-    many have that id and text.
-    """
-    fps = stored(fingerprints(docs.withColumn("row_key", row_key()), cover, "row_key"), "fingerprints")
-    same = fps.groupBy(*cover.names, "doc_id", "row_key").agg(F.count("*").alias("rows"))
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "rows")
-    distinct = stored(same.groupBy(*cover.names).agg(F.min(row).alias("least")), "distinct-fingerprints")
-    least = rooted(distinct, cover).groupBy("root").agg(F.min("least").alias("least"))
-    return least.select(F.col("least.doc_id").alias("kept_id"), F.col("least.row_key").alias("kept_key"), "least.rows")
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id, n_same): the class of every document by ``CONTRACT``.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from paperloom.llm import balltree, bpe, components, html_crf, labelled_pages, line_rules, mil_quality, packing, queries, simhash, token_rollup, token_store, toxicity
+from paperloom.llm import balltree, bpe, common, components, html_crf, labelled_pages, line_rules, mil_quality, packing, queries, simhash, similar, token_rollup, token_store, toxicity
 from paperloom.llm.html_blocks import blocks_of
 from paperloom.llm.tokens import LibraryEncoder
 
@@ -341,6 +341,93 @@ def test_op2(spark):
     assert simhash.near_duplicates(table.limit(0)).count() == 0
 
 
+def shingles_of(text, size=5):
+    w = simhash.WORDS.findall((text or "").translate(simhash.LOWER))
+    return {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def jaccard(a, b):
+    x, y = shingles_of(a), shingles_of(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_lightest_forest():
+    r = np.random.default_rng(3)
+    for n, m in ((1, 0), (2, 1), (30, 20), (30, 200), (200, 900)):
+        a, b, w = r.integers(0, n, m), r.integers(0, n, m), r.integers(0, 9, m)
+        keep = similar.lightest_forest(a, b, w)
+        label, total = list(range(n)), 0
+        for x, y, z in sorted(zip(w.tolist(), a.tolist(), b.tolist(), strict=True)):
+            if label[y] != label[z]:
+                old, total = label[z], total + x
+                label = [label[y] if v == old else v for v in label]
+        assert w[keep].sum() == total and len(keep) == n - len(set(label))
+        again = groups_of(range(n), lambda i, j, e=set(zip(a[keep].tolist(), b[keep].tolist(), strict=True)): (i, j) in e or (j, i) in e)
+        assert len(set(again.values())) == len(set(label))
+
+
+def numbered_texts(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    fps = simhash.fingerprints(docs.withColumn("row_key", simhash.row_key()), simhash.SIMILAR, "row_key")
+    nodes = fps.groupBy(*simhash.SIMILAR.names, "row_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("least"))
+    return docs, common.stored(nodes.withColumn("number", F.col("least.doc_id")), "nodes")
+
+
+def test_links_are_verified(spark):
+    """Pairs from 0.6 up: none below 0.8 is linked, nearly all above are; a large group of near copies costs fewer pairs than its square."""
+    r = random.Random(12)
+    vocabulary = ["".join(r.choices("abcdefghij", k=5)) for _ in range(400)]
+    texts, pairs = [], []
+    for k in range(240):
+        words = r.choices(vocabulary, k=250)
+        other = list(words)
+        for at in r.sample(range(250), 2 + k % 12):
+            other[at] = "changed"
+        pairs.append((2 * k, 2 * k + 1))
+        texts += [" ".join(words), " ".join(other)]
+    values = {p: jaccard(texts[p[0]], texts[p[1]]) for p in pairs}
+    base = r.choices(vocabulary, k=250)
+    group = []
+    for _ in range(300):
+        near = list(base)
+        near[r.randrange(250)] = "changed"
+        group.append(" ".join(near))
+    group = list(dict.fromkeys(group))
+    same = " ".join(["same"] * 300)  # the same fingerprint, as over half the shingles are one
+    odd = [f"{same} {' '.join(r.choices(vocabulary, k=250))}" for _ in range(2)]
+    docs, nodes = numbered_texts(spark, texts + group + odd + ["", None, "one two", "One  two", "one three"])
+    edges = similar.candidates(nodes).count()
+    links = [(x["a"], x["b"]) for x in similar.links(docs, nodes).collect()]
+    every = texts + group + odd + ["", None, "one two", "One  two", "one three"]
+    assert all(jaccard(every[a], every[b]) >= 0.8 for a, b in links)
+    root = groups_of(range(len(every)), lambda i, j, e=set(links): (j, i) in e)
+    found = {p: root[p[0]] == root[p[1]] for p in pairs}
+    low, high = [found[p] for p in pairs if values[p] < 0.8], [found[p] for p in pairs if values[p] >= 0.8]
+    assert len(low) > 60 and not any(low) and len(high) > 60 and np.mean(high) >= 0.9
+    assert np.mean([found[p] for p in pairs if values[p] >= 0.9]) > 0.97
+    members = range(len(texts), len(texts) + len(group))
+    assert len({root[i] for i in members}) == 1 and edges < 20 * len(every)
+    n = len(texts) + len(group)
+    assert root[n] != root[n + 1] and root[n + 3] == root[n + 2] and root[n + 5] == root[n + 4] != root[n + 6]
+
+
+def test_texts_alike_by_less_stay(spark, sf_dir):
+    """Documents of a similarity from 0.6 to 0.79 all stay; of one from 0.9 one goes."""
+    r = random.Random(5)
+    rows, want = [], []
+    for k in range(40):
+        words = [f"w{r.randrange(5000)}" for _ in range(200)]
+        other = list(words)
+        for at in r.sample(range(200), 2 if k < 10 else 10):
+            other[at] = "changed"
+        j = jaccard(" ".join(words), " ".join(other))
+        assert j >= 0.9 if k < 10 else 0.5 < j < 0.8
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        want += [2 * k] if k < 10 else [2 * k, 2 * k + 1]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    assert sorted(x["doc_id"] for x in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()) == want
+
+
 def test_similar_texts_meet(spark):
     """Texts that share 0.8 and more of their five-word shingles: most pairs are found, from 0.9 on nearly all; others are not."""
     r = random.Random(12)
@@ -754,14 +841,13 @@ def test_pipeline(spark, sf_dir):
     left = docs.where(~F.col("doc_id").isin(*toxic) if toxic else F.lit(True))
     left = line_rules.cleaned(left)
     texts = {r["doc_id"]: r["text"] for r in left.collect()}
-    fps = {i: simhash.fingerprint(t, 5, 4) for i, t in texts.items()}
-    comp = groups_of(sorted(fps), lambda i, j: apart(fps[i], fps[j]) <= simhash.SIMILAR_BITS)
-    near = groups_of(sorted(fps), lambda i, j: apart(fps[i], fps[j]) <= 25)  # these meet in some view for certain
+    comp = groups_of(sorted(texts), lambda i, j: jaccard(texts[i], texts[j]) >= 0.8)
+    near = groups_of(sorted(texts), lambda i, j: jaccard(texts[i], texts[j]) >= 0.9)  # of these hardly any is missed
     library = Tokenizer.from_file(BYTE)
     got = Counter()
     for r in corpus_pipeline.run(spark, sf_dir).collect():
         got[r["doc_id"]] += r["length"]
-    assert {i for i in fps if comp[i] == i} <= set(got) <= {i for i in fps if near[i] == i}
+    assert {i for i in texts if comp[i] == i} <= set(got) <= {i for i in texts if near[i] == i}
     assert dict(got) == {i: len(library.encode(texts[i], add_special_tokens=False).ids) + 1 for i in got}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "near-duplicates", "packing"]
 
@@ -787,8 +873,7 @@ def test_pipeline_keeps_one_row_of_each_component(spark, sf_dir):
     near = " ".join([*long[0].split()[:150], "mu", *long[0].split()[151:]])
     given = [(None, long[0]), (None, near), (None, long[1]), (None, long[1]), (3, long[1]), (None, long[2]), (7, long[3]), (7, long[1]), (7, long[3]), (8, near), (8, long[0]), (None, long[4]), (None, long[4]), (9, long[4]), (5, long[5]), (5, long[5]), (None, None), (None, ""), (None, " ")]
     docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(given)], DOCS).repartition(3)
-    fps = [simhash.fingerprint(t, 5, 4) for _, t in given]
-    root = groups_of(range(len(given)), lambda i, j: apart(fps[i], fps[j]) <= simhash.SIMILAR_BITS)
+    root = groups_of(range(len(given)), lambda i, j: jaccard(given[i][1], given[j][1]) >= 0.8)
     groups = [{i for i in root if root[i] == g} for g in set(root.values())]
     kept = [r["n_chars"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
     for group in groups:
