@@ -12,7 +12,7 @@ from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, schemas, text
 from paperloom.operators import agents, folds, images, joins, metrics, providers, selection, sweep, windows
 from paperloom.session import scratch, table
-from paperloom.sources import readers, writers
+from paperloom.sources import readers, vector_pages, writers
 from paperloom.sources.keyed_store import KeyedStore
 from paperloom.sources.part_log import BatchTable
 from paperloom.streaming import streams
@@ -761,6 +761,17 @@ def store_stats(spark, d):
     return metrics.store_stats(table(spark, d, "embeddings"), "label", "vec_id")
 
 
+@query("SELECT vec_id::VARCHAR AS embedding_id, 'u' || label AS user_id_hash, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total FROM embeddings WHERE label = 3 UNION ALL SELECT vec_id::VARCHAR, 'u' || label, NULL FROM embeddings")
+def paged_vectors(spark, d):
+    """Vectors saved as a service's pages: one user's with their vectors, and all without."""
+    url = scratch(spark, "vector-pages")
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("embedding_id"), F.concat(F.lit("u"), "label").alias("user_id_hash"), "embedding")
+    vector_pages.save_pages(e, url, rows_a_page=300)
+    total = F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 4)
+    one = vector_pages.read_pages(spark, url, user="u3").select("embedding_id", "user_id_hash", total.alias("total"))
+    return one.union(vector_pages.read_pages(spark, url, columns=["embedding_id", "user_id_hash"]).withColumn("total", F.lit(None).cast("double")))
+
+
 @query("SELECT vec_id, label FROM embeddings WHERE label = 3")
 def user_pushdown(spark, d):
     store = table(spark, d, "embeddings").withColumnRenamed("label", "user")

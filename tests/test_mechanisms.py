@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import arrow_udfs, schemas
 from paperloom.functions import constants as K
 from paperloom.operators import dialogue, folds, joins, providers, selection
-from paperloom.sources import part_log, writers
+from paperloom.sources import part_log, vector_pages, writers
 from paperloom.sources.keyed_store import KeyedStore
 from paperloom.sources.part_log import BatchTable, Entry, Part
 from paperloom.streaming import streams
@@ -325,6 +325,32 @@ def test_autosave_goes_on(spark, url):
     assert sorted(x["id"] for x in table.rows().collect()) == [0, 1, 2, 3]
 
 
+# --- pages of vectors (SRC14, SRC15) -----------------------------------------------------------
+
+
+def test_vector_pages(spark, url, tmp_path):
+    """One user's pages are the only ones read: the others may be broken; columns that aren't wanted aren't decoded."""
+    rows = [(str(i), f"user/{i % 3} é", {"k": "v", "n": None} if i % 2 else {}, [float(i), 0.5]) for i in range(50)] + [("no vector", "u", {}, [])]
+    store = spark.createDataFrame(rows, "embedding_id string, user_id_hash string, metadata map<string,string>, embedding array<float>")
+    vector_pages.save_pages(store, f"{url}/api", rows_a_page=7)
+    got = {x["embedding_id"]: (x["user_id_hash"], x["metadata"], x["embedding"]) for x in vector_pages.read_pages(spark, f"{url}/api").collect()}
+    assert got == {i: (u, m, e) for i, u, m, e in rows if e}
+    assert vector_pages.read_pages(spark, f"{url}/api", ["embedding_id"]).rdd.getNumPartitions() == 8
+    for page in (tmp_path / "api" / "all").iterdir():
+        page.write_text("broken")
+    mine = vector_pages.read_pages(spark, f"{url}/api", user="user/1 é")
+    assert sorted(int(x["embedding_id"]) for x in mine.collect()) == list(range(1, 50, 3)) and mine.rdd.getNumPartitions() == 3
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert "Filter (" not in plan or "user_id_hash" not in plan.split("Filter (")[1].split("BatchScan")[0].replace("isnotnull(user_id_hash", "")
+    assert vector_pages.read_pages(spark, f"{url}/api", user="nobody").count() == 0
+    plain = [{"id": "1", "embedding": "!!!! no base64", "metadata": '{"a": {"b": 1}}', "userIdHash": "x"}, {"id": "2"}, 5]
+    for name, reply in (("list", plain), ("data", {"data": plain})):
+        (tmp_path / name / "all").mkdir(parents=True)
+        (tmp_path / name / "all" / "pages").write_text("1")
+        (tmp_path / name / "all" / "0").write_text(json.dumps(reply))
+        assert [(x["embedding_id"], x["metadata"]) for x in vector_pages.read_pages(spark, f"{url}/{name}", ["embedding_id", "metadata"]).collect()] == [("1", {"a": '{"b": 1}'})]
+
+
 # --- streams (STA6) ----------------------------------------------------------------------------
 
 
