@@ -108,6 +108,28 @@ def with_defaults(df: DataFrame, payload: str, document_id: str, files: str, lis
     )
 
 
+def completed(payload: Column, document_id: Column, files: Column, lists: Sequence[str] = K.LIST_FIELDS) -> Column:
+    """A case record's JSON with what is missing, empty or zero filled in (JSN10); null if it isn't an object.
+
+    What a record has besides stays as it is, for a schema to judge.
+    """
+    given = F.try_variant_get(F.try_parse_json(payload), "$", "map<string,variant>")
+    kept = lambda name, empty: F.when(F.coalesce(F.to_json(given[name]).isin(*empty), F.lit(True)), None).otherwise(given[name])
+    as_value = lambda c: F.parse_json(F.to_json(c))
+    nothing = ["null", '""', "[]", "{}", "0", "0.0", "false"]
+    filled = {
+        "document_id": F.coalesce(kept("document_id", nothing), F.to_variant_object(F.struct(document_id.alias("x")))),
+        "source_files": F.coalesce(kept("source_files", nothing), as_value(files)),
+        "page_count": F.coalesce(kept("page_count", nothing), F.parse_json(F.size(files).cast("string"))),
+        **{name: F.coalesce(kept(name, nothing), F.parse_json(F.lit("[]"))) for name in lists},
+        "review_required": F.parse_json(F.when(kept("review_required", nothing).isNull(), "false").otherwise("true")),
+    }
+    filled["document_id"] = F.coalesce(kept("document_id", nothing), F.try_variant_get(filled["document_id"], "$.x", "variant"))
+    names = F.array(*map(F.lit, filled))
+    rest = F.map_filter(given, lambda k, _: ~F.array_contains(names, k))
+    return F.when(given.isNotNull(), F.to_json(F.map_concat(rest, F.map_from_arrays(names, F.array(*filled.values())))))
+
+
 def certificate_defaults(payload: Column) -> Column:
     """A certificate record of the fixed shape: absent scalars are null, other ids keep their two keys (JSN11)."""
     v = F.try_parse_json(payload)

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions import constants as K
+
 Batch = Callable[[pd.DataFrame], pd.Series]
 _registry: dict[str, tuple[Callable[[], Batch], str]] = {}
 _built: dict[str, Batch] = {}
@@ -131,6 +133,29 @@ def stub_reader() -> Batch:
     return lambda b: b.iloc[:, 0].map(lambda x: f'```json\n{{"document_id": "{x}", "page_count": 1,}}\n```')
 
 
+@register("read_form", "string")
+def stub_form_reader() -> Batch:
+    """A case form's reply by its number and address, as models reply: whole, fenced, with fields of the wrong kind, cut off, or empty (UDF1)."""
+
+    def one(document_id: str, url: str | None) -> str:
+        number = int(document_id.rsplit("_", 1)[-1])
+        record = dict.fromkeys(K.CASE_FIELDS) | dict.fromkeys(K.LIST_FIELDS, ()) | {"document_id": document_id, "source_files": [url], "page_count": 1, "review_required": False, "case_office": url}
+        match number % 6:
+            case 1:
+                return f"Here it is:\n```json\n{json.dumps(record, ensure_ascii=False)[:-1]},}}\n```"
+            case 2:
+                return json.dumps(record | {"page_count": 0, "family_members": [dict.fromkeys(K.MEMBER_FIELDS, "x"), {"name": "x", "age": 5}], "uncertain_fields": ["phone"]})
+            case 3:
+                return json.dumps(record)[:40]
+            case 4:
+                return ""
+            case 5:
+                return json.dumps(record | {"phone": 123, "document_id": "", "more": 1, "review_required": "yes"})
+        return json.dumps(record, ensure_ascii=False)
+
+    return lambda b: pd.Series([one(d, u) for d, u in zip(b.iloc[:, 0], b.iloc[:, 1], strict=True)])
+
+
 @register("transcribe", "string")
 def stub_transcriber() -> Batch:
     """What is to be said, as a transcript (UDF6)."""

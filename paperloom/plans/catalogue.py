@@ -874,7 +874,16 @@ def rag_pipeline(spark, d):
     return run(spark, d)
 
 
-@query("SELECT 'page_' || page_id AS document_id, 'page_' || page_id AS record_id, 1 AS record_pages, 0 AS errors, false AS review, '' AS uncertain FROM pages")
+def _missing_sql(path: str, fields) -> str:
+    return "; ".join(sorted(f"{path}: ''{f}'' is a required property" for f in fields))
+
+
+@query(f"""
+    SELECT 'page_' || page_id AS document_id, 'page_' || page_id AS record_id, 1 AS record_pages, e AS errors, e <> '' OR page_id % 6 IN (3, 4) AS review,
+           CASE page_id % 6 WHEN 2 THEN 'phone,schema_validation' WHEN 5 THEN 'schema_validation' WHEN 3 THEN 'model_output' WHEN 4 THEN 'model_output' ELSE '' END AS uncertain,
+           CASE page_id % 6 WHEN 2 THEN {len(K.MEMBER_FIELDS) - 1} WHEN 5 THEN 2 WHEN 3 THEN 1 WHEN 4 THEN 1 ELSE 0 END AS notes
+    FROM (SELECT page_id, CASE page_id % 6 WHEN 2 THEN 'family_members.1.age: 5 is not of type ''string'', ''null''; {_missing_sql("family_members.1", [f for f in K.MEMBER_FIELDS if f not in ("name", "age")])}'
+        WHEN 5 THEN '<root>: Additional properties are not allowed (''more'' was unexpected); phone: 123 is not of type ''string'', ''null''' ELSE '' END AS e FROM pages)""")
 def extraction_pipeline(spark, d):
     from paperloom.plans.pipelines import extraction_pipeline as run
 

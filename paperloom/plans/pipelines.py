@@ -6,21 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import constants as K
-from paperloom.functions import jsonx, rules, text
+from paperloom.functions import jsonx, rules, schemas, text
 from paperloom.operators import dialogue, folds, joins, providers
 from paperloom.session import table
 
 
 def extraction_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Pages to validated records: read, repair, fill in, validate, flag; what can't be parsed becomes an empty record."""
-    pages = table(spark, d, "pages").select(F.concat(F.lit("page_"), "page_id").alias("document_id"), F.array("url").alias("files"))
-    read = providers.call(pages, "read_page", ["document_id"], "reply")
+    pages = table(spark, d, "pages").select(F.concat(F.lit("page_"), "page_id").alias("document_id"), "url", F.array("url").alias("files"))
+    read = providers.call(pages, "read_form", ["document_id", "url"], "reply", retry_if=lambda replies: replies == "")
     parsed = read.withColumn("payload", jsonx.lenient_object(jsonx.strip_fences(F.col("reply"))))
     payload = F.when(F.col("payload") == "{}", jsonx.fallback_record(F.col("document_id"), F.col("files"), F.lit("the reply was not valid JSON"))).otherwise(F.col("payload"))
-    filled = jsonx.with_defaults(parsed.withColumn("payload", payload), "payload", "document_id", "files")
-    errors = jsonx.violations(F.col("payload"), {"document_id": {"type": "string", "required": True}, "page_count": {"type": "integer", "required": True, "minimum": 1}}, closed=False)
-    flags = jsonx.review_flags(errors, F.col("review_required"), F.col("review_notes"), F.col("uncertain_fields"))
-    return filled.select("document_id", "record_id", "record_pages", F.size(errors).alias("errors"), flags.review_required.alias("review"), F.array_join(flags.uncertain_fields, ",").alias("uncertain"))
+    filled = parsed.withColumn("payload", jsonx.completed(payload, F.col("document_id"), F.col("files")))
+    judged = filled.withColumn("errors", schemas.compiled(schemas.case_schema())(F.col("payload")))
+    judged = jsonx.with_defaults(judged, "payload", "document_id", "files")
+    flags = jsonx.review_flags(F.col("errors"), F.col("review_required"), F.col("review_notes"), F.col("uncertain_fields"))
+    out = judged.withColumn("flags", flags)
+    return out.select("document_id", "record_id", "record_pages", F.array_join("errors", "; ").alias("errors"), F.col("flags.review_required").alias("review"), F.array_join("flags.uncertain_fields", ",").alias("uncertain"), F.size("flags.review_notes").alias("notes"))
 
 
 def case_pipeline(spark: SparkSession, d: str) -> DataFrame:
