@@ -591,22 +591,29 @@ DROPPED = ["the", "and", "der", "die", "de", "la", "que", "les", "of", "un"]
 
 
 def _readings(spark: SparkSession, d: str) -> DataFrame:
-    """Whole texts of all languages, and a reading of each that drops some words, says them twice, or is right.
+    """Whole texts of all languages, and a reading of each that drops some words, says them twice, misreads a letter, or is right.
 
-    One is always a part of the other, so their edit distances are the differences of their lengths, which SQL can tell.
+    Where one is a part of the other, their edit distance is the difference of their lengths; where a letter is read as a sign that no text
+    has, each of these is one edit.  So SQL can tell both.
     """
     w = text.words(F.col("text"))
     gold, known = F.array_join(w, " "), lambda x: x.isin(*DROPPED)
     dropped = F.array_join(F.filter(w, lambda x: ~known(x)), " ")
     doubled = F.array_join(F.transform(w, lambda x: F.when(known(x), F.concat(x, F.lit(" "), x)).otherwise(x)), " ")
-    pred = F.when(F.col("doc_id") % 3 == 0, dropped).when(F.col("doc_id") % 3 == 1, doubled).otherwise(gold)
+    kind = F.col("doc_id") % 4
+    pred = F.when(kind == 0, dropped).when(kind == 1, doubled).when(kind == 2, F.translate(gold, "e", MISREAD)).otherwise(gold)
     return table(spark, d, "documents").select("lang", pred.alias("pred"), gold.alias("gold"))
 
 
+#: A sign that stands in no text.
+MISREAD = "¤"
 READINGS = rf"""
     WITH w AS (SELECT doc_id, lang, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS w FROM documents),
-    p AS (SELECT lang, w, CASE doc_id % 3 WHEN 0 THEN list_filter(w, lambda x: NOT list_contains({listed(DROPPED)}, x)) WHEN 1 THEN flatten(list_transform(w, lambda x: CASE WHEN list_contains({listed(DROPPED)}, x) THEN [x, x] ELSE [x] END)) ELSE w END AS v FROM w),
-    r AS (SELECT lang, v = w AS same, abs(length(array_to_string(v, ' ')) - length(array_to_string(w, ' '))) AS ce, length(array_to_string(w, ' ')) AS cn, abs(len(v) - len(w)) AS we, len(w) AS wn FROM p)
+    p AS (SELECT lang, doc_id, w, CASE doc_id % 4 WHEN 0 THEN list_filter(w, lambda x: NOT list_contains({listed(DROPPED)}, x)) WHEN 1 THEN flatten(list_transform(w, lambda x: CASE WHEN list_contains({listed(DROPPED)}, x) THEN [x, x] ELSE [x] END))
+        WHEN 2 THEN list_transform(w, lambda x: replace(x, 'e', '{MISREAD}')) ELSE w END AS v FROM w),
+    r AS (SELECT lang, v = w AS same, length(array_to_string(w, ' ')) AS cn, len(w) AS wn,
+        CASE WHEN doc_id % 4 = 2 THEN length(regexp_replace(array_to_string(w, ' '), '[^e]', '', 'g')) ELSE abs(length(array_to_string(v, ' ')) - length(array_to_string(w, ' '))) END AS ce,
+        CASE WHEN doc_id % 4 = 2 THEN len(list_filter(w, lambda x: contains(x, 'e'))) ELSE abs(len(v) - len(w)) END AS we FROM p)
 """
 
 
