@@ -1,9 +1,10 @@
 """Quality rules on lines: cross-document line frequency by host, and the base rules, as SQL expressions.
 
 A line is normalised (lower case, trimmed) and hashed.  For each host
-(``source``) the distinct documents that hold it are counted, where copies of one text count once.  A
+(``source``) the distinct documents that hold it are counted: by doc_id, rows without one by their text.  A
 line is boilerplate on a host when more than ``max(min_docs, share * documents of the host)`` distinct
-documents hold it.  Such lines are removed; a document that keeps under ``keep_share`` of its words, or
+documents hold it.  With ``by_text`` copies of one text count once, for corpora whose copies go later: there a large group of
+copies must not make boilerplate of its own lines, or none of it would stay.  Such lines are removed; a document that keeps under ``keep_share`` of its words, or
 under ``min_words`` words, is depleted and rejected.  Only hashes and counts are shuffled, aggregated
 before and after; texts never are.
 
@@ -12,7 +13,7 @@ a document) / ``share`` of them: one array for each host, joined by a broadcast
 hosts.
 
 A null or empty text has no words and fails the base rules.  A null source is a host of its own.
-Repeated rows count once by their text and get a row each.  Very long texts are read whole.  An empty
+Repeated rows of one id count once and get a row each.  Very long texts are read whole.  An empty
 table gives an empty result.  Further columns of the input, of any name, are not read (``cleaned`` keeps them).
 """
 
@@ -78,26 +79,28 @@ def base_metrics(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", "source", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.cast("long").alias("n_repeat_words"))
 
 
-def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, by_text: bool = False) -> DataFrame:
     """(host, hashes): for each host the hashes of its lines above the limits.
 
-    Counting goes by (host, line, text) first, so a line or host of a third of all rows is spread over
+    Counting goes by (host, line, document) first, so a line or host of a third of all rows is spread over
     many tasks before its count is summed.
     """
-    rows = docs.select(F.col("source").alias("host"), F.col("text"))
-    named = rows.select("host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("d"), F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), line_hash))).alias("line"))
+    own_text = F.xxhash64(F.coalesce("text", F.lit("")))
+    document = own_text if by_text else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit("id"))).otherwise(own_text)
+    rows = docs.select(F.col("source").alias("host"), F.col("text"), document.alias("d"))
+    named = rows.select("host", "d", F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), line_hash))).alias("line"))
     seen = named.where("line is not null").groupBy("host", "line", "d").agg(F.lit(1).alias("n"))
     counts = seen.groupBy("host", "line").agg(F.sum("n").alias("n"))
-    texts = rows.select("host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("d")).groupBy("host", "d").agg(F.lit(1).alias("n"))
-    hosts = texts.groupBy("host").agg(F.sum("n").alias("of")).withColumnRenamed("host", "in_host")
+    documents = rows.select("host", "d").groupBy("host", "d").agg(F.lit(1).alias("n"))
+    hosts = documents.groupBy("host").agg(F.sum("n").alias("of")).withColumnRenamed("host", "in_host")
     over = counts.where(F.col("n") > min_docs).join(hosts, F.col("host").eqNullSafe(F.col("in_host")))
     over = over.where(F.col("n") > F.col("of") * share)
     return over.groupBy("host").agg(F.collect_set("line").alias("hashes"))
 
 
-def with_verdict(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
+def with_verdict(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE, min_words: int = MIN_WORDS, by_text: bool = False) -> DataFrame:
     """doc_id, the base metrics, n_removed_words, base_failed, kept, and text without boilerplate lines."""
-    found = stored(boilerplate(docs, min_docs, share), "boilerplate")
+    found = stored(boilerplate(docs, min_docs, share, by_text), "boilerplate")
     if (found.agg(F.sum(F.size("hashes"))).first()[0] or 0) <= BROADCAST_HASHES:  # 8 bytes each
         found = small_side(found, 20_000)
     rows = base_metrics(docs)
@@ -120,7 +123,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """The kept documents with all their columns, boilerplate lines removed from ``text``.
+    """The kept documents with all their columns, boilerplate lines removed from ``text``; lines are counted by texts, as copies go later.
 
     ``n_chars``, if there, is the length of the text that is left.  Rows are judged where they stand, so
     repeated ids need no join back.
@@ -128,7 +131,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     rest = [c for c in docs.columns if c.lower() not in ("doc_id", "source", "text")]
     # The other columns travel in one struct beside the id, so that their names can't clash.
     beside = F.struct(*(F.col(f"`{c}`") for c in rest)) if rest else F.lit(0)
-    judged = with_verdict(docs.select(F.struct("doc_id", beside.alias("rest")).alias("doc_id"), "source", "text"))
+    judged = with_verdict(docs.select(F.struct("doc_id", beside.alias("rest")).alias("doc_id"), "source", "text"), by_text=True)
     # A filter pushed below the row number would repeat each array expression for each of its uses.
     kept = judged.withColumn("row", F.monotonically_increasing_id()).where((F.col("row") >= 0) & F.col("kept"))
     out = {"doc_id": F.col("doc_id.doc_id"), "source": F.col("source"), "text": F.col("text")}

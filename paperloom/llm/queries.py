@@ -85,7 +85,7 @@ QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_attention_q
 ORACLE = {
     "op4_line_frequency": r"""
         WITH d AS (
-            SELECT doc_id, source, coalesce(text, '') AS text,
+            SELECT doc_id, source, coalesce(text, '') AS text, coalesce('id ' || doc_id, coalesce(text, '')) AS document,
                    list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w,
                    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '[ \t\n\x0B\f\r]+', '', 'g') <> '') AS l
             FROM documents
@@ -102,13 +102,13 @@ ORACLE = {
             SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM g WHERE c > 1) GROUP BY r
         ),
         norm AS (
-            SELECT r, source, text, x AS line,
+            SELECT r, source, document, x AS line,
                    regexp_replace(lower(x), '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') AS n
-            FROM (SELECT r, source, text, unnest(l) AS x FROM numbered)
+            FROM (SELECT r, source, document, unnest(l) AS x FROM numbered)
         ),
-        hosts AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY source),
+        hosts AS (SELECT source, count(DISTINCT document) AS docs FROM d GROUP BY source),
         flagged AS (
-            SELECT source, n FROM (SELECT source, n, count(DISTINCT text) AS c FROM norm GROUP BY source, n)
+            SELECT source, n FROM (SELECT source, n, count(DISTINCT document) AS c FROM norm GROUP BY source, n)
             JOIN hosts USING (source) WHERE c > 20 AND c > docs * 0.05
         ),
         lost AS (

@@ -533,6 +533,10 @@ def test_op4(spark):
     # Rows without a source are a host of their own: 30 of its 31 documents hold the line, and none of the others.
     nameless = spark.createDataFrame([(k, f"{line}\n{prose(k)}" if k < 30 else prose(k), "en", None if k < 31 else "h", 0) for k in range(40)] + [(50, f"{line}\n{prose(50)}", "en", "h", 0)], DOCS)
     assert {r["doc_id"]: r["n_removed_words"] for r in line_rules.verdicts(nameless).collect()} == {k: 7 * (k < 30) for k in [*range(40), 50]}
+    # Copies under different ids are documents each; a repeated row is one; by texts all of them are one.
+    copies = spark.createDataFrame([(k, f"{line}\n{prose(1)}", "en", "h", 0) for k in range(30)] + [(40 + k, prose(40 + k), "en", "h", 0) for k in range(40)] + [(99, f"{prose(99)}\nother line", "en", "h", 0)] * 30 + [(None, f"third\n{prose(5)}", "en", "h", 0)] * 30, DOCS)
+    assert {r["doc_id"]: r["n_removed_words"] for r in line_rules.verdicts(copies).collect()} == {**{k: 67 for k in range(30)}, **{40 + k: 0 for k in range(40)}, 99: 0, None: 0}
+    assert {r["n_removed_words"] for r in line_rules.with_verdict(copies, by_text=True).collect()} == {0} and line_rules.cleaned(copies).count() == copies.count()
     assert line_rules.cleaned(edges).columns == edges.columns
     assert line_rules.verdicts(edges.limit(0)).count() == 0
 
