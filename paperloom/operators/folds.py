@@ -10,6 +10,7 @@ from paperloom.functions import constants as K
 from paperloom.functions import rules
 from paperloom.functions.text import detect_language, squeeze, truncate_tail
 from paperloom.operators import joins
+from paperloom.operators.components import components
 from paperloom.session import with_checkpoints
 
 
@@ -33,13 +34,14 @@ def chat_history(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     return ordered.select(key, F.size("turns").alias("n_turns"), F.aggregate("turns", F.lit(""), lambda h, t: append_turn(h, t.question, t.answer)).alias("history"))
 
 
-def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7, finish: int = 1_000_000) -> DataFrame:
+def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7, finish: int = 100_000, rounds: int = 3) -> DataFrame:
     """Which items are accepted when each must be no AI image and like no item accepted before it (STA1).
 
     ``items``: item, ai, in order of ``item``.  ``edges``: item, earlier, of pairs that are too alike.
     Rounds of joins: an item that waits for no earlier one is accepted, what is like it is a duplicate, and the
-    edges of both go.  When at most ``finish`` edges are left, which bounds them, one task folds them in order, as a
-    chain of edges would take as many rounds as it has items.
+    edges of both go.  What is undecided after some ``rounds`` falls into components that decide by themselves: those of at
+    most ``finish`` edges are folded in order, each in a group of its own, as a chain of edges would take as many rounds as it has items; while
+    there is a larger one the rounds go on.
     """
     with_checkpoints(items.sparkSession)
     status = items.select("item", F.when(F.col("ai") >= ai_limit, "ai").alias("fixed"))
@@ -49,11 +51,6 @@ def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7, fin
     every = edges.where("earlier < item").select("item", "earlier").distinct()
     every = every.join(fixed, "item", "left_anti").join(as_earlier(fixed), "earlier", "left_anti").select("item", "earlier").checkpoint()
     left, duplicates = every, every.select("item").where("false")
-    while left.limit(finish + 1).count() > finish:
-        free = left.select(F.col("earlier").alias("item")).distinct().join(left.select("item").distinct(), "item", "left_anti")
-        hit = left.join(as_earlier(free), "earlier", "left_semi").select("item").distinct().checkpoint()
-        left = left.join(hit, "item", "left_anti").join(as_earlier(hit), "earlier", "left_anti").select("item", "earlier").checkpoint()
-        duplicates = duplicates.union(hit)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         like: dict[int, list[int]] = {}
@@ -65,7 +62,21 @@ def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7, fin
                 lost.add(i)
         return pd.DataFrame({"item": sorted(lost)}, dtype="int64")
 
-    duplicates = duplicates.union(left.groupBy(F.lit(0).alias("all")).applyInPandas(fold, "item long")).checkpoint()
+    while not left.isEmpty():
+        for _ in range(rounds):
+            free = left.select(F.col("earlier").alias("item")).distinct().join(left.select("item").distinct(), "item", "left_anti")
+            hit = left.join(as_earlier(free), "earlier", "left_semi").select("item").distinct().checkpoint()
+            left = left.join(hit, "item", "left_anti").join(as_earlier(hit), "earlier", "left_anti").select("item", "earlier").checkpoint()
+            duplicates = duplicates.union(hit)
+            if left.isEmpty():
+                break
+        else:
+            roots = components(left.select(F.col("item").alias("a"), F.col("earlier").alias("b")))
+            rooted = left.join(roots, left["item"] == roots["node"]).select("item", "earlier", "root").checkpoint()
+            small = rooted.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") <= finish).select("root").checkpoint()
+            duplicates = duplicates.union(rooted.join(small, "root", "left_semi").groupBy("root").applyInPandas(fold, "item long").checkpoint())
+            left = rooted.join(small, "root", "left_anti").select("item", "earlier").checkpoint()
+    duplicates = duplicates.checkpoint()
     hits = every.join(as_earlier(duplicates), "earlier", "left_anti").groupBy("item").agg(F.min("earlier").alias("like"))
     out = status.join(hits, "item", "left")
     return out.select("item", F.coalesce("fixed", F.when(F.col("like").isNotNull(), "duplicate").otherwise("accepted")).alias("decision"), "like")

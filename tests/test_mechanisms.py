@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import arrow_udfs, schemas
 from paperloom.functions import constants as K
-from paperloom.operators import dialogue, folds, joins, providers, selection
+from paperloom.operators import components, dialogue, folds, joins, providers, selection
 from paperloom.sources import part_log, vector_pages, writers
 from paperloom.sources.keyed_store import KeyedStore
 from paperloom.sources.part_log import BatchTable, Entry, Part
@@ -401,3 +401,38 @@ def test_percentiles(spark, few, accuracy):
     both = spark.range(2000).select(F.when(F.col("id") < 1000, 1.0).otherwise(2.0).alias("v"))
     assert [x["value"] for x in selection.percentiles(both, "v", [0.5], few=100).collect()] == [1.5]
     assert selection.percentiles(df.limit(0), "v", [0.5]).count() == 0
+
+
+# --- components --------------------------------------------------------------------------------
+
+
+def roots_of(edges):
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges:
+        if None not in (a, b) and a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {x: find(x) for x in list(root)}
+
+
+@pytest.mark.parametrize("hub", [3, components.HUB])
+def test_components(spark, hub):
+    r = random.Random(hub)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i + 1, i) for i in range(400, 460)] + [(500, 500 + i) for i in range(1, 80)] + [(7, None), (None, None), (5, 5), (900, 900)]
+    got = {x["node"]: x["root"] for x in components.components(spark.createDataFrame(edges, "a long, b long"), hub=hub).collect()}
+    assert got == roots_of(edges)
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_hub_stays_in_many_tasks(spark):
+    """A star's edges aren't brought together by their hub."""
+    star = spark.range(0, 40_000, 1, 8).select((F.col("id") + 1).alias("u"), F.lit(0).cast("long").alias("v"))
+    both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = {hub: components._star(both, hub).where("u = 0").select(F.spark_partition_id().alias("task")).groupBy("task").count().collect() for hub in (1000, 10**6)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sum(x["count"] for x in rows[1000]) == 40_000 and max(x["count"] for x in rows[1000]) <= 5_000 and len(rows[10**6]) == 1
