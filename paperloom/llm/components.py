@@ -1,38 +1,13 @@
-"""Connected components of an edge table by alternating large-star and small-star rounds."""
+"""Connected components, each round's table stored in the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from paperloom.llm.common import stored
-
-
-def _star(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with every u's smallest neighbour, itself included, as m."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-    return edges.join(least, edges["u"] == least["k"]).select("u", "v", "m")
+from paperloom.operators import components as plain
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a long, b long); root: the smallest node it reaches.
-
-    Self-loops, repeated and reversed edges are allowed; rows with a null end are ignored.  No group is
-    gathered: minima are partial aggregates, and each round's table is written to the shared folder.
-    """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, last = stored(edges, "edges"), None
-    for _ in range(max_rounds):
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = _star(large)
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        edges = stored(small.where("u <> v").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            break
-        last = now
-    else:
-        raise RuntimeError("components didn't settle")
-    nodes = edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-    return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    """(node, root) for every node of ``edges`` (a long, b long); root: the smallest node it reaches."""
+    return plain.components(edges, lambda df: stored(df, "edges"), max_rounds=max_rounds)

@@ -33,7 +33,7 @@ from paperloom.llm.common import lean, stored, training_rows
 from paperloom.llm.tokens import Memo
 
 TRAIN_DOCUMENTS = 6000
-#: Passages of all training documents together: 240 bytes each on the driver.
+#: Passages of all training documents together, 240 bytes each on the driver: where there are more, fewer documents are taken.
 TRAIN_PASSAGES = 300_000
 PASSAGE = 96
 SHAPES = 48
@@ -166,7 +166,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_bags(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS, passages: int = TRAIN_PASSAGES) -> tuple[list[np.ndarray], np.ndarray]:
-    """Bags and labels of at most ``limit`` labelled documents that aren't held out, of ``passages`` in all."""
+    """Bags and labels of at most ``limit`` labelled documents that aren't held out: the first by a hash until they have ``passages`` in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder()
@@ -181,9 +181,10 @@ def training_bags(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMEN
     sizes = bags.select("row", "label", "size").collect()  # at most ``limit`` narrow rows
     taken, total = [], 0
     for r in sorted(sizes, key=lambda r: (zlib.crc32(r["row"].encode()), r["row"], r["label"])):
-        if total + r["size"] <= passages:
-            taken.append((r["row"], r["label"]))
-            total += r["size"]
+        if total >= passages:
+            break  # fewer documents, none passed over for its length
+        taken.append((r["row"], r["label"]))
+        total += r["size"]
     if len(taken) < len(sizes):
         picked = docs.sparkSession.createDataFrame(taken, "r string, l int")
         bags = bags.join(F.broadcast(picked), (F.col("row") == F.col("r")) & (F.col("label") == F.col("l")), "left_semi")
