@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import jsonx, text
 from paperloom.operators import providers
+from paperloom.operators.joins import sized
 from paperloom.sources.writers import append_missing
 
 #: Fixed value: the most model calls of a search.
@@ -65,9 +66,27 @@ def web_query(c: Column) -> Column:
     return F.when(F.contains(c, F.lit(LOCALE)), c).otherwise(F.concat(c, F.lit(f" في {LOCALE}")))
 
 
+def terms_within(queries: DataFrame, terms: DataFrame) -> DataFrame:
+    """(query_id, term) of all terms that a query contains, in any case, wherever they begin.
+
+    A term's first letters, as many as the shortest term has, are looked up among the query's runs of so many letters, so the join is by
+    equality; what meets there is then verified. Blank terms are in nothing.
+    """
+    known = terms.select("term", F.lower("term").alias("low")).where("low <> ''").distinct()
+    shortest = known.agg(F.min(F.length("low"))).first()[0]
+    if not shortest:
+        return queries.select("query_id").crossJoin(known.select("term")).limit(0)
+    asked = queries.select("query_id", F.lower("query").alias("text")).where("text is not null")
+    runs = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{{shortest}}}))"), F.lit(1)))
+    meets = asked.select("query_id", F.explode(runs).alias("run")).join(sized(known.withColumn("first", F.left("low", F.lit(shortest)))), F.col("run") == F.col("first"))
+    met = meets.select(F.col("query_id").alias("of"), "term", "low")
+    return asked.join(met, asked["query_id"] == met["of"]).where(F.contains("text", "low")).select("query_id", "term")
+
+
 def web_results(queries: DataFrame, store: DataFrame, top: int = 3) -> DataFrame:
     """(query_id, context) of a search over a table of (term, rank, title, url, content), the stand-in for the web (SRC19)."""
-    hits = queries.join(store, F.contains(F.lower("query"), F.lower("term"))).where(F.col("rank") <= top)
+    ranked = store.where(F.col("rank") <= top).withColumnRenamed("term", "of_term")
+    hits = terms_within(queries, store.select("term")).join(sized(ranked), F.col("term") == F.col("of_term"))
     line = F.concat(F.lit("المصدر "), F.col("rank"), F.lit(": "), F.coalesce("title", F.lit("")), F.lit(" | الرابط: "), F.coalesce("url", F.lit("")), F.lit("\nالملخص: "), F.coalesce("content", F.lit("")), F.lit("\n\n"))
     said = hits.groupBy("query_id").agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))), 1, top), lambda x: x.line), "").alias("context"))
     return queries.select("query_id").join(said, "query_id", "left").select("query_id", F.coalesce("context", F.lit("لم يتم العثور على نتائج للبحث.")).alias("context"))

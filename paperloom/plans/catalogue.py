@@ -205,7 +205,9 @@ def truncate_head_tail(spark, d):
     SELECT a.conv_id, turn, CASE WHEN entity IS NOT NULL AND NOT contains(text, entity) THEN '(' || entity || ') ' || text ELSE text END AS answer FROM a LEFT JOIN q USING (conv_id)""")
 def entity_prefix(spark, d):
     c = table(spark, d, "conversations")
-    q = c.where("role = 'user'").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x.text).alias("questions"))
+    # Only the shortest question matters, so no conversation's questions are gathered.
+    shortest = F.min_by(F.array("text"), F.struct(F.length("text"), "turn"))
+    q = c.where("role = 'user' and text <> ''").groupBy("conv_id").agg(shortest.alias("questions"))
     a = c.where("role = 'assistant'").select("conv_id", "turn", "text").join(q, "conv_id", "left")
     return a.select("conv_id", "turn", text.with_entity(F.col("text"), F.coalesce("questions", F.array().cast("array<string>"))).alias("answer"))
 
@@ -573,10 +575,17 @@ CELLS = """
 """
 
 
-@query("WITH c AS (SELECT lang, CASE WHEN quality = 0 THEN 'tn' WHEN doc_id % 100 >= 85 THEN 'tp' WHEN doc_id % 100 >= 50 THEN 'fp' ELSE 'fn' END AS c FROM documents JOIN labels USING (doc_id))" + CELLS)
+@query(f"""WITH b AS (SELECT item_id, string_split(text, ' ')[1:4] AS w, CASE WHEN item_id % 5 = 0 THEN 'ar' ELSE 'en' END AS lang FROM benchmark),
+    t AS (SELECT item_id, lang, CASE WHEN item_id % 7 = 0 THEN '' ELSE array_to_string(w, ' ') END AS gold, CASE item_id % 4 WHEN 0 THEN array_to_string(w, ' ') WHEN 1 THEN translate(array_to_string(w, ' '), 'e', '') WHEN 2 THEN w[1] ELSE 'zzzz' END AS pred FROM b),
+    s AS (SELECT lang, gold, 1 - levenshtein(translate(gold, '{WIDE}', '{NARROW}'), translate(pred, '{WIDE}', '{NARROW}')) / greatest(length(gold), length(pred)) AS score FROM t),
+    c AS (SELECT lang, CASE WHEN gold = '' THEN 'tn' WHEN score >= 0.85 THEN 'tp' WHEN score >= 0.5 THEN 'fp' ELSE 'fn' END AS c FROM s)""" + CELLS)
 def confusion_bands(spark, d):
-    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
-    return metrics.confusion(rows, ["lang"], metrics.banded((F.col("doc_id") % 100) / 100, F.when(F.col("quality") == 1, "gold").otherwise(" ")))
+    """Readings of the first words of each item in bands of how alike they are to what is there."""
+    id_ = F.col("item_id")
+    said = F.array_join(F.slice(F.split("text", " "), 1, 4), " ")
+    pred = F.when(id_ % 4 == 0, said).when(id_ % 4 == 1, F.translate(said, "e", "")).when(id_ % 4 == 2, F.get(F.split("text", " "), 0)).otherwise("zzzz")
+    rows = table(spark, d, "benchmark").select(F.when(id_ % 5 == 0, "ar").otherwise("en").alias("lang"), F.when(id_ % 7 == 0, "").otherwise(said).alias("gold"), pred.alias("pred"))
+    return metrics.confusion(rows, ["lang"], metrics.banded(joins.levenshtein_score(F.col("gold"), F.col("pred")), F.col("gold")))
 
 
 @query("WITH c AS (SELECT lang, CASE WHEN doc_id % 4 = 0 THEN 'tn' WHEN doc_id % 5 = 0 THEN 'fp' WHEN doc_id % 7 = 0 THEN 'fn' ELSE 'tp' END AS c FROM documents)" + CELLS)
@@ -714,7 +723,9 @@ def router_decisions(spark, d):
 def inquiry_paths(spark, d):
     step = F.when(F.col("event_type") == "click", "vqa").when(F.col("event_type") == "view", "search").otherwise("report")
     steps = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", step.alias("s")))), lambda x: x.s)
-    return folds.inquiry(table(spark, d, "events").groupBy(F.col("user_id").alias("case_id")).agg(steps.alias("steps")))
+    # Only a user's first steps are walked, so no whole history is gathered.
+    first = windows.ranked_first(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], K.MAX_LOOPS)
+    return folds.inquiry(first.groupBy(F.col("user_id").alias("case_id")).agg(steps.alias("steps")))
 
 
 @query("SELECT round(quantile_cont(n_chars, 0.9), 6) AS p90, round(quantile_cont(n_chars, 0.95), 6) AS p95, round(quantile_cont(n_chars, 0.99), 6) AS p99, max(n_chars) AS largest FROM documents")
@@ -1266,6 +1277,26 @@ def module_report(spark, d):
     return writers.report("lang", docs.agg(F.count("*").alias("total")), docs)
 
 
+@query("""
+    SELECT item_id::VARCHAR AS document_id, 'image' AS kind, length(text)::BIGINT AS size FROM benchmark WHERE item_id % 3 = 0 AND regexp_matches(text, '^[\\x{00}-\\x{7F}]*$')
+    UNION ALL SELECT item_id::VARCHAR, 'record', item_id FROM benchmark WHERE item_id % 3 > 0 UNION ALL SELECT 'summary', 'records', count(*) FROM benchmark WHERE item_id % 3 > 0""")
+def folder_sources(spark, d):
+    """A folder of pictures and records as another program leaves it: listed, read, built once, summed up."""
+    folder = scratch(spark, "folder")
+    b = table(spark, d, "benchmark").where(r"item_id % 3 > 0 or text rlike '^\\p{ASCII}*$'")
+    is_image = F.col("item_id") % 3 == 0
+    name = F.when(is_image, F.concat(F.lit("images/"), "item_id", F.lit(".PNG"))).otherwise(F.concat(F.lit("records/"), "item_id", F.lit(".json")))
+    writers.write_files(b.select(name.alias("name"), F.when(is_image, F.col("text")).otherwise(F.to_json(F.struct("item_id"))).alias("content")), folder)
+    pictures = readers.list_images(spark, f"{folder}/images").select(text.stem(F.col("path")).alias("document_id"), F.lit("image").alias("kind"), F.col("length").alias("size"))
+    build = lambda: readers.read_records(spark, f"{folder}/records")
+    for _ in range(2):  # the second time it is there
+        records = readers.load_or_build(spark, f"{folder}/index", build)
+    records = records.select("document_id", F.lit("record").alias("kind"), jsonx.at(F.col("payload"), "item_id", "long").alias("size"))
+    writers.write_summary(records.agg(F.count("*").alias("n")), f"{folder}/summary")
+    summary = readers.json_or_empty(spark, f"{folder}/summary", "n long").select(F.lit("summary").alias("document_id"), F.lit("records").alias("kind"), F.col("n").alias("size"))
+    return pictures.union(records).union(summary)
+
+
 @query("SELECT event_id, event_type FROM events")
 def autosaved(spark, d):
     saved = BatchTable(spark, scratch(spark, "autosave"), "event_id long, event_type string")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,3 +88,20 @@ def percent(part: Column, whole: Column, floor: bool = False) -> Column:
     """A share as it is printed: one decimal, or the whole percent below (SNK12)."""
     share = F.coalesce(F.try_divide(100 * part, whole), F.lit(0.0))
     return F.format_string("%d%%", F.floor(share)) if floor else F.format_string("%.1f%%", share.cast("double"))
+
+
+def write_files(rows: DataFrame, path: str) -> None:
+    """A file of each (name, content), as other programs leave them in a folder; each task writes its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(path)
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                system.create_dir(f"{folder}/{name}".rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(f"{folder}/{name}") as stream:
+                    stream.write((content or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows.select("name", "content").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
