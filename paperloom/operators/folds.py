@@ -82,24 +82,49 @@ def greedy_accept(items: DataFrame, edges: DataFrame, ai_limit: float = 0.7, fin
     return out.select("item", F.coalesce("fixed", F.when(F.col("like").isNotNull(), "duplicate").otherwise("accepted")).alias("decision"), "like")
 
 
-def accept_vectors(vectors: DataFrame, threshold: float, ai_limit: float = 0.7) -> DataFrame:
-    """``greedy_accept`` of vectors (vec_id, embedding, ai) by all pairs at or above a threshold.
+def accept_vectors(vectors: DataFrame, threshold: float, ai_limit: float = 0.7, first: int = 8192) -> DataFrame:
+    """``greedy_accept`` of vectors (vec_id, embedding, ai) that are too alike from a threshold on.
 
     Of equal vectors the first that is no AI image leads: the later ones are duplicates, of it if it is
     accepted, else of what it is like.  AI images are never accepted, so they take part in no pair.
+
+    Vectors go in order of their ids through blocks, of which the first has about ``first`` and each further one as many as
+    all before it.  A block's vectors are held against those accepted so far, which gives one row for each that is like one; only what is like none
+    is compared with its own block.  So a cluster costs its accepted vectors times its size, not its square.
     """
     with_checkpoints(vectors.sparkSession)
     square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     given = vectors.select("vec_id", "embedding", "ai", (~F.coalesce(F.col("ai") >= ai_limit, F.lit(False)) & F.col("embedding").isNotNull() & ~F.isnan(square) & (F.round(square, 6) >= threshold)).alias("alike"))
-    first = given.where("alike").groupBy("embedding").agg(F.min("vec_id").alias("leader"))
-    led = given.where("alike").join(first, "embedding").select("vec_id", "leader").where("vec_id <> leader").checkpoint()
-    rest = given.join(led.select("vec_id"), "vec_id", "left_anti")
-    edges = joins.alike_pairs(rest.where(F.coalesce(F.col("ai") < ai_limit, F.lit(True))), threshold).checkpoint()
-    decided = greedy_accept(rest.select(F.col("vec_id").alias("item"), "ai"), edges, ai_limit).checkpoint()
+    leaders = given.where("alike").groupBy("embedding").agg(F.min("vec_id").alias("leader"))
+    led = given.where("alike").join(leaders, "embedding").select("vec_id", "leader").where("vec_id <> leader").checkpoint()
+    rest = given.join(led.select("vec_id"), "vec_id", "left_anti").drop("alike").checkpoint()
+    decided = accepted = None
+    for low, high in _blocks(rest, first):
+        block = rest.where(F.coalesce((F.col("vec_id") > low) if low is not None else F.lit(True), F.lit(high is None)) & F.coalesce((F.col("vec_id") <= high) if high is not None else F.lit(True), F.lit(False)))
+        own = F.coalesce(F.col("ai") < ai_limit, F.lit(True))
+        like = block.select(F.col("vec_id").alias("item"), F.lit(None).cast("long").alias("like")).where("false") if accepted is None else joins.first_alike(block.where(own), joins.dealt_store(accepted), threshold).checkpoint()
+        left = block.join(like, block["vec_id"] == like["item"], "left_anti")
+        edges = joins.alike_pairs(left.where(own), threshold).checkpoint()
+        told = greedy_accept(left.select(F.col("vec_id").alias("item"), "ai"), edges, ai_limit).union(like.select("item", F.lit("duplicate").alias("decision"), "like")).checkpoint()
+        good = told.where("decision = 'accepted'").select(F.col("item").alias("of"))
+        new = block.join(good, block["vec_id"] == good["of"]).select("vec_id", "embedding")
+        decided, accepted = (told, new) if decided is None else (decided.union(told), accepted.union(new))
+        accepted = accepted.checkpoint()
     by = decided.select(F.col("item").alias("leader"), F.when(F.col("decision") == "accepted", F.col("item")).otherwise(F.col("like")).alias("like"))
     return decided.union(led.join(by, "leader").select(F.col("vec_id").alias("item"), F.lit("duplicate").alias("decision"), "like"))
 
 
+def _blocks(rows: DataFrame, first: int) -> list[tuple[int | None, int | None]]:
+    """Ranges (above, up to) of ids: about ``first`` rows, then as many again as all before; ends are open."""
+    n, at, parts = rows.count(), first, []
+    while at < n:
+        parts.append(at / n)
+        at *= 2
+    ends = sorted(set(rows.approxQuantile("vec_id", parts, 0.001))) if parts else []
+    ends = [int(x) for x in ends]
+    return list(zip([None, *ends], [*ends, None], strict=True))
+
+
 def inquiry(cases: DataFrame, rounds: int = K.MAX_LOOPS) -> DataFrame:
     """Cases through at most ``rounds`` of deciding and asking (STA2): ``steps`` holds what the model would say each round.
 

@@ -244,6 +244,27 @@ def alike_pairs(vectors: DataFrame, threshold: float, rows_a_task: int = 8192) -
     return centres.meet(centres.visits(every), search, "item long, earlier long")
 
 
+def first_alike(items: DataFrame, store: Centres, threshold: float) -> DataFrame:
+    """(item, like): of each vector (vec_id, embedding) that is as like as ``threshold`` to one of a store, the smallest such id there.
+
+    A row for each item and part of a centre at most leaves a task. The same rows take no part as in ``top_k_similar``.
+    """
+
+    def search(table: pa.Table) -> pa.Table:
+        asks, ids, vectors = table["asks"].to_numpy(), table["vec_id"].to_numpy(), _matrix(table["embedding"])
+        order = np.argsort(ids[~asks], kind="stable")
+        points, own, given, given_ids = vectors[~asks][order], ids[~asks][order], vectors[asks], ids[asks]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for at in range(0, len(given) if len(own) else 0, 512):
+            good = np.round(given[at : at + 512] @ points.T, 6) >= threshold
+            some = good.any(1)
+            found.append((given_ids[at : at + 512][some], own[good.argmax(1)[some]]))
+        return pa.table({"item": np.concatenate([x[0] for x in found]), "like": np.concatenate([x[1] for x in found])})
+
+    every = _usable(items).select("vec_id", "embedding", F.lit(-1).alias("seen"), F.lit(float(threshold)).alias("bar"))
+    return store.meet(store.visits(every), search, "item long, like long").groupBy("item").agg(F.min("like").alias("like"))
+
+
 def preferred_then_rest(ranked: DataFrame, k: int, preferred: Column) -> DataFrame:
     """Of each query's candidates, those preferred first and the rest after, k in all, in rank order (JOI10, WIN4)."""
     order = Window.partitionBy("query_id").orderBy(F.when(preferred, 0).otherwise(1), "rank")

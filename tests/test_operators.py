@@ -214,6 +214,9 @@ def test_greedy_accept_index_by_brute_force(spark, tmp_path):
             taken.append((i, v))
     got = QUERIES["greedy_accept_index"](spark, str(tmp_path)).collect()
     assert len(got) == len(rows) and {x["item"]: (x["decision"], x["like"]) for x in got} == want
+    v = spark.read.parquet(str(tmp_path / "embeddings.parquet")).withColumn("ai", (F.col("vec_id") % 101) / 100)
+    got = folds.accept_vectors(v, 0.4, first=40).collect()  # in blocks
+    assert len(got) == len(rows) and {x["item"]: (x["decision"], x["like"]) for x in got} == want
 
 
 @pytest.mark.parametrize("finish", [0, 20, 10**6])
