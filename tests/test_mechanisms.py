@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.functions import arrow_udfs, schemas
+from paperloom.functions import arrow_udfs, jsonx, schemas
 from paperloom.functions import constants as K
 from paperloom.operators import components, dialogue, folds, joins, providers, selection
 from paperloom.sources import part_log, vector_pages, writers
@@ -403,6 +403,37 @@ def test_percentiles(spark, few, accuracy):
     assert selection.percentiles(df.limit(0), "v", [0.5]).count() == 0
 
 
+# --- searches and records ----------------------------------------------------------------------
+
+
+def test_terms_within(spark):
+    """As ``in`` has it: in any case, at any place, letters of several bytes, line ends, blanks and nulls."""
+    from paperloom.operators import agents
+
+    r = random.Random(3)
+    terms = ["ab", "Abc", "é\nb", "بيت", "aa", "", None, "zzz", "ab"]
+    queries = [(i, "".join(r.choices("abcABé\nبيتz", k=r.randint(0, 12)))) for i in range(200)] + [(900, None), (901, "x" * 5000 + "AB")]
+    got = agents.terms_within(spark.createDataFrame(queries, "query_id long, query string"), spark.createDataFrame([(t,) for t in terms], "term string"))
+    rows = [tuple(x) for x in got.collect()]
+    want = {(i, t) for i, q in queries for t in terms if t and q and t.lower() in q.lower()}
+    assert len(rows) == len(want) and set(rows) == want and len(want) > 50
+    assert agents.terms_within(spark.createDataFrame(queries, "query_id long, query string"), spark.createDataFrame([("",)], "term string")).count() == 0
+
+
+def test_completed_records(spark):
+    """What is missing, empty or nought is filled in; all else stays for the schema to judge."""
+    def done(payload):
+        rows = spark.createDataFrame([(payload,)], "p string").select(jsonx.completed(F.col("p"), F.lit("d"), F.array(F.lit("a"))).alias("r"))
+        text = rows.first()["r"]
+        return None if text is None else json.loads(text)
+
+    empty = done("{}")
+    assert empty == {"document_id": "d", "source_files": ["a"], "page_count": 1, "review_required": False, **{k: [] for k in K.LIST_FIELDS}}
+    given = {"document_id": 5, "page_count": "two", "source_files": None, "assets": {}, "family_members": [{"age": 1}], "review_required": "no", "more": [None, {"é": 1.5}]}
+    assert done(json.dumps(given)) == {**empty, **given, "source_files": ["a"], "assets": [], "review_required": True}
+    assert done("[1]") is None and done("{") is None and done(None) is None
+
+
 # --- components --------------------------------------------------------------------------------
 
 
