@@ -4,9 +4,9 @@ A ball's vectors v lie within r of its centre c, so q.v <= q.c + |q| r.  That bo
 are the vectors nearest to each of a bounded number of sampled centres, and a shard's ball is a row of a
 small table: a query visits shards in the order of their bounds, a few a round, and its kth score so far
 goes along to all shards of the next round; shards whose bound lies below it are never sent the query.
-Within a shard each part has a ball tree (``BallTree``): from the root down, a node is opened for the
-queries whose kth score its bound reaches, and leaves are visited in each query's own order of bounds, with the
-kth score rising after each turn.
+Within a shard each part has a ball tree (``BallTree``): a query goes down to its best leaf first, then from the root
+down a node is opened for the queries whose kth score its bound reaches, and leaves are visited in each query's own
+order of bounds, with the kth score rising after each turn.
 
 Components x become floor(256 * x); scores are integers, exact as long as they are under 2^63.  Ties go
 to the smaller id.  A vector that is null, or holds a null or non-finite component, takes no part, nor does a null
@@ -82,27 +82,14 @@ class BallTree:
         asked, points = (floats, self.points.astype(np.float64)) if exact else (queries, self.points)
         length = np.sqrt((floats**2).sum(1))
         there, scores, ids = np.zeros((n, k), bool), np.full((n, k), np.iinfo(np.int64).min), np.full((n, k), np.iinfo(np.int64).max)
-        opened = np.ones((n, 1), bool)
-        for depth, (centres, radii, far) in enumerate(self.balls):
-            if depth:
-                opened = np.repeat(opened, 2, 1)
-            bound = np.full(opened.shape, -np.inf)
-            some = np.flatnonzero(opened.any(0))
-            reach = radii[some] + far[some]
-            bound[:, some] = floats @ centres[some].T + length[:, None] * radii[some] + margin(length[:, None], reach)
-            opened &= bound >= floor[:, None]
-        bound[~opened] = -np.inf
-        turns, step, at = np.argsort(-bound, axis=1, kind="stable"), 1, 0
-        while at < turns.shape[1]:
-            best = np.where(there[:, -1], scores[:, -1].astype(np.float64), -np.inf)
-            need = np.maximum(floor, best)
-            now = turns[:, at : at + step]
-            visit = np.take_along_axis(bound, now, 1) >= need[:, None]
-            visit &= np.isfinite(np.take_along_axis(bound, now, 1))
-            if not visit.any():
-                break
-            row, column = np.nonzero(visit)
-            leaf = now[row, column]
+
+        def bounds(depth: int, rows: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+            """Of rows of queries by nodes of a level, every pair of them."""
+            centres, radii, far = (x[nodes] for x in self.balls[depth])
+            return floats[rows] @ centres.T + length[rows, None] * radii + margin(length[rows, None], radii + far)
+
+        def visit(row: np.ndarray, leaf: np.ndarray) -> None:
+            """Scores the vectors of leaves, each for its query."""
             by = np.argsort(leaf, kind="stable")
             row, leaf = row[by], leaf[by]
             cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
@@ -115,6 +102,39 @@ class BallTree:
                 all_ids = np.concatenate([ids[rows], np.broadcast_to(leaf_ids, got.shape)], 1)
                 first = np.lexsort((all_ids, ~all_scores, ~all_there), axis=1)[:, :k]  # ~x: larger first
                 there[rows], scores[rows], ids[rows] = (np.take_along_axis(x, first, 1) for x in (all_there, all_scores, all_ids))
+
+        def need() -> np.ndarray:
+            """What a bound must reach: the query's floor, and its kth score once it has k."""
+            return np.maximum(floor, np.where(there[:, -1], scores[:, -1].astype(np.float64), -np.inf))
+
+        # Each query first goes down to its leaf of the best bounds, so that its kth score closes inner nodes from the root on.
+        every, home = np.arange(n), np.zeros(n, np.int64)
+        for depth in range(1, len(self.balls)):
+            centres, radii, far = self.balls[depth]
+            pair = 2 * home[:, None] + np.arange(2)
+            two = np.einsum("ij,ikj->ik", floats, centres[pair]) + length[:, None] * radii[pair] + margin(length[:, None], radii[pair] + far[pair])
+            home = pair[every, np.argmax(two, axis=1)]
+        visit(every, home)
+        opened, self.opened = np.ones((n, 1), bool), 0
+        for depth in range(len(self.balls)):
+            if depth:
+                opened = np.repeat(opened, 2, 1)
+            rows, nodes = np.flatnonzero(opened.any(1)), np.flatnonzero(opened.any(0))
+            bound = np.full(opened.shape, -np.inf)
+            bound[np.ix_(rows, nodes)] = bounds(depth, rows, nodes)
+            opened &= bound >= need()[:, None]
+            self.opened += int(opened.sum())
+        opened[every, home] = False  # it has been there
+        bound[~opened] = -np.inf
+        turns, step, at = np.argsort(-bound, axis=1, kind="stable"), 1, 0
+        while at < turns.shape[1]:
+            now = turns[:, at : at + step]
+            reach = np.take_along_axis(bound, now, 1)
+            wanted = (reach >= need()[:, None]) & np.isfinite(reach)
+            if not wanted.any():
+                break
+            row, column = np.nonzero(wanted)
+            visit(row, now[row, column])
             at, step = at + step, 2 * step
         there &= scores >= floor[:, None]
         return there, scores, ids

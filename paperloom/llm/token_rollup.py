@@ -8,7 +8,8 @@ A commit is idempotent: a batch is written under a name of its own and counts fr
 in the ledger; a batch id that is in the ledger already is left as it is, so a retried or
 repeated commit changes nothing.  If two writers commit one id at once, the first entry counts.
 ``compact`` folds committed batches into one (one compaction at a time) and keeps their ids, as rows of a
-table, so that they stay committed; folds count from the moment that the compaction's own entry is in the ledger.
+table, so that they stay committed; folds count from the moment that the compaction's own entry is in the ledger, and
+then the folded batches' files go, so that what is listed grows with what came since.
 No step gathers batches or their ids on the driver.
 
 A null source, lang or version is a group of its own.  A null text counts as empty: one document of
@@ -95,7 +96,7 @@ class Ledger:
     def _enter(self, batch: str, part: str) -> None:
         n = self.entries().agg(F.coalesce(F.max("n"), F.lit(0))).first()[0] + 1
         row = self.spark.createDataFrame([(batch, part, n)], ENTRIES)
-        row.coalesce(1).write.parquet(f"{self.path}/entries/{hashlib.sha256(batch.encode()).hexdigest()[:32]}-{part}")
+        row.coalesce(1).write.parquet(f"{self.path}/{self._entry(batch, part)}")
 
     def commit(self, batch: str, deltas: DataFrame) -> bool:
         """Adds a batch of deltas; False, and nothing done, if its id is committed already."""
@@ -123,15 +124,34 @@ class Ledger:
         return self._sums(self.live()).where("docs <> 0 or tokens <> 0")
 
     def compact(self) -> None:
-        """Folds all committed batches into one; their ids stay committed."""
+        """Folds all committed batches into one; their ids stay committed, and their files go once the fold's entry is in.
+
+        Run it while nobody reads totals that were asked for before: these still name the files.
+        """
         part = uuid.uuid4().hex
         # The folds are written first: what is summed up is what they list, whatever is committed meanwhile.
-        self.live().select("batch").write.parquet(f"{self.path}/folds/part={part}")
-        taken = self.spark.read.schema("batch string").parquet(f"{self.path}/folds/part={part}")
+        live = self.live().select("batch", F.lit(True).alias("now")).union(self.folded().select("batch", F.lit(False).alias("now")))
+        live.write.parquet(f"{self.path}/folds/part={part}")
+        folds = self.spark.read.schema("batch string, now boolean").parquet(f"{self.path}/folds/part={part}")
+        taken = folds.where("now").select("batch")
         if len(taken.head(2)) < 2:
+            self._delete(f"folds/part={part}")
             return
         self._sums(self.entries().join(taken, "batch", "left_semi")).write.parquet(f"{self.path}/deltas/part={part}")
         self._enter(f"compact:{part}", part)
+        gone = self._read("entries", ENTRIES, "/*/").join(folds.select("batch"), "batch", "left_semi").select("batch", "part").distinct()
+        for r in gone.toLocalIterator():  # a task's rows at a time
+            # A fold's own list is in the new one.
+            for old in (f"deltas/part={r['part']}", f"folds/part={r['part']}", self._entry(r["batch"], r["part"])):
+                self._delete(old)
+
+    @staticmethod
+    def _entry(batch: str, part: str) -> str:
+        return f"entries/{hashlib.sha256(batch.encode()).hexdigest()[:32]}-{part}"
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def copies_marked(counts: DataFrame, first: DataFrame, hot: DataFrame) -> DataFrame:

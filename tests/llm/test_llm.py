@@ -610,6 +610,8 @@ def test_op5_prunes():
     there, scores, _ = tree.search(np.full(4, -1), points[:4], np.full(4, -np.inf), 5)
     assert (scores == np.sort(points[:4] @ points.T, axis=1)[:, :-6:-1]).all() and there.all()
     assert 0 < scored[0] < len(tree.spans) / 3
+    # Inner nodes are closed by the kth score of the first leaf, in the first round already.
+    assert tree.opened < 4 * sum(len(radii) for _, radii, _ in tree.balls) / 3
 
 
 # --- pages -------------------------------------------------------------------------------------
@@ -833,6 +835,19 @@ def test_ledger(spark, tmp_path):
         assert not ledger.commit(again, token_rollup.inserts(counts))
     assert ledger.commit("three", token_rollup.revisions(counts.where("doc_id = 1"), counts.where("doc_id = 1").withColumn("tokens", F.lit(6).cast("long"))))
     assert {(r["source"], r["docs"], r["tokens"]) for r in ledger.totals().collect()} == {("a", 1, 6), (None, 1, 0)}
+    # What is listed grows with what came since the last compaction, and ids stay committed through several.
+    listed = lambda: {x: len(list((tmp_path / "ledger" / x).iterdir())) for x in ("deltas", "entries", "folds")}
+    for round_ in range(3):
+        for k in range(3):
+            assert ledger.commit(f"{round_}-{k}", token_rollup.inserts(counts.where("doc_id = 1")))
+        before = listed()
+        ledger.compact()
+        assert listed()["deltas"] == listed()["entries"] == listed()["folds"] == 1 and before["entries"] >= 4
+        assert {(r["source"], r["docs"], r["tokens"]) for r in ledger.totals().collect()} == {("a", 1 + 3 * (round_ + 1), 6 + 15 * (round_ + 1)), (None, 1, 0)}
+    ledger.compact()  # nothing to fold
+    for again in ("one", "two", "none", "three", *(f"{i}-{k}" for i in range(3) for k in range(3))):
+        assert not ledger.commit(again, token_rollup.inserts(counts))
+    assert listed() == {"deltas": 1, "entries": 1, "folds": 1}
 
 
 # --- pipeline ----------------------------------------------------------------------------------
