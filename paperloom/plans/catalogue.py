@@ -1454,3 +1454,57 @@ def image_assessment(spark, d):
     told = rows.withColumn("mean", mean).withColumn("texture", var).withColumns({"std": F.sqrt("texture"), "spread": F.array_max("p") - F.array_min("p"), "halves": images.half_difference(F.col("p"), 8)})
     told = told.withColumns({"longest": F.col("vec_id") * 37 % 900, "sharpness": (F.col("vec_id") * 13 % 701).cast("double")})
     return images.assessed(told).select("vec_id", "image_type", F.array_join("steps", ">").alias("steps"), "tier")
+
+
+def _dialect_sql(column: str) -> str:
+    for a, b in K.DIALECT:
+        column = f"replace({column}, '{a}', '{b}')"
+    return f"trim({column})"
+
+
+@query(rf"""
+    WITH c AS (SELECT id, trim(regexp_replace(t, '\s+', ' ', 'g')) AS cleaned FROM {SAID_SQL}), n AS (SELECT id, cleaned, {_dialect_sql("cleaned")} AS normal FROM c),
+    w AS (SELECT *, list_filter(string_split(normal, ' '), lambda x: x <> '') AS ws FROM n)
+    SELECT id, cleaned AS cleaned_text, normal AS normalized_text,
+        CASE WHEN {any_in("normal", K.URGENT)} THEN 'urgent' WHEN {any_in("normal", [*K.FINANCIAL, *K.MEDICAL, *K.FOOD])} THEN 'request' WHEN {any_in("normal", K.THANKS)} THEN 'grateful' ELSE 'neutral' END AS sentiment,
+        coalesce((SELECT string_agg(k, ',' ORDER BY i) FROM (SELECT trim(u.x, '.,!?') AS k, min(u.i) AS i FROM (SELECT unnest(ws) AS x, unnest(range(len(ws))) AS i) u WHERE length(u.x) > 2 AND NOT list_contains({listed(K.STOP_WORDS)}, u.x) GROUP BY k ORDER BY i LIMIT 5)), '') AS keywords,
+        array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(translate(normal, '{K.ARABIC_DIGITS}{K.PERSIAN_DIGITS}', '{K.ASCII_DIGITS}{K.ASCII_DIGITS}'), '[0-9]+'), lambda x: TRY_CAST(x AS DECIMAL(38,0))))), ',') AS numbers,
+        array_to_string(list_filter({listed(K.LOCATIONS)}, lambda x: contains(normal, x)), ',') AS locations
+    FROM w""")
+def text_insights(spark, d):
+    told = _said(spark, d).select("id", text.insights(F.col("t")).alias("i")).select("id", "i.*")
+    as_text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return told.select("id", "cleaned_text", "normalized_text", "sentiment", *map(as_text, ("keywords", "numbers", "locations")))
+
+
+@query("""
+    SELECT CASE WHEN event_id % 40 > 32 THEN 'val' ELSE 'train' END AS split, printf('%d %.6f %.6f %.6f %.6f', event_id % 19, (event_id % 100) / 100.0::DOUBLE, (event_id % 90) / 90.0::DOUBLE, (event_id % 7) / 8.0::DOUBLE, 0.25::DOUBLE) AS line FROM events""")
+def label_lines(spark, d):
+    """Lines of labels, by split, written and read again."""
+    path, id_ = scratch(spark, "labels"), F.col("event_id")
+    box = F.struct(((id_ % 100) / 100).alias("xc"), ((id_ % 90) / 90).alias("yc"), ((id_ % 7) / 8).alias("w"), F.lit(0.25).alias("h"))
+    rows = table(spark, d, "events").select("event_id", rules.split_name(F.concat(F.lit("BC_"), (id_ % 40).cast("string"))).alias("split"), box.alias("box"))
+    writers.write_lines(rows, rules.yolo_line(id_ % 19, F.col("box")), path, by="split")
+    return spark.read.text(path).select("split", F.col("value").alias("line"))
+
+
+@query(ORACLE["chat_history_fold"])
+def streamed_history(spark, d):
+    """The same histories from a stream whose turns come in three files out of order."""
+    folder, third = scratch(spark, "turns"), F.pmod(F.col("turn") + F.col("conv_id"), F.lit(3))
+    seconds = 1_700_000_000 + 60 * F.col("turn") + F.pmod(F.col("conv_id"), F.lit(50))
+    turns = _turns(spark, d).withColumn("ts", F.timestamp_seconds(seconds))
+    end = spark.createDataFrame([(-1, 0, "", "")], "conv_id long, turn long, question string, answer string").withColumn("ts", F.timestamp_seconds(F.lit(1_800_000_000)))
+    for k in range(3):
+        turns.where(third == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    end.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    before = spark.conf.get(streams.ROCKSDB[0])
+    spark.conf.set(*streams.ROCKSDB)
+    try:
+        stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        streams.run_to_files(streams.ordered_history(stream, late="1 day"), f"{folder}/out", f"{folder}/check")
+    finally:
+        spark.conf.set(streams.ROCKSDB[0], before)
+    told = spark.read.parquet(f"{folder}/out").where("conv_id >= 0")
+    last = told.groupBy("conv_id").agg(F.max_by(F.struct("n_turns", "history"), "n_turns").alias("b"))
+    return last.select("conv_id", F.col("b.n_turns").cast("int").alias("n_turns"), "b.history")
