@@ -37,6 +37,5 @@ def test_oracle(spark, sf_dir, duck, name):
     assert have == want
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
