@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from paperloom.session import with_checkpoints
 
 #: A node of more edges than this is a hub, whose edges stay where they are; there are at most ``HUBS``, which are broadcast.
-HUB, HUBS = 100_000, 50_000
+HUB, HUBS = 1_000_000, 50_000
 
 
-def _star(edges: DataFrame, hub: int) -> DataFrame:
+def _star(edges: DataFrame, hub: int | None) -> DataFrame:
     """Edges (u, v) with every u's smallest neighbour, itself included, as m.
 
     Minima are partial aggregates. They go to the edges by hash, but a hub's is broadcast: its edges, which one key would
-    bring together, aren't moved.
+    bring together, aren't moved. ``hub`` is None where there are too few edges for any.
     """
+    if hub is None:
+        least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        return edges.join(least, edges["u"] == least["k"]).select("u", "v", "m")
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"), "n")
     hubs = least.where(F.col("n") > hub).select(F.col("k").alias("hub"), F.col("m").alias("hub_m"))
     marked = edges.join(F.broadcast(hubs), edges["u"] == hubs["hub"], "left")
@@ -40,7 +43,8 @@ def components(edges: DataFrame, store: Callable[[DataFrame], DataFrame] | None
     edges, last = store(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
     for _ in range(max_rounds):
         # Each edge is counted at both ends, so more than ``HUBS`` nodes can't have so many.
-        least_hub = max(hub, 2 * edges.count() // HUBS)
+        ends = 2 * edges.count()
+        least_hub = max(hub, ends // HUBS) if ends > hub else None
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, least_hub).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = _star(large, least_hub)
