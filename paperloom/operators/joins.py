@@ -406,7 +406,10 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
     entries = catalog.select("row_id", name.alias("text")).groupBy("text").agg(F.min("row_id").alias("row_id"))
     q = queries.select("query_id", F.lower(F.trim("query")).alias("query"))
     asked = q.where("query is not null").select(F.col("query").alias("text")).distinct()
-    shards, blocks = (max(1, -(-x.count() // names_a_task)) for x in (entries, asked))
+    n_asked, cores = asked.count(), queries.sparkSession.sparkContext.defaultParallelism
+    shards, blocks = max(1, -(-entries.count() // names_a_task)), max(1, -(-n_asked // names_a_task))
+    # Few queries are dealt to all cores, if there are some for each.
+    blocks = max(blocks, min(-(-cores // shards), -(-n_asked // 128)))
     of = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     kept = entries.select(of(shards).alias("shard"), every(blocks).alias("block"), "text", F.col("row_id").cast("long").alias("row_id"), F.lit(False).alias("asks"))
@@ -423,7 +426,9 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
         kinds = pa.string(), pa.int64(), pa.float64(), pa.int64()
         return pa.table({c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(("text", "row_id", "score", "scored"), kinds, strict=True))})
 
-    found = kept.union(asking).groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double, scored long")
+    # By number, as the rows are few for what is done to them.
+    met = kept.union(asking).repartition(min(4096, 2 * shards * blocks), "shard", "block")
+    found = met.groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double, scored long")
     good = F.round("score", 6) >= accept
     scored = found.withColumns({"score": F.when(good, F.round("score", 6)), "row_id": F.when(good, F.col("row_id"))})
     first = F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r")))

@@ -11,7 +11,7 @@ from paperloom.functions import arrow_udfs as A
 from paperloom.functions import constants as K
 from paperloom.functions import jsonx, rules, schemas, text
 from paperloom.operators import agents, folds, images, joins, metrics, providers, selection, sweep, windows
-from paperloom.session import scratch, table
+from paperloom.session import scratch, spread, table
 from paperloom.sources import readers, vector_pages, writers
 from paperloom.sources.keyed_store import KeyedStore
 from paperloom.sources.part_log import BatchTable
@@ -611,7 +611,7 @@ def _readings(spark: SparkSession, d: str) -> DataFrame:
     doubled = F.array_join(F.transform(w, lambda x: F.when(known(x), F.concat(x, F.lit(" "), x)).otherwise(x)), " ")
     kind = F.col("doc_id") % 4
     pred = F.when(kind == 0, dropped).when(kind == 1, doubled).when(kind == 2, F.translate(gold, "e", MISREAD)).otherwise(gold)
-    return table(spark, d, "documents").select("lang", pred.alias("pred"), gold.alias("gold"))
+    return spread(table(spark, d, "documents")).select("lang", pred.alias("pred"), gold.alias("gold"))
 
 
 #: A sign that stands in no text.

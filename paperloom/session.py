@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns(zoneless) if zoneless else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if it has fewer splits than these: for rows that cost more than their shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path that no other run uses, in the folder that executors and driver share."""
     folder = with_checkpoints(spark).sparkContext._jsc.sc().getCheckpointDir().get()
