@@ -357,39 +357,143 @@ class NameIndex:
     Words that both have, s letters with the spaces between, are s + 1 pairs of both, so s <= c - 1.  Either way of scoring is bounded
     by c then: 200 L / (a + b), and 200 s / (s + min(a, b)), which is 100 for a subset.  A name below ``accept`` by both is
     no candidate; candidates are scored by falling bound until none can reach the best score.
+
+    Pairs that many names have are counted as a product of matrices, the others by their lists.  Candidates are scored many at a time: the words
+    that both have are the same beginning of both texts, and what is left is compared in the bits of 64-bit words, a letter of all candidates
+    a step.  Queries of more letters than that, and names of more than ``LONG``, are scored one by one.
     """
 
+    LONG, WORDS, OFTEN, BLOCK = 256, 32, 32, 128
+
     def __init__(self, names: Sequence[str], row_ids: Sequence[int]) -> None:
         self.names, self.row_ids = names, row_ids
-        joined = [" ".join(sorted(set(x.split()))) for x in names]
+        split = [sorted(set(x.split())) for x in names]
+        joined = [" ".join(x) for x in split]
         self.sizes = np.array([len(x) for x in joined], np.int64)
         has: dict[tuple[str, int], list[int]] = {}
         for i, x in enumerate(joined):
             for gram in _pair_letters(x) if x else ():
                 has.setdefault(gram, []).append(i)
-        self.has = {gram: np.array(rows, np.int32) for gram, rows in has.items()}
+        often = [gram for gram, rows in has.items() if len(rows) * self.OFTEN > len(names)]
+        self.often = {gram: k for k, gram in enumerate(often)}
+        self.dense = np.zeros((len(often), len(names)), np.float32)
+        for gram, k in self.often.items():
+            self.dense[k, has[gram]] = 1
+        self.has = {gram: np.array(rows, np.int32) for gram, rows in has.items() if gram not in self.often}
+        self.size_kinds, self.size_kind = np.unique(self.sizes, return_inverse=True)
+        self.needs: dict[tuple[int, float], np.ndarray] = {}
+        self._lettered(split)
+
+    def _lettered(self, split: list[list[str]]) -> None:
+        """Tables of names' letters, of which of a name's words each belongs to, and of these words; a space leads each word."""
+        self.plain = np.array([0 < len(w) <= self.WORDS and n < self.LONG for w, n in zip(split, self.sizes.tolist(), strict=True)], bool)
+        width = int(self.sizes[self.plain].max(initial=0)) + 1
+        self.letters, self.words = {}, {}
+        self.letter = np.zeros((len(split), width), np.uint16)
+        self.word = np.zeros((len(split), width), np.uint8)
+        self.own = np.zeros((len(split), self.WORDS), np.int32)
+        self.n_words = np.array([len(x) for x in split], np.int64)
+        for i, found in enumerate(split):
+            if self.plain[i]:
+                numbers = [self.words.setdefault(w, len(self.words) + 1) for w in found]
+                self.own[i, : len(found)] = numbers
+                self.letter[i, : self.sizes[i] + 1] = [self.letters.setdefault(c, min(len(self.letters) + 1, (1 << 16) - 1)) for w in found for c in f" {w}"]
+                self.word[i, : self.sizes[i] + 1] = np.repeat(np.arange(len(found)), [len(w) + 1 for w in found])
+        if len(self.letters) >= 1 << 16:  # more letters than the table tells apart
+            self.plain[:] = False
+
+    @staticmethod
+    def _bound(c: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
+        common, shared = np.minimum((c + a + b - 1) // 3, np.minimum(a, b)), np.minimum(np.maximum(c - 1, 0), np.minimum(a, b))
+        return np.maximum(200.0 * common / (a + b), 200.0 * shared / (shared + np.minimum(a, np.maximum(b, 1))))
+
+    def _needed(self, a: int, accept: float) -> np.ndarray:
+        """How many pairs each name must share with a query of ``a`` letters for its bound to reach ``accept``."""
+        if (a, accept) not in self.needs:
+            c = np.arange(1, a + 2)
+            enough = self._bound(c[:, None], a, self.size_kinds[None, :]) >= accept - 1e-6
+            self.needs[a, accept] = np.where(enough.any(0), enough.argmax(0) + 1, a + 2).astype(np.float32)[self.size_kind]
+        return self.needs[a, accept]
+
+    def _scores(self, query: str, rows: np.ndarray) -> np.ndarray:
+        """``token_set`` of the query with each of the names."""
+        found = sorted(set(query.split()))
+        a = sum(map(len, found)) + len(found) - 1
+        if not 0 < a < 64:
+            return np.array([token_set(query, self.names[i]) for i in rows.tolist()], float)
+        out = np.zeros(len(rows))
+        one_by_one = np.flatnonzero(~self.plain[rows])
+        out[one_by_one] = [token_set(query, self.names[i]) for i in rows[one_by_one].tolist()]
+        at = np.flatnonzero(self.plain[rows])
+        rows = rows[at]
+        # 0 is no letter and no word.
+        where, bits, sizes = np.zeros(len(self.letters) + 1, np.uint64), np.zeros(len(self.words) + 1, np.uint64), np.zeros(len(self.words) + 1, np.int64)
+        place = 0
+        for w in found:
+            number = self.words.get(w, 0)
+            if number:
+                bits[number], sizes[number] = ((1 << len(w) + 1) - 1) << place, len(w) + 1
+            for c in f" {w}":
+                if c in self.letters:
+                    where[self.letters[c]] |= np.uint64(1 << place)
+                place += 1
+        own = self.own[rows]
+        both = sizes[own]
+        known = both > 0
+        shared, n_shared = np.maximum(both.sum(1) - 1, 0), known.sum(1)
+        left = ~np.bitwise_or.reduce(bits[own], axis=1)
+        b = self.sizes[rows]
+        height = int(b.max(initial=-1)) + 1
+        # Letters of shared words meet nothing.
+        open_ = (~known).astype(np.uint64) @ (np.uint64(1) << np.arange(self.WORDS, dtype=np.uint64))
+        here = where.take(np.ascontiguousarray(self.letter[rows, :height].T))
+        here &= np.uint64(0) - (open_ >> np.ascontiguousarray(self.word[rows, :height].T) & np.uint64(1))
+        here &= left
+        row = np.full(len(rows), np.uint64((1 << 64) - 1))
+        for k in range(height):
+            hit = row & here[k]
+            row = row + hit | row - hit
+        full = np.uint64((1 << a + 1) - 1)
+        common = a + 1 - np.bitwise_count(row & full).astype(np.int64)
+        common = np.where(n_shared > 0, shared + common, common - 1)
+        score = np.maximum(200.0 * common / np.maximum(a + b, 1), np.where(n_shared > 0, 200.0 * shared / (shared + np.maximum(np.minimum(a, b), 1)), 0.0))
+        out[at] = np.where((n_shared > 0) & ((n_shared == len(found)) | (n_shared == self.n_words[rows])), 100.0, score)
+        return out
 
     def best(self, query: str, accept: float) -> tuple[list[tuple[int, float]], int]:
         """(row_id, score) of all names whose score may round to the best one, and how many were scored."""
-        mine = " ".join(sorted(set(query.split())))
-        posted = [self.has[gram] for gram in _pair_letters(mine) if gram in self.has] if mine else []
-        if not posted:
-            return [], 0
-        c, a, b = np.bincount(np.concatenate(posted), minlength=len(self.names)), len(mine), self.sizes
-        common, shared = np.minimum((c + a + b - 1) // 3, np.minimum(a, b)), np.minimum(np.maximum(c - 1, 0), np.minimum(a, b))
-        bound = np.maximum(200.0 * common / (a + b), 200.0 * shared / (shared + np.minimum(a, np.maximum(b, 1))))
-        some = np.flatnonzero((bound >= accept - 1e-6) & (c > 0))
-        some = some[np.argsort(-bound[some], kind="stable")]
-        found, least, n = [], accept - 2e-6, 0
-        for i in some.tolist():
-            if bound[i] < least:
-                break
-            x, n = token_set(query, self.names[i]), n + 1
-            if x >= least:
-                # What may round to the same score stays, so that the earlier row wins.
-                found.append((self.row_ids[i], x))
-                least = max(least, x - 2e-6)
-        return [r for r in found if r[1] >= least], n
+        return next(self.bests([query], accept))
+
+    def bests(self, queries: Sequence[str], accept: float) -> Iterator[tuple[list[tuple[int, float]], int]]:
+        """``best`` of each query."""
+        for at in range(0, len(queries), self.BLOCK):
+            block = queries[at : at + self.BLOCK]
+            joined = [" ".join(sorted(set(x.split()))) for x in block]
+            pairs = [_pair_letters(x) if x else [] for x in joined]
+            asks = np.zeros((len(block), len(self.often)), np.float32)
+            for k, own in enumerate(pairs):
+                asks[k, [self.often[gram] for gram in own if gram in self.often]] = 1
+            for query, mine, own, c in zip(block, joined, pairs, asks @ self.dense, strict=True):
+                posted = [self.has[gram] for gram in own if gram in self.has]
+                if posted:
+                    c += np.bincount(np.concatenate(posted), minlength=len(self.names))
+                yield self._best(query, len(mine), c, accept) if mine else ([], 0)
+
+    def _best(self, query: str, a: int, c: np.ndarray, accept: float) -> tuple[list[tuple[int, float]], int]:
+        some = np.flatnonzero(c >= self._needed(a, accept))
+        bound = self._bound(c[some].astype(np.int64), a, self.sizes[some])
+        order = np.argsort(-bound, kind="stable")
+        some, bound = some[order], bound[order]
+        found, scores, least, n, size = [], [], accept - 2e-6, 0, 4
+        while n < len(some) and bound[n] >= least:
+            rows = some[n : n + size][bound[n : n + size] >= least]
+            x = self._scores(query, rows)
+            # What may round to the same score stays, so that the earlier row wins.
+            least = max(least, x.max() - 2e-6)
+            found.append(rows[x >= least])
+            scores.append(x[x >= least])
+            n, size = n + len(rows), min(16 * size, 1024)
+        return [(self.row_ids[i], y) for i, y in zip(np.concatenate(found).tolist(), np.concatenate(scores).tolist(), strict=True) if y >= least] if found else [], n
 
 
 def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75, names_a_task: int = 8192, with_cost: bool = False) -> DataFrame:
@@ -420,9 +524,9 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
         own = np.flatnonzero(~asks).tolist()
         index = NameIndex([texts[i] for i in own], [rows[i] for i in own])
         out = []
-        for i in np.flatnonzero(asks).tolist():
-            found, n = index.best(texts[i], accept)
-            out += [(texts[i], row, x, n if k == 0 else 0) for k, (row, x) in enumerate(found)] or [(texts[i], None, None, n)]
+        asked = [texts[i] for i in np.flatnonzero(asks).tolist()]
+        for query, (found, n) in zip(asked, index.bests(asked, accept), strict=True):
+            out += [(query, row, x, n if k == 0 else 0) for k, (row, x) in enumerate(found)] or [(query, None, None, n)]
         kinds = pa.string(), pa.int64(), pa.float64(), pa.int64()
         return pa.table({c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(("text", "row_id", "score", "scored"), kinds, strict=True))})
 

@@ -170,6 +170,20 @@ def test_name_index_loses_nothing(accept):
     assert scored < 0.2 * 300 * len(names)
 
 
+def test_name_index_scores_many_at_once(monkeypatch):
+    """Candidates are scored in blocks, as ``token_set`` scores them; only long ones are scored one by one."""
+    r = random.Random(3)
+    words = ["".join(r.choices("abcde éب", k=r.randint(1, 9))) for _ in range(60)]
+    names = [" ".join(r.choices(words, k=r.randint(1, 9))) for _ in range(200)] + ["", "  ", "x" * 300, " ".join(f"w{i}" for i in range(40)), "y" * 70]
+    index = joins.NameIndex(names, list(range(len(names))))
+    for query in names[::3] + ["a" * 63, "a" * 64, "b " + "a" * 61, "zz", names[0] + "s"]:
+        assert index._scores(query, np.arange(len(names))).tolist() == [arrow_udfs.token_set(query, n) for n in names]
+    short = [f"http site{i % 7} example org en {i}" for i in range(400)]
+    index = joins.NameIndex(short, list(range(400)))
+    monkeypatch.setattr(joins, "token_set", None)
+    assert [index.best(n.replace("e", "a"), 75)[0][0][0] for n in short[::40]] == list(range(0, 400, 40))
+
+
 def test_catalog_reports_what_it_scored(spark):
     r = random.Random(4)
     names = [(i, " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(3))) for i in range(600)]
