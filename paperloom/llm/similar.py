@@ -6,8 +6,11 @@ nearest one, and whatever else joins them, so a group of n near copies costs n -
 held against the texts' sets of shingles: first each text's nearest pair, then of the rest those that join what is
 not joined yet.  Only pairs of at least ``similarity`` are links, and documents go only if links join them to the one that stays.
 
-A candidate that no anchor shows, or that the forest leaves out while a lighter pair on its way fails, is not
-found: the recall is measured (see the README).  What is found is exact.
+A candidate that no anchor shows, or that the forest leaves out while a lighter pair on its way fails, isn't found so.  Therefore an
+exact step follows (``met_by_prefix``): sets of n and m shingles with a similarity t have one of the first n - ceil(t n) + 1 and
+m - ceil(t m) + 1 in common, in any order that is the same for all sets.  Texts that share one there, aren't joined yet, and whose sizes and the
+shingle's places leave it open, are held against each other too.  So all pairs of the similarity are joined, by a link or by
+a chain of links.  Shingles that many texts have come last in the order, as a sample tells; that decides on the work, not on the links.
 
 Shingles are of 5 words (``simhash.WORDS``, A-Z lower-cased), each counting once; a text of fewer words is one shingle, and blank texts are
 alike.  Sets hold 64-bit hashes.  Repeated and null ids, repeated rows, long texts and empty tables: as in ``simhash``.
@@ -31,6 +34,8 @@ SIMILARITY = 0.8
 #: Words of a fingerprint that go to the anchors, and of their 128 bits those in which candidates differ at most: texts at 0.8
 #: differ in some 20, with a deviation of 4, others in 64.
 SENT, SENT_BITS = 2, 36
+#: One text in ``TOLD_BY`` tells frequent shingles: those that ``FREQUENT`` of them have, ``MOST_FREQUENT`` at most.
+TOLD_BY, FREQUENT, MOST_FREQUENT = 16, 3, 200_000
 
 
 def lightest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -104,31 +109,107 @@ def candidates(nodes: DataFrame, cover: simhash.Cover = simhash.SIMILAR, limit:
     return by_anchor.mapInArrow(lean(run, 1 << 16), "a long, b long, bits int").groupBy("a", "b").agg(F.min("bits").alias("bits"))
 
 
+def shingle_hashes(text: str | None, size: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; none for a blank one."""
+    found = simhash.WORDS.findall(text.translate(simhash.LOWER)) if text else []
+    if not found:
+        return np.zeros(0, np.int64)
+    joined = " ".join(found).encode("utf-8", "surrogatepass")
+    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    n = max(1, len(found) - size + 1)
+    starts = np.concatenate([[0], gaps + 1])[:n].tolist()
+    ends = np.concatenate([gaps, [len(joined)]])[-n:].tolist()
+    of, view = xxhash.xxh64_intdigest, memoryview(joined)
+    return np.unique(np.fromiter([of(view[a:b], simhash.SEED) for a, b in zip(starts, ends, strict=True)], np.uint64, n)).view(np.int64)
+
+
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
+
+
 def shingle_sets(texts: DataFrame, size: int = 5) -> DataFrame:
     """(number, shingles) of numbered texts: sorted distinct hashes of their shingles; none for blank texts."""
 
-    def hashes(text: str | None) -> np.ndarray:
-        found = simhash.WORDS.findall(text.translate(simhash.LOWER)) if text else []
-        if not found:
-            return np.zeros(0, np.int64)
-        joined = " ".join(found).encode("utf-8", "surrogatepass")
-        gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-        n = max(1, len(found) - size + 1)
-        starts = np.concatenate([[0], gaps + 1])[:n].tolist()
-        ends = np.concatenate([gaps, [len(joined)]])[-n:].tolist()
-        of, view = xxhash.xxh64_intdigest, memoryview(joined)
-        return np.unique(np.fromiter([of(view[a:b], simhash.SEED) for a, b in zip(starts, ends, strict=True)], np.uint64, n)).view(np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [hashes(x.as_py()) for x in batch.column("text")]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            values = np.concatenate([np.zeros(0, np.int64), *sets])
-            yield pa.RecordBatch.from_arrays([batch.column("number"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["number", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("number"), _lists([shingle_hashes(x.as_py(), size) for x in batch.column("text")])], ["number", "shingles"])
 
     return texts.select("number", F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "number long, shingles array<long>")
 
 
+def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the most frequent shingles of a sample of (key, text), by rising hash."""
+    some = texts.where(F.pmod(F.xxhash64("key"), F.lit(TOLD_BY)) == 0).select(F.lit(0).cast("long").alias("number"), "text")
+    counts = shingle_sets(some, size).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    most = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toArrow()
+    shingle, n = (most.column(c).to_numpy() for c in ("shingle", "n"))
+    order = np.argsort(shingle)
+    return shingle[order], n[order]
+
+
+def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) of numbered texts of different ``roots`` that may have this similarity, and with them all that have it.
+
+    ``docs``: doc_id, text.  ``nodes``: number, row_key and ``least`` with the doc_id of one row of the text.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), simhash.row_key().alias("key"))
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(texts, size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = shared.value
+        for batch in batches:
+            sets = [shingle_hashes(x.as_py(), size) for x in batch.column("text")]
+            n = np.array([len(x) for x in sets], np.int64)
+            first = []
+            for x in sets:
+                at = np.minimum(np.searchsorted(known, x), max(len(known) - 1, 0))
+                often = np.where(known[at] == x, times[at], 0) if len(known) else np.zeros(len(x), np.int64)
+                # A blank text has 0 in place of a shingle; a set's rounding never shortens its beginning.
+                first.append(x[np.lexsort((x, often))][: len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1] if len(x) else np.zeros(1, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(n), _lists(first)], ["doc_id", "key", "n", "first"])
+
+    begun = texts.mapInArrow(lean(run), "doc_id long, key string, n long, first array<long>")
+    own = nodes.select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
+    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "first")
+    rooted = numbered.join(small_side(roots.withColumnRenamed("node", "of")), F.col("number") == F.col("of"), "left")
+    placed = rooted.select("number", F.coalesce("root", "number").alias("root"), "n", F.posexplode("first").alias("place", "shingle"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 5), np.int64)
+        for batch in batches:
+            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("shingle", "root", "number", "n", "place")], 1)])
+            if len(rows):
+                whole = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))  # the last shingle may go on
+                yield from pairs(rows[:whole])
+                held = rows[whole:]
+        yield from pairs(held)
+
+    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        shingle, root, number, n, place = np.ascontiguousarray(rows.T)
+        # A row meets those of its shingle whose root comes after its own.
+        new = np.concatenate([[True], shingle[1:] != shingle[:-1]])[: len(rows)]
+        other = new | np.concatenate([[True], root[1:] != root[:-1]])[: len(rows)]
+        end = lambda begins: np.append(np.flatnonzero(begins), len(rows))[np.cumsum(begins)]
+        low, high = end(other), end(new)
+        some = np.flatnonzero(high > low)
+        ends, begin = np.cumsum(high[some] - low[some]), 0
+        while begin < len(some):
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + simhash.PAIRS, "right")))
+            pick = some[begin:stop]
+            count = high[pick] - low[pick]
+            x = np.repeat(pick, count)
+            y = np.repeat(low[pick] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            most = np.minimum(place[x], place[y]) + 1 + np.minimum(n[x] - place[x], n[y] - place[y]) - 1
+            may = (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6) & (most >= similarity / (1 + similarity) * (n[x] + n[y]) - 1e-6) & (number[x] != number[y])
+            both = np.unique(np.sort(np.stack([number[x[may]], number[y[may]]], 1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)], ["a", "b"])
+            begin = stop
+
+    by_shingle = placed.repartition("shingle").sortWithinPartitions("shingle", "root", "number")
+    return by_shingle.mapInArrow(lean(meet, 1 << 16), "a long, b long").distinct()
+
+
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of the pairs whose sets have at least this Jaccard similarity; two empty sets are alike."""
     of = lambda side: sets.select(F.col("number").alias(f"of_{side}"), F.col("shingles").alias(side))
@@ -157,23 +238,30 @@ def _rooted(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return out
 
 
+def _sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, cover: simhash.Cover) -> DataFrame:
+    """The shingle sets of the texts in pairs; one row of each text is read, which its id and text tell."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    wanted = nodes.join(small_side(ends), nodes["number"] == ends["end"], "left_semi").select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
+    wanted = stored(wanted, "texts-of-pairs")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", simhash.row_key().alias("key"))
+    rows = rows.join(small_side(wanted), F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "text")
+    return stored(shingle_sets(rows, cover.shingle).dropDuplicates(["number"]), "shingle-sets")
+
+
 def links(docs: DataFrame, nodes: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b) of numbered texts that are alike, joining all that candidates join.
 
     ``nodes``: number, row_key, the fingerprint's words, and ``least`` with the doc_id of one row of the text.
     """
     edges = stored(candidates(nodes, cover), "candidate-pairs")
-    # One row of each text that is in a pair; its id and text tell it.
-    ends = edges.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-    wanted = nodes.join(small_side(ends), nodes["number"] == ends["end"], "left_semi").select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
-    wanted = stored(wanted, "texts-of-pairs")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", simhash.row_key().alias("key"))
-    rows = rows.join(small_side(wanted), F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "text")
-    sets = stored(shingle_sets(rows, cover.shingle).dropDuplicates(["number"]), "shingle-sets")
+    sets = _sets_of(edges, docs, nodes, cover)
     first = stored(alike(_nearest(edges), sets, similarity), "nearest-links")
     rest = _rooted(edges, components(first)).where("root_a <> root_b").select("a", "b")
     rest = rest.join(_nearest(edges), ["a", "b"], "left_anti")
-    return stored(first.union(alike(rest, sets, similarity)), "links")
+    found = stored(first.union(alike(rest, sets, similarity)), "links")
+    # Exactly: whatever else is alike of what isn't joined yet.
+    open_ = stored(met_by_prefix(docs, nodes, components(found), cover.shingle, similarity), "open-pairs")
+    return stored(found.union(alike(open_, _sets_of(open_, docs, nodes, cover), similarity)), "all-links")
 
 
 def surplus(docs: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity: float = SIMILARITY) -> DataFrame:

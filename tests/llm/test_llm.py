@@ -411,6 +411,25 @@ def test_links_are_verified(spark):
     assert root[n] != root[n + 1] and root[n + 3] == root[n + 2] and root[n + 5] == root[n + 4] != root[n + 6]
 
 
+def test_links_do_not_hang_on_candidates(spark, monkeypatch):
+    """Where anchors show nothing, all texts of 0.8 and more are joined still, frequent shingles and blank texts too, and no others."""
+    r = random.Random(4)
+    texts = ["", " ", None, "one two", "One  two", "one three", " ".join(["same"] * 40), " ".join(["same"] * 50)]
+    often = " ".join(f"o{i}" for i in range(60))
+    for k in range(30):
+        words = [f"w{r.randrange(900)}" for _ in range(r.choice([30, 90, 200]))]
+        other = list(words)
+        for at in r.sample(range(len(words)), 1 + k % 8):
+            other[at] = "changed"
+        texts += [" ".join(words), " ".join(other), f"{often} {' '.join(words[: 1 + k])}"]
+    docs, nodes = numbered_texts(spark, texts)
+    monkeypatch.setattr(similar, "candidates", lambda nodes, *_: nodes.select(F.col("number").alias("a"), F.col("number").alias("b"), F.lit(0).alias("bits")).limit(0))
+    monkeypatch.setattr(similar, "TOLD_BY", 1)
+    links = {(x["a"], x["b"]) for x in similar.links(docs, nodes).collect()}
+    numbers = sorted(x["number"] for x in nodes.collect())
+    assert links == {(a, b) for a in numbers for b in numbers if a < b and jaccard(texts[a] or "", texts[b] or "") >= 0.8} and len(links) > 40
+
+
 def test_texts_alike_by_less_stay(spark, sf_dir):
     """Documents of a similarity from 0.6 to 0.79 all stay; of one from 0.9 one goes."""
     r = random.Random(5)
