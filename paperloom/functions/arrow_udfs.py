@@ -88,15 +88,23 @@ def edits(a: Sequence[str], b: Sequence[str]) -> int:
     return score
 
 
-@F.pandas_udf(T.IntegerType())
-def list_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else edits(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype="Int32")
+def _distances(a: pa.Array, b: pa.Array, read) -> pa.Array:
+    """A row at a time becomes Python objects: a batch of whole texts, or of their words, would be many times its size."""
+    found = []
+    for x, y in zip(a, b, strict=True):
+        found.append(None if not (x.is_valid and y.is_valid) else 0 if x.equals(y) else edits(read(x), read(y)))
+    return pa.array(found, pa.int32())
 
 
-@F.pandas_udf(T.IntegerType())
-def text_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.arrow_udf(T.IntegerType())
+def list_distance(a: pa.Array, b: pa.Array) -> pa.Array:
+    return _distances(a, b, lambda x: x.values.to_numpy(zero_copy_only=False).tolist())
+
+
+@F.arrow_udf(T.IntegerType())
+def text_distance(a: pa.Array, b: pa.Array) -> pa.Array:
     """Edit distance over characters, for texts of any length."""
-    return pd.Series([None if x is None or y is None else 0 if x == y else edits(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
+    return _distances(a, b, lambda x: x.as_py())
 
 
 class Literal(str):

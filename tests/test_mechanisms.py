@@ -170,6 +170,22 @@ def test_name_index_loses_nothing(accept):
     assert scored < 0.2 * 300 * len(names)
 
 
+def test_distances_take_a_row_at_a_time(spark):
+    """Whole texts and their words stay Arrow arrays but for the row that is compared."""
+    import pyarrow as pa
+
+    held = []
+
+    def read(x):
+        held.append(x)
+        return x.as_py()
+
+    assert arrow_udfs._distances(pa.array(["abc", None, "", "same"]), pa.array(["abd", "x", "xy", "same"]), read).to_pylist() == [1, None, 2, 0]
+    assert len(held) == 4  # what is null or equal is never read
+    rows = spark.createDataFrame([(["a", "b"], ["b"]), ([], ["a", None]), (None, ["a"])], "a array<string>, b array<string>")
+    assert [x[0] for x in rows.coalesce(1).select(arrow_udfs.list_distance("a", "b")).collect()] == [1, 2, None]
+
+
 def test_name_index_scores_many_at_once(monkeypatch):
     """Candidates are scored in blocks, as ``token_set`` scores them; only long ones are scored one by one."""
     r = random.Random(3)
