@@ -60,9 +60,27 @@ def word_distance(a: Column, b: Column) -> Column:
 
 def error_rates(rows: DataFrame, by: Sequence[str], pred: str = "pred", gold: str = "gold") -> DataFrame:
     """Micro character and word error rates, and exact matches; groups without characters are left out (AGG5, AGG7)."""
+    return rated(error_counts(rows, by, pred, gold))
+
+
+def error_counts(rows: DataFrame, by: Sequence[str], pred: str = "pred", gold: str = "gold") -> DataFrame:
+    """Edits, sizes and exact matches of each group: sums, which sum up to those of coarser groups (``added``)."""
     p, g = F.coalesce(F.col(pred), F.lit("")), F.coalesce(F.col(gold), F.lit(""))
     each = rows.select(*by, text_distance(p, g).alias("ce"), F.length(g).alias("cn"), word_distance(p, g).alias("we"), F.size(words(g)).alias("wn"), (p == g).cast("int").alias("same"))
-    out = each.groupBy(*by).agg(F.count("*").alias("samples"), F.sum("ce").alias("char_edits"), F.sum("cn").alias("chars"), F.sum("we").alias("word_edits"), F.sum("wn").alias("words"), F.sum("same").alias("exact")).where("chars > 0")
+    return each.groupBy(*by).agg(F.count("*").alias("samples"), F.sum("ce").alias("char_edits"), F.sum("cn").alias("chars"), F.sum("we").alias("word_edits"), F.sum("wn").alias("words"), F.sum("same").alias("exact"))
+
+
+COUNTS = ("samples", "char_edits", "chars", "word_edits", "words", "exact")
+
+
+def added(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts of groups summed up by fewer columns."""
+    return counts.groupBy(*by).agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
+def rated(counts: DataFrame) -> DataFrame:
+    """Counts with their rates; groups without characters are left out."""
+    out = counts.where("chars > 0")
     return out.withColumn("cer", ratio(F.col("char_edits"), F.col("chars"))).withColumn("wer", ratio(F.col("word_edits"), F.col("words"))).withColumn("exact_match", ratio(F.col("exact"), F.col("samples")))
 
 

@@ -769,9 +769,10 @@ def seed_boxes_split(spark, d):
 
 @query(READINGS + ", u AS (SELECT lang AS split, * FROM r UNION ALL SELECT 'all', * FROM r) SELECT split, count(*) AS samples, round(count(*) FILTER (same) / count(*), 6) AS exact_match, round(sum(ce) / sum(cn), 6) AS cer FROM u GROUP BY split HAVING sum(cn) > 0")
 def splits_union_metrics(spark, d):
-    r = _readings(spark, d)
-    both = r.withColumn("split", F.col("lang")).unionByName(r.withColumn("split", F.lit("all")))
-    return metrics.error_rates(both, ["split"]).select("split", "samples", "exact_match", "cer")
+    # Each reading is compared once: groups of both kinds are sums of those by language.
+    counts = metrics.error_counts(_readings(spark, d), ["lang"])
+    both = counts.withColumn("splits", F.explode(F.array("lang", F.lit("all"))))
+    return metrics.rated(metrics.added(both, ["splits"])).select(F.col("splits").alias("split"), "samples", "exact_match", "cer")
 
 
 @query("SELECT count(*) AS embeddings, count(DISTINCT label) AS users, count(DISTINCT vec_id) AS images, true AS available FROM embeddings")

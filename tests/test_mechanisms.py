@@ -186,6 +186,13 @@ def test_distances_take_a_row_at_a_time(spark):
     assert [x[0] for x in rows.coalesce(1).select(arrow_udfs.list_distance("a", "b")).collect()] == [1, 2, None]
 
 
+def test_splits_compare_each_reading_once(spark, sf_dir):
+    from paperloom.plans.catalogue import QUERIES
+
+    plan = QUERIES["splits_union_metrics"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("EvalPython") == 1
+
+
 def test_name_index_scores_many_at_once(monkeypatch):
     """Candidates are scored in blocks, as ``token_set`` scores them; only long ones are scored one by one."""
     r = random.Random(3)
