@@ -12,6 +12,10 @@ m - ceil(t m) + 1 in common, in any order that is the same for all sets.  Texts
 shingle's places leave it open, are held against each other too.  So all pairs of the similarity are joined, by a link or by
 a chain of links.  Shingles that many texts have come last in the order, as a sample tells; that decides on the work, not on the links.
 
+Sets are much larger than pairs, and a pair needs two of them in one place.  So a set also has a mark of about a bit for each shingle, the
+parities of how many of its hashes end alike.  Marks differ in no more bits than sets in shingles: what differs in too many has no
+such similarity, and only the pairs that are left are held against each other's sets.
+
 Shingles are of 5 words (``simhash.WORDS``, A-Z lower-cased), each counting once; a text of fewer words is one shingle, and blank texts are
 alike.  Sets hold 64-bit hashes.  Repeated and null ids, repeated rows, long texts and empty tables: as in ``simhash``.
 """
@@ -128,14 +132,45 @@ def _lists(sets: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
 
 
+def mark(shingles: np.ndarray) -> bytes:
+    """The parities of a set's hashes by their last bits, at least one for each of the set's shingles and 64 in all."""
+    width = 1 << max(6, int(len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount(shingles & (width - 1), minlength=width) & 1, bitorder="little").tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """In how many bits two marks differ, the longer one folded to the other's length: never more than their sets differ in shingles."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
+def may_be_alike(pairs: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of the pairs whose marks (number, n, mark) leave this similarity open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            off = np.array([apart(x, y) for x, y in zip(batch.column("mark_a").to_pylist(), batch.column("mark_b").to_pylist(), strict=True)], np.int64)
+            keep = off <= (1 - similarity) / (1 + similarity) * n + 1e-6
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[keep]) for c in "ab"], ["a", "b"])
+
+    both = pairs.select("a", "b")
+    for side in "ab":
+        own = marks.select(F.col("number").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"), F.col("mark").alias(f"mark_{side}"))
+        both = both.join(own, F.col(side) == F.col(f"of_{side}")).drop(f"of_{side}")
+    return both.mapInArrow(lean(run, 4096), "a long, b long")
+
+
 def shingle_sets(texts: DataFrame, size: int = 5) -> DataFrame:
-    """(number, shingles) of numbered texts: sorted distinct hashes of their shingles; none for blank texts."""
+    """(number, n, mark, shingles) of numbered texts: sorted distinct hashes of their shingles, n of them; none for blank texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("number"), _lists([shingle_hashes(x.as_py(), size) for x in batch.column("text")])], ["number", "shingles"])
+            sets = [shingle_hashes(x.as_py(), size) for x in batch.column("text")]
+            n = pa.array([len(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("number"), n, pa.array([mark(x) for x in sets], pa.binary()), _lists(sets)], ["number", "n", "mark", "shingles"])
 
-    return texts.select("number", F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "number long, shingles array<long>")
+    return texts.select("number", F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "number long, n long, mark binary, shingles array<long>")
 
 
 def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,11 +202,13 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
                 often = np.where(known[at] == x, times[at], 0) if len(known) else np.zeros(len(x), np.int64)
                 # A blank text has 0 in place of a shingle; a set's rounding never shortens its beginning.
                 first.append(x[np.lexsort((x, often))][: len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1] if len(x) else np.zeros(1, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(n), _lists(first)], ["doc_id", "key", "n", "first"])
+            columns = [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array([mark(x) for x in sets], pa.binary()), _lists(first)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "mark", "first"])
 
-    begun = texts.mapInArrow(lean(run), "doc_id long, key string, n long, first array<long>")
+    begun = texts.mapInArrow(lean(run), "doc_id long, key string, n long, mark binary, first array<long>")
     own = nodes.select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
-    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "first")
+    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "mark", "first")
+    numbered = stored(numbered, "begun-sets")
     rooted = numbered.join(small_side(roots.withColumnRenamed("node", "of")), F.col("number") == F.col("of"), "left")
     placed = rooted.select("number", F.coalesce("root", "number").alias("root"), "n", F.posexplode("first").alias("place", "shingle"))
 
@@ -207,13 +244,15 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
             begin = stop
 
     by_shingle = placed.repartition("shingle").sortWithinPartitions("shingle", "root", "number")
-    return by_shingle.mapInArrow(lean(meet, 1 << 16), "a long, b long").distinct()
+    met = by_shingle.mapInArrow(lean(meet, 1 << 16), "a long, b long").distinct()
+    # Rows that are repeated have one mark.
+    return may_be_alike(met, numbered.select("number", "n", "mark").dropDuplicates(["number"]), similarity)
 
 
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of the pairs whose sets have at least this Jaccard similarity; two empty sets are alike."""
     of = lambda side: sets.select(F.col("number").alias(f"of_{side}"), F.col("shingles").alias(side))
-    first = pairs.select(F.col("a").alias("pa"), F.col("b").alias("pb")).join(of("x"), F.col("pa") == F.col("of_x"))
+    first = may_be_alike(pairs, sets, similarity).select(F.col("a").alias("pa"), F.col("b").alias("pb")).join(of("x"), F.col("pa") == F.col("of_x"))
     both = first.join(of("y"), F.col("pb") == F.col("of_y"))
     n, m = F.size("x"), F.size("y")
     common = F.size(F.array_intersect("x", "y"))

@@ -919,3 +919,19 @@ def test_pipeline_keeps_one_row_of_each_component(spark, sf_dir):
         ids = [given[n][0] for n in group if given[n][0] is not None]
         assert len(stay) == 1 and given[stay[0]][0] == min(ids, default=None)
     assert len(kept) == len(groups)
+
+
+def test_few_open_pairs_meet_with_their_sets(spark):
+    """Marks differ in no more bits than sets do; texts that only share a beginning of their shingles aren't held against each other."""
+    r = np.random.default_rng(5)
+    for n, m, common in [(0, 0, 0), (0, 3, 0), (1, 1, 1), (64, 65, 60), (90, 130, 80), (500, 520, 500), (3000, 5000, 2500)]:
+        both = r.integers(-(1 << 63), (1 << 63) - 1, n + m - common)
+        x, y = np.sort(both[:n]), np.sort(both[n - common :])
+        assert similar.apart(similar.mark(x), similar.mark(y)) == similar.apart(similar.mark(y), similar.mark(x)) <= len(np.setxor1d(x, y))
+        assert 8 * len(similar.mark(x)) >= n
+    shared = " ".join(f"s{i}" for i in range(60))
+    texts = [f"{shared} {' '.join(f'w{k}x{i}' for i in range(60))}" for k in range(24)]
+    texts += [f"{texts[0]} more", f"{texts[1]} more"]
+    docs, nodes = numbered_texts(spark, texts)
+    roots = spark.createDataFrame([], "node long, root long")
+    assert {(x["a"], x["b"]) for x in similar.met_by_prefix(docs, nodes, roots).collect()} == {(0, 24), (1, 25)}
