@@ -16,6 +16,8 @@ from paperloom.session import with_checkpoints
 
 #: A side of at most so many narrow rows may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
+#: Scores that a top-k task holds at once.
+SCORES = 1 << 20
 #: Centres that vectors are dealt by, at most.
 CENTRES = 4096
 
@@ -191,8 +193,9 @@ def top_k_similar(queries: DataFrame, store: DataFrame | Centres, k: int, thresh
         asks, ids, vectors = table["asks"].to_numpy(), table["vec_id"].to_numpy(), _matrix(table["embedding"])
         points, own = vectors[~asks], ids[~asks]
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for at in range(0, int(asks.sum()) if len(own) else 0, 512):
-            q, q_ids = vectors[asks][at : at + 512], ids[asks][at : at + 512]
+        asked, asked_ids, rows = vectors[asks], ids[asks], max(1, min(512, SCORES // max(len(own), 1)))
+        for at in range(0, len(asked) if len(own) else 0, rows):
+            q, q_ids = asked[at : at + rows], asked_ids[at : at + rows]
             s = np.round(q @ points.T, 6)
             if same_ids:
                 s[q_ids[:, None] == own[None, :]] = -np.inf

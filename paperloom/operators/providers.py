@@ -1,21 +1,27 @@
 """Model providers: what a model does is an interface, with deterministic stand-ins that need no model.
 
-A provider is called once for each Arrow batch; its object is built once for each worker process.
+A provider is called once for each ``ROWS`` rows of an Arrow batch at most; its object is built once for each worker process, which gives its
+free memory back after a task, as workers are kept for later ones.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions import constants as K
 
+#: Rows that a provider gets at once.
+ROWS = 1000
 Batch = Callable[[pd.DataFrame], pd.Series]
 _registry: dict[str, tuple[Callable[[], Batch], str]] = {}
 _built: dict[str, Batch] = {}
@@ -31,6 +37,16 @@ def register(name: str, returns: str):
     return wrap
 
 
+def released() -> None:
+    """Gives free memory of this process back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not with this C library
+        pass
+
+
 def call(df: DataFrame, name: str, inputs: list[str], output: str, retry_if: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
     """``df`` with a provider's answers as a column; a batch's answers that ``retry_if`` marks are asked for once more (UDF1 to UDF8, FLT12)."""
     factory, returns = _registry[name]
@@ -39,11 +55,16 @@ def call(df: DataFrame, name: str, inputs: list[str], output: str, retry_if: Cal
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         if name not in _built:
             _built[name] = factory()
-        for batch in batches:
-            answer = _built[name](batch)
-            if retry_if is not None and (again := retry_if(answer)).any():
-                answer = answer.where(~again, _built[name](batch))
-            yield answer
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), ROWS):
+                    part = batch.iloc[at : at + ROWS].reset_index(drop=True)
+                    answer = _built[name](part)
+                    if retry_if is not None and (again := retry_if(answer)).any():
+                        answer = answer.where(~again, _built[name](part))
+                    yield answer
+        finally:
+            released()
 
     return df.withColumn(output, run(F.struct(*(F.col(c) for c in inputs))))
 

@@ -504,3 +504,14 @@ def test_a_hub_stays_in_many_tasks(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert sum(x["count"] for x in rows[1000]) == 40_000 and max(x["count"] for x in rows[1000]) <= 5_000 and len(rows[None]) == 1
+
+
+def test_providers_get_bounded_slices(spark):
+    """However many rows an Arrow batch has, a provider gets at most ``ROWS`` of them, and every row has its answer."""
+    @providers.register("sizes_of_slices", "long")
+    def sizes():
+        return lambda b: b.iloc[:, 0] * 10_000 + len(b)
+
+    got = providers.call(spark.range(0, 2500, 1, 1), "sizes_of_slices", ["id"], "size").collect()
+    assert [r["size"] // 10_000 for r in got] == list(range(2500))
+    assert max(r["size"] % 10_000 for r in got) <= providers.ROWS
