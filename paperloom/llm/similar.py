@@ -3,10 +3,11 @@
 Nodes are the distinct texts.  Those that meet at an anchor of ``simhash.SIMILAR`` and differ in at most ``SENT_BITS``
 bits of the part of their fingerprints that goes there are candidates.  A task passes on, of the candidates of an anchor, a lightest spanning forest by differing bits: each text with its
 nearest one, and whatever else joins them, so a group of n near copies costs n - 1 pairs and not their square.  Each of these pairs is then
-held against the texts' sets of shingles: first each text's nearest pair, then of the rest those that join what is
-not joined yet.  Only pairs of at least ``similarity`` are links, and documents go only if links join them to the one that stays.
+held against the texts' sets of shingles: first each text's nearest pair, then of those that join what is
+not joined yet each text's ``NEXT`` nearest, as all anchors together show many pairs of a large group.  Only pairs of at least
+``similarity`` are links, and documents go only if links join them to the one that stays.
 
-A candidate that no anchor shows, or that the forest leaves out while a lighter pair on its way fails, isn't found so.  Therefore an
+A candidate that no anchor shows, or that is left out while a lighter pair on its way fails, isn't found so.  Therefore an
 exact step follows (``met_by_prefix``): sets of n and m shingles with a similarity t have one of the first n - ceil(t n) + 1 and
 m - ceil(t m) + 1 in common, in any order that is the same for all sets.  Texts that share one there, aren't joined yet, and whose sizes and the
 shingle's places leave it open, are held against each other too.  So all pairs of the similarity are joined, by a link or by
@@ -14,7 +15,8 @@ a chain of links.  Shingles that many texts have come last in the order, as a sa
 
 Sets are much larger than pairs, and a pair needs two of them in one place.  So a set also has a mark of about a bit for each shingle, the
 parities of how many of its hashes end alike.  Marks differ in no more bits than sets in shingles: what differs in too many has no
-such similarity, and only the pairs that are left are held against each other's sets.
+such similarity, and only the pairs that are left are held against each other's sets.  Marks folded to 64 bits are there where texts
+meet, and rule out most pairs of short texts before they are passed on.
 
 Shingles are of 5 words (``simhash.WORDS``, A-Z lower-cased), each counting once; a text of fewer words is one shingle, and blank texts are
 alike.  Sets hold 64-bit hashes.  Repeated and null ids, repeated rows, long texts and empty tables: as in ``simhash``.
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm import simhash
@@ -38,6 +40,8 @@ SIMILARITY = 0.8
 #: Words of a fingerprint that go to the anchors, and of their 128 bits those in which candidates differ at most: texts at 0.8
 #: differ in some 20, with a deviation of 4, others in 64.
 SENT, SENT_BITS = 2, 36
+#: Pairs of each text that are held against their sets after its nearest one.
+NEXT = 4
 #: One text in ``TOLD_BY`` tells frequent shingles: those that ``FREQUENT`` of them have, ``MOST_FREQUENT`` at most.
 TOLD_BY, FREQUENT, MOST_FREQUENT = 16, 3, 200_000
 
@@ -138,6 +142,11 @@ def mark(shingles: np.ndarray) -> bytes:
     return np.packbits(np.bincount(shingles & (width - 1), minlength=width) & 1, bitorder="little").tobytes()
 
 
+def folded(x: bytes) -> int:
+    """A mark folded to 64 bits, as a signed long."""
+    return int(np.bitwise_xor.reduce(np.frombuffer(x, np.int64)))
+
+
 def apart(x: bytes, y: bytes) -> int:
     """In how many bits two marks differ, the longer one folded to the other's length: never more than their sets differ in shingles."""
     a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
@@ -202,20 +211,21 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
                 often = np.where(known[at] == x, times[at], 0) if len(known) else np.zeros(len(x), np.int64)
                 # A blank text has 0 in place of a shingle; a set's rounding never shortens its beginning.
                 first.append(x[np.lexsort((x, often))][: len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1] if len(x) else np.zeros(1, np.int64))
-            columns = [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array([mark(x) for x in sets], pa.binary()), _lists(first)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "mark", "first"])
+            marks = [mark(x) for x in sets]
+            columns = [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(marks, pa.binary()), pa.array([folded(x) for x in marks], pa.int64()), _lists(first)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "mark", "folded", "first"])
 
-    begun = texts.mapInArrow(lean(run), "doc_id long, key string, n long, mark binary, first array<long>")
+    begun = texts.mapInArrow(lean(run), "doc_id long, key string, n long, mark binary, folded long, first array<long>")
     own = nodes.select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
-    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "mark", "first")
+    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "mark", "folded", "first")
     numbered = stored(numbered, "begun-sets")
     rooted = numbered.join(small_side(roots.withColumnRenamed("node", "of")), F.col("number") == F.col("of"), "left")
-    placed = rooted.select("number", F.coalesce("root", "number").alias("root"), "n", F.posexplode("first").alias("place", "shingle"))
+    placed = rooted.select("number", F.coalesce("root", "number").alias("root"), "n", "folded", F.posexplode("first").alias("place", "shingle"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 5), np.int64)
+        held = np.zeros((0, 6), np.int64)
         for batch in batches:
-            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("shingle", "root", "number", "n", "place")], 1)])
+            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("shingle", "root", "number", "n", "place", "folded")], 1)])
             if len(rows):
                 whole = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))  # the last shingle may go on
                 yield from pairs(rows[:whole])
@@ -223,7 +233,7 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
         yield from pairs(held)
 
     def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        shingle, root, number, n, place = np.ascontiguousarray(rows.T)
+        shingle, root, number, n, place, short = np.ascontiguousarray(rows.T)
         # A row meets those of its shingle whose root comes after its own.
         new = np.concatenate([[True], shingle[1:] != shingle[:-1]])[: len(rows)]
         other = new | np.concatenate([[True], root[1:] != root[:-1]])[: len(rows)]
@@ -239,6 +249,7 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
             y = np.repeat(low[pick] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
             most = np.minimum(place[x], place[y]) + 1 + np.minimum(n[x] - place[x], n[y] - place[y]) - 1
             may = (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6) & (most >= similarity / (1 + similarity) * (n[x] + n[y]) - 1e-6) & (number[x] != number[y])
+            may &= np.bitwise_count((short[x] ^ short[y]).view(np.uint64)) <= (1 - similarity) / (1 + similarity) * (n[x] + n[y]) + 1e-6
             both = np.unique(np.sort(np.stack([number[x[may]], number[y[may]]], 1), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)], ["a", "b"])
             begin = stop
@@ -268,6 +279,13 @@ def _nearest(edges: DataFrame) -> DataFrame:
     return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+def _next(edges: DataFrame) -> DataFrame:
+    """(a, b) of the edges that are among the ``NEXT`` lightest of one of their ends."""
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "bits")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("bits", "a", "b"))
+    return ends.select("a", "b", place.alias("place")).where(F.col("place") <= NEXT).select("a", "b").distinct()
+
+
 def _rooted(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges with the roots of their ends, a node of no component being its own."""
     out = edges
@@ -287,20 +305,40 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, cover: simhash
     return stored(shingle_sets(rows, cover.shingle).dropDuplicates(["number"]), "shingle-sets")
 
 
-def links(docs: DataFrame, nodes: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) of numbered texts that are alike, joining all that candidates join.
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further links, of which only the pairs of different roots go through the rounds of components."""
+    ends = _rooted(more, roots).where("root_a <> root_b")
+    ends = stored(ends.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct(), "links-of-roots")
+    if not ends.head(1):
+        return roots
+    up = stored(components(ends), "roots-of-roots").select(F.col("node").alias("of"), F.col("root").alias("least"))
+    moved = roots.join(small_side(up), F.col("root") == F.col("of"), "left").select("node", F.coalesce("least", "root").alias("root"))
+    new = up.join(roots, up["of"] == roots["node"], "left_anti").select(F.col("of").alias("node"), F.col("least").alias("root"))
+    return stored(moved.union(new), "roots")
+
+
+def joined(docs: DataFrame, nodes: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of numbered texts that are alike, joining all that are, and (node, root) of what they join.
 
     ``nodes``: number, row_key, the fingerprint's words, and ``least`` with the doc_id of one row of the text.
     """
     edges = stored(candidates(nodes, cover), "candidate-pairs")
     sets = _sets_of(edges, docs, nodes, cover)
     first = stored(alike(_nearest(edges), sets, similarity), "nearest-links")
-    rest = _rooted(edges, components(first)).where("root_a <> root_b").select("a", "b")
-    rest = rest.join(_nearest(edges), ["a", "b"], "left_anti")
-    found = stored(first.union(alike(rest, sets, similarity)), "links")
+    roots = stored(components(first), "roots-of-nearest")
+    rest = _rooted(edges, roots).where("root_a <> root_b").select("a", "b", "bits")
+    rest = _next(rest.join(_nearest(edges), ["a", "b"], "left_anti"))
+    more = stored(alike(rest, sets, similarity), "next-links")
+    roots = _joined(roots, more)
     # Exactly: whatever else is alike of what isn't joined yet.
-    open_ = stored(met_by_prefix(docs, nodes, components(found), cover.shingle, similarity), "open-pairs")
-    return stored(found.union(alike(open_, _sets_of(open_, docs, nodes, cover), similarity)), "all-links")
+    open_ = stored(met_by_prefix(docs, nodes, roots, cover.shingle, similarity), "open-pairs")
+    last = stored(alike(open_, _sets_of(open_, docs, nodes, cover), similarity), "open-links")
+    return first.union(more).union(last), _joined(roots, last)
+
+
+def links(docs: DataFrame, nodes: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity: float = SIMILARITY) -> DataFrame:
+    """The links of ``joined``."""
+    return joined(docs, nodes, cover, similarity)[0]
 
 
 def surplus(docs: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity: float = SIMILARITY) -> DataFrame:
@@ -313,7 +351,7 @@ def surplus(docs: DataFrame, cover: simhash.Cover = simhash.SIMILAR, similarity:
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
     texts = same.groupBy(*cover.names, "row_key").agg(F.min(row).alias("least"), F.sum("rows").alias("rows"))
     nodes = stored(texts.withColumn("number", F.monotonically_increasing_id()), "distinct-texts")
-    roots = stored(components(links(docs, nodes, cover, similarity)), "roots")
+    roots = joined(docs, nodes, cover, similarity)[1]
     rooted = nodes.join(small_side(roots), nodes["number"] == roots["node"], "left").select("row_key", "least", "rows", F.coalesce("root", "number").alias("root"), F.col("root").isNotNull().alias("linked"))
     # Texts of one row without links stay as they are.
     told = stored(rooted.where("linked or rows > 1"), "texts-of-groups")

@@ -430,6 +430,21 @@ def test_links_do_not_hang_on_candidates(spark, monkeypatch):
     assert links == {(a, b) for a in numbers for b in numbers if a < b and jaccard(texts[a] or "", texts[b] or "") >= 0.8} and len(links) > 40
 
 
+def test_links_grow_with_a_group_not_its_square(spark, monkeypatch):
+    """Where all pairs of a group are candidates and alike, a few links for each text join it whole; a text that is alike to few is joined too."""
+    r = random.Random(9)
+    base = [f"w{r.randrange(5000)}" for _ in range(200)]
+    texts = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in range(160)]
+    texts += [" ".join(f"v{r.randrange(5000)}" for _ in range(200)) for _ in range(3)]
+    docs, nodes = numbered_texts(spark, texts)
+    pair = nodes.select(F.col("number").alias("a")).crossJoin(nodes.select(F.col("number").alias("b"))).where("a < b")
+    monkeypatch.setattr(similar, "candidates", lambda nodes, *_: pair.withColumn("bits", F.pmod(F.xxhash64("a", "b"), F.lit(40)).cast("int")))
+    links, roots = similar.joined(docs, nodes)
+    assert links.count() <= (similar.NEXT + 1) * len(texts)
+    assert all(jaccard(texts[x["a"]], texts[x["b"]]) >= 0.8 for x in links.collect())
+    assert {x["node"]: x["root"] for x in roots.collect()} == dict.fromkeys(range(160), 0)
+
+
 def test_texts_alike_by_less_stay(spark, sf_dir):
     """Documents of a similarity from 0.6 to 0.79 all stay; of one from 0.9 one goes."""
     r = random.Random(5)
