@@ -7,8 +7,8 @@ calibrated to a probability of rejection.
 
 A model counts each character after contexts of up to ``ORDER`` characters, from a mark at the URL's begin to one at its end.
 Its probability is interpolated (Witten and Bell): p(c | context) = (n(context c) + w p(c | shorter context)) / (n(context) + w), where w
-is the number of different characters after the context.  A gram is kept if it was seen ``MIN_SEEN`` times and is at least
-one in ``SHARE`` of its model's characters; counts of others go to w.  An unknown context leaves the shorter one's
+is the number of different characters after the context.  A gram is kept if it is at least one in ``SHARE`` of its model's
+characters, whatever their number, so tables of the same shares keep the same grams; counts of others go to w.  An unknown context leaves the shorter one's
 probability, so the order varies with what was seen.
 
 All URLs are counted: tasks count their batches, partial sums are shuffled by gram.  A model in a task has at most ``SHARE``
@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import lean, stored
 
-ORDER, MIN_SEEN, SHARE = 5, 2, 60_000
+ORDER, SHARE = 5, 60_000
+#: What is counted was seen so often at least: no gram goes for its count alone.
+MIN_SEEN = 1
 #: Characters that an unseen one is taken to be drawn from; bins of scores to one unit, and the largest score of a bin.
 ALPHABET, BINS, WIDEST = 256, 256, 8
 #: Rejected from this probability on.
@@ -191,7 +193,7 @@ def models(counts: DataFrame) -> dict[tuple[int, int], Model]:
     contexts = every.groupBy("without", "kind", "k", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     sizes = counts.where("k = 0").groupBy("kind", "part").agg(F.sum("n").alias("n")).collect()
     of = {(w, kind): sum(r["n"] for r in sizes if r["kind"] == kind and r["part"] != w) for w in range(3) for kind in range(2)}
-    least = F.create_map(*(F.lit(x) for (w, kind), n in of.items() for x in (w * 2 + kind, max(MIN_SEEN, -(-n // SHARE)))))
+    least = F.create_map(*(F.lit(x) for (w, kind), n in of.items() for x in (w * 2 + kind, -(-n // SHARE))))
     kept = every.where(F.col("n") >= least[F.col("without") * 2 + F.col("kind")])
     rows = kept.join(contexts, ["without", "kind", "k", "context"]).select("without", "kind", "gram", "context", "n", "total", "kinds").toArrow()
     column = {c: rows.column(c).to_numpy() for c in rows.column_names}

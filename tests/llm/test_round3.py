@@ -220,6 +220,20 @@ def test_url_models_equal_dictionaries(spark):
     assert np.allclose(ratios, want)
 
 
+def test_url_models_hang_on_shares_not_on_size(spark, monkeypatch):
+    """Counts a thousand times as large keep the same grams, those seen once in the small table too, and so do shares at the limit."""
+    r = random.Random(3)
+    urls = sorted({(f"{r.choice(['casino', 'garden'])}{r.randint(0, 99)}.example/{r.randint(0, 999)}", k % 2, k // 2 % 2) for k in range(80)})
+    small = url_filter.gram_counts(spark.createDataFrame(urls, "shown string, kind int, part int")).cache()
+    large = small.withColumn("n", F.col("n") * 1000)
+    every = small.where("kind = 1").select("gram").distinct().count()
+    for share in (url_filter.SHARE, 200):
+        monkeypatch.setattr(url_filter, "SHARE", share)
+        one, other = url_filter.models(small), url_filter.models(large)
+        assert all(np.array_equal(one[k].grams, other[k].grams) for k in one)
+        assert (len(one[2, 1].grams) == every) == (share > 200)
+
+
 def rule_by_force(url, rules):
     """(host, path, rule, verdict) as the rules have it."""
     if url is None or "://" not in url:
