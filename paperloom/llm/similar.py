@@ -249,8 +249,9 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
             y = np.repeat(low[pick] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
             most = np.minimum(place[x], place[y]) + 1 + np.minimum(n[x] - place[x], n[y] - place[y]) - 1
             may = (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6) & (most >= similarity / (1 + similarity) * (n[x] + n[y]) - 1e-6) & (number[x] != number[y])
-            may &= np.bitwise_count((short[x] ^ short[y]).view(np.uint64)) <= (1 - similarity) / (1 + similarity) * (n[x] + n[y]) + 1e-6
-            both = np.unique(np.sort(np.stack([number[x[may]], number[y[may]]], 1), axis=1), axis=0)
+            x, y = x[may], y[may]
+            near = np.bitwise_count((short[x] ^ short[y]).view(np.uint64)) <= (1 - similarity) / (1 + similarity) * (n[x] + n[y]) + 1e-6
+            both = np.unique(np.sort(np.stack([number[x[near]], number[y[near]]], 1), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)], ["a", "b"])
             begin = stop
 
