@@ -12,10 +12,12 @@ exact step follows (``met_by_prefix``): sets of n and m shingles with a similari
 m - ceil(t m) + 1 in common, in any order that is the same for all sets.  Texts that share one there, aren't joined yet, and whose sizes and the
 shingle's places leave it open, are held against each other too.  So all pairs of the similarity are joined, by a link or by
 a chain of links.  Shingles that many texts have come last in the order, as a sample tells; that decides on the work, not on the links.
+What two sets have in common begins with one shingle, and all of it lies from there on in both.  So a pair is met only where what is left of both sets
+from that shingle on is enough: copies with a ninth of shingles of their own don't meet others of their length.
 
 Sets are much larger than pairs, and a pair needs two of them in one place.  So a set also has a mark of about a bit for each shingle, the
 parities of how many of its hashes end alike.  Marks differ in no more bits than sets in shingles: what differs in too many has no
-such similarity, and only the pairs that are left are held against each other's sets.  Marks folded to 64 bits are there where texts
+such similarity, and only the pairs that are left are held against each other's sets.  Marks folded to 256 bits are there where texts
 meet, and rule out most pairs of short texts before they are passed on.
 
 Shingles are of 5 words (``simhash.WORDS``, A-Z lower-cased), each counting once; a text of fewer words is one shingle, and blank texts are
@@ -44,6 +46,8 @@ SENT, SENT_BITS = 2, 36
 NEXT = 4
 #: One text in ``TOLD_BY`` tells frequent shingles: those that ``FREQUENT`` of them have, ``MOST_FREQUENT`` at most.
 TOLD_BY, FREQUENT, MOST_FREQUENT = 16, 3, 200_000
+#: Words of a mark that are there where texts meet, which the smallest mark has.
+SHORT = tuple(f"short{k}" for k in range(4))
 
 
 def lightest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -137,14 +141,14 @@ def _lists(sets: list[np.ndarray]) -> pa.ListArray:
 
 
 def mark(shingles: np.ndarray) -> bytes:
-    """The parities of a set's hashes by their last bits, at least one for each of the set's shingles and 64 in all."""
-    width = 1 << max(6, int(len(shingles) - 1).bit_length())
+    """The parities of a set's hashes by their last bits, at least one for each of the set's shingles and 256 in all."""
+    width = 1 << max(6 + (len(SHORT) - 1).bit_length(), int(len(shingles) - 1).bit_length())
     return np.packbits(np.bincount(shingles & (width - 1), minlength=width) & 1, bitorder="little").tobytes()
 
 
-def folded(x: bytes) -> int:
-    """A mark folded to 64 bits, as a signed long."""
-    return int(np.bitwise_xor.reduce(np.frombuffer(x, np.int64)))
+def folded(x: bytes) -> np.ndarray:
+    """A mark folded to the words of ``SHORT``, as signed longs."""
+    return np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, len(SHORT)))
 
 
 def apart(x: bytes, y: bytes) -> int:
@@ -212,20 +216,22 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
                 # A blank text has 0 in place of a shingle; a set's rounding never shortens its beginning.
                 first.append(x[np.lexsort((x, often))][: len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1] if len(x) else np.zeros(1, np.int64))
             marks = [mark(x) for x in sets]
-            columns = [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(marks, pa.binary()), pa.array([folded(x) for x in marks], pa.int64()), _lists(first)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "mark", "folded", "first"])
+            short = np.array([folded(x) for x in marks], np.int64).reshape(-1, len(SHORT))
+            columns = [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(marks, pa.binary()), *(pa.array(np.ascontiguousarray(x)) for x in short.T), _lists(first)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "mark", *SHORT, "first"])
 
-    begun = texts.mapInArrow(lean(run), "doc_id long, key string, n long, mark binary, folded long, first array<long>")
+    begun = texts.mapInArrow(lean(run), f"doc_id long, key string, n long, mark binary, {', '.join(f'{c} long' for c in SHORT)}, first array<long>")
     own = nodes.select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
-    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "mark", "folded", "first")
+    numbered = begun.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("number", "n", "mark", *SHORT, "first")
     numbered = stored(numbered, "begun-sets")
     rooted = numbered.join(small_side(roots.withColumnRenamed("node", "of")), F.col("number") == F.col("of"), "left")
-    placed = rooted.select("number", F.coalesce("root", "number").alias("root"), "n", "folded", F.posexplode("first").alias("place", "shingle"))
+    placed = rooted.select("number", F.coalesce("root", "number").alias("root"), "n", *SHORT, F.posexplode("first").alias("place", "shingle"))
+    sent = ("shingle", "root", "number", "n", "place", *SHORT)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 6), np.int64)
+        held = np.zeros((0, len(sent)), np.int64)
         for batch in batches:
-            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("shingle", "root", "number", "n", "place", "folded")], 1)])
+            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in sent], 1)])
             if len(rows):
                 whole = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))  # the last shingle may go on
                 yield from pairs(rows[:whole])
@@ -233,27 +239,42 @@ def met_by_prefix(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int
         yield from pairs(held)
 
     def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        shingle, root, number, n, place, short = np.ascontiguousarray(rows.T)
-        # A row meets those of its shingle whose root comes after its own.
-        new = np.concatenate([[True], shingle[1:] != shingle[:-1]])[: len(rows)]
-        other = new | np.concatenate([[True], root[1:] != root[:-1]])[: len(rows)]
-        end = lambda begins: np.append(np.flatnonzero(begins), len(rows))[np.cumsum(begins)]
-        low, high = end(other), end(new)
-        some = np.flatnonzero(high > low)
-        ends, begin = np.cumsum(high[some] - low[some]), 0
-        while begin < len(some):
-            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + simhash.PAIRS, "right")))
-            pick = some[begin:stop]
-            count = high[pick] - low[pick]
-            x = np.repeat(pick, count)
-            y = np.repeat(low[pick] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            most = np.minimum(place[x], place[y]) + 1 + np.minimum(n[x] - place[x], n[y] - place[y]) - 1
-            may = (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6) & (most >= similarity / (1 + similarity) * (n[x] + n[y]) - 1e-6) & (number[x] != number[y])
-            x, y = x[may], y[may]
-            near = np.bitwise_count((short[x] ^ short[y]).view(np.uint64)) <= (1 - similarity) / (1 + similarity) * (n[x] + n[y]) + 1e-6
-            both = np.unique(np.sort(np.stack([number[x[near]], number[y[near]]], 1), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)], ["a", "b"])
-            begin = stop
+        shingle, root, number, n, place, *short = np.ascontiguousarray(rows.T)
+        # Sets whose first common shingle is here have no more in common than is left of either from here on, so neither meets larger ones than this.
+        most = np.floor((n - place) * (1 + similarity) / similarity + 1e-6).astype(np.int64) - n
+        group = np.cumsum(np.concatenate([[True], shingle[1:] != shingle[:-1]])[: len(rows)])
+
+        def near(pick: np.ndarray, low: np.ndarray, high: np.ndarray, other: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Of the rows in pick, each with its rows other[low:high], the pairs that may be alike."""
+            some = np.flatnonzero(high > low)
+            ends, begin = np.cumsum(high[some] - low[some]), 0
+            while begin < len(some):
+                stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + simhash.PAIRS, "right")))
+                at = some[begin:stop]
+                count = high[at] - low[at]
+                x = np.repeat(pick[at], count)
+                y = other[np.repeat(low[at] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
+                may = (most[x] >= n[y]) & (most[y] >= n[x]) & (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6) & (root[x] != root[y]) & (number[x] != number[y])
+                x, y = x[may], y[may]
+                off = sum(np.bitwise_count((k[x] ^ k[y]).view(np.uint64)).astype(np.int16) for k in short)
+                may = off <= (1 - similarity) / (1 + similarity) * (n[x] + n[y]) + 1e-6
+                if may.any():
+                    both = np.unique(np.sort(np.stack([number[x[may]], number[y[may]]], 1), axis=1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)], ["a", "b"])
+                begin = stop
+
+        # Rows that meet sets of their own size and more meet those of their shingle whose root comes after their own.
+        early = np.flatnonzero(most >= n)
+        new = np.concatenate([[True], group[early][1:] != group[early][:-1]])[: len(early)]
+        other = new | np.concatenate([[True], root[early][1:] != root[early][:-1]])[: len(early)]
+        end = lambda begins: np.append(np.flatnonzero(begins), len(early))[np.cumsum(begins)]
+        yield from near(early, end(other), end(new), early)
+        # The others meet smaller sets alone, which are among the first kind.
+        late, by_size = np.flatnonzero(most < n), early[np.lexsort((n[early], group[early]))]
+        wide = int(n.max(initial=0)) + 1
+        sizes = group[by_size] * wide + n[by_size]
+        least = np.ceil(similarity * n[late] - 1e-6).astype(np.int64)
+        yield from near(late, np.searchsorted(sizes, group[late] * wide + least), np.searchsorted(sizes, group[late] * wide + most[late], "right"), by_size)
 
     by_shingle = placed.repartition("shingle").sortWithinPartitions("shingle", "root", "number")
     met = by_shingle.mapInArrow(lean(meet, 1 << 16), "a long, b long").distinct()
