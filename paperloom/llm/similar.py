@@ -325,7 +325,7 @@ def _rooted(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _sets_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, cover: simhash.Cover) -> DataFrame:
     """The shingle sets of the texts in pairs; one row of each text is read, which its id and text tell."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "ends-of-pairs")
     wanted = nodes.join(small_side(ends), nodes["number"] == ends["end"], "left_semi").select("number", F.col("least.doc_id").alias("of_id"), F.col("row_key").alias("of_key"))
     wanted = stored(wanted, "texts-of-pairs")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", simhash.row_key().alias("key"))
