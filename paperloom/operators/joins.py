@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from itertools import pairwise
 
@@ -341,50 +341,115 @@ def levenshtein_score(a: Column, b: Column) -> Column:
     return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
-def _pair_letters(joined: str) -> list[tuple[str, int]]:
-    """The pairs of neighbouring letters of sorted words with a space at either side, each with how often it came before."""
+def _numbered(parts: Iterable[str]) -> list[tuple[str, int]]:
+    """Each part with how often it came before: what two texts have in common of these is the least of their counts."""
     seen: dict[str, int] = {}
     out = []
-    for gram in map("".join, pairwise(f" {joined} ")):
-        seen[gram] = seen.get(gram, 0) + 1
-        out.append((gram, seen[gram]))
+    for x in parts:
+        seen[x] = seen.get(x, 0) + 1
+        out.append((x, seen[x]))
     return out
 
 
+def _pair_letters(joined: str) -> list[tuple[str, int]]:
+    """The pairs of neighbouring letters of sorted words with a space at either side, numbered."""
+    return _numbered(map("".join, pairwise(f" {joined} ")))
+
+
+class _Marks:
+    """Which of the names have which marks: marks of many names as a table of ones, of others the names' places."""
+
+    OFTEN = 32
+
+    def __init__(self, marks: Iterable[Iterable], n: int, kind: type) -> None:
+        has: dict = {}
+        for i, own in enumerate(marks):
+            for x in own:
+                has.setdefault(x, []).append(i)
+        often = [x for x, rows in has.items() if len(rows) * self.OFTEN > n]
+        self.often = {x: k for k, x in enumerate(often)}
+        self.dense = np.zeros((len(often), n), kind)
+        for x, k in self.often.items():
+            self.dense[k, has[x]] = 1
+        self.has = {x: np.array(rows, np.int32) for x, rows in has.items() if x not in self.often}
+
+    def weighed(self, asked: Sequence[Sequence[tuple]]) -> np.ndarray:
+        """For each list of (mark, weight), the sum of weights that each name has too; the table is multiplied for all lists at once."""
+        asks = np.zeros((len(asked), len(self.often)), np.float32)
+        for k, own in enumerate(asked):
+            for x, weight in own:
+                if x in self.often:
+                    asks[k, self.often[x]] = weight
+        out = asks @ self.dense
+        for k, own in enumerate(asked):
+            for x, weight in own:
+                if x in self.has:
+                    out[k, self.has[x]] += weight
+        return out
+
+    def counted(self, own: Sequence, some: np.ndarray) -> np.ndarray:
+        """How many of the marks some of the names have."""
+        often = [self.often[x] for x in own if x in self.often]
+        n = self.dense.shape[1]
+        out = self.dense[often].sum(0, np.int64)[some] if 4 * len(some) > n else self.dense[np.ix_(often, some)].sum(0, np.int64)
+        posted = [self.has[x] for x in own if x in self.has]
+        return out + np.bincount(np.concatenate(posted), minlength=n)[some] if posted else out
+
+
+class _Asked:
+    """A block of queries for a ``NameIndex``: places of their letters and words in the bits of 64-bit words, a space leads each word."""
+
+    def __init__(self, index: NameIndex, queries: Sequence[str]) -> None:
+        self.queries, self.split = queries, [sorted(set(x.split())) for x in queries]
+        self.n_words = np.array([len(x) for x in self.split], np.int64)
+        self.sizes = np.array([sum(map(len, x)) + len(x) - 1 for x in self.split], np.int64)
+        self.plain = (self.sizes > 0) & (self.sizes < 64)
+        # 0 is no letter and no word; only words that queries have are told apart.
+        number = {w: k for k, w in enumerate({w: 0 for x in self.split for w in x if w in index.words}, 1)}
+        self.numbers = np.zeros(len(index.words) + 1, np.int32)
+        for w, k in number.items():
+            self.numbers[index.words[w]] = k
+        self.where, self.bits = np.zeros((len(queries), len(index.letters) + 1), np.uint64), np.zeros((len(queries), len(number) + 1), np.uint64)
+        for q in np.flatnonzero(self.plain).tolist():
+            place, here = 0, {}
+            for w in self.split[q]:
+                if w in number:
+                    self.bits[q, number[w]] = ((1 << len(w) + 1) - 1) << place
+                for c in f" {w}":
+                    here[c] = here.get(c, 0) | 1 << place
+                    place += 1
+            for c, x in here.items():
+                if c in index.letters:
+                    self.where[q, index.letters[c]] = x
+
+
 class NameIndex:
-    """An inverted index of names by pairs of letters, for the highest ``token_set`` scores at or above ``accept``.
-
-    The words of a name, sorted, are one text of length a, and with a space at either side it has a + 1 letter pairs, which don't
-    depend on the words' order.  Let two names share c of them.  If their longest common subsequence has L letters, a - L
-    deletions break two pairs each and b - L insertions one, so c >= (a + 1) - 2 (a - L) - (b - L), hence L <= (c + a + b - 1) / 3.
-    Words that both have, s letters with the spaces between, are s + 1 pairs of both, so s <= c - 1.  Either way of scoring is bounded
-    by c then: 200 L / (a + b), and 200 s / (s + min(a, b)), which is 100 for a subset.  A name below ``accept`` by both is
-    no candidate; candidates are scored by falling bound until none can reach the best score.
-
-    Pairs that many names have are counted as a product of matrices, the others by their lists.  Candidates are scored many at a time: the words
-    that both have are the same beginning of both texts, and what is left is compared in the bits of 64-bit words, a letter of all candidates
-    a step.  Queries of more letters than that, and names of more than ``LONG``, are scored one by one.
+    """An index of names by letters, words and pairs of letters, for the highest ``token_set`` scores at or above ``accept``.
+
+    The words of a name, sorted, are one text of length a.  Let L be the length of two names' longest common subsequence, and s that of the words
+    both have, with the spaces between: the score is 200 L / (a + b) or 200 s / (s + min(a, b)), which is 100 for a subset.  Words tell s.
+    L is at most what both share of letters in any order, which leaves few names.  For these, a text with a space at either side has a + 1 letter
+    pairs, which don't depend on the words' order.  If two names share c of them, a - L deletions break two pairs each and b - L insertions one, so
+    c >= (a + 1) - 2 (a - L) - (b - L), hence L <= (c + a + b - 1) / 3.  A name below ``accept`` by both ways of scoring is no candidate;
+    candidates are scored by falling bound until none can reach the best score.
+
+    Marks that many names have are counted as a product of matrices, the others by their lists.  Candidates of a block of queries are scored at
+    once: the words that both have are the same beginning of both texts, and what is left is compared in the bits of 64-bit words, a letter of all
+    candidates a step.  Queries of more letters than that, and names of more than ``LONG``, are scored one by one.
     """
 
-    LONG, WORDS, OFTEN, BLOCK = 256, 32, 32, 128
+    LONG, WORDS, BLOCK, PAIRS = 256, 32, 128, 2048
 
     def __init__(self, names: Sequence[str], row_ids: Sequence[int]) -> None:
-        self.names, self.row_ids = names, row_ids
+        self.names, self.row_ids = names, np.array(row_ids, np.int64)
         split = [sorted(set(x.split())) for x in names]
         joined = [" ".join(x) for x in split]
         self.sizes = np.array([len(x) for x in joined], np.int64)
-        has: dict[tuple[str, int], list[int]] = {}
-        for i, x in enumerate(joined):
-            for gram in _pair_letters(x) if x else ():
-                has.setdefault(gram, []).append(i)
-        often = [gram for gram, rows in has.items() if len(rows) * self.OFTEN > len(names)]
-        self.often = {gram: k for k, gram in enumerate(often)}
-        self.dense = np.zeros((len(often), len(names)), np.float32)
-        for gram, k in self.often.items():
-            self.dense[k, has[gram]] = 1
-        self.has = {gram: np.array(rows, np.int32) for gram, rows in has.items() if gram not in self.often}
+        self.by_letter = _Marks(map(_numbered, joined), len(names), np.float32)
+        self.by_word = _Marks(split, len(names), np.float32)
+        self.by_pair = _Marks((_pair_letters(x) if x else () for x in joined), len(names), np.uint8)
         self.size_kinds, self.size_kind = np.unique(self.sizes, return_inverse=True)
-        self.needs: dict[tuple[int, float], np.ndarray] = {}
+        self.needs: dict[tuple[int, float], tuple[np.ndarray, np.ndarray]] = {}
         self._lettered(split)
 
     def _lettered(self, split: list[list[str]]) -> None:
@@ -405,63 +470,56 @@ class NameIndex:
         if len(self.letters) >= 1 << 16:  # more letters than the table tells apart
             self.plain[:] = False
 
-    @staticmethod
-    def _bound(c: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
-        common, shared = np.minimum((c + a + b - 1) // 3, np.minimum(a, b)), np.minimum(np.maximum(c - 1, 0), np.minimum(a, b))
-        return np.maximum(200.0 * common / (a + b), 200.0 * shared / (shared + np.minimum(a, np.maximum(b, 1))))
-
-    def _needed(self, a: int, accept: float) -> np.ndarray:
-        """How many pairs each name must share with a query of ``a`` letters for its bound to reach ``accept``."""
+    def _needed(self, a: int, accept: float) -> tuple[np.ndarray, np.ndarray]:
+        """How many letters each name must share with a query of ``a`` letters, or how many of shared words (a space more), to reach ``accept``."""
         if (a, accept) not in self.needs:
-            c = np.arange(1, a + 2)
-            enough = self._bound(c[:, None], a, self.size_kinds[None, :]) >= accept - 1e-6
-            self.needs[a, accept] = np.where(enough.any(0), enough.argmax(0) + 1, a + 2).astype(np.float32)[self.size_kind]
+            least, b = (accept - 1e-6) / 200, self.size_kinds
+            short = np.minimum(a, b)
+            letters = np.ceil(least * (a + b) - 1e-9)
+            shared = np.ceil(least / (1 - least) * np.maximum(short, 1) - 1e-9)
+            self.needs[a, accept] = tuple(np.where(x <= short, x + more, np.inf).astype(np.float32)[self.size_kind] for x, more in ((letters, 0), (shared, 1)))
         return self.needs[a, accept]
 
     def _scores(self, query: str, rows: np.ndarray) -> np.ndarray:
         """``token_set`` of the query with each of the names."""
-        found = sorted(set(query.split()))
-        a = sum(map(len, found)) + len(found) - 1
-        if not 0 < a < 64:
-            return np.array([token_set(query, self.names[i]) for i in rows.tolist()], float)
+        return self._pair_scores(_Asked(self, [query]), np.zeros(len(rows), np.int64), rows)
+
+    def _pair_scores(self, asked: _Asked, asks: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """``token_set`` of queries, given by their places, with names."""
+        at_once = asked.plain[asks] & self.plain[rows]
         out = np.zeros(len(rows))
-        one_by_one = np.flatnonzero(~self.plain[rows])
-        out[one_by_one] = [token_set(query, self.names[i]) for i in rows[one_by_one].tolist()]
-        at = np.flatnonzero(self.plain[rows])
-        rows = rows[at]
-        # 0 is no letter and no word.
-        where, bits, sizes = np.zeros(len(self.letters) + 1, np.uint64), np.zeros(len(self.words) + 1, np.uint64), np.zeros(len(self.words) + 1, np.int64)
-        place = 0
-        for w in found:
-            number = self.words.get(w, 0)
-            if number:
-                bits[number], sizes[number] = ((1 << len(w) + 1) - 1) << place, len(w) + 1
-            for c in f" {w}":
-                if c in self.letters:
-                    where[self.letters[c]] |= np.uint64(1 << place)
-                place += 1
-        own = self.own[rows]
-        both = sizes[own]
+        one_by_one = np.flatnonzero(~at_once)
+        out[one_by_one] = [token_set(asked.queries[k], self.names[i]) for k, i in zip(asks[one_by_one].tolist(), rows[one_by_one].tolist(), strict=True)]
+        # Names of like lengths together, as all take as many steps as the longest.
+        at = np.flatnonzero(at_once)
+        at = at[np.argsort(self.sizes[rows[at]], kind="stable")]
+        for k in range(0, len(at), self.PAIRS):
+            part = at[k : k + self.PAIRS]
+            out[part] = self._plain_scores(asked, asks[part], rows[part])
+        return out
+
+    def _plain_scores(self, asked: _Asked, asks: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        a, b, most = asked.sizes[asks], self.sizes[rows], int(self.n_words[rows].max())
+        both = asked.bits.take(asked.numbers[self.own[rows, :most]] + (asks * asked.bits.shape[1])[:, None])
         known = both > 0
-        shared, n_shared = np.maximum(both.sum(1) - 1, 0), known.sum(1)
-        left = ~np.bitwise_or.reduce(bits[own], axis=1)
-        b = self.sizes[rows]
-        height = int(b.max(initial=-1)) + 1
+        shared_bits = np.bitwise_or.reduce(both, axis=1)
+        shared, n_shared = np.maximum(np.bitwise_count(shared_bits).astype(np.int64) - 1, 0), known.sum(1)
+        left = ~shared_bits
+        height = int(b.max()) + 1
         # Letters of shared words meet nothing.
-        open_ = (~known).astype(np.uint64) @ (np.uint64(1) << np.arange(self.WORDS, dtype=np.uint64))
-        here = where.take(np.ascontiguousarray(self.letter[rows, :height].T))
+        open_ = (~known).astype(np.uint64) @ (np.uint64(1) << np.arange(most, dtype=np.uint64))
+        here = asked.where.take(np.ascontiguousarray(self.letter[rows, :height].T) + asks * asked.where.shape[1])
         here &= np.uint64(0) - (open_ >> np.ascontiguousarray(self.word[rows, :height].T) & np.uint64(1))
         here &= left
         row = np.full(len(rows), np.uint64((1 << 64) - 1))
         for k in range(height):
             hit = row & here[k]
             row = row + hit | row - hit
-        full = np.uint64((1 << a + 1) - 1)
+        full = (np.uint64(1) << (a + 1).astype(np.uint64)) - np.uint64(1)
         common = a + 1 - np.bitwise_count(row & full).astype(np.int64)
         common = np.where(n_shared > 0, shared + common, common - 1)
         score = np.maximum(200.0 * common / np.maximum(a + b, 1), np.where(n_shared > 0, 200.0 * shared / (shared + np.maximum(np.minimum(a, b), 1)), 0.0))
-        out[at] = np.where((n_shared > 0) & ((n_shared == len(found)) | (n_shared == self.n_words[rows])), 100.0, score)
-        return out
+        return np.where((n_shared > 0) & ((n_shared == asked.n_words[asks]) | (n_shared == self.n_words[rows])), 100.0, score)
 
     def best(self, query: str, accept: float) -> tuple[list[tuple[int, float]], int]:
         """(row_id, score) of all names whose score may round to the best one, and how many were scored."""
@@ -470,33 +528,68 @@ class NameIndex:
     def bests(self, queries: Sequence[str], accept: float) -> Iterator[tuple[list[tuple[int, float]], int]]:
         """``best`` of each query."""
         for at in range(0, len(queries), self.BLOCK):
-            block = queries[at : at + self.BLOCK]
-            joined = [" ".join(sorted(set(x.split()))) for x in block]
-            pairs = [_pair_letters(x) if x else [] for x in joined]
-            asks = np.zeros((len(block), len(self.often)), np.float32)
-            for k, own in enumerate(pairs):
-                asks[k, [self.often[gram] for gram in own if gram in self.often]] = 1
-            for query, mine, own, c in zip(block, joined, pairs, asks @ self.dense, strict=True):
-                posted = [self.has[gram] for gram in own if gram in self.has]
-                if posted:
-                    c += np.bincount(np.concatenate(posted), minlength=len(self.names))
-                yield self._best(query, len(mine), c, accept) if mine else ([], 0)
-
-    def _best(self, query: str, a: int, c: np.ndarray, accept: float) -> tuple[list[tuple[int, float]], int]:
-        some = np.flatnonzero(c >= self._needed(a, accept))
-        bound = self._bound(c[some].astype(np.int64), a, self.sizes[some])
+            yield from self._bests(queries[at : at + self.BLOCK], accept)
+
+    def _bests(self, block: Sequence[str], accept: float) -> list[tuple[list[tuple[int, float]], int]]:
+        asked = _Asked(self, block)
+        joined = [" ".join(x) for x in asked.split]
+        letters = self.by_letter.weighed([[(x, 1) for x in _numbered(x)] for x in joined])
+        shared = self.by_word.weighed([[(w, len(w) + 1) for w in x] for x in asked.split])
+        floor = accept - 2e-6
+        some, bound = zip(*(self._shared(len(x), letters[k], shared[k], accept) for k, x in enumerate(joined)), strict=True)
+        # The name of the highest bound by letters and words goes first, and what can't reach its score needs no count of pairs.
+        going = [k for k, x in enumerate(bound) if len(x)]
+        first = np.array([some[k][bound[k].argmax()] for k in going], np.int64)
+        least = [floor] * len(block)
+        for k, x in zip(going, self._pair_scores(asked, np.array(going, np.int64), first).tolist(), strict=True):
+            least[k] = max(floor, x - 2e-6)
+        some, bound = zip(*(self._candidates(x, some[k][bound[k] >= least[k]], letters[k], shared[k], least[k]) for k, x in enumerate(joined)), strict=True)
+        scored, n, size = [([], []) for _ in block], [0] * len(block), 4
+        going = [k for k in going if len(some[k])]
+        while going:
+            # By falling bound, so what can still win stands first.
+            parts = [some[k][n[k] : n[k] + size][bound[k][n[k] : n[k] + size] >= least[k]] for k in going]
+            ends = np.cumsum([len(x) for x in parts]).tolist()
+            x = self._pair_scores(asked, np.repeat(going, [len(x) for x in parts]), np.concatenate(parts)) if ends[-1] else np.zeros(0)
+            for k, rows, end in zip(going, parts, ends, strict=True):
+                if len(rows):
+                    own = x[end - len(rows) : end]
+                    # What may round to the same score stays, so that the earlier row wins.
+                    least[k] = max(least[k], float(own.max()) - 2e-6)
+                    scored[k][0].append(rows[own >= least[k]])
+                    scored[k][1].append(own[own >= least[k]])
+                    n[k] += len(rows)
+            going = [k for k, rows in zip(going, parts, strict=True) if len(rows) and n[k] < len(some[k]) and bound[k][n[k]] >= least[k]]
+            size = min(4 * size, 1024)
+        out = []
+        for (rows, x), floor, k in zip(scored, least, n, strict=True):
+            rows, x = (np.concatenate(rows), np.concatenate(x)) if rows else (np.zeros(0, np.int64), np.zeros(0))
+            out.append((list(zip(self.row_ids[rows[x >= floor]].tolist(), x[x >= floor].tolist(), strict=True)), k))
+        return out
+
+    def _shared(self, a: int, letters: np.ndarray, shared: np.ndarray, accept: float) -> tuple[np.ndarray, np.ndarray]:
+        """The names whose shared letters or words reach ``accept`` for a query of ``a`` letters, and their bounds by these."""
+        if not a:
+            return np.zeros(0, np.int64), np.zeros(0)
+        by_letters, by_words = self._needed(a, accept)
+        some = np.flatnonzero((letters >= by_letters) | (shared >= by_words))
+        return some, self._bound(a, self.sizes[some], letters[some], shared[some])
+
+    @staticmethod
+    def _bound(a: int, b: np.ndarray, common: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        s = np.maximum(shared.astype(float) - 1, 0)
+        return np.maximum(200.0 * common.astype(float) / (a + b), 200.0 * s / (s + np.maximum(np.minimum(a, b), 1)))
+
+    def _candidates(self, joined: str, some: np.ndarray, letters: np.ndarray, shared: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of some names whose bound by pairs, too, reaches ``least`` for a query, and their bounds, falling."""
+        if not len(some):
+            return some, np.zeros(0)
+        a, b = len(joined), self.sizes[some]
+        common = (self.by_pair.counted(_pair_letters(joined), some) + a + b - 1) // 3
+        bound = self._bound(a, b, np.minimum(common, letters[some]), shared[some])
         order = np.argsort(-bound, kind="stable")
-        some, bound = some[order], bound[order]
-        found, scores, least, n, size = [], [], accept - 2e-6, 0, 4
-        while n < len(some) and bound[n] >= least:
-            rows = some[n : n + size][bound[n : n + size] >= least]
-            x = self._scores(query, rows)
-            # What may round to the same score stays, so that the earlier row wins.
-            least = max(least, x.max() - 2e-6)
-            found.append(rows[x >= least])
-            scores.append(x[x >= least])
-            n, size = n + len(rows), min(16 * size, 1024)
-        return [(self.row_ids[i], y) for i, y in zip(np.concatenate(found).tolist(), np.concatenate(scores).tolist(), strict=True) if y >= least] if found else [], n
+        order = order[bound[order] >= least]
+        return some[order], bound[order]
 
 
 def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75, names_a_task: int = 8192, with_cost: bool = False) -> DataFrame:

@@ -207,6 +207,21 @@ def test_name_index_scores_many_at_once(monkeypatch):
     assert [index.best(n.replace("e", "a"), 75)[0][0][0] for n in short[::40]] == list(range(0, 400, 40))
 
 
+def test_name_index_scores_few_of_like_names():
+    """Addresses share most pairs of letters; misspelt ones without a near name are told from nearly all by their letters, and nothing is lost."""
+    r = random.Random(8)
+    hosts = ["".join(r.choices(["th", "er", "ing", "tion", "st", "bl"], k=2)) for _ in range(20)]
+    names = sorted({f"http{r.choice(['', 's'])} {r.choice(['www ', 'm ', ''])}{r.choice(hosts)} example {r.choice(['com', 'org', 'net'])} {r.choice(['en', 'de'])} {r.randrange(10**5)}{r.choice(['', ' html', ' page 2 ref x'])}" for _ in range(1500)})
+    index, scored = joins.NameIndex(names, list(range(len(names)))), 0
+    queries = [n.replace("e", "a").replace("o", "u") for n in names[::15]] + [n + "s" for n in names[::75]] + [n[1:] for n in names[1::75]] + [names[7], ""]
+    for query, (found, n) in zip(queries, index.bests(queries, 75), strict=True):
+        every = [round(arrow_udfs.token_set(query, x), 6) for x in names]
+        best = {(i, x) for i, x in enumerate(every) if x == max(every)} if max(every) >= 75 else set()
+        assert best <= {(i, round(x, 6)) for i, x in found} and (best or not found)
+        scored += n
+    assert scored < 0.03 * len(queries) * len(names)
+
+
 def test_catalog_reports_what_it_scored(spark):
     r = random.Random(4)
     names = [(i, " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(3))) for i in range(600)]
