@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.functions.arrow_udfs import sequence_ratio, token_set
+from paperloom.functions.arrow_udfs import sequence_ratio, token_set, token_set_ratio
 from paperloom.session import with_checkpoints
 
 #: A side of at most so many narrow rows may be broadcast; beyond it the join shuffles.
@@ -341,58 +341,62 @@ def levenshtein_score(a: Column, b: Column) -> Column:
     return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
-def _numbered(parts: Iterable[str]) -> list[tuple[str, int]]:
-    """Each part with how often it came before: what two texts have in common of these is the least of their counts."""
-    seen: dict[str, int] = {}
-    out = []
-    for x in parts:
-        seen[x] = seen.get(x, 0) + 1
-        out.append((x, seen[x]))
-    return out
+def _numbered(texts: Sequence[str], width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the text, mark) for each ``width`` (1 or 2) neighbouring letters of texts.
 
-
-def _pair_letters(joined: str) -> list[tuple[str, int]]:
-    """The pairs of neighbouring letters of sorted words with a space at either side, numbered."""
-    return _numbered(map("".join, pairwise(f" {joined} ")))
+    A mark also holds how often the same came before, so two texts have as many marks in common as the least of their counts.
+    """
+    mark = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    at = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+    if width == 2:
+        inside = at[1:] == at[:-1]
+        at, mark = at[1:][inside], (mark[:-1] << 21 | mark[1:])[inside]
+    order = np.lexsort((mark, at))
+    at, mark = at[order], mark[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | (mark[1:] != mark[:-1])
+    first = np.flatnonzero(new)
+    return at, mark << 21 | np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
 
 
 class _Marks:
-    """Which of the names have which marks: marks of many names as a table of ones, of others the names' places."""
+    """Which of ``n`` names have which marks: marks of many names as a table of ones, of others the names' places."""
 
     OFTEN = 32
 
-    def __init__(self, marks: Iterable[Iterable], n: int, kind: type) -> None:
-        has: dict = {}
-        for i, own in enumerate(marks):
-            for x in own:
-                has.setdefault(x, []).append(i)
-        often = [x for x, rows in has.items() if len(rows) * self.OFTEN > n]
-        self.often = {x: k for k, x in enumerate(often)}
-        self.dense = np.zeros((len(often), n), kind)
-        for x, k in self.often.items():
-            self.dense[k, has[x]] = 1
-        self.has = {x: np.array(rows, np.int32) for x, rows in has.items() if x not in self.often}
-
-    def weighed(self, asked: Sequence[Sequence[tuple]]) -> np.ndarray:
-        """For each list of (mark, weight), the sum of weights that each name has too; the table is multiplied for all lists at once."""
-        asks = np.zeros((len(asked), len(self.often)), np.float32)
-        for k, own in enumerate(asked):
-            for x, weight in own:
-                if x in self.often:
-                    asks[k, self.often[x]] = weight
-        out = asks @ self.dense
-        for k, own in enumerate(asked):
-            for x, weight in own:
-                if x in self.has:
-                    out[k, self.has[x]] += weight
+    def __init__(self, at: np.ndarray, marks: np.ndarray, n: int, kind: type) -> None:
+        self.marks, number, count = np.unique(marks, return_inverse=True, return_counts=True)
+        often = count * self.OFTEN > n
+        self.column = np.where(often, np.cumsum(often) - 1, -1)
+        self.dense = np.zeros((int(often.sum()), n), kind)
+        hit = often[number]
+        self.dense[self.column[number[hit]], at[hit]] = 1
+        self.names, self.ends = at[np.argsort(number, kind="stable")].astype(np.int32), np.append(0, np.cumsum(count))
+
+    def _known(self, at: np.ndarray, marks: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of texts' marks those that names have, as their places."""
+        place = np.searchsorted(self.marks, marks)
+        hit = np.flatnonzero(self.marks[np.minimum(place, len(self.marks) - 1)] == marks) if len(self.marks) else np.zeros(0, np.int64)
+        return at[hit], place[hit], *(x[hit] for x in more)
+
+    def weighed(self, n_texts: int, at: np.ndarray, marks: np.ndarray, weights: np.ndarray, low: int, high: int) -> np.ndarray:
+        """For each text, the sum of weights of its marks that each name from ``low`` to ``high`` has too; the table is multiplied for all texts at once."""
+        at, place, weights = self._known(at, marks, weights)
+        often = self.column[place] >= 0
+        asks = np.zeros((n_texts, len(self.dense)), np.float32)
+        asks[at[often], self.column[place[often]]] = weights[often]
+        out = asks @ self.dense[:, low:high]
+        for k, x, weight in zip(at[~often].tolist(), place[~often].tolist(), weights[~often].tolist(), strict=True):
+            own = self.names[self.ends[x] : self.ends[x + 1]]
+            out[k, own[(own >= low) & (own < high)] - low] += weight
         return out
 
-    def counted(self, own: Sequence, some: np.ndarray) -> np.ndarray:
-        """How many of the marks some of the names have."""
-        often = [self.often[x] for x in own if x in self.often]
-        n = self.dense.shape[1]
+    def counted(self, marks: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """How many of a text's marks some of the names have."""
+        _, place = self._known(marks, marks)
+        often, n = self.column[place][self.column[place] >= 0], self.dense.shape[1]
         out = self.dense[often].sum(0, np.int64)[some] if 4 * len(some) > n else self.dense[np.ix_(often, some)].sum(0, np.int64)
-        posted = [self.has[x] for x in own if x in self.has]
+        posted = [self.names[self.ends[x] : self.ends[x + 1]] for x in place[self.column[place] < 0].tolist()]
         return out + np.bincount(np.concatenate(posted), minlength=n)[some] if posted else out
 
 
@@ -401,26 +405,26 @@ class _Asked:
 
     def __init__(self, index: NameIndex, queries: Sequence[str]) -> None:
         self.queries, self.split = queries, [sorted(set(x.split())) for x in queries]
-        self.n_words = np.array([len(x) for x in self.split], np.int64)
-        self.sizes = np.array([sum(map(len, x)) + len(x) - 1 for x in self.split], np.int64)
+        self.joined = [" ".join(x) for x in self.split]
+        self.n_words, self.sizes = np.array([len(x) for x in self.split], np.int64), np.array([len(x) for x in self.joined], np.int64)
         self.plain = (self.sizes > 0) & (self.sizes < 64)
+        known = [(q, w, index.words[w]) for q, x in enumerate(self.split) for w in x if w in index.words]
+        self.word_of, self.word_number = np.array([q for q, _, _ in known], np.int64), np.array([k for _, _, k in known], np.int64)
+        self.word_size = np.array([len(w) + 1 for _, w, _ in known], np.int64)
         # 0 is no letter and no word; only words that queries have are told apart.
-        number = {w: k for k, w in enumerate({w: 0 for x in self.split for w in x if w in index.words}, 1)}
+        numbers = np.unique(self.word_number)
         self.numbers = np.zeros(len(index.words) + 1, np.int32)
-        for w, k in number.items():
-            self.numbers[index.words[w]] = k
-        self.where, self.bits = np.zeros((len(queries), len(index.letters) + 1), np.uint64), np.zeros((len(queries), len(number) + 1), np.uint64)
+        self.numbers[numbers] = np.arange(1, len(numbers) + 1)
+        self.where, self.bits = np.zeros((len(queries), len(index.letters) + 1), np.uint64), np.zeros((len(queries), len(numbers) + 1), np.uint64)
+        at, place, number = index.numbered_letters([x if ok else None for x, ok in zip(self.joined, self.plain.tolist(), strict=True)])
+        np.bitwise_or.at(self.where.ravel(), at * self.where.shape[1] + number, np.uint64(1) << place.astype(np.uint64))
+        self.where[:, 0] = 0
         for q in np.flatnonzero(self.plain).tolist():
-            place, here = 0, {}
+            place = 0
             for w in self.split[q]:
-                if w in number:
-                    self.bits[q, number[w]] = ((1 << len(w) + 1) - 1) << place
-                for c in f" {w}":
-                    here[c] = here.get(c, 0) | 1 << place
-                    place += 1
-            for c, x in here.items():
-                if c in index.letters:
-                    self.where[q, index.letters[c]] = x
+                if w in index.words:
+                    self.bits[q, self.numbers[index.words[w]]] = ((1 << len(w) + 1) - 1) << place
+                place += len(w) + 1
 
 
 class NameIndex:
@@ -428,9 +432,9 @@ class NameIndex:
 
     The words of a name, sorted, are one text of length a.  Let L be the length of two names' longest common subsequence, and s that of the words
     both have, with the spaces between: the score is 200 L / (a + b) or 200 s / (s + min(a, b)), which is 100 for a subset.  Words tell s.
-    L is at most what both share of letters in any order, which leaves few names.  For these, a text with a space at either side has a + 1 letter
-    pairs, which don't depend on the words' order.  If two names share c of them, a - L deletions break two pairs each and b - L insertions one, so
-    c >= (a + 1) - 2 (a - L) - (b - L), hence L <= (c + a + b - 1) / 3.  A name below ``accept`` by both ways of scoring is no candidate;
+    L is at most what both share of letters in any order, which leaves few names.  Where it leaves more, a text with a space at either side has a + 1
+    letter pairs, which don't depend on the words' order.  If two names share c of them, a - L deletions break two pairs each and b - L insertions
+    one, so c >= (a + 1) - 2 (a - L) - (b - L), hence L <= (c + a + b - 1) / 3.  A name below ``accept`` by both ways of scoring is no candidate;
     candidates are scored by falling bound until none can reach the best score.
 
     Marks that many names have are counted as a product of matrices, the others by their lists.  Candidates of a block of queries are scored at
@@ -438,46 +442,66 @@ class NameIndex:
     candidates a step.  Queries of more letters than that, and names of more than ``LONG``, are scored one by one.
     """
 
-    LONG, WORDS, BLOCK, PAIRS = 256, 32, 128, 2048
+    LONG, WORDS, BLOCK, PAIRS, FEW = 256, 32, 128, 2048, 64
 
     def __init__(self, names: Sequence[str], row_ids: Sequence[int]) -> None:
         self.names, self.row_ids = names, np.array(row_ids, np.int64)
         split = [sorted(set(x.split())) for x in names]
         joined = [" ".join(x) for x in split]
         self.sizes = np.array([len(x) for x in joined], np.int64)
-        self.by_letter = _Marks(map(_numbered, joined), len(names), np.float32)
-        self.by_word = _Marks(split, len(names), np.float32)
-        self.by_pair = _Marks((_pair_letters(x) if x else () for x in joined), len(names), np.uint8)
-        self.size_kinds, self.size_kind = np.unique(self.sizes, return_inverse=True)
-        self.needs: dict[tuple[int, float], tuple[np.ndarray, np.ndarray]] = {}
-        self._lettered(split)
-
-    def _lettered(self, split: list[list[str]]) -> None:
-        """Tables of names' letters, of which of a name's words each belongs to, and of these words; a space leads each word."""
-        self.plain = np.array([0 < len(w) <= self.WORDS and n < self.LONG for w, n in zip(split, self.sizes.tolist(), strict=True)], bool)
-        width = int(self.sizes[self.plain].max(initial=0)) + 1
-        self.letters, self.words = {}, {}
-        self.letter = np.zeros((len(split), width), np.uint16)
-        self.word = np.zeros((len(split), width), np.uint8)
-        self.own = np.zeros((len(split), self.WORDS), np.int32)
         self.n_words = np.array([len(x) for x in split], np.int64)
-        for i, found in enumerate(split):
-            if self.plain[i]:
-                numbers = [self.words.setdefault(w, len(self.words) + 1) for w in found]
-                self.own[i, : len(found)] = numbers
-                self.letter[i, : self.sizes[i] + 1] = [self.letters.setdefault(c, min(len(self.letters) + 1, (1 << 16) - 1)) for w in found for c in f" {w}"]
-                self.word[i, : self.sizes[i] + 1] = np.repeat(np.arange(len(found)), [len(w) + 1 for w in found])
+        self.words = {w: k for k, w in enumerate(dict.fromkeys(w for x in split for w in x), 1)}
+        own = np.array([self.words[w] for x in split for w in x], np.int64)
+        # Letters and words of names by length, as only names of like length can share as many letters as a high score needs.
+        self.by_size = np.argsort(self.sizes, kind="stable")
+        rank = np.empty_like(self.by_size)
+        rank[self.by_size] = np.arange(len(names))
+        at, marks = _numbered(joined)
+        self.by_letter = _Marks(rank[at], marks, len(names), np.float32)
+        self.by_word = _Marks(np.repeat(rank, self.n_words), own, len(names), np.float32)
+        self.by_pair = _Marks(*_numbered([f" {x} " if x else "" for x in joined], 2), len(names), np.uint8)
+        self.size_kinds, self.size_counts = np.unique(self.sizes, return_counts=True)
+        self.needs: dict[tuple[int, float], tuple[np.ndarray, np.ndarray, int, int]] = {}
+        # Letters of names, which of a name's words each belongs to, and these words; a space leads each word.
+        self.plain = (self.n_words > 0) & (self.n_words <= self.WORDS) & (self.sizes < self.LONG)
+        self.letters = np.unique(np.frombuffer("".join([" ", *joined]).encode("utf-32-le", "surrogatepass"), np.uint32))
         if len(self.letters) >= 1 << 16:  # more letters than the table tells apart
             self.plain[:] = False
-
-    def _needed(self, a: int, accept: float) -> tuple[np.ndarray, np.ndarray]:
-        """How many letters each name must share with a query of ``a`` letters, or how many of shared words (a space more), to reach ``accept``."""
+        width = int(self.sizes[self.plain].max(initial=0)) + 1
+        self.letter, self.word = np.zeros((len(split), width), np.uint16), np.zeros((len(split), width), np.uint8)
+        at, place, number = self.numbered_letters([x if ok else None for x, ok in zip(joined, self.plain.tolist(), strict=True)])
+        self.letter[at, place] = number
+        self.word[at, place] = 1
+        self.word *= self.letter == np.searchsorted(self.letters, 32) + 1
+        self.word = np.cumsum(self.word, axis=1, dtype=np.uint8) - (self.letter > 0)
+        self.own = np.zeros((len(split), self.WORDS), np.int32)
+        at, place = np.repeat(np.arange(len(split)), self.n_words), np.arange(len(own)) - np.repeat(np.cumsum(self.n_words) - self.n_words, self.n_words)
+        ok = self.plain[at]
+        self.own[at[ok], place[ok]] = own[ok]
+
+    def numbered_letters(self, joined: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the text, place in it, number) of texts' letters, a space before each text; 0 is a letter that no name has."""
+        sizes = np.array([0 if x is None else len(x) + 1 for x in joined], np.int64)
+        codes = np.frombuffer("".join(f" {x}" for x in joined if x is not None).encode("utf-32-le", "surrogatepass"), np.uint32)
+        number = np.searchsorted(self.letters, codes)
+        number = np.where(self.letters[np.minimum(number, len(self.letters) - 1)] == codes, number + 1, 0)
+        return np.repeat(np.arange(len(sizes)), sizes), np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes), number
+
+    def _needed(self, a: int, accept: float) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """How many letters each name, by length, must share with a query of ``a`` letters, or how many of shared words (a space more), to reach ``accept``.
+
+        Then the first name of a length that can by letters, and the one after the last.
+        """
         if (a, accept) not in self.needs:
+            if len(self.needs) >= 2 * self.BLOCK:
+                self.needs.clear()
             least, b = (accept - 1e-6) / 200, self.size_kinds
             short = np.minimum(a, b)
             letters = np.ceil(least * (a + b) - 1e-9)
             shared = np.ceil(least / (1 - least) * np.maximum(short, 1) - 1e-9)
-            self.needs[a, accept] = tuple(np.where(x <= short, x + more, np.inf).astype(np.float32)[self.size_kind] for x, more in ((letters, 0), (shared, 1)))
+            needs = [np.repeat(np.where(x <= short, x + more, np.inf).astype(np.float32), self.size_counts) for x, more in ((letters, 0), (shared, 1))]
+            able = np.flatnonzero(needs[0] < np.inf)
+            self.needs[a, accept] = *needs, *((int(able[0]), int(able[-1]) + 1) if len(able) else (0, 0))
         return self.needs[a, accept]
 
     def _scores(self, query: str, rows: np.ndarray) -> np.ndarray:
@@ -523,73 +547,78 @@ class NameIndex:
 
     def best(self, query: str, accept: float) -> tuple[list[tuple[int, float]], int]:
         """(row_id, score) of all names whose score may round to the best one, and how many were scored."""
-        return next(self.bests([query], accept))
-
-    def bests(self, queries: Sequence[str], accept: float) -> Iterator[tuple[list[tuple[int, float]], int]]:
-        """``best`` of each query."""
+        return self.bests([query], accept)[0]
+
+    def bests(self, queries: Sequence[str], accept: float, known: Sequence[float] | None = None) -> list[tuple[list[tuple[int, float]], int]]:
+        """``best`` of each query; ``known`` scores are those that a name is known to reach, here or elsewhere: less doesn't count."""
+        least = np.maximum(accept, np.zeros(len(queries)) if known is None else np.array(known, float))
+        # Alike queries together, as they need the same of names.
+        order = sorted(range(len(queries)), key=lambda k: (int(least[k]), len(queries[k])))
+        out: list = [None] * len(queries)
         for at in range(0, len(queries), self.BLOCK):
-            yield from self._bests(queries[at : at + self.BLOCK], accept)
+            part = order[at : at + self.BLOCK]
+            for k, found in zip(part, self._bests([queries[k] for k in part], accept, least[part]), strict=True):
+                out[k] = found
+        return out
 
-    def _bests(self, block: Sequence[str], accept: float) -> list[tuple[list[tuple[int, float]], int]]:
+    def _bests(self, block: Sequence[str], accept: float, least: np.ndarray) -> list[tuple[list[tuple[int, float]], int]]:
         asked = _Asked(self, block)
-        joined = [" ".join(x) for x in asked.split]
-        letters = self.by_letter.weighed([[(x, 1) for x in _numbered(x)] for x in joined])
-        shared = self.by_word.weighed([[(w, len(w) + 1) for w in x] for x in asked.split])
-        floor = accept - 2e-6
-        some, bound = zip(*(self._shared(len(x), letters[k], shared[k], accept) for k, x in enumerate(joined)), strict=True)
-        # The name of the highest bound by letters and words goes first, and what can't reach its score needs no count of pairs.
-        going = [k for k, x in enumerate(bound) if len(x)]
-        first = np.array([some[k][bound[k].argmax()] for k in going], np.int64)
-        least = [floor] * len(block)
-        for k, x in zip(going, self._pair_scores(asked, np.array(going, np.int64), first).tolist(), strict=True):
-            least[k] = max(floor, x - 2e-6)
-        some, bound = zip(*(self._candidates(x, some[k][bound[k] >= least[k]], letters[k], shared[k], least[k]) for k, x in enumerate(joined)), strict=True)
-        scored, n, size = [([], []) for _ in block], [0] * len(block), 4
-        going = [k for k in going if len(some[k])]
-        while going:
+        needed = {k: self._needed(int(asked.sizes[k]), max(accept, float(int(least[k])))) for k in np.flatnonzero(asked.sizes).tolist()}
+        ranges = [x[2:] for x in needed.values() if x[3]]
+        low, high = (min(x for x, _ in ranges), max(x for _, x in ranges)) if ranges else (0, 0)
+        at, marks = _numbered(asked.joined)
+        letters = self.by_letter.weighed(len(block), at, marks, np.ones(len(at), np.float32), low, high)
+        shared = self.by_word.weighed(len(block), asked.word_of, asked.word_number, asked.word_size, 0, len(self.names))
+        some = [np.zeros(0, np.int64)] * len(block)
+        for k, (by_letters, by_words, first, end) in needed.items():
+            hit = shared[k] >= by_words
+            hit[first:end] |= letters[k, first - low : end - low] >= by_letters[first:end]
+            some[k] = np.flatnonzero(hit)
+        # What may round to the same score stays, so that the earlier row wins.
+        least = least - 2e-6
+        asks, rows = np.repeat(np.arange(len(block)), [len(x) for x in some]), np.concatenate(some)
+        of_words = np.maximum(shared[asks, rows].astype(float) - 1, 0)
+        # Outside of the range letters alone can't do.
+        common = np.zeros(len(rows))
+        inside = np.flatnonzero((rows >= low) & (rows < high))
+        common[inside] = letters[asks[inside], rows[inside] - low]
+        rows = self.by_size[rows]
+        both, short = asked.sizes[asks] + self.sizes[rows], np.maximum(np.minimum(asked.sizes[asks], self.sizes[rows]), 1)
+        by_words = 200 * of_words / (of_words + short)
+        bound = np.maximum(200 * common / both, by_words)
+        # The name of the highest bound by letters and words goes first: most can't reach its score.
+        firsts = np.flatnonzero(np.diff(asks, prepend=-1))
+        if len(firsts):
+            highest = np.flatnonzero(bound == np.repeat(np.maximum.reduceat(bound, firsts), np.diff(np.append(firsts, len(asks)))))
+            highest = highest[np.diff(asks[highest], prepend=-1) > 0]
+            least[asks[highest]] = np.maximum(least[asks[highest]], self._pair_scores(asked, asks[highest], rows[highest]) - 2e-6)
+        kept = bound >= least[asks]
+        asks, rows, common, both, by_words, bound = (x[kept] for x in (asks, rows, common, both, by_words, bound))
+        many = np.flatnonzero(np.bincount(asks, minlength=len(block)) * self.FEW > len(self.names))
+        at, marks = _numbered([f" {asked.joined[k]} " for k in many.tolist()], 2)
+        for i, k in enumerate(many.tolist()):
+            own = slice(*np.searchsorted(asks, [k, k + 1]).tolist())
+            pairs = self.by_pair.counted(marks[slice(*np.searchsorted(at, [i, i + 1]).tolist())], rows[own])
+            bound[own] = np.maximum(200 * np.minimum(common[own], (pairs + both[own] - 1) // 3) / both[own], by_words[own])
+        kept = np.flatnonzero(bound >= least[asks])
+        kept = kept[np.lexsort((-bound[kept], asks[kept]))]
+        asks, rows, bound = asks[kept], rows[kept], bound[kept]
+        place = np.arange(len(asks)) - np.searchsorted(asks, asks)
+        scores, n, size, end = np.full(len(asks), -1.0), np.zeros(len(block), np.int64), 4, 0
+        while True:
             # By falling bound, so what can still win stands first.
-            parts = [some[k][n[k] : n[k] + size][bound[k][n[k] : n[k] + size] >= least[k]] for k in going]
-            ends = np.cumsum([len(x) for x in parts]).tolist()
-            x = self._pair_scores(asked, np.repeat(going, [len(x) for x in parts]), np.concatenate(parts)) if ends[-1] else np.zeros(0)
-            for k, rows, end in zip(going, parts, ends, strict=True):
-                if len(rows):
-                    own = x[end - len(rows) : end]
-                    # What may round to the same score stays, so that the earlier row wins.
-                    least[k] = max(least[k], float(own.max()) - 2e-6)
-                    scored[k][0].append(rows[own >= least[k]])
-                    scored[k][1].append(own[own >= least[k]])
-                    n[k] += len(rows)
-            going = [k for k, rows in zip(going, parts, strict=True) if len(rows) and n[k] < len(some[k]) and bound[k][n[k]] >= least[k]]
-            size = min(4 * size, 1024)
-        out = []
-        for (rows, x), floor, k in zip(scored, least, n, strict=True):
-            rows, x = (np.concatenate(rows), np.concatenate(x)) if rows else (np.zeros(0, np.int64), np.zeros(0))
-            out.append((list(zip(self.row_ids[rows[x >= floor]].tolist(), x[x >= floor].tolist(), strict=True)), k))
-        return out
-
-    def _shared(self, a: int, letters: np.ndarray, shared: np.ndarray, accept: float) -> tuple[np.ndarray, np.ndarray]:
-        """The names whose shared letters or words reach ``accept`` for a query of ``a`` letters, and their bounds by these."""
-        if not a:
-            return np.zeros(0, np.int64), np.zeros(0)
-        by_letters, by_words = self._needed(a, accept)
-        some = np.flatnonzero((letters >= by_letters) | (shared >= by_words))
-        return some, self._bound(a, self.sizes[some], letters[some], shared[some])
-
-    @staticmethod
-    def _bound(a: int, b: np.ndarray, common: np.ndarray, shared: np.ndarray) -> np.ndarray:
-        s = np.maximum(shared.astype(float) - 1, 0)
-        return np.maximum(200.0 * common.astype(float) / (a + b), 200.0 * s / (s + np.maximum(np.minimum(a, b), 1)))
-
-    def _candidates(self, joined: str, some: np.ndarray, letters: np.ndarray, shared: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Those of some names whose bound by pairs, too, reaches ``least`` for a query, and their bounds, falling."""
-        if not len(some):
-            return some, np.zeros(0)
-        a, b = len(joined), self.sizes[some]
-        common = (self.by_pair.counted(_pair_letters(joined), some) + a + b - 1) // 3
-        bound = self._bound(a, b, np.minimum(common, letters[some]), shared[some])
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] >= least]
-        return some[order], bound[order]
+            now = np.flatnonzero((place >= end) & (bound >= least[asks]))
+            now = now[place[now] < end + size]
+            if not len(now):
+                break
+            scores[now] = self._pair_scores(asked, asks[now], rows[now])
+            np.maximum.at(least, asks[now], scores[now] - 2e-6)
+            n += np.bincount(asks[now], minlength=len(block))
+            end, size = end + size, min(4 * size, 1024)
+        kept = np.flatnonzero(scores >= least[asks])
+        ends = np.searchsorted(asks[kept], np.arange(len(block) + 1)).tolist()
+        found = list(zip(self.row_ids[rows[kept]].tolist(), scores[kept].tolist(), strict=True))
+        return [(found[x:y], k) for x, y, k in zip(ends, ends[1:], n.tolist(), strict=False)]
 
 
 def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str], accept: float = 75, names_a_task: int = 8192, with_cost: bool = False) -> DataFrame:
@@ -597,8 +626,9 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
 
     ``queries``: query_id, query.  ``catalog`` has a ``row_id``; of equal scores the earlier row wins.
     Distinct names are dealt to shards and distinct queries to blocks; a task indexes its shard (``NameIndex``) and scores
-    only what may win there, so nothing is lost.  ``accept`` is at least 67, below which letter pairs tell nothing.  ``with_cost`` adds ``scored``, the
-    names that were scored for a query, to rows of all queries, matched or not.
+    only what may win there, so nothing is lost.  Where there are several shards, names that share a rare word with a query are scored
+    before, and shards leave out what is below these scores.  ``accept`` is at least 67, below which letter pairs tell nothing.  ``with_cost``
+    adds ``scored``, the names that were scored for a query, to rows of all queries, matched or not.
     """
     if accept < 200 / 3:
         raise ValueError("two names of such a score need not share a pair of letters")
@@ -607,13 +637,15 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
     q = queries.select("query_id", F.lower(F.trim("query")).alias("query"))
     asked = q.where("query is not null").select(F.col("query").alias("text")).distinct()
     n_asked, cores = asked.count(), queries.sparkSession.sparkContext.defaultParallelism
-    shards, blocks = max(1, -(-entries.count() // names_a_task)), max(1, -(-n_asked // names_a_task))
+    # A block has more queries than a shard names, as each block indexes the shard anew.
+    shards, blocks = max(1, -(-entries.count() // names_a_task)), max(1, -(-n_asked // (4 * names_a_task)))
     # Few queries are dealt to all cores, if there are some for each.
-    blocks = max(blocks, min(-(-cores // shards), -(-n_asked // 128)))
+    blocks = max(blocks, min(-(-4 * cores // shards), -(-n_asked // 128)))
+    near = _by_rare_words(asked, entries) if shards > 1 else asked.select("text", F.lit(None).cast("double").alias("known"), F.lit(0).cast("long").alias("scored"))
     of = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    kept = entries.select(of(shards).alias("shard"), every(blocks).alias("block"), "text", F.col("row_id").cast("long").alias("row_id"), F.lit(False).alias("asks"))
-    asking = asked.select(every(shards).alias("shard"), of(blocks).alias("block"), "text", F.lit(None).cast("long").alias("row_id"), F.lit(True).alias("asks"))
+    kept = entries.select(of(shards).alias("shard"), every(blocks).alias("block"), "text", F.col("row_id").cast("long").alias("row_id"), F.lit(0.0).alias("known"), F.lit(False).alias("asks"))
+    asking = near.select(every(shards).alias("shard"), of(blocks).alias("block"), "text", F.lit(None).cast("long").alias("row_id"), F.coalesce("known", F.lit(0.0)).alias("known"), F.lit(True).alias("asks"))
 
     def search(table: pa.Table) -> pa.Table:
         asks, texts, rows = table["asks"].to_numpy(), table["text"].to_pylist(), table["row_id"].to_pylist()
@@ -621,14 +653,16 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
         index = NameIndex([texts[i] for i in own], [rows[i] for i in own])
         out = []
         asked = [texts[i] for i in np.flatnonzero(asks).tolist()]
-        for query, (found, n) in zip(asked, index.bests(asked, accept), strict=True):
-            out += [(query, row, x, n if k == 0 else 0) for k, (row, x) in enumerate(found)] or [(query, None, None, n)]
+        for query, (found, n) in zip(asked, index.bests(asked, accept, table["known"].to_numpy()[asks]), strict=True):
+            out += [(query, row, x, n if k == 0 else 0) for k, (row, x) in enumerate(found)] or ([(query, None, None, n)] if with_cost else [])
         kinds = pa.string(), pa.int64(), pa.float64(), pa.int64()
         return pa.table({c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(("text", "row_id", "score", "scored"), kinds, strict=True))})
 
     # By number, as the rows are few for what is done to them.
     met = kept.union(asking).repartition(min(4096, 2 * shards * blocks), "shard", "block")
     found = met.groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double, scored long")
+    if with_cost:
+        found = found.union(near.select("text", F.lit(None).cast("long").alias("row_id"), F.lit(None).cast("double").alias("score"), "scored"))
     good = F.round("score", 6) >= accept
     scored = found.withColumns({"score": F.when(good, F.round("score", 6)), "row_id": F.when(good, F.col("row_id"))})
     first = F.max_by("row_id", F.struct("score", (-F.col("row_id")).alias("r")))
@@ -637,6 +671,20 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
     return matched if with_cost else matched.where("row_id is not null").drop("scored")
 
 
+def _by_rare_words(asked: DataFrame, entries: DataFrame) -> DataFrame:
+    """Each text with the highest score of the names that its rare words point to, if any (``known``), and how many were ``scored``.
+
+    A word of at most 8 names points to two of them.  The score is one that a name has: what is below it can't be the best.
+    """
+    with_checkpoints(asked.sparkSession)
+    word = F.explode(F.array_distinct(F.filter(F.split("text", "\\s+"), lambda x: x != ""))).alias("word")
+    pointed = entries.select("text", word).groupBy("word").agg(F.count("*").alias("n"), F.array_distinct(F.array(F.min("text"), F.max("text"))).alias("names"))
+    rare = pointed.where("n <= 8").select("word", "names").checkpoint()
+    met = asked.select("text", word).join(sized(rare), "word").select("text", F.explode("names").alias("name")).distinct()
+    scored = met.withColumn("score", token_set_ratio("text", "name")).groupBy("text").agg(F.max("score").alias("known"), F.count("*").alias("scored"))
+    return asked.join(scored, "text", "left").select("text", "known", F.coalesce("scored", F.lit(0)).alias("scored")).checkpoint()
+
+
 def first_contained(rows: DataFrame, text: str, categories: Sequence[str]) -> DataFrame:
     """The first category whose name a text contains, else the first of the list (JOI14)."""
     found = F.filter(F.array(*map(F.lit, categories)), lambda c: F.contains(F.lower(F.col(text)), F.lower(c)))

@@ -220,6 +220,27 @@ def test_name_index_scores_few_of_like_names():
         assert best <= {(i, round(x, 6)) for i, x in found} and (best or not found)
         scored += n
     assert scored < 0.03 * len(queries) * len(names)
+    # A score known from elsewhere leaves out what is below, and only that.
+    known = [max(arrow_udfs.token_set(query, x) for x in names) if k % 2 else 99.0 for k, query in enumerate(queries)]
+    for query, floor, (found, n), (again, m) in zip(queries, known, index.bests(queries, 75), index.bests(queries, 75, known), strict=True):
+        want = {x for x in found if round(x[1], 6) >= round(max(floor, 75), 6)}
+        assert m <= n and want <= set(again) and all(x[1] >= floor - 3e-6 for x in again)
+
+
+def test_catalog_shards_take_known_scores(spark, monkeypatch):
+    """Names that share a rare word are scored before the shards, which then score next to nothing more; rows are those of one shard."""
+    r = random.Random(9)
+    names = [(i, f"http {r.choice(['www', 'm'])} {r.choice(['thering', 'ststion', 'blth'])} example {r.choice(['com', 'org'])} {r.randrange(10**6)} html") for i in range(1200)] + [(5000, "  "), (5001, None)]
+    queries = [(i, n.replace("e", "a") if i % 2 else n[1:]) for i, n in names[:1200:8]] + [(9000, ""), (9001, None), (9002, "zz qq")]
+    q, c = spark.createDataFrame(queries, "query_id long, query string"), spark.createDataFrame(names, "row_id long, name string")
+    one = {x["query_id"]: x for x in joins.catalog_match(q, c, ["name"], with_cost=True).collect()}
+    many = {x["query_id"]: x for x in joins.catalog_match(q, c, ["name"], names_a_task=100, with_cost=True).collect()}
+    assert one.keys() == many.keys() and all((one[k]["row_id"], one[k]["score"]) == (many[k]["row_id"], many[k]["score"]) for k in one)
+    assert all(many[i]["row_id"] == i for i, _ in names[:1200:8])
+    monkeypatch.setattr(joins, "_by_rare_words", lambda asked, entries: asked.select("text", F.lit(None).cast("double").alias("known"), F.lit(0).cast("long").alias("scored")))
+    alone = {x["query_id"]: x for x in joins.catalog_match(q, c, ["name"], names_a_task=100, with_cost=True).collect()}
+    assert all((alone[k]["row_id"], alone[k]["score"]) == (many[k]["row_id"], many[k]["score"]) for k in alone)
+    assert 3 * sum(x["scored"] for x in many.values()) < sum(x["scored"] for x in alone.values())
 
 
 def test_catalog_reports_what_it_scored(spark):
