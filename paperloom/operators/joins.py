@@ -641,7 +641,7 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
     shards, blocks = max(1, -(-entries.count() // names_a_task)), max(1, -(-n_asked // (4 * names_a_task)))
     # Few queries are dealt to all cores, if there are some for each.
     blocks = max(blocks, min(-(-4 * cores // shards), -(-n_asked // 128)))
-    near = _by_rare_words(asked, entries) if shards > 1 else asked.select("text", F.lit(None).cast("double").alias("known"), F.lit(0).cast("long").alias("scored"))
+    near = _by_rare_words(asked, entries, min(4096, max(cores, -(-n_asked // 1024)))) if shards > 1 else asked.select("text", F.lit(None).cast("double").alias("known"), F.lit(0).cast("long").alias("scored"))
     of = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     kept = entries.select(of(shards).alias("shard"), every(blocks).alias("block"), "text", F.col("row_id").cast("long").alias("row_id"), F.lit(0.0).alias("known"), F.lit(False).alias("asks"))
@@ -658,8 +658,9 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
         kinds = pa.string(), pa.int64(), pa.float64(), pa.int64()
         return pa.table({c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(("text", "row_id", "score", "scored"), kinds, strict=True))})
 
-    # By number, as the rows are few for what is done to them.
-    met = kept.union(asking).repartition(min(4096, 2 * shards * blocks), "shard", "block")
+    # By number, as the rows are few for what is done to them, and where there are few groups by a high one, so that few fall together.
+    groups = shards * blocks
+    met = kept.union(asking).repartition(min(4096, max(2 * groups, min(8 * groups, 256))), "shard", "block")
     found = met.groupBy("shard", "block").applyInArrow(search, "text string, row_id long, score double, scored long")
     if with_cost:
         found = found.union(near.select("text", F.lit(None).cast("long").alias("row_id"), F.lit(None).cast("double").alias("score"), "scored"))
@@ -671,7 +672,7 @@ def catalog_match(queries: DataFrame, catalog: DataFrame, names: Sequence[str],
     return matched if with_cost else matched.where("row_id is not null").drop("scored")
 
 
-def _by_rare_words(asked: DataFrame, entries: DataFrame) -> DataFrame:
+def _by_rare_words(asked: DataFrame, entries: DataFrame, tasks: int) -> DataFrame:
     """Each text with the highest score of the names that its rare words point to, if any (``known``), and how many were ``scored``.
 
     A word of at most 8 names points to two of them.  The score is one that a name has: what is below it can't be the best.
@@ -680,7 +681,7 @@ def _by_rare_words(asked: DataFrame, entries: DataFrame) -> DataFrame:
     word = F.explode(F.array_distinct(F.filter(F.split("text", "\\s+"), lambda x: x != ""))).alias("word")
     pointed = entries.select("text", word).groupBy("word").agg(F.count("*").alias("n"), F.array_distinct(F.array(F.min("text"), F.max("text"))).alias("names"))
     rare = pointed.where("n <= 8").select("word", "names").checkpoint()
-    met = asked.select("text", word).join(sized(rare), "word").select("text", F.explode("names").alias("name")).distinct()
+    met = asked.select("text", word).join(sized(rare), "word").select("text", F.explode("names").alias("name")).repartition(tasks, "text").distinct()
     scored = met.withColumn("score", token_set_ratio("text", "name")).groupBy("text").agg(F.max("score").alias("known"), F.count("*").alias("scored"))
     return asked.join(scored, "text", "left").select("text", "known", F.coalesce("scored", F.lit(0)).alias("scored")).checkpoint()
 

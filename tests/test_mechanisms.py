@@ -237,7 +237,7 @@ def test_catalog_shards_take_known_scores(spark, monkeypatch):
     many = {x["query_id"]: x for x in joins.catalog_match(q, c, ["name"], names_a_task=100, with_cost=True).collect()}
     assert one.keys() == many.keys() and all((one[k]["row_id"], one[k]["score"]) == (many[k]["row_id"], many[k]["score"]) for k in one)
     assert all(many[i]["row_id"] == i for i, _ in names[:1200:8])
-    monkeypatch.setattr(joins, "_by_rare_words", lambda asked, entries: asked.select("text", F.lit(None).cast("double").alias("known"), F.lit(0).cast("long").alias("scored")))
+    monkeypatch.setattr(joins, "_by_rare_words", lambda asked, entries, tasks: asked.select("text", F.lit(None).cast("double").alias("known"), F.lit(0).cast("long").alias("scored")))
     alone = {x["query_id"]: x for x in joins.catalog_match(q, c, ["name"], names_a_task=100, with_cost=True).collect()}
     assert all((alone[k]["row_id"], alone[k]["score"]) == (many[k]["row_id"], many[k]["score"]) for k in alone)
     assert 3 * sum(x["scored"] for x in many.values()) < sum(x["scored"] for x in alone.values())
